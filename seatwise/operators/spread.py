@@ -1,0 +1,63 @@
+"""Joining a big table to a small one when a single key may dominate the big one."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+#: Largest side sent whole to every executor, as measured.
+BROADCAST_BYTES = 32 << 20
+
+#: Parts a key is cut into when the small side is too big for that.
+SALTS = 64
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes of text in ``df`` plus a flat charge per value: one distributed sum."""
+    values: Column = F.lit(16 * len(df.columns)).cast("bigint")
+    for name in df.columns:
+        values = values + F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0))
+    return df.agg(F.coalesce(F.sum(values), F.lit(0))).first()[0]
+
+
+def spread_join(
+    big: DataFrame,
+    small: DataFrame,
+    keys: Sequence[str],
+    spread_by: Sequence[str],
+    size: int | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    salts: int = SALTS,
+) -> DataFrame:
+    """Inner join that no single key can pile onto one task.
+
+    ``small`` is measured first, unless its ``size`` is known. Within the bound
+    it is broadcast and ``big`` does not move at all; beyond it see
+    :func:`salted_join`.
+    """
+    if size is None:
+        size = measured_bytes(small)
+    if size <= broadcast_bytes:
+        return big.join(F.broadcast(small), list(keys))
+    return salted_join(big, small, keys, spread_by, salts)
+
+
+def salted_join(
+    big: DataFrame,
+    small: DataFrame,
+    keys: Sequence[str],
+    spread_by: Sequence[str],
+    salts: int = SALTS,
+) -> DataFrame:
+    """Inner join on the keys plus a salt taken from each big row's own columns.
+
+    ``small`` is repeated once per salt, so every big row meets exactly the rows
+    it would meet without it. The merge hint keeps the repeated side from being
+    broadcast on an estimate that knows nothing of the repetition.
+    """
+    salted = big.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)))
+    repeated = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    repeated = repeated.withColumn("_salt", F.col("_salt").cast("bigint"))
+    return salted.join(repeated.hint("merge"), [*keys, "_salt"]).drop("_salt")
