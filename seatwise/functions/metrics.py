@@ -54,10 +54,7 @@ class Total:
 
     def column(self) -> Column:
         # A row with either side missing adds nothing, and int + int may not wrap.
-        row_value = F.col(self.inputs[0])
-        for name in self.inputs[1:]:
-            row_value = row_value + F.col(name)
-        return F.sum(row_value).alias(self.name)
+        return F.expr(f"sum({' + '.join(self.inputs)})").alias(self.name)
 
 
 @dataclass(frozen=True)
@@ -68,17 +65,15 @@ class Ratio:
     accepted: str
     generated: str
 
-    def _parts(self) -> tuple[Column, Column]:
-        return F.sum(self.accepted), F.nullif(F.sum(self.generated), F.lit(0))
-
     def whole(self) -> Column:
         """Integer division, as bigint over bigint is in the original query."""
-        accepted, generated = self._parts()
-        return F.call_function("div", accepted, generated).alias(f"{self.name}_ratio")
+        return self._over("div").alias(f"{self.name}_ratio")
 
     def fraction(self) -> Column:
-        accepted, generated = self._parts()
-        return (accepted / generated).alias(f"{self.name}_fraction")
+        return self._over("/").alias(f"{self.name}_fraction")
+
+    def _over(self, operator: str) -> Column:
+        return F.expr(f"sum({self.accepted}) {operator} nullif(sum({self.generated}), 0)")
 
 
 def _totals() -> tuple[Total, ...]:

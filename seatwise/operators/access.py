@@ -65,7 +65,7 @@ def direct_user_count(assignments: DataFrame, users: DataFrame) -> DataFrame:
 
 def effective_user_ids(assignments: DataFrame, memberships: DataFrame) -> DataFrame:
     """Direct users and members of assigned groups; a group nobody is in adds none."""
-    direct = distinct_principals(assignments, "USER", "user_id")
+    direct = principals(assignments, "USER").select(F.col("principal_id").alias("user_id"))
     groups = distinct_principals(assignments, "GROUP", "group_id")
     via_group = spread_join(memberships, groups, ["group_id"], ["user_id", "page", "pos"])
     return direct.union(via_group.select("user_id")).distinct()

@@ -53,11 +53,18 @@ def _members(memberships: DataFrame) -> DataFrame:
 
 
 def roster_in_order(
-    assignments: DataFrame, memberships: DataFrame, profiles: DataFrame, users: DataFrame
+    assignments: DataFrame,
+    memberships: DataFrame,
+    profiles: DataFrame,
+    users: DataFrame,
+    size: int | None = None,
 ) -> DataFrame:
-    """The roster with each member's place in its group."""
+    """The roster with each member's place in its group.
+
+    ``size`` is what the assigned groups measure, where a caller knows it.
+    """
     listed = assigned_groups(assignments, profiles)
-    members = spread_join(_members(memberships), listed, ["group_id"], _MEMBER)
+    members = spread_join(_members(memberships), listed, ["group_id"], _MEMBER, size=size)
     return members.join(short_profiles(users), "user_id").select(
         "page",
         "pos",
@@ -81,15 +88,22 @@ def group_roster(
 
 
 def group_summary(
-    assignments: DataFrame, memberships: DataFrame, profiles: DataFrame, users: DataFrame
+    assignments: DataFrame,
+    memberships: DataFrame,
+    profiles: DataFrame,
+    users: DataFrame,
+    size: int | None = None,
 ) -> DataFrame:
     """Known members per assignment, zero included.
 
     Members are counted once per group, then the counts go to the assignments:
-    listing a group again does not repeat the work on its members.
+    listing a group again does not repeat the work on its members. ``size`` is
+    what the assigned groups measure, where a caller knows it.
     """
+    listed = assigned_groups(assignments, profiles)
+    if size is None:
+        size = measured_bytes(listed)
     ids = distinct_principals(assignments, "GROUP", "group_id")
-    size = measured_bytes(ids)
     counts = (
         spread_join(_members(memberships), ids, ["group_id"], _MEMBER, size=size)
         .join(short_profiles(users).select("user_id"), "user_id", "left_semi")
@@ -99,7 +113,6 @@ def group_summary(
     sized = ids.join(counts, "group_id", "left").withColumn(
         "user_count", F.coalesce("user_count", F.lit(0))
     )
-    listed = assigned_groups(assignments, profiles)
     return spread_join(listed, sized, ["group_id"], ["page", "pos"], size=size).select(
         "page", "pos", "group_id", "group_name", "user_count"
     )
@@ -135,11 +148,12 @@ def group_nested(
     one comes as several rows, each holding about that many, numbered by
     ``chunk``: no row and no task takes a whole group however large it is.
     """
-    summary = group_summary(assignments, memberships, profiles, users)
-    roster = roster_in_order(assignments, memberships, profiles, users)
+    inputs = (assignments, memberships, profiles, users)
+    size = measured_bytes(assigned_groups(assignments, profiles))
+    summary = group_summary(*inputs, size=size)
+    roster = roster_in_order(*inputs, size=size)
     head = ["page", "pos", "group_id", "group_name", "user_count"]
     parts = F.ceil(F.col("user_count") / F.lit(chunk))
-    size = measured_bytes(principals(assignments, "GROUP"))
     counts = summary.select("page", "pos", "user_count")
     sized = spread_join(roster, counts, ["page", "pos"], _MEMBER, size=size)
     entry = F.struct(
@@ -178,7 +192,10 @@ def group_report(
     order of their group's listing.
     """
     inputs = (assignments, memberships, profiles, users)
-    title = group_totals(*inputs).select(
+    size = measured_bytes(assigned_groups(assignments, profiles))
+    summary = group_summary(*inputs, size=size)
+    total = summary.agg(F.coalesce(F.sum("user_count"), F.lit(0)).alias("total_users"))
+    title = total.select(
         F.lit(None).cast("int").alias("page"),
         F.lit(None).cast("int").alias("pos"),
         F.inline(
@@ -202,10 +219,10 @@ def group_report(
         F.lit(""),
         F.lit(USERS_LINE),
     )
-    blocks = group_summary(*inputs).select(
+    blocks = summary.select(
         "page", "pos", F.inline(F.concat(head, _lines(_END, F.lit(RULE))))
     )
-    members = roster_in_order(*inputs).select(
+    members = roster_in_order(*inputs, size=size).select(
         "page",
         "pos",
         F.lit(_USER).alias("part"),

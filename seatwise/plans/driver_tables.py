@@ -3,137 +3,121 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from seatwise.schemas import COUNTERS
 
 
+# The columns used, so that no footer has to be read for planning.
+SCHEMAS = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, props string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "pages": "page_id bigint, url string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def usage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").withColumn(
-        "k", F.get_json_object("props", "$.k").cast("int")
-    )
-    name = F.concat(F.lit("u"), F.col("user_id").cast("string"))
-    quoted = F.concat(F.lit('"'), name, F.lit('"'))
-    return events.select(
-        F.when(F.col("event_id") % 2 == 0, quoted).otherwise(name).alias("userid"),
-        F.when(F.col("event_id") % 97 != 0, F.date_format("ts", "MM-dd-yyyy")).alias("act_date"),
+    inputs = table(spark, sf_dir, "events").selectExpr(
+        "concat('u', cast(user_id AS string)) AS name",
+        "event_id % 2 = 0 AS quoted",
+        "if(event_id % 97 <> 0, date_format(ts, 'MM-dd-yyyy'), NULL) AS act_date",
+        "cast(event_id % 7 AS int) AS gap",
+        "user_id % 25 <> 0 AS generates",
+        "cast(get_json_object(props, '$.k') AS int) AS k",
+    )
+    return inputs.selectExpr(
+        "if(quoted, concat('\"', name, '\"'), name) AS userid",
+        "act_date",
         *(_counter(i, c) for i, c in enumerate(COUNTERS, 1)),
     )
 
 
-def _counter(i: int, name: str):
-    value = (F.col("k") * i) % 50
+def _counter(i: int, name: str) -> str:
+    value = f"k * {i} % 50"
     if name.endswith(("generatedlines", "generatedtests")):
-        value = value * F.when(F.col("user_id") % 25 == 0, 0).otherwise(1)
-    return F.when((F.col("event_id") + i) % 7 != 0, value).cast("int").alias(name)
-
-
-def _user(key: str = "c_custkey"):
-    return F.concat(F.lit("u"), F.col(key).cast("string"))
+        value = f"if(generates, {value}, 0 * k)"
+    # NULL where event_id + i is a multiple of seven.
+    return f"if(gap <> {-i % 7}, {value}, NULL) AS {name}"
 
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("c_custkey")
-    plain = F.struct(
-        F.concat(F.lit("a"), key.cast("string"), F.lit("@x.test")).alias("Value"),
-        F.lit(False).alias("Primary"),
-    )
-    primary = F.struct(
-        F.concat(F.lit("b"), key.cast("string"), F.lit("@x.test")).alias("Value"),
-        F.lit(True).alias("Primary"),
-    )
-    emails = (
-        F.when(key % 4 == 1, F.array().cast("array<struct<Value:string,Primary:boolean>>"))
-        .when(key % 4 == 2, F.array(plain))
-        .when(key % 4 == 3, F.array(plain, primary))
-    )
-    return (
-        table(spark, sf_dir, "customer")
-        .where(key % 10 != 0)
-        .select(
-            _user().alias("user_id"),
-            F.col("c_name").alias("user_name"),
-            F.when(key % 13 != 0, F.concat_ws(" ", "c_mktsegment", "c_name")).alias(
-                "display_name"
-            ),
-            F.struct(
-                F.split_part("c_name", F.lit("#"), F.lit(1)).alias("GivenName"),
-                F.split_part("c_name", F.lit("#"), F.lit(2)).alias("FamilyName"),
-            ).alias("name"),
-            emails.alias("emails"),
-        )
+    plain = "named_struct('Value', concat('a', key, '@x.test'), 'Primary', false)"
+    primary = "named_struct('Value', concat('b', key, '@x.test'), 'Primary', true)"
+    customer = table(spark, sf_dir, "customer").where("c_custkey % 10 <> 0")
+    return customer.selectExpr("*", "cast(c_custkey AS string) AS key").selectExpr(
+        "concat('u', key) AS user_id",
+        "c_name AS user_name",
+        "if(c_custkey % 13 <> 0, concat(c_mktsegment, ' ', c_name), NULL) AS display_name",
+        "named_struct('GivenName', split_part(c_name, '#', 1),"
+        " 'FamilyName', split_part(c_name, '#', 2)) AS name",
+        f"""CASE c_custkey % 4
+              WHEN 1 THEN cast(array() AS array<struct<Value:string,Primary:boolean>>)
+              WHEN 2 THEN array({plain})
+              WHEN 3 THEN array({plain}, {primary})
+            END AS emails""",
     )
 
 
-def _nation_group(key: str):
-    return F.concat(F.lit("n"), F.col(key).cast("string"))
-
-
-def _segment_group():
-    return F.concat(F.lit("s"), F.col("c_mktsegment"))
-
-
 def groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation")
-    nations = nation.select(
-        _nation_group("n_nationkey").alias("group_id"), F.col("n_name").alias("group_name")
-    )
+    nations = nation.selectExpr("concat('n', n_nationkey) AS group_id", "n_name AS group_name")
     segments = (
         table(spark, sf_dir, "customer")
         .select("c_mktsegment")
         .distinct()
-        .select(_segment_group().alias("group_id"), F.col("c_mktsegment").alias("group_name"))
+        .selectExpr("concat('s', c_mktsegment) AS group_id", "c_mktsegment AS group_name")
     )
-    nobody = nation.where(F.col("n_nationkey") == 0).select(
-        F.lit("empty").alias("group_id"), F.lit("EMPTY").alias("group_name")
+    nobody = nation.where("n_nationkey = 0").selectExpr(
+        "'empty' AS group_id", "'EMPTY' AS group_name"
     )
     return nations.unionByName(segments).unionByName(nobody)
 
 
 def memberships(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer")
-    key = F.col("c_custkey")
     place = (
-        F.floor(key / 100).cast("int").alias("page"),
-        (key % 100).cast("int").alias("pos"),
-        _user().alias("user_id"),
+        "cast(floor(c_custkey / 100) AS int) AS page",
+        "cast(c_custkey % 100 AS int) AS pos",
+        "concat('u', c_custkey) AS user_id",
+    )
+    by_nation = customer.where("c_mktsegment <> 'MACHINERY'").selectExpr(
+        "concat('n', c_nationkey) AS group_id", *place
     )
-    by_nation = customer.where(F.col("c_mktsegment") != "MACHINERY").select(
-        _nation_group("c_nationkey").alias("group_id"), *place
+    return by_nation.unionByName(
+        customer.selectExpr("concat('s', c_mktsegment) AS group_id", *place)
     )
-    return by_nation.unionByName(customer.select(_segment_group().alias("group_id"), *place))
 
 
 def assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    building = table(spark, sf_dir, "customer").where(F.col("c_mktsegment") == "BUILDING")
     nation = table(spark, sf_dir, "nation")
-    direct = building.select(
-        F.lit(1).alias("page"),
-        F.col("c_custkey").cast("int").alias("pos"),
-        F.lit("USER").alias("principal_type"),
-        _user().alias("principal_id"),
-    )
-    again = direct.where(F.col("pos") % 3 == 0).withColumn("page", F.lit(2))
-    by_nation = nation.where(F.col("n_regionkey").isin(1, 2)).select(
-        F.lit(3).alias("page"),
-        F.col("n_nationkey").alias("pos"),
-        F.lit("GROUP").alias("principal_type"),
-        _nation_group("n_nationkey").alias("principal_id"),
+    # Page 1 holds every BUILDING customer, page 2 every third of them again.
+    direct = (
+        table(spark, sf_dir, "customer")
+        .where("c_mktsegment = 'BUILDING'")
+        .selectExpr(
+            "explode(if(c_custkey % 3 = 0, array(1, 2), array(1))) AS page",
+            "cast(c_custkey AS int) AS pos",
+            "'USER' AS principal_type",
+            "concat('u', c_custkey) AS principal_id",
+        )
     )
-    first = nation.where(F.col("n_regionkey") == 1).agg(F.min("n_nationkey").alias("n_nationkey"))
-    named = F.array(
-        F.struct(F.lit(0).alias("pos"), F.lit("sHOUSEHOLD").alias("principal_id")),
-        F.struct(F.lit(1).alias("pos"), F.lit("empty").alias("principal_id")),
-        F.struct(F.lit(2).alias("pos"), _nation_group("n_nationkey").alias("principal_id")),
+    by_nation = nation.where("n_regionkey IN (1, 2)").selectExpr(
+        "3 AS page",
+        "n_nationkey AS pos",
+        "'GROUP' AS principal_type",
+        "concat('n', n_nationkey) AS principal_id",
     )
-    others = first.select(F.inline(named)).select(
-        F.lit(4).alias("page"), "pos", F.lit("GROUP").alias("principal_type"), "principal_id"
+    named = (
+        nation.where("n_regionkey = 1")
+        .selectExpr("concat('n', min(n_nationkey)) AS lowest")
+        .selectExpr("posexplode(array('sHOUSEHOLD', 'empty', lowest)) AS (pos, principal_id)")
+        .selectExpr("4 AS page", "pos", "'GROUP' AS principal_type", "principal_id")
     )
-    return direct.unionByName(again).unionByName(by_nation).unionByName(others)
+    return direct.unionByName(by_nation).unionByName(named)
 
 
 def directory(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:

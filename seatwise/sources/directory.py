@@ -74,3 +74,9 @@ def in_store(snapshot: DataFrame, store_id: str | None = None) -> DataFrame:
     """
     wanted = snapshot.agg(F.min("identity_store_id")).scalar() if store_id is None else store_id
     return snapshot.where(F.col("identity_store_id") == wanted)
+
+
+def lowest_store(spark: SparkSession, path: str) -> str | None:
+    """The id ``in_store`` takes by default, for use across a job's snapshots."""
+    profiles = spark.read.schema(USER_PROFILE).json(path)
+    return profiles.agg(F.min("identity_store_id")).first()[0]

@@ -31,18 +31,31 @@ def read_usage_text(spark: SparkSession, path: str, schema: T.StructType = USAGE
         .option("quote", "")
         .csv(path)
     )
-    fields = lines.select(F.split("line", ",", -1).alias("f"))
-    return fields.select(
-        *(_typed(F.get("f", F.lit(i)), field) for i, field in enumerate(schema.fields))
+    texts, counters = _by_kind(schema)
+    # The text columns are cut off by hand, since a CSV reader cannot tell an
+    # empty string from a missing one; the counters that follow need no such care.
+    cut = lines.select(F.split("line", ",", len(texts) + 1).alias("f"))
+    rows = cut.select(
+        *(
+            F.nullif(F.get("f", F.lit(i)), F.lit(MISSING)).alias(field.name)
+            for i, field in enumerate(texts)
+        ),
+        F.get("f", F.lit(len(texts))).alias("rest"),
     )
+    if not counters:
+        return rows.drop("rest")
+    numbers = F.from_csv(
+        "rest", T.StructType(counters).toDDL(), {"quote": "", "nullValue": MISSING}
+    )
+    return rows.withColumn("n", numbers).select(*(f.name for f in texts), "n.*")
 
 
-def _typed(text, field: T.StructField):
-    if isinstance(field.dataType, T.StringType):
-        value = F.nullif(text, F.lit(MISSING))
-    else:
-        value = text.try_cast(field.dataType)
-    return value.alias(field.name)
+def _by_kind(schema: T.StructType) -> tuple[list[T.StructField], list[T.StructField]]:
+    texts = [f for f in schema.fields if isinstance(f.dataType, T.StringType)]
+    counters = schema.fields[len(texts) :]
+    if schema.fields[: len(texts)] != texts:
+        raise ValueError("text columns have to come before all others")
+    return texts, counters
 
 
 def write_usage_parquet(usage: DataFrame, path: str, mode: str = "errorifexists") -> None:
