@@ -28,7 +28,7 @@ def spread_join(
     keys: Sequence[str],
     spread_by: Sequence[str],
     size: int | None = None,
-    broadcast_bytes: int = BROADCAST_BYTES,
+    broadcast_bytes: int | None = None,
     salts: int = SALTS,
 ) -> DataFrame:
     """Inner join that no single key can pile onto one task.
@@ -39,7 +39,7 @@ def spread_join(
     """
     if size is None:
         size = measured_bytes(small)
-    if size <= broadcast_bytes:
+    if size <= (BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes):
         return big.join(F.broadcast(small), list(keys))
     return salted_join(big, small, keys, spread_by, salts)
 

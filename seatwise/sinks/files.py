@@ -32,7 +32,9 @@ USER_EXPORT = {
 def write_csv(result: DataFrame, path: str, mode: str = "errorifexists") -> str:
     """Quotes only where needed, doubled inside; missing values are blank.
 
-    Every file starts with a header line, also where there are no rows.
+    Every file starts with a header line, also where there are no rows. Lines end
+    in a plain line feed: with any other ending the writer would also change the
+    line feeds inside values.
     """
     (
         result.write.mode(mode)
@@ -40,7 +42,6 @@ def write_csv(result: DataFrame, path: str, mode: str = "errorifexists") -> str:
         .option("escape", '"')
         .option("nullValue", "")
         .option("emptyValue", "")
-        .option("lineSep", "\r\n")
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .csv(path)

@@ -1,0 +1,89 @@
+"""Random inputs against straightforward Python, on both join paths."""
+
+import random
+
+import inputs
+import pytest
+
+from seatwise.operators import access, groups, spread
+
+PLACES = ("page", "pos")
+
+
+@pytest.fixture(params=["broadcast", "salted"])
+def join_path(request, monkeypatch):
+    if request.param == "salted":
+        monkeypatch.setattr(spread, "BROADCAST_BYTES", -1)
+    return request.param
+
+
+def model(assigned, members, users):
+    """What the analyses mean, one group after another."""
+    known = {u for u, mails in users if mails is None or mails}
+    blocks = []
+    for page, pos, kind, who in assigned:
+        if kind == "GROUP":
+            blocks.append((page, pos, who, [u for g, u in members if g == who and u in known]))
+    everyone = {who for _, _, kind, who in assigned if kind == "USER"}
+    for _, _, kind, who in assigned:
+        if kind == "GROUP":
+            everyone |= {u for g, u in members if g == who}
+    return blocks, everyone, known
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_groups_and_access_match_the_model(spark, join_path, seed):
+    rng = random.Random(seed)
+    ids = [f"u{i}" for i in range(30)]
+    names = [f"g{i}" for i in range(8)]
+    users = [(u, rng.choice([None, [], [inputs.FIRST], [inputs.PRIMARY]])) for u in ids[:24]]
+    hot = rng.choice(names)
+    members = [
+        (hot if rng.random() < 0.4 else rng.choice(names), rng.choice(ids)) for _ in range(150)
+    ]
+    assigned = [
+        (i // 5, i % 5, kind, rng.choice(names if kind == "GROUP" else ids))
+        for i, kind in enumerate(rng.choices(["USER", "GROUP"], k=25))
+    ]
+    blocks, everyone, known = model(assigned, members, users)
+    data = (
+        inputs.assignments(spark, *assigned),
+        inputs.memberships(spark, *members),
+        inputs.profiles(spark, *names),
+        inputs.users(spark, *users),
+    )
+
+    summary = groups.group_summary(*data).select("page", "pos", "group_id", "user_count")
+    assert inputs.collected(summary) == sorted((p, q, g, len(us)) for p, q, g, us in blocks)
+
+    roster = groups.group_roster(*data).select("page", "pos", "group_id", "user_id")
+    assert inputs.collected(roster) == sorted((p, q, g, u) for p, q, g, us in blocks for u in us)
+
+    total, distinct = groups.group_totals(*data).first()
+    assert total == sum(len(us) for *_, us in blocks)
+    assert distinct == len({u for *_, us in blocks for u in us})
+    assert total >= distinct
+
+    nested = {
+        (r["page"], r["pos"]): [u["user_id"] for u in r["users"]]
+        for r in groups.group_nested(*data).collect()
+    }
+    assert nested == {(p, q): us for p, q, _, us in blocks}
+
+    report = [r["line"] for r in groups.group_report(*data).collect()]
+    assert report[3].endswith(f" {total}")
+    assert [r for r in report if r.startswith("- ")] == [
+        f"- Shown {u} ({dict(users)[u][0][0] if dict(users)[u] else None})"
+        for _, _, _, us in sorted(blocks, key=lambda b: b[:2])
+        for u in us
+    ]
+
+    effective = access.effective_users(data[0], data[1], data[3])
+    rows = effective.collect()
+    assert {r["user_id"] for r in rows} == everyone and len(rows) == len(everyone)
+    assert {r["user_id"] for r in rows if r["user_name"]} == everyone & known
+
+    direct = access.direct_users(data[0], data[3]).collect()
+    assert {r["user_id"] for r in direct} == {
+        who for _, _, kind, who in assigned if kind == "USER"
+    } & {u for u, _ in users}
