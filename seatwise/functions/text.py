@@ -12,6 +12,9 @@ BLANKS = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
+# Fixed value: what an object address starts with.
+SCHEME = "s3://"
+
 
 def clean_user_id(raw: Column) -> Column:
     """The id without the literal quotes the usage files carry."""
@@ -33,7 +36,7 @@ def uri_key(uri: Column) -> Column:
 
 
 def _uri_parts(uri: Column) -> Column:
-    return F.split(F.replace(uri, F.lit("s3://"), F.lit("")), "/", 2)
+    return F.split(F.replace(uri, F.lit(SCHEME), F.lit("")), "/", 2)
 
 
 def export_stamp(moment: Column) -> Column:

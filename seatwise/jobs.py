@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from seatwise.functions.sql import register_sql_functions
 from seatwise.operators import access, enrich, groups, usage
 from seatwise.session import build_session
 from seatwise.sinks import files
@@ -18,7 +19,9 @@ from seatwise.sources import directory, usage_files, user_list
 
 
 def _usage(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
-    return spark.read.parquet(args.usage)
+    """A folder of converted files, or ``table:NAME`` for a table of the catalog."""
+    kind, _, name = args.usage.partition("table:")
+    return spark.table(name) if name and not kind else spark.read.parquet(args.usage)
 
 
 def _assignments(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
@@ -94,6 +97,15 @@ def group_access(spark: SparkSession, args: argparse.Namespace) -> None:
     files.write_report(groups.group_report(*inputs), f"{out}/report")
 
 
+def query(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Any SQL over usage text, its result as CSV."""
+    for view in args.view:
+        name, _, path = view.partition("=")
+        usage_files.register_usage_text(spark, path, name)
+    register_sql_functions(spark)
+    files.write_csv(spark.sql(args.sql.strip().removesuffix(";")), args.out)
+
+
 _DIRECTORY = ("assignments", "application", "users")
 _JOBS = {
     "convert-usage": (convert_usage, ("text",)),
@@ -104,6 +116,7 @@ _JOBS = {
     "direct-users": (direct_users, _DIRECTORY),
     "effective-users": (effective_users, (*_DIRECTORY, "memberships")),
     "group-access": (group_access, (*_DIRECTORY, "memberships", "groups")),
+    "query": (query, ("sql",)),
 }
 
 
@@ -123,6 +136,8 @@ def parser() -> argparse.ArgumentParser:
             job.add_argument("--store", help="identity store; default: the lowest landed id")
         if name == "enrich-activity":
             job.add_argument("--keep-date", action="store_true")
+        if name == "query":
+            job.add_argument("--view", action="append", default=[], metavar="NAME=FOLDER")
         if name == "direct-users":
             job.add_argument("--name", help="export name; default: one with a time stamp")
     return root

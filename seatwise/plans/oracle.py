@@ -168,6 +168,12 @@ ORACLE: dict[str, str] = {
         "latest",
     ),
     "latest_activity_lenient": _sql("SELECT * FROM latest", "usage", "latest"),
+    "latest_activity_sql": _sql(
+        "SELECT user_id, CAST(latest_activity_date AS TIMESTAMP) AS latest_activity_date "
+        "FROM latest",
+        "usage",
+        "latest",
+    ),
     "bad_days": _sql(
         "SELECT count(*) AS rejected FROM usage WHERE act_date IS NOT NULL "
         "AND try_strptime(act_date, '%m-%d-%Y') IS NULL",

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seatwise.functions.emails import first_or_null, primary_or_blank
+from seatwise.functions.sql import register_sql_functions
 from seatwise.functions.text import clean_user_id, export_stamp, uri_bucket, uri_key
 from seatwise.operators import access, enrich, groups, usage
 from seatwise.plans import driver_tables as tables
@@ -30,6 +31,19 @@ def _on_directory(analysis: Callable[..., DataFrame]) -> Query:
     return lambda spark, sf_dir: analysis(*tables.directory(spark, sf_dir))
 
 
+def _latest_activity_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    register_sql_functions(spark)
+    return spark.sql(
+        """
+        SELECT DISTINCT replace(userid, '"', '') AS user_id, latest_activity_date
+        FROM (SELECT userid, max(parse_datetime(act_date, 'MM-dd-YYYY')) AS latest_activity_date
+              FROM {usage} GROUP BY userid)
+        ORDER BY latest_activity_date DESC NULLS LAST, user_id
+        """,
+        usage=tables.usage(spark, sf_dir),
+    )
+
+
 def _direct_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return access.direct_users(tables.assignments(spark, sf_dir), tables.users(spark, sf_dir))
 
@@ -219,6 +233,7 @@ QUERIES: dict[str, Query] = {
     "latest_activity": _on_usage(usage.latest_activity),
     "latest_activity_normalized": _on_usage(lambda u: usage.latest_activity(u, normalize=True)),
     "latest_activity_lenient": _on_usage(lambda u: usage.latest_activity(u, on_bad_date="null")),
+    "latest_activity_sql": _latest_activity_sql,
     "bad_days": _on_usage(usage.bad_days),
     "sample_rows": _on_usage(usage.sample_rows),
     "direct_users": _direct_users,

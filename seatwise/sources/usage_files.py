@@ -50,6 +50,13 @@ def read_usage_text(spark: SparkSession, path: str, schema: T.StructType = USAGE
     return rows.withColumn("n", numbers).select(*(f.name for f in texts), "n.*")
 
 
+def register_usage_text(
+    spark: SparkSession, path: str, name: str, schema: T.StructType = USAGE
+) -> None:
+    """Makes the files under ``path`` readable by name in SQL."""
+    read_usage_text(spark, path, schema).createOrReplaceTempView(name)
+
+
 def _by_kind(schema: T.StructType) -> tuple[list[T.StructField], list[T.StructField]]:
     texts = [f for f in schema.fields if isinstance(f.dataType, T.StringType)]
     counters = schema.fields[len(texts) :]

@@ -112,6 +112,26 @@ def test_latest_activity_then_enrichment(run, landed, table):
     }
 
 
+def test_sql_text_over_landed_files(run, landed):
+    sql = """
+        SELECT DISTINCT replace(userid, '"', '') AS who,
+               max(parse_datetime(act_date, 'MM-dd-YYYY')) AS seen
+        FROM daily GROUP BY userid ORDER BY seen DESC;
+    """
+    rows = read(run("query", "query", "--sql", sql, "--view", f"daily={landed / 'text'}"))
+    assert [(r["who"], r["seen"][:10]) for r in rows] == [
+        ("u3", "2025-03-05"),
+        ("u1", "2025-03-02"),
+        ("u2", "2025-03-01"),
+    ]
+
+
+def test_usage_by_table_name(spark, run, table):
+    spark.read.parquet(table).createOrReplaceTempView("converted")
+    rows = read(run("usage-rollup", "by-name", usage="table:converted"))
+    assert [r["active_days"] for r in rows] == ["2", "1", "1"]
+
+
 def test_direct_and_effective_users(run, landed):
     directory = {"assignments": landed / "assignments", "application": "app", "users": landed / "users"}
     out = run("direct-users", "direct-users", "--name", "users.csv", **directory)

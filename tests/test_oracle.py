@@ -12,6 +12,7 @@ SQL_TYPES = {
     "bigint": "BIGINT",
     "double": "DOUBLE",
     "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
 }
 
 

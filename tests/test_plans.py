@@ -64,6 +64,14 @@ def test_latest_activity_reads_two_columns(silver):
     assert normalized.count("Exchange hashpartitioning") == 1
 
 
+def test_directory_joins_reuse_the_partitioning_of_distinct_ids(spark, sf_dir, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    for name in ("direct_users", "effective_users"):
+        text = plan(contract.queries()[name](spark, sf_dir))
+        # Ids once, the directory once; deduplicating the rows moves nothing.
+        assert text.count("Exchange hashpartitioning(user_id") == 2, name
+
+
 def test_small_group_lists_leave_memberships_in_place(spark, sf_dir, settings):
     settings(spark__sql__autoBroadcastJoinThreshold="-1")
     text = plan(groups.group_roster(*tables.directory(spark, sf_dir)))
