@@ -40,7 +40,9 @@ def assigned_groups(assignments: DataFrame, profiles: DataFrame) -> DataFrame:
 
 
 def _named(groups: DataFrame, profiles: DataFrame) -> DataFrame:
-    unknown = F.raise_error(F.concat(F.lit("no profile for assigned group "), shown(F.col("group_id"))))
+    unknown = F.raise_error(
+        F.concat(F.lit("no profile for assigned group "), shown(F.col("group_id")))
+    )
     return groups.join(profiles, "group_id", "left").withColumn(
         "group_name", F.coalesce("group_name", unknown)
     )
@@ -121,17 +123,23 @@ def group_summary(
 def group_totals(
     assignments: DataFrame, memberships: DataFrame, profiles: DataFrame, users: DataFrame
 ) -> DataFrame:
-    """Sum of all group sizes, and the distinct users behind it."""
+    """Sum of all group sizes, and the distinct users behind it.
+
+    Members are added up per user on the map side before anything is shuffled,
+    so a user who is in most groups is one row by the time of the lookup.
+    """
     listed = principals(assignments, "GROUP").withColumnRenamed("principal_id", "group_id")
     times = _named(listed.groupBy("group_id").agg(F.count("*").alias("times")), profiles)
-    members = spread_join(_members(memberships), times, ["group_id"], _MEMBER).join(
-        short_profiles(users).select("user_id"), "user_id", "left_semi"
-    )
     # Reading the name keeps the check on unknown groups in the plan.
     counted = F.when(F.col("group_name").isNotNull(), F.col("times"))
-    return members.agg(
-        F.coalesce(F.sum(counted), F.lit(0)).alias("total_users"),
-        F.count_distinct("user_id").alias("distinct_users"),
+    per_user = (
+        spread_join(_members(memberships), times, ["group_id"], _MEMBER)
+        .groupBy("user_id")
+        .agg(F.sum(counted).alias("times"))
+    )
+    return per_user.join(short_profiles(users).select("user_id"), "user_id", "left_semi").agg(
+        F.coalesce(F.sum("times"), F.lit(0)).alias("total_users"),
+        F.count("*").alias("distinct_users"),
     )
 
 

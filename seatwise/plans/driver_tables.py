@@ -36,6 +36,18 @@ def usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def activity_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second usage table: the day is called ``data``, and some are no days."""
+    name = "concat('u', cast(user_id AS string))"
+    return table(spark, sf_dir, "events").selectExpr(
+        f"if(event_id % 2 = 0, concat('\"', {name}, '\"'), {name}) AS userid",
+        """CASE WHEN event_id % 97 = 0 THEN NULL
+                WHEN event_id % 89 = 0 THEN concat('13-', date_format(ts, 'dd-yyyy'))
+                WHEN event_id % 83 = 0 THEN ''
+                ELSE date_format(ts, 'M-d-yyyy') END AS data""",
+    )
+
+
 def _counter(i: int, name: str) -> str:
     value = f"k * {i} % 50"
     if name.endswith(("generatedlines", "generatedtests")):
@@ -120,7 +132,9 @@ def assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return direct.unionByName(by_nation).unionByName(named)
 
 
-def directory(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+def directory(
+    spark: SparkSession, sf_dir: str
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Assignments, memberships, group profiles and users, as the group analyses take them."""
     return (
         assignments(spark, sf_dir),

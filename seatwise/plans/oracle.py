@@ -66,6 +66,13 @@ _VIEWS = {
   SELECT DISTINCT replace(userid, '"', '') AS user_id, latest_activity_date
   FROM (SELECT userid, CAST(max(strptime(act_date, '%m-%d-%Y')) AS DATE) AS latest_activity_date
         FROM usage GROUP BY userid)""",
+    "log": """
+  SELECT CASE WHEN event_id % 2 = 0 THEN '"u' || user_id || '"' ELSE 'u' || user_id END AS userid,
+    CASE WHEN event_id % 97 = 0 THEN NULL
+         WHEN event_id % 89 = 0 THEN '13-' || strftime(ts, '%d-%Y')
+         WHEN event_id % 83 = 0 THEN ''
+         ELSE strftime(ts, '%-m-%-d-%Y') END AS data
+  FROM events""",
     "people": """
   SELECT 'u' || c_custkey AS user_id, c_name AS user_name,
     CASE WHEN c_custkey % 13 <> 0 THEN c_mktsegment || ' ' || c_name END AS display_name,
@@ -167,7 +174,13 @@ ORACLE: dict[str, str] = {
         "usage",
         "latest",
     ),
-    "latest_activity_lenient": _sql("SELECT * FROM latest", "usage", "latest"),
+    "latest_activity_lenient": _sql(
+        """SELECT DISTINCT replace(userid, '"', '') AS user_id, latest_activity_date
+        FROM (SELECT userid, CAST(max(try_strptime(data, '%m-%d-%Y')) AS DATE)
+                AS latest_activity_date
+              FROM log GROUP BY userid)""",
+        "log",
+    ),
     "latest_activity_sql": _sql(
         "SELECT user_id, CAST(latest_activity_date AS TIMESTAMP) AS latest_activity_date "
         "FROM latest",
@@ -175,9 +188,9 @@ ORACLE: dict[str, str] = {
         "latest",
     ),
     "bad_days": _sql(
-        "SELECT count(*) AS rejected FROM usage WHERE act_date IS NOT NULL "
-        "AND try_strptime(act_date, '%m-%d-%Y') IS NULL",
-        "usage",
+        "SELECT count(*) AS rejected FROM log WHERE data IS NOT NULL "
+        "AND try_strptime(data, '%m-%d-%Y') IS NULL",
+        "log",
     ),
     "direct_users": _sql(_DIRECT, "people", "assigned"),
     "direct_user_count": _sql(

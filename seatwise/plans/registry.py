@@ -31,6 +31,15 @@ def _on_directory(analysis: Callable[..., DataFrame]) -> Query:
     return lambda spark, sf_dir: analysis(*tables.directory(spark, sf_dir))
 
 
+def _latest_activity_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = tables.activity_log(spark, sf_dir)
+    return usage.latest_activity(log, "data", on_bad_date="null")
+
+
+def _bad_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return usage.bad_days(tables.activity_log(spark, sf_dir), "data")
+
+
 def _latest_activity_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     register_sql_functions(spark)
     return spark.sql(
@@ -232,9 +241,9 @@ QUERIES: dict[str, Query] = {
     "acceptance_fraction": _on_usage(usage.acceptance_fraction),
     "latest_activity": _on_usage(usage.latest_activity),
     "latest_activity_normalized": _on_usage(lambda u: usage.latest_activity(u, normalize=True)),
-    "latest_activity_lenient": _on_usage(lambda u: usage.latest_activity(u, on_bad_date="null")),
+    "latest_activity_lenient": _latest_activity_lenient,
     "latest_activity_sql": _latest_activity_sql,
-    "bad_days": _on_usage(usage.bad_days),
+    "bad_days": _bad_days,
     "sample_rows": _on_usage(usage.sample_rows),
     "direct_users": _direct_users,
     "direct_user_count": _direct_user_count,

@@ -7,7 +7,7 @@ join against the snapshot instead of one call per user.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seatwise.schemas import ASSIGNMENT_PAGE, GROUP_PROFILE, MEMBERSHIP_PAGE, USER_PROFILE
@@ -19,13 +19,16 @@ def read_assignments(
     """(application_arn, page, pos, principal_type, principal_id).
 
     Where the pages lie in one folder per application, naming the application
-    reads that folder only. A page without entries gives no rows.
+    reads that folder only. A page without entries gives no rows. A page landed
+    without its number fails any query that needs an assignment's place.
     """
     pages = spark.read.schema(ASSIGNMENT_PAGE).json(path)
     if application_arn is not None:
         pages = pages.where(F.col("application_arn") == application_arn)
     return pages.select(
-        "application_arn", "page", F.posexplode("ApplicationAssignments").alias("pos", "entry")
+        "application_arn",
+        _page_number(),
+        F.posexplode("ApplicationAssignments").alias("pos", "entry"),
     ).select(
         "application_arn",
         "page",
@@ -40,11 +43,16 @@ def read_memberships(spark: SparkSession, path: str, store_id: str | None = None
     pages = in_store(spark.read.schema(MEMBERSHIP_PAGE).json(path), store_id)
     return pages.select(
         F.col("GroupId").alias("group_id"),
-        "page",
+        _page_number(),
         F.posexplode("GroupMemberships").alias("pos", "entry"),
     ).select("group_id", "page", "pos", F.col("entry.MemberId.UserId").alias("user_id"))
 
 
+def _page_number() -> Column:
+    missing = F.raise_error(F.lit("a landed page has no page number"))
+    return F.coalesce("page", missing).alias("page")
+
+
 def read_users(spark: SparkSession, path: str, store_id: str | None = None) -> DataFrame:
     """(user_id, user_name, display_name, name, emails), one row per user."""
     profiles = in_store(spark.read.schema(USER_PROFILE).json(path), store_id)

@@ -17,7 +17,8 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     con.execute("SET TimeZone = 'UTC'")
     for name in TABLES:
-        con.execute(f"CREATE VIEW {name} AS FROM read_parquet('{os.path.join(sf_dir, name)}.parquet')")
+        path = os.path.join(sf_dir, f"{name}.parquet")
+        con.execute(f"CREATE VIEW {name} AS FROM read_parquet('{path}')")
     return con
 
 

@@ -133,12 +133,17 @@ def test_usage_by_table_name(spark, run, table):
 
 
 def test_direct_and_effective_users(run, landed):
-    directory = {"assignments": landed / "assignments", "application": "app", "users": landed / "users"}
+    directory = {
+        "assignments": landed / "assignments",
+        "application": "app",
+        "users": landed / "users",
+    }
     out = run("direct-users", "direct-users", "--name", "users.csv", **directory)
     assert [tuple(r.values()) for r in read(f"{out}/users.csv")] == [
         ("u1", "one", "b@x", "O", "F", "One, First")
     ]
-    rows = read(run("effective-users", "effective", memberships=landed / "memberships", **directory))
+    members = landed / "memberships"
+    rows = read(run("effective-users", "effective", memberships=members, **directory))
     assert {r["user_id"]: r["user_name"] for r in rows} == {
         "u1": "one",
         "u2": "two",

@@ -83,8 +83,7 @@ def test_small_group_lists_leave_memberships_in_place(spark, sf_dir, settings):
 @pytest.mark.parametrize("salts", [1, 7, 64])
 def test_salted_join_equals_the_plain_one(spark, salts):
     big = spark.range(3000).select(
-        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 40)).alias("k"),
-        "id",
+        F.expr("if(id % 3 = 0, 'hot', concat('k', id % 40))").alias("k"), "id"
     )
     small = spark.createDataFrame(
         [("hot", 1), ("hot", 2), ("k1", 3), ("none", 4)], "k string, v int"
@@ -113,27 +112,64 @@ def test_measured_bytes_counts_text_and_rows(spark):
     assert spread.measured_bytes(df.where("a = 'none'")) == 0
 
 
-def test_adaptive_planner_splits_a_user_that_fills_the_list(spark, settings):
-    settings(
-        spark__sql__autoBroadcastJoinThreshold="-1",
-        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
-        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="20KB",
-        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
-        spark__sql__adaptive__advisoryPartitionSizeInBytes="10KB",
-        spark__sql__shuffle__partitions="20",
-    )
-    n = 40000
-    listed = spark.range(0, n, 1, 8).select(
-        F.when(F.col("id") % 3 == 0, "u1").otherwise(F.concat(F.lit("u"), F.col("id"))).alias("user_id"),
-        F.sha2(F.col("id").cast("string"), 256).alias("last_activity_date"),
-    )
-    users = spark.range(0, n, 2).select(
+SKEW = {
+    "spark__sql__autoBroadcastJoinThreshold": "-1",
+    "spark__sql__adaptive__autoBroadcastJoinThreshold": "-1",
+    "spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes": "20KB",
+    "spark__sql__adaptive__skewJoin__skewedPartitionFactor": "2",
+    "spark__sql__adaptive__advisoryPartitionSizeInBytes": "10KB",
+    "spark__sql__shuffle__partitions": "20",
+}
+
+
+def some_users(spark, n):
+    return spark.range(0, n, 2).select(
         F.concat(F.lit("u"), F.col("id") + 1).alias("user_id"),
         F.lit("n").alias("user_name"),
         F.lit("d").alias("display_name"),
         F.lit(None).cast("array<struct<Value:string,Primary:boolean>>").alias("emails"),
     )
-    result = enrich.enrich_activity(listed, users)
+
+
+@pytest.mark.parametrize("analysis", [groups.group_roster, groups.group_summary])
+def test_adaptive_planner_splits_a_user_who_is_in_most_groups(spark, settings, analysis):
+    settings(**SKEW)
+    n = 40000
+    members = spark.range(0, n, 1, 8).select(
+        F.concat(F.lit("g"), F.sha2(F.col("id").cast("string"), 256)).alias("group_id"),
+        F.lit(0).alias("page"),
+        F.col("id").cast("int").alias("pos"),
+        F.expr("if(id % 3 = 0, 'u1', concat('u', id))").alias("user_id"),
+    )
+    listed = members.select(
+        "page",
+        "pos",
+        F.lit("GROUP").alias("principal_type"),
+        F.col("group_id").alias("principal_id"),
+    )
+    names = members.select("group_id", F.lit("name").alias("group_name"))
+    result = analysis(listed, members, names, some_users(spark, n))
+    rows = result.collect()
+    counted = sum(r["user_count"] for r in rows) if "user_count" in result.columns else len(rows)
+    assert counted == sum(i % 3 == 0 or i % 2 == 1 for i in range(n))
+    assert "skew=true" in plan(result)
+
+
+def test_totals_add_up_per_user_before_the_lookup(spark, sf_dir, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    text = plan(groups.group_totals(*tables.directory(spark, sf_dir)))
+    added_up = r"SortMergeJoin.*?HashAggregate\(keys=\[user_id[^\n]*\n[^\n]*Exchange"
+    assert re.search(added_up, text, re.S)
+
+
+def test_adaptive_planner_splits_a_user_that_fills_the_list(spark, settings):
+    settings(**SKEW)
+    n = 40000
+    listed = spark.range(0, n, 1, 8).select(
+        F.expr("if(id % 3 = 0, 'u1', concat('u', id))").alias("user_id"),
+        F.sha2(F.col("id").cast("string"), 256).alias("last_activity_date"),
+    )
+    result = enrich.enrich_activity(listed, some_users(spark, n))
     rows = result.collect()
     assert len(rows) == n
     assert sum(r["user_id"] == "u1" and r["user_name"] == "n" for r in rows) >= n // 3
@@ -147,7 +183,9 @@ def test_converted_usage_splits_a_user_too_big_for_one_file(spark, tmp_path, set
     table = inputs.usage(spark, ("hot", "03-01-2025")).select(
         "userid", F.explode(F.sequence(F.lit(1), F.lit(60000))).alias("n")
     )
-    days = table.repartition(12).select("userid", F.sha2(F.col("n").cast("string"), 256).alias("act_date"))
+    days = table.repartition(12).select(
+        "userid", F.sha2(F.col("n").cast("string"), 256).alias("act_date")
+    )
     write_usage_parquet(days, str(tmp_path / "usage"))
     back = spark.read.parquet(str(tmp_path / "usage"))
     assert back.count() == 60000

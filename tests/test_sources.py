@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -139,6 +140,15 @@ def test_assignment_pages(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(application_arn" in plan
 
 
+def test_a_page_needs_its_number_only_where_the_place_counts(spark, tmp_path):
+    entry = {"PrincipalType": "USER", "PrincipalId": "u1"}
+    page = json.dumps({"application_arn": "a1", "ApplicationAssignments": [entry]}) + "\n"
+    result = directory.read_assignments(spark, put(tmp_path / "a", "p.json", page))
+    assert result.select("principal_id").collect()[0][0] == "u1"
+    with pytest.raises(PySparkException, match="no page number"):
+        result.collect()
+
+
 def test_directory_snapshots_come_from_the_lowest_store(spark, tmp_path):
     def user(uid):
         return json.dumps({"UserId": uid, "UserName": uid, "Emails": []}) + "\n"

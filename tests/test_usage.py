@@ -1,12 +1,13 @@
 """Usage semantics that are easy to get subtly wrong."""
 
+import random
 from datetime import date
 
 import inputs
 import pytest
 from pyspark.errors import PySparkException
 
-from seatwise.functions.metrics import TOTALS
+from seatwise.functions.metrics import RATIOS, TOTALS
 from seatwise.operators import usage
 from seatwise.schemas import COUNTERS
 
@@ -86,6 +87,41 @@ def test_rollup_matches_a_plain_aggregate(spark):
     assert inputs.collected(rollup) == inputs.collected(plain)
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_random_usage_matches_a_model(spark, seed):
+    rng = random.Random(seed)
+    names = [None, "", "u1", '"u1"', "u2", '"u2"', "u3"]
+    days = [None, "", "03-01-2025", "3-1-2025", "12-31-2024"]
+    records = [
+        (
+            "u3" if rng.random() < 0.3 else rng.choice(names),
+            rng.choice(days),
+            {c: rng.choice([None, 0, 1, rng.randrange(50)]) for c in COUNTERS},
+        )
+        for _ in range(rng.randrange(1, 120))
+    ]
+
+    def total(inputs_, rows):
+        known = [sum(v) for v in ([r[i] for i in inputs_] for r in rows) if None not in v]
+        return sum(known) if known else None
+
+    expected = {}
+    for user in {u for u, _, _ in records}:
+        rows = [c for u, _, c in records if u == user]
+        seen = {d for u, d, _ in records if u == user and d is not None}
+        line = {"active_days": len(seen), **{t.name: total(t.inputs, rows) for t in TOTALS}}
+        for name, (accepted, generated) in RATIOS.items():
+            a, g = total((accepted,), rows), total((generated,), rows)
+            line[f"{name}_ratio"] = a // g if g and a is not None else None
+            line[f"{name}_fraction"] = a / g if g and a is not None else None
+        expected[user] = line
+    rollup = usage.usage_rollup(inputs.usage(spark, *records)).collect()
+    got = [r.asDict() for r in rollup]
+    assert {r.pop("userid"): r for r in got} == expected
+    order = [r["active_days"] for r in rollup]
+    assert order == sorted(order, reverse=True)
+
+
 def test_rollup_order_is_busiest_first(spark):
     table = inputs.usage(spark, ("b", "1"), ("a", "1"), ("c", "1"), ("c", "2"))
     assert [r["userid"] for r in usage.usage_rollup(table).collect()] == ["c", "a", "b"]
