@@ -54,6 +54,16 @@ def _members(memberships: DataFrame) -> DataFrame:
     )
 
 
+def _known_ids(users: DataFrame) -> DataFrame:
+    """Ids with a usable profile, to be joined inner and not as a semi join.
+
+    The directory holds a user once, so both give the same rows. But a semi join
+    is pushed below the join with the assigned groups, and would then shuffle
+    the memberships of every group there is.
+    """
+    return short_profiles(users).select("user_id")
+
+
 def roster_in_order(
     assignments: DataFrame,
     memberships: DataFrame,
@@ -108,7 +118,7 @@ def group_summary(
     ids = distinct_principals(assignments, "GROUP", "group_id")
     counts = (
         spread_join(_members(memberships), ids, ["group_id"], _MEMBER, size=size)
-        .join(short_profiles(users).select("user_id"), "user_id", "left_semi")
+        .join(_known_ids(users), "user_id")
         .groupBy("group_id")
         .agg(F.count("*").alias("user_count"))
     )
@@ -137,7 +147,7 @@ def group_totals(
         .groupBy("user_id")
         .agg(F.sum(counted).alias("times"))
     )
-    return per_user.join(short_profiles(users).select("user_id"), "user_id", "left_semi").agg(
+    return per_user.join(_known_ids(users), "user_id").agg(
         F.coalesce(F.sum("times"), F.lit(0)).alias("total_users"),
         F.count("*").alias("distinct_users"),
     )

@@ -155,11 +155,31 @@ def test_adaptive_planner_splits_a_user_who_is_in_most_groups(spark, settings, a
     assert "skew=true" in plan(result)
 
 
+@pytest.mark.parametrize("analysis", [groups.group_summary, groups.group_totals])
+def test_only_members_of_assigned_groups_are_shuffled(spark, tmp_path, settings, analysis):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    members = inputs.memberships(spark, *((f"g{i % 9}", f"u{i}") for i in range(90)))
+    members.write.parquet(str(tmp_path / "members"))
+    assigned = inputs.assignments(spark, (1, 0, "GROUP", "g1"))
+    result = analysis(
+        assigned,
+        spark.read.parquet(str(tmp_path / "members")),
+        inputs.profiles(spark, "g1"),
+        some_users(spark, 90),
+    )
+    lines = plan(result).split("\n")
+    scan = next(i for i, line in enumerate(lines) if "FileScan parquet [group_id" in line)
+    above = [re.sub(r"^[ :+\-*()\d]*", "", line).split(" ")[0] for line in lines[:scan]]
+    # Going up from the scan, the groups come first and the shuffle by user later.
+    upwards = [name for name in reversed(above) if name in ("BroadcastHashJoin", "Exchange")]
+    assert upwards[0] == "BroadcastHashJoin"
+
+
 def test_totals_add_up_per_user_before_the_lookup(spark, sf_dir, settings):
     settings(spark__sql__autoBroadcastJoinThreshold="-1")
     text = plan(groups.group_totals(*tables.directory(spark, sf_dir)))
-    added_up = r"SortMergeJoin.*?HashAggregate\(keys=\[user_id[^\n]*\n[^\n]*Exchange"
-    assert re.search(added_up, text, re.S)
+    lookup = text[text.index("SortMergeJoin [user_id") :]
+    assert re.match(r"[^\n]*\n[^\n]*Sort[^\n]*\n[^\n]*HashAggregate\(keys=\[user_id", lookup)
 
 
 def test_adaptive_planner_splits_a_user_that_fills_the_list(spark, settings):
