@@ -177,10 +177,17 @@ def group_nested(
     entry = F.struct(
         "member_page", "member_pos", "user_id", "user_name", "email", "display_name"
     )
+    # Collecting cannot shrink rows on the map side, so they are moved as they are.
+    # What belongs to the assignment follows from its place and is no grouping key.
+    place = ["page", "pos", "chunk"]
     nested = (
         sized.withColumn("chunk", F.pmod(_member_hash(), parts))
-        .groupBy(*head, "chunk")
-        .agg(F.array_sort(F.collect_list(entry)).alias("entries"))
+        .repartition(*place)
+        .groupBy(*place)
+        .agg(
+            *(F.first(c).alias(c) for c in head if c not in place),
+            F.sort_array(F.collect_list(entry)).alias("entries"),
+        )
     )
     filled = nested.select(*head, "chunk", _without_place("entries"))
     empty = summary.where(F.col("user_count") == 0).select(

@@ -165,7 +165,7 @@ def _src_memberships(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _in_order(entry, *fields: str):
     """The entries of one landed page by their place, which itself is not landed."""
-    ordered = F.array_sort(F.collect_list(entry))
+    ordered = F.sort_array(F.collect_list(entry))
     return F.transform(ordered, lambda e: F.struct(*(e[f].alias(f) for f in fields)))
 
 
