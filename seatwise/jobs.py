@@ -34,7 +34,8 @@ def _store(spark: SparkSession, args: argparse.Namespace) -> str | None:
 
 
 def convert_usage(spark: SparkSession, args: argparse.Namespace) -> None:
-    usage_files.write_usage_parquet(usage_files.read_usage_text(spark, args.text), args.out)
+    text = usage_files.read_usage_text(spark, args.text)
+    usage_files.write_usage_parquet(text, args.out, "append" if args.append else "errorifexists")
 
 
 def usage_rollup(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -127,6 +128,8 @@ def parser() -> argparse.ArgumentParser:
         job = jobs.add_parser(name)
         for option in (*inputs, "out"):
             job.add_argument(f"--{option}", required=True)
+        if name == "convert-usage":
+            job.add_argument("--append", action="store_true", help="add newly landed files")
         if "usage" in inputs:
             job.add_argument("--day-col", default="act_date")
         if name in ("latest-activity", "activity-with-profile"):

@@ -17,18 +17,20 @@ MISSING = "\\N"
 
 
 def read_usage_text(spark: SparkSession, path: str, schema: T.StructType = USAGE) -> DataFrame:
-    """Every file under ``path`` as rows of ``schema``, by position.
+    """Every file under ``path``, dated subfolders included, as rows of ``schema``.
 
-    Fields are split at each comma; a quote is an ordinary character. The first
-    line of each file is dropped. Short lines are filled with NULL, surplus
-    fields ignored, text that is no integer becomes NULL, and an empty string
-    stays apart from a missing one. Large files are split between tasks.
+    Columns go by position. Fields are split at each comma; a quote is an ordinary
+    character. The first line of each file is dropped. Short lines are filled
+    with NULL, surplus fields ignored, text that is no integer becomes NULL, and
+    an empty string stays apart from a missing one. Large files are split between
+    tasks.
     """
     lines = (
         spark.read.schema("line string")
         .option("header", True)
         .option("sep", NO_DELIMITER)
         .option("quote", "")
+        .option("recursiveFileLookup", True)
         .csv(path)
     )
     texts, counters = _by_kind(schema)

@@ -174,6 +174,14 @@ def test_group_access(run, landed):
     }
 
 
+def test_newly_landed_files_are_added(spark, run, landed, tmp_path):
+    (tmp_path / "3.csv").write_text('userid,act_date,x\n"u1",03-09-2025,1\n')
+    run("convert-usage", "grown", text=landed / "text")
+    grown = run("convert-usage", "grown", "--append", text=tmp_path)
+    rows = read(run("usage-rollup", "grown-rollup", usage=grown))
+    assert [(r["userid"], r["active_days"]) for r in rows][0] == ('"u1"', "3")
+
+
 def test_an_existing_result_is_not_overwritten(run, table):
     run("usage-rollup", "once", usage=table)
     with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):

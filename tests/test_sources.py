@@ -70,6 +70,22 @@ def test_usage_text_header_goes_once_per_file_and_only_there(spark, tmp_path):
     assert {tuple(r) for r in rows} == {("u1", "a"), ("userid", "act_date"), ("u2", "b")}
 
 
+def test_usage_text_includes_dated_subfolders(spark, tmp_path):
+    folder = tmp_path / "usage"
+    put(folder, "a.csv", "h\nu1,03-01-2025,1\n")
+    put(folder / "2025" / "03" / "02", "b.csv", "h\nu1,03-02-2025,2\n")
+    put(folder / "2025" / "03" / "03", "c.csv", "h\nu1,03-03-2025,4\n")
+    table = usage_files.read_usage_text(spark, str(folder))
+    assert table.agg(F.sum("chat_aicodelines")).first()[0] == 7
+
+
+def test_usage_text_parses_counters_only_when_asked(spark, tmp_path):
+    path = put(tmp_path / "usage", "a.csv", "h\nu1,03-01-2025,1\n")
+    table = usage_files.read_usage_text(spark, path)
+    days = table.select("userid", "act_date")._jdf.queryExecution().executedPlan().toString()
+    assert "from_csv" not in days
+
+
 def test_usage_text_is_split_without_losing_lines(spark, tmp_path):
     n = 5000
     text = "h\n" + "".join(f"u{i},03-01-2025,{i}\n" for i in range(n))
