@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from seatwise.functions.sql import register_sql_functions
 from seatwise.operators import access, enrich, groups, usage
-from seatwise.session import build_session
+from seatwise.session import build_session, scratch_path
 from seatwise.sinks import files
 from seatwise.sources import directory, usage_files, user_list
 
@@ -90,12 +90,22 @@ def group_access(spark: SparkSession, args: argparse.Namespace) -> None:
         directory.read_groups(spark, args.groups, store),
         directory.read_users(spark, args.users, store),
     )
+    # Four of the five results need the roster: it is computed once and kept as a
+    # table, so that neither a lost executor nor the next result starts over.
+    roster = _kept(spark, groups.roster_in_order(*inputs), "roster")
+    summary = _kept(spark, groups.group_summary(*inputs), "summary")
     out = args.out.rstrip("/")
-    files.write_csv(groups.group_summary(*inputs), f"{out}/summary")
-    files.write_csv(groups.group_totals(*inputs), f"{out}/totals")
-    files.write_csv(groups.group_roster(*inputs), f"{out}/roster")
-    groups.group_nested(*inputs).write.json(f"{out}/nested")
-    files.write_report(groups.group_report(*inputs), f"{out}/report")
+    files.write_csv(summary, f"{out}/summary")
+    files.write_csv(groups.totals(roster), f"{out}/totals")
+    files.write_csv(roster.drop("member_page", "member_pos"), f"{out}/roster")
+    groups.nested(summary, roster).write.json(f"{out}/nested")
+    files.write_report(groups.report(summary, roster), f"{out}/report")
+
+
+def _kept(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def query(spark: SparkSession, args: argparse.Namespace) -> None:

@@ -160,16 +160,32 @@ def group_nested(
     users: DataFrame,
     chunk: int = CHUNK,
 ) -> DataFrame:
-    """The roster with users as an array, in listing order.
+    """The roster with users as an array, see :func:`nested`."""
+    inputs = (assignments, memberships, profiles, users)
+    size = measured_bytes(assigned_groups(assignments, profiles))
+    summary = group_summary(*inputs, size=size)
+    return nested(summary, roster_in_order(*inputs, size=size), chunk, size)
+
+
+def group_report(
+    assignments: DataFrame, memberships: DataFrame, profiles: DataFrame, users: DataFrame
+) -> DataFrame:
+    """The access report as ordered lines, see :func:`report`."""
+    inputs = (assignments, memberships, profiles, users)
+    size = measured_bytes(assigned_groups(assignments, profiles))
+    return report(group_summary(*inputs, size=size), roster_in_order(*inputs, size=size))
+
+
+def nested(
+    summary: DataFrame, roster: DataFrame, chunk: int = CHUNK, size: int | None = None
+) -> DataFrame:
+    """The ordered roster with users as an array, in listing order.
 
     A group of up to ``chunk`` users is one row with its whole list. A larger
     one comes as several rows, each holding about that many, numbered by
     ``chunk``: no row and no task takes a whole group however large it is.
+    ``size`` is what the summary measures, where measuring it would compute it.
     """
-    inputs = (assignments, memberships, profiles, users)
-    size = measured_bytes(assigned_groups(assignments, profiles))
-    summary = group_summary(*inputs, size=size)
-    roster = roster_in_order(*inputs, size=size)
     head = ["page", "pos", "group_id", "group_name", "user_count"]
     parts = F.ceil(F.col("user_count") / F.lit(chunk))
     counts = summary.select("page", "pos", "user_count")
@@ -180,7 +196,7 @@ def group_nested(
     # Collecting cannot shrink rows on the map side, so they are moved as they are.
     # What belongs to the assignment follows from its place and is no grouping key.
     place = ["page", "pos", "chunk"]
-    nested = (
+    rows = (
         sized.withColumn("chunk", F.pmod(_member_hash(), parts))
         .repartition(*place)
         .groupBy(*place)
@@ -189,7 +205,7 @@ def group_nested(
             F.sort_array(F.collect_list(entry)).alias("entries"),
         )
     )
-    filled = nested.select(*head, "chunk", _without_place("entries"))
+    filled = rows.select(*head, "chunk", _without_place("entries"))
     empty = summary.where(F.col("user_count") == 0).select(
         *head,
         F.lit(0).cast("bigint").alias("chunk"),
@@ -208,17 +224,19 @@ def _without_place(entries: str) -> Column:
     return F.transform(entries, lambda e: F.struct(*(e[f].alias(f) for f in fields))).alias("users")
 
 
-def group_report(
-    assignments: DataFrame, memberships: DataFrame, profiles: DataFrame, users: DataFrame
-) -> DataFrame:
-    """The access report as ordered lines: totals, then a block per assignment.
+def totals(roster: DataFrame) -> DataFrame:
+    """What :func:`group_totals` gives, where the roster is at hand."""
+    return roster.agg(
+        F.count("*").alias("total_users"), F.count_distinct("user_id").alias("distinct_users")
+    )
+
+
+def report(summary: DataFrame, roster: DataFrame) -> DataFrame:
+    """Totals, then a block per assignment, as lines in order.
 
     ``line`` is the text; the other columns are its place. Members keep the
     order of their group's listing.
     """
-    inputs = (assignments, memberships, profiles, users)
-    size = measured_bytes(assigned_groups(assignments, profiles))
-    summary = group_summary(*inputs, size=size)
     total = summary.agg(F.coalesce(F.sum("user_count"), F.lit(0)).alias("total_users"))
     title = total.select(
         F.lit(None).cast("int").alias("page"),
@@ -247,7 +265,7 @@ def group_report(
     blocks = summary.select(
         "page", "pos", F.inline(F.concat(head, _lines(_END, F.lit(RULE))))
     )
-    members = roster_in_order(*inputs, size=size).select(
+    members = roster.select(
         "page",
         "pos",
         F.lit(_USER).alias("part"),
@@ -255,8 +273,8 @@ def group_report(
         F.col("member_pos").alias("minor"),
         user_line(F.col("display_name"), F.col("email")).alias("line"),
     )
-    report = title.unionByName(blocks).unionByName(members)
-    return report.orderBy(*(F.col(c).asc_nulls_first() for c in report.columns if c != "line"))
+    lines = title.unionByName(blocks).unionByName(members)
+    return lines.orderBy(*(F.col(c).asc_nulls_first() for c in lines.columns if c != "line"))
 
 
 def _lines(part: int, *texts: Column) -> Column:

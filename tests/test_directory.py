@@ -121,6 +121,16 @@ def test_groups_assigned_twice_count_twice(team):
     assert inputs.collected(roster) == [(1, 0, "u1"), (1, 0, "u2"), (2, 0, "u1"), (2, 0, "u2")]
 
 
+def test_results_from_a_kept_roster_are_the_same(team):
+    summary, roster = groups.group_summary(*team), groups.roster_in_order(*team)
+    assert groups.totals(roster).collect() == groups.group_totals(*team).collect()
+    kept = groups.nested(summary, roster)
+    assert sorted(kept.collect()) == sorted(groups.group_nested(*team).collect())
+    assert groups.report(summary, roster).collect() == groups.group_report(*team).collect()
+    none = roster.where("user_id IS NULL")
+    assert tuple(groups.totals(none).first()) == (0, 0)
+
+
 def test_members_listed_twice_count_twice(spark, team):
     assigned, _, names, users = team
     members = inputs.memberships(spark, ("g1", "u1"), ("g1", "u1"))

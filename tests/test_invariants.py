@@ -7,9 +7,6 @@ import pytest
 
 from seatwise.operators import access, groups, spread
 
-PLACES = ("page", "pos")
-
-
 @pytest.fixture(params=["broadcast", "salted"])
 def join_path(request, monkeypatch):
     if request.param == "salted":
