@@ -18,6 +18,10 @@ from seatwise.sinks import files
 from seatwise.sources import directory, usage_files, user_list
 
 
+#: Where instances are asked for and none is listed, no profile is known.
+NO_STORE = ""
+
+
 def _usage(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     """A folder of converted files, or ``table:NAME`` for a table of the catalog."""
     kind, _, name = args.usage.partition("table:")
@@ -29,8 +33,12 @@ def _assignments(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 
 
 def _store(spark: SparkSession, args: argparse.Namespace) -> str | None:
-    """One identity store for all snapshots of the job."""
-    return args.store or directory.lowest_store(spark, args.users)
+    """One identity store for all snapshots of the job: named, first listed, or lowest."""
+    if args.store:
+        return args.store
+    if args.instances:
+        return directory.first_store(spark, args.instances) or NO_STORE
+    return directory.lowest_store(spark, args.users)
 
 
 def convert_usage(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -147,6 +155,7 @@ def parser() -> argparse.ArgumentParser:
             job.add_argument("--on-bad-date", choices=("raise", "null"), default="raise")
         if "users" in inputs:
             job.add_argument("--store", help="identity store; default: the lowest landed id")
+            job.add_argument("--instances", help="landed instance list, whose first store counts")
         if name == "enrich-activity":
             job.add_argument("--keep-date", action="store_true")
         if name == "query":

@@ -56,6 +56,9 @@ USAGE = _row(("userid", _S), ("act_date", _S), *((name, _I) for name in COUNTERS
 #: Two columns read by position; the file's own header names are ignored.
 USER_LIST = _row(("user_id", _S), ("last_activity_date", _S))
 
+#: The landed list of identity instances; the first one names the store to use.
+INSTANCES = _row(("Instances", T.ArrayType(_row(("IdentityStoreId", _S)))))
+
 #: One landed page of an application's assignments, as the service returns it.
 ASSIGNMENT_PAGE = _row(
     ("application_arn", _S),

@@ -10,7 +10,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from seatwise.schemas import ASSIGNMENT_PAGE, GROUP_PROFILE, MEMBERSHIP_PAGE, USER_PROFILE
+from seatwise.schemas import (
+    ASSIGNMENT_PAGE,
+    GROUP_PROFILE,
+    INSTANCES,
+    MEMBERSHIP_PAGE,
+    USER_PROFILE,
+)
 
 
 def read_assignments(
@@ -84,6 +90,14 @@ def in_store(snapshot: DataFrame, store_id: str | None = None) -> DataFrame:
     return snapshot.where(F.col("identity_store_id") == wanted)
 
 
+def first_store(spark: SparkSession, path: str) -> str | None:
+    """The store of the first listed instance, None where none is listed."""
+    listed = spark.read.schema(INSTANCES).json(path)
+    first = listed.select(F.get("Instances", F.lit(0))["IdentityStoreId"].alias("id"))
+    row = first.where("id IS NOT NULL").first()
+    return row["id"] if row else None
+
+
 def lowest_store(spark: SparkSession, path: str) -> str | None:
     """The id ``in_store`` takes by default, for use across a job's snapshots."""
     profiles = spark.read.schema(USER_PROFILE).json(path)

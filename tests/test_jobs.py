@@ -152,6 +152,20 @@ def test_direct_and_effective_users(run, landed):
     }
 
 
+def test_store_of_the_first_instance(run, landed, tmp_path):
+    land(tmp_path / "two", "i.json", {"Instances": [{"IdentityStoreId": "d-2"}]})
+    land(tmp_path / "none", "i.json", {"Instances": []})
+    directory = {
+        "assignments": landed / "assignments",
+        "application": "app",
+        "users": landed / "users",
+    }
+    out = run("direct-users", "two", "--name", "u", instances=tmp_path / "two", **directory)
+    assert [r["Username"] for r in read(f"{out}/u")] == ["no"]
+    out = run("direct-users", "none", "--name", "u", instances=tmp_path / "none", **directory)
+    assert not glob.glob(f"{out}/*")
+
+
 def test_group_access(run, landed):
     out = run(
         "group-access",

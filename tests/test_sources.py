@@ -165,6 +165,14 @@ def test_a_page_needs_its_number_only_where_the_place_counts(spark, tmp_path):
         result.collect()
 
 
+def test_the_first_listed_instance_names_the_store(spark, tmp_path):
+    listed = {"Instances": [{"IdentityStoreId": "d-7"}, {"IdentityStoreId": "d-1"}]}
+    some = put(tmp_path / "some", "i.json", json.dumps(listed) + "\n")
+    none = put(tmp_path / "none", "i.json", json.dumps({"Instances": []}) + "\n")
+    assert directory.first_store(spark, some) == "d-7"
+    assert directory.first_store(spark, none) is None
+
+
 def test_directory_snapshots_come_from_the_lowest_store(spark, tmp_path):
     def user(uid):
         return json.dumps({"UserId": uid, "UserName": uid, "Emails": []}) + "\n"
