@@ -77,7 +77,9 @@ def enrich_activity(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def direct_users(spark: SparkSession, args: argparse.Namespace) -> None:
     users = directory.read_users(spark, args.users, _store(spark, args))
-    files.export_users(access.direct_users(_assignments(spark, args), users), args.out, args.name)
+    # Kept first, so that finding out whether there is anything to export costs nothing.
+    found = _kept(spark, access.direct_users(_assignments(spark, args), users), "direct-users")
+    files.export_users(found, args.out, args.name)
 
 
 def effective_users(spark: SparkSession, args: argparse.Namespace) -> None:
