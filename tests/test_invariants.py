@@ -4,8 +4,11 @@ import random
 
 import inputs
 import pytest
+from pyspark.sql import functions as F
 
-from seatwise.operators import access, groups, spread
+from seatwise.functions.metrics import RATIOS
+from seatwise.operators import access, enrich, groups, spread, usage
+from seatwise.plans import driver_tables as tables
 
 @pytest.fixture(params=["broadcast", "salted"])
 def join_path(request, monkeypatch):
@@ -84,3 +87,32 @@ def test_groups_and_access_match_the_model(spark, join_path, seed):
     assert {r["user_id"] for r in direct} == {
         who for _, _, kind, who in assigned if kind == "USER"
     } & {u for u, _ in users}
+
+
+def test_tables_keep_the_invariants(spark, sf_dir):
+    table = tables.usage(spark, sf_dir)
+    rollup = usage.usage_rollup(table, ordered=False)
+    rows = table.groupBy("userid").agg(F.count("*").alias("n"))
+    checked = rollup.join(rows, "userid")
+    assert checked.count() == rollup.count() > 0
+    assert checked.where("active_days < 0 OR active_days > n").isEmpty()
+    for name, (accepted, generated) in RATIOS.items():
+        missing = f"coalesce(total_{generated}, 0) = 0 OR total_{accepted} IS NULL"
+        assert rollup.where(f"({name}_ratio IS NULL) <> ({missing})").isEmpty()
+        assert rollup.where(f"({name}_fraction IS NULL) <> ({missing})").isEmpty()
+        assert rollup.where(f"{name}_ratio <> floor({name}_fraction)").isEmpty()
+
+    data = tables.directory(spark, sf_dir)
+    assignments, memberships, _, users = data
+    total, distinct = groups.group_totals(*data).first()
+    summed = groups.group_summary(*data).agg(F.sum("user_count")).first()[0]
+    assert summed == total == groups.group_roster(*data).count()
+    assert total > distinct > 0
+
+    direct = access.direct_users(assignments, users).select("user_id")
+    effective = access.effective_users(assignments, memberships, users).select("user_id")
+    assert direct.join(effective, "user_id", "left_anti").isEmpty()
+    assert effective.count() == effective.distinct().count()
+
+    listed = table.select("userid", "act_date").toDF("user_id", "last_activity_date")
+    assert enrich.enrich_activity(listed, users).count() == table.count()
