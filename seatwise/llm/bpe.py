@@ -16,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import re
 import unicodedata
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Texts longer than this many characters are halved.
-LEAF_CHARS = 16_384
+LEAF_CHARS = 65_536
 #: Characters on each side of a join in the first window.
 WINDOW = 64
 #: No match of the splitting pattern and no special token looks further than this.
@@ -83,6 +84,22 @@ def encode_span(tokenizer, text: str, at: int = 0) -> np.ndarray:
     return out
 
 
+def pack(tokens: np.ndarray) -> bytes:
+    """Tokens with steps for positions, column by column, which compresses well."""
+    steps = tokens.copy()
+    steps[:, 2] -= steps[:, 1]
+    steps[:, 1] = np.diff(steps[:, 1], prepend=0)
+    return zlib.compress(steps.T.astype(np.int32).tobytes(), 1)
+
+
+def unpack(packed: bytes) -> np.ndarray:
+    steps = np.frombuffer(zlib.decompress(packed), dtype=np.int32).reshape(4, -1)
+    tokens = steps.T.astype(np.int64)
+    tokens[:, 1] = np.cumsum(tokens[:, 1])
+    tokens[:, 2] += tokens[:, 1]
+    return tokens
+
+
 def _may_meet(text: str, tokens: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Of these tokens, those before which the text may be cut for a window."""
     good = []
@@ -166,10 +183,14 @@ class Encoder:
         if len(self.ids) > CACHE_WORDS:
             self.ids.clear()
             self.pieces.clear()
-        new = [w for w in set(words) if w not in self.ids]
-        for word, found in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            self.ids[word] = " ".join(map(str, found.ids))
-            self.pieces[word] = self.decode(found.ids)
+        new = [w for w in dict.fromkeys(words) if w not in self.ids]
+        # White space parts words for good, so one call encodes all of them.
+        found = self.tokenizer.encode(" ".join(new), add_special_tokens=False)
+        ids, pieces = list(map(str, found.ids)), found.tokens
+        starts = np.flatnonzero(np.diff(found.word_ids, prepend=-1)).tolist()
+        for word, a, b in zip(new, starts, [*starts[1:], len(ids)], strict=True):
+            self.ids[word] = " ".join(ids[a:b])
+            self.pieces[word] = " ".join(pieces[a:b])
 
     def text(self, text: str) -> tuple[str, str]:
         """Ids as decimal numbers, and the decoded text."""
@@ -231,9 +252,7 @@ def _encode_leaves(path: str):
 
         tokenizer = Tokenizer.from_file(path)
         for batch in batches:
-            batch["tokens"] = [
-                encode_span(tokenizer, part).astype(np.int32).tobytes() for part in batch["part"]
-            ]
+            batch["tokens"] = [pack(encode_span(tokenizer, part)) for part in batch["part"]]
             yield batch
 
     return run
@@ -248,8 +267,7 @@ def _join_leaves(path: str):
         group = group.drop_duplicates("first").sort_values("first")
         nodes = []
         for first, tokens in zip(group["first"], group["tokens"]):
-            found = np.frombuffer(tokens, dtype=np.int32).reshape(-1, 4).astype(np.int64)
-            nodes.append((int(first), found + np.array([0, first, first, 0])))
+            nodes.append((int(first), unpack(tokens) + np.array([0, first, first, 0])))
         ids = join_tree(tokenizer, "".join(group["part"]), nodes)[:, 0].tolist()
         decoded = tokenizer.decode(ids, skip_special_tokens=False)
         row = (len(ids), digest(" ".join(map(str, ids))), digest(decoded))
