@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seatwise.llm import bpe, html_text, language, licenses, simhash, substrings, toxicity
+from seatwise.llm import bpe, decontaminate, embeddings, html_text, language, licenses, simhash, substrings, toxicity
 from seatwise.llm.common import table
 
 
@@ -42,10 +42,20 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html": op1_html,
     "op2_licenses": op2_licenses,
@@ -53,10 +63,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_toxicity": op5_toxicity,
     "op6_simhash": op6_simhash,
     "op7_language": op7_language,
+    "op8_embeddings": op8_embeddings,
     "op9_bpe": op9_bpe,
+    "op10_decontaminate": op10_decontaminate,
 }
 
 ORACLE: dict[str, str] = {
     "op2_licenses": licenses.oracle_sql(),
     "op4_substrings": substrings.oracle_sql(),
+    "op8_embeddings": embeddings.oracle_sql(),
 }
