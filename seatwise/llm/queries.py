@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seatwise.llm import bpe, decontaminate, embeddings, html_text, language, licenses, simhash, substrings, toxicity
+from seatwise.llm import bpe, decontaminate, embeddings, html_text, language, licenses, secrets, simhash, substrings, toxicity
 from seatwise.llm.common import table
 
 
@@ -24,6 +24,10 @@ def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, sf_dir, "documents"))
 
@@ -59,6 +63,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html": op1_html,
     "op2_licenses": op2_licenses,
+    "op3_secrets": op3_secrets,
     "op4_substrings": op4_substrings,
     "op5_toxicity": op5_toxicity,
     "op6_simhash": op6_simhash,
