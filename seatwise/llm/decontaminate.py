@@ -357,3 +357,23 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     for retriever in retrievers(texts, benchmark):
         out = out.union(texts.mapInPandas(_matches(retriever), MATCH_SCHEMA))
     return out
+
+
+def _is_clean(retriever: Retriever):
+    @F.pandas_udf("boolean")
+    def clean(text: pd.Series) -> pd.Series:
+        out = np.ones(len(text), dtype=bool)
+        for found in retriever.find(text.tolist()):
+            out[found[0]] = False
+        return pd.Series(out)
+
+    return clean
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows that hold no benchmark item, all columns as they are."""
+    out = docs
+    texts = docs.select(F.col("text").cast("string").alias("text"))
+    for retriever in retrievers(texts, benchmark):
+        out = out.where(_is_clean(retriever)(F.col("text").cast("string")))
+    return out

@@ -171,11 +171,32 @@ def _predict(model: LanguageModel):
     return run
 
 
+def accepts(model: LanguageModel, lowest: float):
+    """A column function of ``text``: whether its language is known well enough."""
+
+    @F.pandas_udf("boolean")
+    def accept(text: pd.Series) -> pd.Series:
+        langs, scores = model.predict(text.tolist())
+        return pd.Series([y != UNKNOWN for y in langs]) & (pd.Series(scores) >= lowest)
+
+    return accept
+
+
 def held_out(doc_id: str = "doc_id"):
     """Rows no model may learn from; a null id is held out too."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(True))
 
 
+def keep_identified(docs: DataFrame, lowest: float = 0.3) -> DataFrame:
+    """The rows whose language is recognised, all columns as they are.
+
+    ``und`` and scores under ``lowest`` go: null and empty texts and texts without
+    a letter among them. Copies of a row stay or go together.
+    """
+    model = fit(*training_sample(docs.where(~held_out())))
+    return docs.where(accepts(model, lowest)(F.col("text").cast("string")))
+
+
 def identify(docs: DataFrame) -> DataFrame:
     """``(doc_id, held_out, lang_pred, score)``, one row for each input row.
 

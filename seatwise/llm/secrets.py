@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seatwise.llm.secret_findings import OTHER_NAMES, SECRET_NAMES, WORDS, labelled_findings
@@ -268,9 +268,7 @@ def scan(docs: DataFrame, path: str = "source", forest: Forest | None = None) ->
     )
 
 
-def redactor(forest: Forest):
-    """A column function ``(text, path)``: the text with each secret replaced."""
-
+def _redactor(forest: Forest):
     @F.pandas_udf("string")
     def redact(text: pd.Series, path: pd.Series) -> pd.Series:
         out = []
@@ -280,7 +278,20 @@ def redactor(forest: Forest):
             out.append(value)
         return pd.Series(out, dtype=object)
 
-    def apply(text: Column, path: Column) -> Column:
-        return redact(text, path)
+    return redact
+
+
+def redact(docs: DataFrame, path: str = "source", forest: Forest | None = None) -> DataFrame:
+    """All rows and columns as they are, with each secret in ``text`` replaced.
 
-    return apply
+    Where a text changes, ``n_chars`` follows it if there is such a column.
+    """
+    where = F.col(path).cast("string") if path in docs.columns else F.lit(None).cast("string")
+    clean = _redactor(forest or trained_forest())(F.col("text"), where)
+    out = docs.withColumn("text", clean)
+    if "n_chars" not in docs.columns:
+        return out
+    kind = docs.schema["n_chars"].dataType
+    changed = F.contains("text", F.lit(REDACTED))
+    size = F.when(changed, F.length("text").cast(kind)).otherwise(F.col("n_chars"))
+    return out.withColumn("n_chars", size)

@@ -217,3 +217,17 @@ def near_duplicates(
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         "component_id",
     )
+
+
+def keep_first(docs: DataFrame, width: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
+    """One row of each group of near-duplicates, all columns as they are.
+
+    The row with the smallest ``doc_id`` stays, of several with that id any one.
+    Rows without an id name no group and cannot be told apart, so all of them stay.
+    """
+    found = near_duplicates(docs, width, max_bits)
+    first = found.where(F.col("doc_id") == F.col("component_id")).select("component_id").distinct()
+    keyed = docs.where(F.col("doc_id").isNotNull())
+    same = F.col("kept.doc_id").cast("long") == F.col("first.component_id")
+    kept = keyed.alias("kept").join(first.alias("first"), same, "left_semi")
+    return kept.dropDuplicates(["doc_id"]).union(docs.where(F.col("doc_id").isNull()))
