@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seatwise.functions.emails import first_or_null, has_usable_emails, primary_or_blank
-from seatwise.operators.spread import spread_join
 
 
 def principals(assignments: DataFrame, kind: str) -> DataFrame:
@@ -67,7 +66,7 @@ def effective_user_ids(assignments: DataFrame, memberships: DataFrame) -> DataFr
     """Direct users and members of assigned groups; a group nobody is in adds none."""
     direct = principals(assignments, "USER").select(F.col("principal_id").alias("user_id"))
     groups = distinct_principals(assignments, "GROUP", "group_id")
-    via_group = spread_join(memberships, groups, ["group_id"], ["user_id", "page", "pos"])
+    via_group = memberships.join(groups, "group_id")
     return direct.union(via_group.select("user_id")).distinct()
 
 

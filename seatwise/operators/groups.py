@@ -12,13 +12,10 @@ from pyspark.sql import functions as F
 
 from seatwise.functions.text import shown, user_line
 from seatwise.operators.access import distinct_principals, principals, short_profiles
-from seatwise.operators.spread import measured_bytes, spread_join
 
-#: About how many users one row of the nested view holds.
-CHUNK = 1000
-
-#: What tells the rows of one group apart, so that a huge group can be spread.
-_MEMBER = ("user_id", "member_page", "member_pos")
+#: Landed pages of a group's members that make one row of the nested view. The
+#: service returns at most 100 members a page.
+PAGES_PER_ROW = 10
 
 # The report's wording.
 RULE = "-" * 39
@@ -33,19 +30,33 @@ USERS_LINE = "Users in this group:"
 _TITLE, _NAME, _USER, _END = 0, 1, 2, 3
 
 
-def assigned_groups(assignments: DataFrame, profiles: DataFrame) -> DataFrame:
-    """(page, pos, group_id, group_name); an unknown group fails the query."""
+def assigned_groups(
+    assignments: DataFrame, profiles: DataFrame, dedupe: bool = False
+) -> DataFrame:
+    """(page, pos, group_id, group_name); an unknown group fails the query.
+
+    ``dedupe`` keeps the first place of a group that is assigned several times.
+    """
+    return _checked(_listed(assignments, profiles, dedupe))
+
+
+def _listed(assignments: DataFrame, profiles: DataFrame, dedupe: bool) -> DataFrame:
+    """The assigned groups, those without a profile among them."""
     listed = principals(assignments, "GROUP").withColumnRenamed("principal_id", "group_id")
-    return _named(listed, profiles).select("page", "pos", "group_id", "group_name")
+    if dedupe:
+        place = F.min(F.struct("page", "pos")).alias("place")
+        listed = listed.groupBy("group_id").agg(place).select("place.*", "group_id")
+    named = listed.join(profiles, "group_id", "left")
+    return named.select("page", "pos", "group_id", "group_name")
 
 
-def _named(groups: DataFrame, profiles: DataFrame) -> DataFrame:
+def _checked(named: DataFrame) -> DataFrame:
+    """The check is a condition on rows, so it holds whichever columns are read."""
     unknown = F.raise_error(
         F.concat(F.lit("no profile for assigned group "), shown(F.col("group_id")))
     )
-    return groups.join(profiles, "group_id", "left").withColumn(
-        "group_name", F.coalesce("group_name", unknown)
-    )
+    known = F.when(F.col("group_name").isNull(), unknown.cast("boolean")).otherwise(True)
+    return named.where(known)
 
 
 def _members(memberships: DataFrame) -> DataFrame:
@@ -69,14 +80,20 @@ def roster_in_order(
     memberships: DataFrame,
     profiles: DataFrame,
     users: DataFrame,
-    size: int | None = None,
+    dedupe: bool = False,
 ) -> DataFrame:
     """The roster with each member's place in its group.
 
-    ``size`` is what the assigned groups measure, where a caller knows it.
+    Members are the left side of both joins. The other sides hold a key a few
+    times at most, so the adaptive planner can split a huge group or a user who
+    is in most groups.
     """
-    listed = assigned_groups(assignments, profiles)
-    members = spread_join(_members(memberships), listed, ["group_id"], _MEMBER, size=size)
+    listed = assigned_groups(assignments, profiles, dedupe)
+    return _roster(listed, memberships, users)
+
+
+def _roster(listed: DataFrame, memberships: DataFrame, users: DataFrame) -> DataFrame:
+    members = _members(memberships).join(listed, "group_id")
     return members.join(short_profiles(users), "user_id").select(
         "page",
         "pos",
@@ -92,10 +109,14 @@ def roster_in_order(
 
 
 def group_roster(
-    assignments: DataFrame, memberships: DataFrame, profiles: DataFrame, users: DataFrame
+    assignments: DataFrame,
+    memberships: DataFrame,
+    profiles: DataFrame,
+    users: DataFrame,
+    dedupe: bool = False,
 ) -> DataFrame:
     """One row per assignment and known member; unknown members are dropped."""
-    roster = roster_in_order(assignments, memberships, profiles, users)
+    roster = roster_in_order(assignments, memberships, profiles, users, dedupe)
     return roster.drop("member_page", "member_pos")
 
 
@@ -104,34 +125,36 @@ def group_summary(
     memberships: DataFrame,
     profiles: DataFrame,
     users: DataFrame,
-    size: int | None = None,
+    dedupe: bool = False,
 ) -> DataFrame:
     """Known members per assignment, zero included.
 
     Members are counted once per group, then the counts go to the assignments:
-    listing a group again does not repeat the work on its members. ``size`` is
-    what the assigned groups measure, where a caller knows it.
+    listing a group again does not repeat the work on its members.
     """
-    listed = assigned_groups(assignments, profiles)
-    if size is None:
-        size = measured_bytes(listed)
     ids = distinct_principals(assignments, "GROUP", "group_id")
     counts = (
-        spread_join(_members(memberships), ids, ["group_id"], _MEMBER, size=size)
+        _members(memberships)
+        .join(ids, "group_id")
         .join(_known_ids(users), "user_id")
         .groupBy("group_id")
         .agg(F.count("*").alias("user_count"))
     )
-    sized = ids.join(counts, "group_id", "left").withColumn(
-        "user_count", F.coalesce("user_count", F.lit(0))
-    )
-    return spread_join(listed, sized, ["group_id"], ["page", "pos"], size=size).select(
-        "page", "pos", "group_id", "group_name", "user_count"
-    )
+    listed = assigned_groups(assignments, profiles, dedupe)
+    return _with_count(listed.join(counts, "group_id", "left"))
+
+
+def _with_count(listed: DataFrame) -> DataFrame:
+    count = F.coalesce("user_count", F.lit(0)).alias("user_count")
+    return listed.select("page", "pos", "group_id", "group_name", count)
 
 
 def group_totals(
-    assignments: DataFrame, memberships: DataFrame, profiles: DataFrame, users: DataFrame
+    assignments: DataFrame,
+    memberships: DataFrame,
+    profiles: DataFrame,
+    users: DataFrame,
+    dedupe: bool = False,
 ) -> DataFrame:
     """Sum of all group sizes, and the distinct users behind it.
 
@@ -139,13 +162,14 @@ def group_totals(
     so a user who is in most groups is one row by the time of the lookup.
     """
     listed = principals(assignments, "GROUP").withColumnRenamed("principal_id", "group_id")
-    times = _named(listed.groupBy("group_id").agg(F.count("*").alias("times")), profiles)
-    # Reading the name keeps the check on unknown groups in the plan.
-    counted = F.when(F.col("group_name").isNotNull(), F.col("times"))
+    times = F.lit(1).cast("bigint") if dedupe else F.count("*")
+    times = listed.groupBy("group_id").agg(times.alias("times"))
+    times = _checked(times.join(profiles, "group_id", "left"))
     per_user = (
-        spread_join(_members(memberships), times, ["group_id"], _MEMBER)
+        _members(memberships)
+        .join(times, "group_id")
         .groupBy("user_id")
-        .agg(F.sum(counted).alias("times"))
+        .agg(F.sum("times").alias("times"))
     )
     return per_user.join(_known_ids(users), "user_id").agg(
         F.coalesce(F.sum("times"), F.lit(0)).alias("total_users"),
@@ -158,54 +182,69 @@ def group_nested(
     memberships: DataFrame,
     profiles: DataFrame,
     users: DataFrame,
-    chunk: int = CHUNK,
+    pages_per_row: int = PAGES_PER_ROW,
+    dedupe: bool = False,
 ) -> DataFrame:
     """The roster with users as an array, see :func:`nested`."""
-    inputs = (assignments, memberships, profiles, users)
-    size = measured_bytes(assigned_groups(assignments, profiles))
-    summary = group_summary(*inputs, size=size)
-    return nested(summary, roster_in_order(*inputs, size=size), chunk, size)
+    listed = _listed(assignments, profiles, dedupe)
+    return nested(_checked(listed), _roster(listed, memberships, users), pages_per_row)
 
 
 def group_report(
-    assignments: DataFrame, memberships: DataFrame, profiles: DataFrame, users: DataFrame
+    assignments: DataFrame,
+    memberships: DataFrame,
+    profiles: DataFrame,
+    users: DataFrame,
+    dedupe: bool = False,
 ) -> DataFrame:
     """The access report as ordered lines, see :func:`report`."""
-    inputs = (assignments, memberships, profiles, users)
-    size = measured_bytes(assigned_groups(assignments, profiles))
-    return report(group_summary(*inputs, size=size), roster_in_order(*inputs, size=size))
+    listed = _listed(assignments, profiles, dedupe)
+    return report(_checked(listed), _roster(listed, memberships, users))
 
 
-def nested(
-    summary: DataFrame, roster: DataFrame, chunk: int = CHUNK, size: int | None = None
-) -> DataFrame:
-    """The ordered roster with users as an array, in listing order.
+def _pages(roster: DataFrame, pages_per_row: int) -> DataFrame:
+    """Members of consecutive landed pages as one list, for each assignment.
 
-    A group of up to ``chunk`` users is one row with its whole list. A larger
-    one comes as several rows, each holding about that many, numbered by
-    ``chunk``: no row and no task takes a whole group however large it is.
-    ``size`` is what the summary measures, where measuring it would compute it.
+    A landed page is bounded by the service, so a list is bounded too, without
+    anyone knowing how large the group is. Collecting cannot shrink rows on the
+    map side, so they are moved as they are. Whatever reads lists and counts from
+    this goes through one exchange, as both need all of it.
     """
-    head = ["page", "pos", "group_id", "group_name", "user_count"]
-    parts = F.ceil(F.col("user_count") / F.lit(chunk))
-    counts = summary.select("page", "pos", "user_count")
-    sized = spread_join(roster, counts, ["page", "pos"], _MEMBER, size=size)
     entry = F.struct(
         "member_page", "member_pos", "user_id", "user_name", "email", "display_name"
     )
-    # Collecting cannot shrink rows on the map side, so they are moved as they are.
-    # What belongs to the assignment follows from its place and is no grouping key.
     place = ["page", "pos", "chunk"]
-    rows = (
-        sized.withColumn("chunk", F.pmod(_member_hash(), parts))
+    return (
+        roster.withColumn("chunk", F.floor(F.col("member_page") / pages_per_row))
+        .select(*place, entry.alias("entry"))
         .repartition(*place)
         .groupBy(*place)
-        .agg(
-            *(F.first(c).alias(c) for c in head if c not in place),
-            F.sort_array(F.collect_list(entry)).alias("entries"),
-        )
+        .agg(F.sort_array(F.collect_list("entry")).alias("entries"))
+    )
+
+
+def _counted(listed: DataFrame, pages: DataFrame) -> DataFrame:
+    counts = pages.groupBy("page", "pos").agg(
+        F.sum(F.size("entries")).alias("user_count")
+    )
+    return _with_count(listed.join(counts, ["page", "pos"], "left"))
+
+
+def nested(
+    listed: DataFrame, roster: DataFrame, pages_per_row: int = PAGES_PER_ROW
+) -> DataFrame:
+    """The ordered roster with users as an array, in listing order.
+
+    A row holds the members of ``pages_per_row`` consecutive landed pages of one
+    assignment, numbered by ``chunk``: read in that order, the rows of a group
+    are its listing, at every size. A group without members is one row.
+    """
+    head = ["page", "pos", "group_id", "group_name", "user_count"]
+    pages = _pages(roster, pages_per_row)
+    summary = _counted(listed, pages)
+    filled = pages.join(summary, ["page", "pos"]).select(
+        *head, "chunk", _without_place("entries")
     )
-    filled = rows.select(*head, "chunk", _without_place("entries"))
     empty = summary.where(F.col("user_count") == 0).select(
         *head,
         F.lit(0).cast("bigint").alias("chunk"),
@@ -214,16 +253,17 @@ def nested(
     return filled.unionByName(empty)
 
 
-def _member_hash() -> Column:
-    place = F.concat_ws(":", *(F.col(c).cast("string") for c in _MEMBER))
-    return F.conv(F.substring(F.md5(place), 1, 8), 16, 10).cast("bigint")
-
-
 def _without_place(entries: str) -> Column:
     fields = ("user_id", "user_name", "email", "display_name")
     return F.transform(entries, lambda e: F.struct(*(e[f].alias(f) for f in fields))).alias("users")
 
 
+def summary_of(listed: DataFrame, roster: DataFrame) -> DataFrame:
+    """What :func:`group_summary` gives, where the roster is at hand."""
+    counts = roster.groupBy("page", "pos").agg(F.count("*").alias("user_count"))
+    return _with_count(listed.join(counts, ["page", "pos"], "left"))
+
+
 def totals(roster: DataFrame) -> DataFrame:
     """What :func:`group_totals` gives, where the roster is at hand."""
     return roster.agg(
@@ -231,13 +271,17 @@ def totals(roster: DataFrame) -> DataFrame:
     )
 
 
-def report(summary: DataFrame, roster: DataFrame) -> DataFrame:
+def report(
+    listed: DataFrame, roster: DataFrame, pages_per_row: int = PAGES_PER_ROW
+) -> DataFrame:
     """Totals, then a block per assignment, as lines in order.
 
     ``line`` is the text; the other columns are its place. Members keep the
     order of their group's listing.
     """
-    total = summary.agg(F.coalesce(F.sum("user_count"), F.lit(0)).alias("total_users"))
+    pages = _pages(roster, pages_per_row)
+    summary = _counted(listed, pages)
+    total = pages.agg(F.coalesce(F.sum(F.size("entries")), F.lit(0)).alias("total_users"))
     title = total.select(
         F.lit(None).cast("int").alias("page"),
         F.lit(None).cast("int").alias("pos"),
@@ -265,7 +309,7 @@ def report(summary: DataFrame, roster: DataFrame) -> DataFrame:
     blocks = summary.select(
         "page", "pos", F.inline(F.concat(head, _lines(_END, F.lit(RULE))))
     )
-    members = roster.select(
+    members = pages.select("page", "pos", F.inline("entries")).select(
         "page",
         "pos",
         F.lit(_USER).alias("part"),

@@ -94,6 +94,8 @@ def latest_activity(
             usage.groupBy("userid")
             .agg(latest)
             .select(user.alias("user_id"), "latest_activity_date")
+            # Brought together by user, the rows need not move again for a lookup.
+            .repartition("user_id")
             .distinct()
         )
     if ordered:

@@ -122,15 +122,30 @@ def test_groups_assigned_twice_count_twice(team):
 
 
 def test_results_from_a_kept_roster_are_the_same(team):
-    summary, roster = groups.group_summary(*team), groups.roster_in_order(*team)
+    listed = groups.assigned_groups(team[0], team[2])
+    roster = groups.roster_in_order(*team)
+    assert inputs.collected(groups.summary_of(listed, roster)) == inputs.collected(
+        groups.group_summary(*team)
+    )
     assert groups.totals(roster).collect() == groups.group_totals(*team).collect()
-    kept = groups.nested(summary, roster)
+    kept = groups.nested(listed, roster)
     assert sorted(kept.collect()) == sorted(groups.group_nested(*team).collect())
-    assert groups.report(summary, roster).collect() == groups.group_report(*team).collect()
+    assert groups.report(listed, roster).collect() == groups.group_report(*team).collect()
     none = roster.where("user_id IS NULL")
     assert tuple(groups.totals(none).first()) == (0, 0)
 
 
+def test_a_group_assigned_twice_can_be_listed_once(team):
+    assert inputs.collected(groups.group_summary(*team, dedupe=True)) == [
+        (1, 0, "g1", "G1", 2),
+        (1, 2, "g2", "G2", 0),
+    ]
+    assert tuple(groups.group_totals(*team, dedupe=True).first()) == (2, 2)
+    assert groups.group_roster(*team, dedupe=True).count() == 2
+    assert len(groups.group_nested(*team, dedupe=True).collect()) == 2
+    assert groups.group_report(*team, dedupe=True).collect()[3]["line"].endswith(" 2")
+
+
 def test_members_listed_twice_count_twice(spark, team):
     assigned, _, names, users = team
     members = inputs.memberships(spark, ("g1", "u1"), ("g1", "u1"))
@@ -150,18 +165,29 @@ def test_nested_view_keeps_listing_order_and_empty_groups(team):
     }
 
 
-def test_nested_view_splits_a_big_group_and_loses_nobody(spark):
-    n = 500
+def test_rows_of_a_big_group_are_its_listing(spark):
+    n = 950
     assigned = inputs.assignments(spark, (1, 0, "GROUP", "g1"))
-    members = inputs.memberships(spark, *(("g1", f"u{i % 400}") for i in range(n)))
+    who = [f"u{i * 7 % 400}" for i in range(n)]
+    members = inputs.memberships(spark, *(("g1", u) for u in who)).repartition(7)
     users = inputs.users(spark, *((f"u{i}", None) for i in range(400)))
     names = inputs.profiles(spark, "g1")
-    rows = groups.group_nested(assigned, members, names, users, chunk=50).collect()
-    assert {r["user_count"] for r in rows} == {n}
-    assert sorted(r["chunk"] for r in rows) == list(range(10))
-    assert max(len(r["users"]) for r in rows) < 100
-    listed = sorted(u["user_id"] for r in rows for u in r["users"])
-    assert listed == sorted(f"u{i % 400}" for i in range(n))
+    for pages, rows_expected in ((1, 10), (3, 4), (10, 1)):
+        rows = groups.group_nested(assigned, members, names, users, pages_per_row=pages).collect()
+        rows.sort(key=lambda r: r["chunk"])
+        assert {r["user_count"] for r in rows} == {n}
+        assert [r["chunk"] for r in rows] == list(range(rows_expected))
+        assert [u["user_id"] for r in rows for u in r["users"]] == who
+
+
+@pytest.mark.parametrize("read", [lambda df: df.count(), lambda df: df.select("pos").collect()])
+def test_an_unknown_group_fails_whichever_columns_are_read(spark, team, read):
+    _, members, names, users = team
+    assigned = inputs.assignments(spark, (1, 0, "GROUP", "g1"))
+    data = (assigned, members, names.where("group_id <> 'g1'"), users)
+    for analysis in (groups.group_roster, groups.group_summary, groups.roster_in_order):
+        with pytest.raises(PySparkException, match="no profile for assigned group g1"):
+            read(analysis(*data))
 
 
 @pytest.mark.parametrize("with_members", [True, False])

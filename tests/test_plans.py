@@ -7,8 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
-from seatwise.operators import enrich, groups, spread, usage
+from seatwise.operators import enrich, groups, usage
 from seatwise.plans import driver_tables as tables
+from seatwise.plans.registry import QUERIES
 
 SLOW = ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin")
 
@@ -38,7 +39,7 @@ def silver(spark, sf_dir):
     return contract.queries()["src_usage_parquet"](spark, sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_and_no_pair_joins(spark, sf_dir, name):
     text = plan(contract.queries()[name](spark, sf_dir))
     assert not [word for word in SLOW if word in text]
@@ -72,44 +73,28 @@ def test_directory_joins_reuse_the_partitioning_of_distinct_ids(spark, sf_dir, s
         assert text.count("Exchange hashpartitioning(user_id") == 2, name
 
 
-def test_small_group_lists_leave_memberships_in_place(spark, sf_dir, settings):
+@pytest.mark.parametrize("analysis", [groups.group_nested, groups.group_report])
+def test_lists_and_counts_come_from_one_scan_of_the_memberships(
+    spark, tmp_path, settings, analysis
+):
     settings(spark__sql__autoBroadcastJoinThreshold="-1")
-    text = plan(groups.group_roster(*tables.directory(spark, sf_dir)))
-    # The only shuffled join left is the one with the user directory.
-    assert text.count("BroadcastHashJoin [group_id") == 1
-    assert text.count("SortMergeJoin [user_id") == 1
-
-
-@pytest.mark.parametrize("salts", [1, 7, 64])
-def test_salted_join_equals_the_plain_one(spark, salts):
-    big = spark.range(3000).select(
-        F.expr("if(id % 3 = 0, 'hot', concat('k', id % 40))").alias("k"), "id"
-    )
-    small = spark.createDataFrame(
-        [("hot", 1), ("hot", 2), ("k1", 3), ("none", 4)], "k string, v int"
+    members = inputs.memberships(spark, *((f"g{i % 9}", f"u{i}") for i in range(90)))
+    members.write.parquet(str(tmp_path / "members"))
+    assigned = inputs.assignments(spark, *((1, i, "GROUP", f"g{i}") for i in range(5)))
+    landed = spark.read.parquet(str(tmp_path / "members"))
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    result = analysis(
+        assigned,
+        landed,
+        inputs.profiles(spark, *(f"g{i}" for i in range(9))),
+        some_users(spark, 90),
     )
-    salted = spread.spread_join(big, small, ["k"], ["id"], broadcast_bytes=0, salts=salts)
-    assert "BroadcastHashJoin" not in plan(salted)
-    sent = spread.spread_join(big, small, ["k"], ["id"])
-    assert "BroadcastHashJoin" in plan(sent)
-    expected = inputs.collected(big.join(small, "k"))
-    assert inputs.collected(salted) == expected == inputs.collected(sent)
-
-
-def test_salted_join_spreads_one_key_over_the_tasks(spark, settings):
-    settings(spark__sql__adaptive__enabled="false", spark__sql__shuffle__partitions="16")
-    big = spark.range(6400).select(F.lit("hot").alias("k"), "id")
-    small = spark.createDataFrame([("hot", 1)], "k string, v int")
-    joined = spread.spread_join(big, small, ["k"], ["id"], broadcast_bytes=0)
-    sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
-    assert sum(sizes) == 6400
-    assert max(sizes) < 6400 / 4
-
-
-def test_measured_bytes_counts_text_and_rows(spark):
-    df = spark.createDataFrame([("abc", None), ("é", "xy")], "a string, b string")
-    assert spread.measured_bytes(df) == 2 * 2 * 16 + 3 + 2 + 2
-    assert spread.measured_bytes(df.where("a = 'none'")) == 0
+    # Nothing runs while the plan is built.
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == before
+    result.collect()
+    text = plan(result).split("== Initial Plan ==")[0]
+    assert len(re.findall(r"FileScan parquet \[group_id", text)) == 1
+    assert "ReusedExchange" in text
 
 
 SKEW = {
@@ -156,7 +141,9 @@ def test_adaptive_planner_splits_a_user_who_is_in_most_groups(spark, settings, a
 
 
 @pytest.mark.parametrize("analysis", [groups.group_summary, groups.group_totals])
-def test_only_members_of_assigned_groups_are_shuffled(spark, tmp_path, settings, analysis):
+def test_members_of_other_groups_are_dropped_before_the_user_lookup(
+    spark, tmp_path, settings, analysis
+):
     settings(spark__sql__autoBroadcastJoinThreshold="-1")
     members = inputs.memberships(spark, *((f"g{i % 9}", f"u{i}") for i in range(90)))
     members.write.parquet(str(tmp_path / "members"))
@@ -169,10 +156,16 @@ def test_only_members_of_assigned_groups_are_shuffled(spark, tmp_path, settings,
     )
     lines = plan(result).split("\n")
     scan = next(i for i, line in enumerate(lines) if "FileScan parquet [group_id" in line)
-    above = [re.sub(r"^[ :+\-*()\d]*", "", line).split(" ")[0] for line in lines[:scan]]
-    # Going up from the scan, the groups come first and the shuffle by user later.
-    upwards = [name for name in reversed(above) if name in ("BroadcastHashJoin", "Exchange")]
-    assert upwards[0] == "BroadcastHashJoin"
+    above = [re.sub(r"^[ :+\-*()\d]*", "", line) for line in lines[:scan]]
+    # Going up from the scan, the groups come first and the lookup by user later.
+    joins = [line for line in reversed(above) if re.match(r"\w*Join \[", line)]
+    assert "[group_id" in joins[0]
+
+
+def test_profiles_beside_the_last_day_move_three_times(spark, silver, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    result = enrich.activity_with_profile(silver, some_users(spark, 50))
+    assert plan(result).count("Exchange hashpartitioning") == 3
 
 
 def test_totals_add_up_per_user_before_the_lookup(spark, sf_dir, settings):
