@@ -7,7 +7,44 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from seatwise.schemas import COUNTERS, USAGE_FAMILIES
+from seatwise.schemas import COUNTERS
+
+# The rollup's totals, in output order.
+TOTAL_NAMES: tuple[str, ...] = (
+    "total_chat_aicodelines",
+    "total_chat_messagesinteracted",
+    "total_chat_messagessent",
+    "total_codefix_acceptanceeventcount",
+    "total_codefix_acceptedlines",
+    "total_codefix_generatedlines",
+    "total_codefix_generationeventcount",
+    "total_codereview_failedeventcount",
+    "total_codereview_findingscount",
+    "total_codereview_succeededeventcount",
+    "total_dev_acceptanceeventcount",
+    "total_dev_acceptedlines",
+    "total_dev_generatedlines",
+    "total_dev_generationeventcount",
+    "total_docgeneration_eventcount",
+    "total_docgeneration_acceptedfiles",
+    "total_docgeneration_acceptedlines",
+    "total_docgeneration_rejectedfiles",
+    "total_docgeneration_rejectedlines",
+    "total_inlinechat_eventcount",
+    "total_inlinechat_acceptedlines",
+    "total_inlinechat_rejectedlines",
+    "total_inline_aicodelines",
+    "total_inline_acceptancecount",
+    "total_inline_suggestionscount",
+    "total_testgeneration_eventcount",
+    "total_testgeneration_acceptedlines",
+    "total_testgeneration_acceptedtests",
+    "total_testgeneration_generatedlines",
+    "total_testgeneration_generatedtests",
+    "total_transformation_eventcount",
+    "total_transformation_linesgenerated",
+    "total_transformation_linesingested",
+)
 
 # Totals over the row-wise sum of two counters.
 PAIRS: dict[str, tuple[str, str]] = {
@@ -76,24 +113,12 @@ class Ratio:
         return F.expr(f"sum({self.accepted}) {operator} nullif(sum({self.generated}), 0)")
 
 
-def _totals() -> tuple[Total, ...]:
-    paired = {name for pair in PAIRS.values() for name in pair}
-    out: list[Total] = []
-    for family, names in USAGE_FAMILIES.items():
-        # An event count leads its family, the other counters keep file order.
-        for name in sorted(names, key=lambda n: n != "eventcount"):
-            counter = f"{family}_{name}"
-            if counter not in paired:
-                out.append(Total(f"total_{counter}", (counter,)))
-        out += [
-            Total(f"total_{name}", pair)
-            for name, pair in PAIRS.items()
-            if name.startswith(f"{family}_")
-        ]
-    return tuple(out)
-
-
-TOTALS = _totals()
+def _total(name: str) -> Total:
+    counter = name.removeprefix("total_")
+    return Total(name, PAIRS.get(counter, (counter,)))
+
+
+TOTALS = tuple(_total(name) for name in TOTAL_NAMES)
 PAIR_TOTALS = tuple(t for t in TOTALS if len(t.inputs) == 2)
 ACCEPTANCE = tuple(Ratio(name, *pair) for name, pair in RATIOS.items())
 

@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 # Joda patterns write the year with a capital Y and take one digit where two are
-# given. The function is expanded into the query, it is no UDF.
-_PARSE_DATETIME = """
+# given. A two-letter month or day that stands by itself is shortened, so that
+# one digit will do; beside other letters it says how many digits to read. The
+# function is expanded into the query, it is no UDF.
+_PARSE_DATETIME = r"""
 CREATE OR REPLACE TEMPORARY FUNCTION parse_datetime(value STRING, pattern STRING)
 RETURNS TIMESTAMP_NTZ
-RETURN to_timestamp_ntz(value, replace(replace(replace(pattern, 'Y', 'y'), 'MM', 'M'), 'dd', 'd'))
+RETURN to_timestamp_ntz(value, regexp_replace(
+    replace(pattern, 'Y', 'y'), r'(?<![A-Za-z])([Md])\1(?![A-Za-z])', '$1'))
 """
 
 

@@ -4,43 +4,47 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# The usage table's counters, by family, in file order.
-USAGE_FAMILIES: dict[str, tuple[str, ...]] = {
-    "chat": ("aicodelines", "messagesinteracted", "messagessent"),
-    "codefix": ("acceptanceeventcount", "acceptedlines", "generatedlines", "generationeventcount"),
-    "codereview": ("failedeventcount", "findingscount", "succeededeventcount"),
-    "dev": ("acceptanceeventcount", "acceptedlines", "generatedlines", "generationeventcount"),
-    "docgeneration": (
-        "acceptedfileupdates",
-        "acceptedfilescreations",
-        "acceptedlineadditions",
-        "acceptedlineupdates",
-        "eventcount",
-        "rejectedfilecreations",
-        "rejectedfileupdates",
-        "rejectedlineadditions",
-        "rejectedlineupdates",
-    ),
-    "inlinechat": (
-        "acceptedlineadditions",
-        "acceptedlinedeletions",
-        "eventcount",
-        "rejectedlineadditions",
-        "rejectedlinedeletions",
-    ),
-    "inline": ("aicodelines", "acceptancecount", "suggestionscount"),
-    "testgeneration": (
-        "acceptedlines",
-        "acceptedtests",
-        "eventcount",
-        "generatedlines",
-        "generatedtests",
-    ),
-    "transformation": ("eventcount", "linesgenerated", "linesingested"),
-}
-
-COUNTERS: tuple[str, ...] = tuple(
-    f"{family}_{name}" for family, names in USAGE_FAMILIES.items() for name in names
+# The usage table's counters, in file order.
+COUNTERS: tuple[str, ...] = (
+    "chat_aicodelines",
+    "chat_messagesinteracted",
+    "chat_messagessent",
+    "codefix_acceptanceeventcount",
+    "codefix_acceptedlines",
+    "codefix_generatedlines",
+    "codefix_generationeventcount",
+    "codereview_failedeventcount",
+    "codereview_findingscount",
+    "codereview_succeededeventcount",
+    "dev_acceptanceeventcount",
+    "dev_acceptedlines",
+    "dev_generatedlines",
+    "dev_generationeventcount",
+    "docgeneration_acceptedfileupdates",
+    "docgeneration_acceptedfilescreations",
+    "docgeneration_acceptedlineadditions",
+    "docgeneration_acceptedlineupdates",
+    "docgeneration_eventcount",
+    "docgeneration_rejectedfilecreations",
+    "docgeneration_rejectedfileupdates",
+    "docgeneration_rejectedlineadditions",
+    "docgeneration_rejectedlineupdates",
+    "inlinechat_acceptedlineadditions",
+    "inlinechat_acceptedlinedeletions",
+    "inlinechat_eventcount",
+    "inlinechat_rejectedlineadditions",
+    "inlinechat_rejectedlinedeletions",
+    "inline_aicodelines",
+    "inline_acceptancecount",
+    "inline_suggestionscount",
+    "testgeneration_acceptedlines",
+    "testgeneration_acceptedtests",
+    "testgeneration_eventcount",
+    "testgeneration_generatedlines",
+    "testgeneration_generatedtests",
+    "transformation_eventcount",
+    "transformation_linesgenerated",
+    "transformation_linesingested",
 )
 
 
@@ -53,11 +57,14 @@ _S, _I, _B = T.StringType(), T.IntegerType(), T.BooleanType()
 #: One row per user and day; the day stays text as landed.
 USAGE = _row(("userid", _S), ("act_date", _S), *((name, _I) for name in COUNTERS))
 
+#: The second usage table: a user and a day by another name.
+ACTIVITY_LOG = _row(("userid", _S), ("data", _S))
+
 #: Two columns read by position; the file's own header names are ignored.
 USER_LIST = _row(("user_id", _S), ("last_activity_date", _S))
 
 #: The landed list of identity instances; the first one names the store to use.
-INSTANCES = _row(("Instances", T.ArrayType(_row(("IdentityStoreId", _S)))))
+INSTANCES = _row(("page", _I), ("Instances", T.ArrayType(_row(("IdentityStoreId", _S)))))
 
 #: One landed page of an application's assignments, as the service returns it.
 ASSIGNMENT_PAGE = _row(
@@ -67,9 +74,10 @@ ASSIGNMENT_PAGE = _row(
     ("NextToken", _S),
 )
 
-#: One landed page of a group's memberships.
+#: One landed page of a group's memberships. The store is the folder's or the object's.
 MEMBERSHIP_PAGE = _row(
     ("identity_store_id", _S),
+    ("IdentityStoreId", _S),
     ("GroupId", _S),
     ("page", _I),
     ("GroupMemberships", T.ArrayType(_row(("MemberId", _row(("UserId", _S)))))),
@@ -78,6 +86,7 @@ MEMBERSHIP_PAGE = _row(
 
 USER_PROFILE = _row(
     ("identity_store_id", _S),
+    ("IdentityStoreId", _S),
     ("UserId", _S),
     ("UserName", _S),
     ("DisplayName", _S),
@@ -87,6 +96,7 @@ USER_PROFILE = _row(
 
 GROUP_PROFILE = _row(
     ("identity_store_id", _S),
+    ("IdentityStoreId", _S),
     ("GroupId", _S),
     ("Group", _row(("DisplayName", _S))),
 )

@@ -9,12 +9,12 @@ from seatwise.functions.text import strip_blanks
 from seatwise.schemas import USER_LIST
 
 
-def read_user_list(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_user_list(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Columns by position; header and blank lines dropped, copies kept.
 
-    A line without a date gives a NULL date. ``multi_line`` allows line breaks
-    inside quotes at the price of one task per file: pass False to have large
-    files split where no field holds a line break.
+    A line without a date gives a NULL date. Large files are split between
+    tasks; ``multi_line`` allows line breaks inside quotes at the price of one
+    task per file.
     """
     rows = (
         spark.read.schema(USER_LIST)
