@@ -9,11 +9,14 @@ from __future__ import annotations
 import argparse
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from seatwise.functions.sql import register_sql_functions
 from seatwise.operators import access, enrich, groups, usage
-from seatwise.session import build_session, scratch_path
+from seatwise.schemas import USAGE
+from seatwise.session import build_session
 from seatwise.sinks import files
 from seatwise.sources import directory, usage_files, user_list
 
@@ -21,6 +24,9 @@ from seatwise.sources import directory, usage_files, user_list
 #: Where instances are asked for and none is listed, no profile is known.
 NO_STORE = ""
 
+#: Stands in a result folder of several parts once all of them are written.
+DONE = "finished"
+
 
 def _usage(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     """A folder of converted files, or ``table:NAME`` for a table of the catalog."""
@@ -29,20 +35,43 @@ def _usage(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 
 
 def _assignments(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    pages = directory.assignment_pages(spark, args.assignments, args.application)
+    directory.require_complete(pages, "application_arn")
     return directory.read_assignments(spark, args.assignments, args.application)
 
 
+def _memberships(
+    spark: SparkSession, args: argparse.Namespace, store: str | None
+) -> DataFrame:
+    pages = directory.membership_pages(spark, args.memberships, store)
+    directory.require_complete(pages, "GroupId")
+    return directory.read_memberships(spark, args.memberships, store)
+
+
 def _store(spark: SparkSession, args: argparse.Namespace) -> str | None:
-    """One identity store for all snapshots of the job: named, first listed, or lowest."""
+    """One identity store for all snapshots of the job: named, or the first listed.
+
+    With neither, every snapshot has to come from a single store.
+    """
     if args.store:
         return args.store
     if args.instances:
         return directory.first_store(spark, args.instances) or NO_STORE
-    return directory.lowest_store(spark, args.users)
+    return None
+
+
+def _schema(ddl: str | None) -> T.StructType:
+    return T.StructType.fromDDL(ddl) if ddl else USAGE
 
 
 def convert_usage(spark: SparkSession, args: argparse.Namespace) -> None:
-    text = usage_files.read_usage_text(spark, args.text)
+    """Converts all files, or with ``--append`` those not converted before."""
+    paths: str | list[str] = args.text
+    if args.append:
+        paths = usage_files.new_files(spark, args.text, args.out)
+        if not paths:
+            return
+    text = usage_files.read_usage_text(spark, paths, _schema(args.schema), with_source=True)
     usage_files.write_usage_parquet(text, args.out, "append" if args.append else "errorifexists")
 
 
@@ -71,58 +100,84 @@ def activity_with_profile(spark: SparkSession, args: argparse.Namespace) -> None
 
 def enrich_activity(spark: SparkSession, args: argparse.Namespace) -> None:
     users = directory.read_users(spark, args.users, _store(spark, args))
-    listed = user_list.read_user_list(spark, args.list)
+    listed = user_list.read_user_list(spark, args.list, args.multi_line)
     files.export_activity(enrich.enrich_activity(listed, users, args.keep_date), args.out)
 
 
 def direct_users(spark: SparkSession, args: argparse.Namespace) -> None:
     users = directory.read_users(spark, args.users, _store(spark, args))
-    # Kept first, so that finding out whether there is anything to export costs nothing.
-    found = _kept(spark, access.direct_users(_assignments(spark, args), users), "direct-users")
-    files.export_users(found, args.out, args.name)
+    files.export_users(
+        access.direct_users(_assignments(spark, args), users), args.out, args.name
+    )
 
 
 def effective_users(spark: SparkSession, args: argparse.Namespace) -> None:
     store = _store(spark, args)
     result = access.effective_users(
         _assignments(spark, args),
-        directory.read_memberships(spark, args.memberships, store),
+        _memberships(spark, args, store),
         directory.read_users(spark, args.users, store),
     )
     files.write_csv(result, args.out)
 
 
 def group_access(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Five results from one roster, which stays beside them as a table.
+
+    The roster is computed once and written first, so that neither a lost
+    executor nor the next result starts over. A second run after a failure
+    replaces what the first one left, and nothing else may stand in the folder.
+    """
     store = _store(spark, args)
-    inputs = (
-        _assignments(spark, args),
-        directory.read_memberships(spark, args.memberships, store),
-        directory.read_groups(spark, args.groups, store),
+    assignments = _assignments(spark, args)
+    profiles = directory.read_groups(spark, args.groups, store)
+    computed = groups.roster_in_order(
+        assignments,
+        _memberships(spark, args, store),
+        profiles,
         directory.read_users(spark, args.users, store),
+        args.dedupe,
     )
-    # Four of the five results need the roster: it is computed once and kept as a
-    # table, so that neither a lost executor nor the next result starts over.
-    roster = _kept(spark, groups.roster_in_order(*inputs), "roster")
-    summary = _kept(spark, groups.group_summary(*inputs), "summary")
     out = args.out.rstrip("/")
-    files.write_csv(summary, f"{out}/summary")
-    files.write_csv(groups.totals(roster), f"{out}/totals")
-    files.write_csv(roster.drop("member_page", "member_pos"), f"{out}/roster")
-    groups.nested(summary, roster).write.json(f"{out}/nested")
-    files.write_report(groups.report(summary, roster), f"{out}/report")
+    _claim(spark, out)
+    computed.write.mode("overwrite").parquet(f"{out}/roster.parquet")
+    roster = spark.read.schema(computed.schema).parquet(f"{out}/roster.parquet")
+    listed = groups.assigned_groups(assignments, profiles, args.dedupe)
+    files.write_csv(groups.summary_of(listed, roster), f"{out}/summary", "overwrite")
+    files.write_csv(groups.totals(roster), f"{out}/totals", "overwrite")
+    files.write_csv(
+        roster.drop("member_page", "member_pos"), f"{out}/roster", "overwrite"
+    )
+    groups.nested(listed, roster).write.mode("overwrite").json(f"{out}/nested")
+    files.write_report(groups.report(listed, roster), f"{out}/report", "overwrite")
+    _mark(spark, f"{out}/{DONE}")
+
+
+def _claim(spark: SparkSession, out: str) -> None:
+    """A finished result is never overwritten; an unfinished one may be."""
+    if _exists(spark, f"{out}/{DONE}"):
+        raise ValueError(f"PATH_ALREADY_EXISTS: {out} holds a finished result")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        return spark.read.text(path) is not None
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
 
 
-def _kept(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
-    path = scratch_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def _mark(spark: SparkSession, path: str) -> None:
+    spark.range(1).selectExpr("'finished' AS line").write.text(path)
 
 
 def query(spark: SparkSession, args: argparse.Namespace) -> None:
     """Any SQL over usage text, its result as CSV."""
+    schemas = dict(s.split("=", 1) for s in args.schema)
     for view in args.view:
         name, _, path = view.partition("=")
-        usage_files.register_usage_text(spark, path, name)
+        usage_files.register_usage_text(spark, path, name, _schema(schemas.get(name)))
     register_sql_functions(spark)
     files.write_csv(spark.sql(args.sql.strip().removesuffix(";")), args.out)
 
@@ -150,18 +205,23 @@ def parser() -> argparse.ArgumentParser:
             job.add_argument(f"--{option}", required=True)
         if name == "convert-usage":
             job.add_argument("--append", action="store_true", help="add newly landed files")
+            job.add_argument("--schema", help="columns in file order, as in CREATE TABLE")
         if "usage" in inputs:
             job.add_argument("--day-col", default="act_date")
         if name in ("latest-activity", "activity-with-profile"):
             job.add_argument("--normalize", action="store_true")
             job.add_argument("--on-bad-date", choices=("raise", "null"), default="raise")
         if "users" in inputs:
-            job.add_argument("--store", help="identity store; default: the lowest landed id")
+            job.add_argument("--store", help="identity store; needed where several are landed")
             job.add_argument("--instances", help="landed instance list, whose first store counts")
         if name == "enrich-activity":
             job.add_argument("--keep-date", action="store_true")
+            job.add_argument("--multi-line", action="store_true", help="line breaks in quotes")
+        if name == "group-access":
+            job.add_argument("--dedupe", action="store_true", help="list a group once")
         if name == "query":
             job.add_argument("--view", action="append", default=[], metavar="NAME=FOLDER")
+            job.add_argument("--schema", action="append", default=[], metavar="NAME=COLUMNS")
         if name == "direct-users":
             job.add_argument("--name", help="export name; default: one with a time stamp")
     return root

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,6 +12,9 @@ from pyspark.sql import types as T
 from seatwise.functions.text import clean_user_id
 from seatwise.schemas import USAGE
 
+#: The column that tells the file a converted row comes from.
+SOURCE = "source_file"
+
 #: A character no text file holds, so that a reader keeps whole lines whole.
 NO_DELIMITER = "\u0001"
 
@@ -16,14 +22,19 @@ NO_DELIMITER = "\u0001"
 MISSING = "\\N"
 
 
-def read_usage_text(spark: SparkSession, path: str, schema: T.StructType = USAGE) -> DataFrame:
+def read_usage_text(
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType = USAGE,
+    with_source: bool = False,
+) -> DataFrame:
     """Every file under ``path``, dated subfolders included, as rows of ``schema``.
 
     Columns go by position. Fields are split at each comma; a quote is an ordinary
     character. The first line of each file is dropped. Short lines are filled
     with NULL, surplus fields ignored, text that is no integer becomes NULL, and
     an empty string stays apart from a missing one. Large files are split between
-    tasks.
+    tasks. ``with_source`` adds the file each row comes from.
     """
     lines = (
         spark.read.schema("line string")
@@ -33,23 +44,56 @@ def read_usage_text(spark: SparkSession, path: str, schema: T.StructType = USAGE
         .option("recursiveFileLookup", True)
         .csv(path)
     )
-    texts, counters = _by_kind(schema)
+    if with_source:
+        lines = lines.select("line", F.col("_metadata.file_path").alias(SOURCE))
+    kept = [SOURCE] if with_source else []
     # The text columns are cut off by hand, since a CSV reader cannot tell an
-    # empty string from a missing one; the counters that follow need no such care.
-    cut = lines.select(F.split("line", ",", len(texts) + 1).alias("f"))
+    # empty string from a missing one; the counters need no such care.
+    text = [isinstance(f.dataType, T.StringType) for f in schema.fields]
+    counters = [f for f, t in zip(schema.fields, text) if not t]
+    lead = text.index(False) if counters else len(text)
+    behind = not any(text[lead:])
+    parts = lead + 1 if counters and behind else len(text) + 1
+    cut = lines.select(F.split("line", ",", parts).alias("f"), *kept)
+    if behind:
+        rest = F.get("f", F.lit(lead))
+    else:
+        fields = [F.get("f", F.lit(i)) for i, t in enumerate(text) if not t]
+        rest = F.concat_ws(",", *(F.coalesce(x, F.lit(MISSING)) for x in fields))
     rows = cut.select(
         *(
             F.nullif(F.get("f", F.lit(i)), F.lit(MISSING)).alias(field.name)
-            for i, field in enumerate(texts)
+            for i, field in enumerate(schema.fields)
+            if text[i]
         ),
-        F.get("f", F.lit(len(texts))).alias("rest"),
+        rest.alias("rest"),
+        *kept,
     )
     if not counters:
         return rows.drop("rest")
     numbers = F.from_csv(
         "rest", T.StructType(counters).toDDL(), {"quote": "", "nullValue": MISSING}
     )
-    return rows.withColumn("n", numbers).select(*(f.name for f in texts), "n.*")
+    flat = rows.withColumn("n", numbers).select(*rows.drop("rest").columns, "n.*")
+    return flat.select(*schema.names, *kept)
+
+
+def new_files(spark: SparkSession, path: str, converted: str) -> list[str]:
+    """Files under ``path`` of which the table at ``converted`` holds no row yet.
+
+    Both are lists of files such as a reader plans with, never rows.
+    """
+    landed = read_usage_text(spark, path).inputFiles()
+    table = spark.read.parquet(converted)
+    if SOURCE not in table.columns:
+        raise ValueError(f"{converted} does not tell its rows' files, convert it anew")
+    known = {_plain(r[0]) for r in table.select(SOURCE).distinct().collect()}
+    return [name for name in landed if _plain(name) not in known]
+
+
+def _plain(name: str) -> str:
+    """One spelling of a file's address, however many slashes or escapes it has."""
+    return re.sub(r"^(\w+):/+", r"\1:/", unquote(name))
 
 
 def register_usage_text(
@@ -59,14 +103,6 @@ def register_usage_text(
     read_usage_text(spark, path, schema).createOrReplaceTempView(name)
 
 
-def _by_kind(schema: T.StructType) -> tuple[list[T.StructField], list[T.StructField]]:
-    texts = [f for f in schema.fields if isinstance(f.dataType, T.StringType)]
-    counters = schema.fields[len(texts) :]
-    if schema.fields[: len(texts)] != texts:
-        raise ValueError("text columns have to come before all others")
-    return texts, counters
-
-
 def write_usage_parquet(usage: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Converts once, laid out for the per-user aggregates that follow.
 
@@ -79,7 +115,7 @@ def write_usage_parquet(usage: DataFrame, path: str, mode: str = "errorifexists"
     (
         usage.withColumn("user_id", clean_user_id(F.col("userid")))
         .hint("rebalance", "userid")
-        .sortWithinPartitions("userid", "act_date")
+        .sortWithinPartitions("userid", *usage.columns[1:2])
         .write.mode(mode)
         .parquet(path)
     )

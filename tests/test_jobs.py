@@ -52,7 +52,8 @@ def landed(tmp_path_factory):
         {"UserId": "u2", "UserName": "two"},
         {"UserId": "nomail", "UserName": "none", "Emails": []},
     )
-    land(root / "users" / "identity_store_id=d-2", "u.json", {"UserId": "u1", "UserName": "no"})
+    land(root / "two" / "identity_store_id=d-2", "u.json", {"UserId": "u1", "UserName": "no"})
+    land(root / "two" / store, "u.json", {"UserId": "u1", "UserName": "one"})
     land(
         root / "groups" / store, "g.json",
         {"GroupId": "g1", "Group": {"DisplayName": "First"}},
@@ -158,8 +159,10 @@ def test_store_of_the_first_instance(run, landed, tmp_path):
     directory = {
         "assignments": landed / "assignments",
         "application": "app",
-        "users": landed / "users",
+        "users": landed / "two",
     }
+    with pytest.raises(ValueError, match="several identity stores"):
+        run("direct-users", "unnamed", "--name", "u", **directory)
     out = run("direct-users", "two", "--name", "u", instances=tmp_path / "two", **directory)
     assert [r["Username"] for r in read(f"{out}/u")] == ["no"]
     out = run("direct-users", "none", "--name", "u", instances=tmp_path / "none", **directory)
@@ -188,12 +191,62 @@ def test_group_access(run, landed):
     }
 
 
-def test_newly_landed_files_are_added(spark, run, landed, tmp_path):
-    (tmp_path / "3.csv").write_text('userid,act_date,x\n"u1",03-09-2025,1\n')
-    run("convert-usage", "grown", text=landed / "text")
-    grown = run("convert-usage", "grown", "--append", text=tmp_path)
-    rows = read(run("usage-rollup", "grown-rollup", usage=grown))
-    assert [(r["userid"], r["active_days"]) for r in rows][0] == ('"u1"', "3")
+def test_files_are_added_once_however_often_they_are_converted(run, landed, tmp_path):
+    root = tmp_path / "text"
+    (root / "2025-03-01").mkdir(parents=True)
+    (root / "2025-03-01" / "a.csv").write_text('userid,act_date,x\n"u1",03-01-2025,5\n')
+    grown = run("convert-usage", "grown", text=root)
+
+    def totals(name):
+        rows = read(run("usage-rollup", name, usage=grown))
+        return [(r["userid"], r["active_days"], r["total_chat_aicodelines"]) for r in rows]
+
+    assert totals("grown-1") == [('"u1"', "1", "5")]
+    run("convert-usage", "grown", "--append", text=root)
+    assert totals("grown-2") == [('"u1"', "1", "5")]
+    (root / "2025-03-09").mkdir()
+    (root / "2025-03-09" / "b.csv").write_text('userid,act_date,x\n"u1",03-09-2025,1\n')
+    run("convert-usage", "grown", "--append", text=root)
+    run("convert-usage", "grown", "--append", text=root)
+    assert totals("grown-3") == [('"u1"', "2", "6")]
+
+
+def test_the_second_usage_table(run, tmp_path):
+    root = tmp_path / "log"
+    root.mkdir()
+    (root / "a.csv").write_text('userid,data\n"u1",3-1-2025\n"u1",3-9-2025\n"u2",3-2-2025\n')
+    columns = "userid string, data string"
+    table = run("convert-usage", "log", "--schema", columns, text=root)
+    latest = read(run("latest-activity", "log-latest", "--day-col", "data", usage=table))
+    assert [tuple(r.values()) for r in latest] == [("u1", "2025-03-09"), ("u2", "2025-03-02")]
+    sql = "SELECT userid, data FROM seen WHERE data LIKE '3-1%'"
+    options = ("--sql", sql, "--view", f"seen={root}", "--schema", f"seen={columns}")
+    assert [r["data"] for r in read(run("query", "log-query", *options))] == ["3-1-2025"]
+
+
+def test_a_landing_in_part_fails_the_job(run, landed, tmp_path):
+    entry = [{"PrincipalType": "USER", "PrincipalId": "u1"}]
+    for name, pages in (
+        ("gap", [{"page": 0, "NextToken": "t"}, {"page": 2}]),
+        ("cut", [{"page": 0, "NextToken": "t"}]),
+    ):
+        folder = tmp_path / name / "application_arn=app"
+        land(folder, "p.json", *({**p, "ApplicationAssignments": entry} for p in pages))
+        directory = {"assignments": tmp_path / name, "application": "app"}
+        with pytest.raises(ValueError, match="incomplete landing of app"):
+            run("direct-users", f"{name}-out", users=landed / "users", **directory)
+
+
+def test_a_failed_group_job_can_be_repeated(spark, run, landed, tmp_path):
+    data = {k: landed / k for k in ("assignments", "memberships", "groups", "users")}
+    land(tmp_path / "g" / "identity_store_id=d-1", "g.json",
+         {"GroupId": "g1", "Group": {"DisplayName": "First"}})
+    with pytest.raises(Exception, match="no profile for assigned group g2"):
+        run("group-access", "again", application="app", **{**data, "groups": tmp_path / "g"})
+    out = run("group-access", "again", application="app", **data)
+    assert len(read(f"{out}/summary")) == 2
+    with pytest.raises(ValueError, match="PATH_ALREADY_EXISTS"):
+        run("group-access", "again", application="app", **data)
 
 
 def test_an_existing_result_is_not_overwritten(run, table):

@@ -1,12 +1,15 @@
 """Readers over files written by hand."""
 
+import datetime
 import json
 
+import inputs
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from seatwise.functions.sql import register_sql_functions
 from seatwise.functions.text import strip_blanks, uri_bucket, uri_key
 from seatwise.schemas import USAGE
 from seatwise.sources import directory, usage_files, user_list
@@ -100,22 +103,42 @@ def test_usage_text_is_split_without_losing_lines(spark, tmp_path):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
-def test_usage_schema_needs_text_first(spark, tmp_path):
-    mixed = T.StructType([USAGE.fields[2], USAGE.fields[0]])
-    with pytest.raises(ValueError):
-        usage_files.read_usage_text(spark, put(tmp_path / "u", "a", "h\n"), mixed)
+def test_text_columns_may_stand_anywhere(spark, tmp_path):
+    schema = "n int, who string, m int, note string"
+    text = "h\n1,u1,2,a b\nx,\\N,,\n7,u2\n 3,u3,4,c,more\n"
+    path = put(tmp_path / "u", "a", text)
+    rows = usage_files.read_usage_text(spark, path, T.StructType.fromDDL(schema)).collect()
+    assert {tuple(r) for r in rows} == {
+        (1, "u1", 2, "a b"),
+        (None, None, None, ""),
+        (7, "u2", None, None),
+        (None, "u3", 4, "c"),
+    }
 
 
 def test_user_list(spark, tmp_path):
     text = 'id,date\n"\tu1 ","a, b"\n\nu2,x\nu3\n"u""4","two\nlines"\nu2,x\n'
     path = put(tmp_path / "list", "a.csv", text)
-    rows = sorted(tuple(r) for r in user_list.read_user_list(spark, path).collect())
+    rows = sorted(tuple(r) for r in user_list.read_user_list(spark, path, True).collect())
     assert rows == sorted(
         [("u1", "a, b"), ("u2", "x"), ("u2", "x"), ("u3", None), ('u"4', "two\nlines")],
         key=lambda r: r[0],
     )
 
 
+def test_a_large_user_list_is_split(spark, tmp_path):
+    path = put(tmp_path / "list", "a.csv", "id,date\n" + "u1,03-01-2025\n" * 60_000)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100KB")
+    try:
+        listed = user_list.read_user_list(spark, path)
+        assert listed.rdd.getNumPartitions() > 3
+        assert listed.count() == 60_000
+        assert user_list.read_user_list(spark, path, True).rdd.getNumPartitions() == 1
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_strip_takes_every_blank_off_both_ends(spark):
     df = spark.createDataFrame([("\t  a b　\r\n",), ("",), (None,)], "s string")
     assert [r[0] for r in df.select(strip_blanks(F.col("s"))).collect()] == ["a b", "", None]
@@ -173,10 +196,28 @@ def test_the_first_listed_instance_names_the_store(spark, tmp_path):
     assert directory.first_store(spark, none) is None
 
 
-def test_directory_snapshots_come_from_the_lowest_store(spark, tmp_path):
-    def user(uid):
-        return json.dumps({"UserId": uid, "UserName": uid, "Emails": []}) + "\n"
+def test_list_files_need_page_numbers_and_a_first_store(spark, tmp_path):
+    def instances(page, *ids):
+        body = {"Instances": [{"IdentityStoreId": i} if i else {} for i in ids]}
+        return json.dumps(body | ({} if page is None else {"page": page})) + "\n"
+
+    put(tmp_path / "paged", "b.json", instances(0, "d-0", "d-5"))
+    paged = put(tmp_path / "paged", "a.json", instances(1, "d-9"))
+    assert directory.first_store(spark, paged) == "d-0"
+    put(tmp_path / "bare", "a.json", instances(None, "d-1"))
+    bare = put(tmp_path / "bare", "b.json", instances(None, "d-2"))
+    with pytest.raises(ValueError, match="page numbers"):
+        directory.first_store(spark, bare)
+    blank = put(tmp_path / "blank", "a.json", instances(0, None, "d-2"))
+    with pytest.raises(ValueError, match="no identity store"):
+        directory.first_store(spark, blank)
+
+
+def user(uid, **more):
+    return json.dumps({"UserId": uid, "UserName": uid, "Emails": []} | more) + "\n"
+
 
+def test_directory_snapshots_come_from_the_store_named(spark, tmp_path):
     def group(gid):
         return json.dumps({"GroupId": gid, "Group": {"DisplayName": gid.upper()}}) + "\n"
 
@@ -189,12 +230,79 @@ def test_directory_snapshots_come_from_the_lowest_store(spark, tmp_path):
         put(users / f"identity_store_id={store}", "u.json", user(f"{mark}1") + user(f"{mark}2"))
         put(groups / f"identity_store_id={store}", "g.json", group(f"g{mark}"))
         put(joined / f"identity_store_id={store}", "m.json", members(f"g{mark}", "x", "y"))
-    read = directory.read_users(spark, str(users))
+    read = directory.read_users(spark, str(users), "d-1")
     assert sorted(r["user_id"] for r in read.collect()) == ["a1", "a2"]
     assert read.first()["emails"] == []
-    assert directory.lowest_store(spark, str(users)) == "d-1"
-    assert directory.read_users(spark, str(users), "d-2").count() == 2
     assert directory.read_users(spark, str(users), "d-3").isEmpty()
-    assert [tuple(r) for r in directory.read_groups(spark, str(groups)).collect()] == [("ga", "GA")]
-    rows = directory.read_memberships(spark, str(joined)).collect()
+    found = directory.read_groups(spark, str(groups), "d-1").collect()
+    assert [tuple(r) for r in found] == [("ga", "GA")]
+    rows = directory.read_memberships(spark, str(joined), "d-1").collect()
     assert sorted(tuple(r) for r in rows) == [("ga", 0, 0, "x"), ("ga", 0, 1, "y")]
+    with pytest.raises(ValueError, match="several identity stores are landed, name one: d-1, d-2"):
+        directory.read_users(spark, str(users))
+
+
+def test_the_store_may_stand_in_the_object_but_has_to_stand_somewhere(spark, tmp_path):
+    whole = put(tmp_path / "whole", "u.json", user("a", IdentityStoreId="d-1"))
+    assert [r["user_id"] for r in directory.read_users(spark, whole).collect()] == ["a"]
+    assert directory.read_users(spark, whole, "d-1").count() == 1
+    for name, text in (
+        ("none", user("a") + user("b")),
+        ("some", user("a", IdentityStoreId="d-1") + user("b")),
+    ):
+        path = put(tmp_path / name, "u.json", text)
+        with pytest.raises(ValueError, match="no identity store id"):
+            directory.read_users(spark, path)
+        with pytest.raises(PySparkException, match="no identity store id"):
+            directory.read_users(spark, path, "d-1").count()
+
+
+def test_a_profile_landed_twice_is_named(spark, tmp_path):
+    from seatwise.operators import access
+
+    store = {"IdentityStoreId": "d-1"}
+    once = put(tmp_path / "once", "u.json", user("a", **store) + user("b", **store))
+    put(tmp_path / "twice", "1.json", user("a", **store) + user("b", **store))
+    twice = put(tmp_path / "twice", "2.json", user("b", **store, DisplayName="newer"))
+    assigned = inputs.assignments(spark, (1, 0, "USER", "a"), (1, 1, "USER", "b"))
+    counts = access.direct_user_count(assigned, directory.read_users(spark, once))
+    assert tuple(counts.first()) == (2, 2)
+    for read in (lambda df: df.count(), lambda df: df.select("user_name").collect()):
+        with pytest.raises(PySparkException, match="landed more than once: user_id b"):
+            read(directory.read_users(spark, twice))
+    group = json.dumps({"GroupId": "g", "Group": {"DisplayName": "G"}, **store}) + "\n"
+    path = put(tmp_path / "groups", "g.json", group + group)
+    with pytest.raises(PySparkException, match="landed more than once: group_id g"):
+        directory.read_groups(spark, path).collect()
+
+
+def test_incomplete_landings_are_named(spark):
+    def problems(*pages):
+        rows = [("g", page, token) for page, token in pages]
+        df = spark.createDataFrame(rows, "GroupId string, page int, NextToken string")
+        found = directory.incomplete_landings(df, "GroupId").collect()
+        return [r["problem"] for r in found]
+
+    assert problems((0, "t"), (1, "t"), (2, None)) == []
+    assert problems((1, "t"), (2, "")) == []
+    assert problems((0, None)) == []
+    assert problems((2, "t"), (3, None)) == ["first page missing"]
+    assert problems((0, "t"), (2, None)) == ["page missing"]
+    assert problems((0, "t"), (0, "t"), (1, None)) == ["page repeated"]
+    assert problems((0, "t"), (1, "t")) == ["last page missing"]
+    assert problems((0, None), (1, None)) == ["token missing"]
+    assert problems((None, None)) == ["no page number"]
+
+
+def test_datetime_patterns_of_the_query_service(spark):
+    register_sql_functions(spark)
+    for text, pattern in (
+        ("20250301", "YYYYMMdd"),
+        ("Mar-1-2025", "MMM-dd-YYYY"),
+        ("March 1 2025", "MMMM dd YYYY"),
+        ("3-1-2025", "MM-dd-YYYY"),
+        ("03-01-2025", "MM-dd-YYYY"),
+        ("2025/3/1", "YYYY/MM/dd"),
+    ):
+        row = spark.sql(f"SELECT parse_datetime('{text}', '{pattern}')").first()
+        assert row[0] == datetime.datetime(2025, 3, 1), pattern
