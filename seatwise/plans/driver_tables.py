@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from seatwise.schemas import COUNTERS
 
+#: Numbers beyond every customer's.
+UNKNOWN_FROM = 1_000_000_000_000
 
 # The columns used, so that no footer has to be read for planning.
 SCHEMAS = {
@@ -16,13 +19,18 @@ SCHEMAS = {
 }
 
 
+def _user(key: str) -> str:
+    """The user of a number; every tenth one is nobody the directory knows."""
+    return f"concat('u', if({key} % 10 = 0, {key} + {UNKNOWN_FROM}, {key}))"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def usage(spark: SparkSession, sf_dir: str) -> DataFrame:
     inputs = table(spark, sf_dir, "events").selectExpr(
-        "concat('u', cast(user_id AS string)) AS name",
+        f"{_user('user_id')} AS name",
         "event_id % 2 = 0 AS quoted",
         "if(event_id % 97 <> 0, date_format(ts, 'MM-dd-yyyy'), NULL) AS act_date",
         "cast(event_id % 7 AS int) AS gap",
@@ -38,7 +46,7 @@ def usage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def activity_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The second usage table: the day is called ``data``, and some are no days."""
-    name = "concat('u', cast(user_id AS string))"
+    name = _user("user_id")
     return table(spark, sf_dir, "events").selectExpr(
         f"if(event_id % 2 = 0, concat('\"', {name}, '\"'), {name}) AS userid",
         """CASE WHEN event_id % 97 = 0 THEN NULL
@@ -59,7 +67,7 @@ def _counter(i: int, name: str) -> str:
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     plain = "named_struct('Value', concat('a', key, '@x.test'), 'Primary', false)"
     primary = "named_struct('Value', concat('b', key, '@x.test'), 'Primary', true)"
-    customer = table(spark, sf_dir, "customer").where("c_custkey % 10 <> 0")
+    customer = table(spark, sf_dir, "customer")
     return customer.selectExpr("*", "cast(c_custkey AS string) AS key").selectExpr(
         "concat('u', key) AS user_id",
         "c_name AS user_name",
@@ -94,7 +102,7 @@ def memberships(spark: SparkSession, sf_dir: str) -> DataFrame:
     place = (
         "cast(floor(c_custkey / 100) AS int) AS page",
         "cast(c_custkey % 100 AS int) AS pos",
-        "concat('u', c_custkey) AS user_id",
+        f"{_user('c_custkey')} AS user_id",
     )
     by_nation = customer.where("c_mktsegment <> 'MACHINERY'").selectExpr(
         "concat('n', c_nationkey) AS group_id", *place
@@ -114,7 +122,7 @@ def assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
             "explode(if(c_custkey % 3 = 0, array(1, 2), array(1))) AS page",
             "cast(c_custkey AS int) AS pos",
             "'USER' AS principal_type",
-            "concat('u', c_custkey) AS principal_id",
+            f"{_user('c_custkey')} AS principal_id",
         )
     )
     by_nation = nation.where("n_regionkey IN (1, 2)").selectExpr(
@@ -142,3 +150,23 @@ def directory(
         groups(spark, sf_dir),
         users(spark, sf_dir),
     )
+
+
+def membership_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Headers of landed membership pages, of which some groups lack one or a token."""
+    pages = memberships(spark, sf_dir).select("group_id", "page").distinct()
+    last = Window.partitionBy("group_id")
+    number = F.pmod(F.length("group_id") + F.ascii(F.substring("group_id", 2, 1)), F.lit(5))
+    token = F.when(F.col("page") < F.col("last"), F.lit("t"))
+    return (
+        pages.withColumn("last", F.max("page").over(last))
+        .withColumn("kind", number)
+        .where("NOT (kind = 1 AND page = 0) AND NOT (kind = 2 AND page = last)")
+        .withColumn("copies", F.when(F.expr("kind = 3 AND page = 1"), 2).otherwise(1))
+        .withColumn("NextToken", token)
+        .select(
+            F.col("group_id").alias("GroupId"),
+            "page",
+            F.explode(F.array_repeat("NextToken", F.col("copies"))).alias("NextToken"),
+        )
+    )

@@ -28,6 +28,12 @@ _PAIRS = {
     ),
 }
 
+
+
+def _user(key: str) -> str:
+    return f"'u' || CASE WHEN {key} % 10 = 0 THEN {key} + 1000000000000 ELSE {key} END"
+
+
 _paired = {name for pair in _PAIRS.values() for name in pair.split(" + ")}
 _SINGLE_SQL = ", ".join(
     f"CAST(sum({c}) AS BIGINT) AS total_{c}" for c in COUNTERS if c not in _paired
@@ -58,7 +64,8 @@ def _counter(i: int, name: str) -> str:
 
 _VIEWS = {
     "usage": f"""
-  SELECT CASE WHEN event_id % 2 = 0 THEN '"u' || user_id || '"' ELSE 'u' || user_id END AS userid,
+  SELECT CASE WHEN event_id % 2 = 0 THEN '"' || {_user("user_id")} || '"'
+    ELSE {_user("user_id")} END AS userid,
     CASE WHEN event_id % 97 <> 0 THEN strftime(ts, '%m-%d-%Y') END AS act_date,
     {", ".join(_counter(i, c) for i, c in enumerate(COUNTERS, 1))}
   FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events)""",
@@ -66,8 +73,9 @@ _VIEWS = {
   SELECT DISTINCT replace(userid, '"', '') AS user_id, latest_activity_date
   FROM (SELECT userid, CAST(max(strptime(act_date, '%m-%d-%Y')) AS DATE) AS latest_activity_date
         FROM usage GROUP BY userid)""",
-    "log": """
-  SELECT CASE WHEN event_id % 2 = 0 THEN '"u' || user_id || '"' ELSE 'u' || user_id END AS userid,
+    "log": f"""
+  SELECT CASE WHEN event_id % 2 = 0 THEN '"' || {_user("user_id")} || '"'
+    ELSE {_user("user_id")} END AS userid,
     CASE WHEN event_id % 97 = 0 THEN NULL
          WHEN event_id % 89 = 0 THEN '13-' || strftime(ts, '%d-%Y')
          WHEN event_id % 83 = 0 THEN ''
@@ -81,7 +89,7 @@ _VIEWS = {
     CASE WHEN c_custkey % 4 >= 2 THEN 'a' || c_custkey || '@x.test' END AS first_email,
     CASE WHEN c_custkey % 4 = 3 THEN 'b' || c_custkey || '@x.test' ELSE '' END AS primary_email,
     c_custkey
-  FROM customer WHERE c_custkey % 10 <> 0""",
+  FROM customer""",
     "known": """
   SELECT user_id, user_name, first_email AS email, display_name
   FROM people WHERE emails IS NULL OR emails > 0""",
@@ -89,19 +97,19 @@ _VIEWS = {
   SELECT 'n' || n_nationkey AS group_id, n_name AS group_name FROM nation
   UNION ALL SELECT DISTINCT 's' || c_mktsegment, c_mktsegment FROM customer
   UNION ALL SELECT 'empty', 'EMPTY'""",
-    "members": """
+    "members": f"""
   SELECT 'n' || c_nationkey AS group_id, CAST(c_custkey // 100 AS INTEGER) AS page,
-    CAST(c_custkey % 100 AS INTEGER) AS pos, 'u' || c_custkey AS user_id
+    CAST(c_custkey % 100 AS INTEGER) AS pos, {_user("c_custkey")} AS user_id
   FROM customer WHERE c_mktsegment <> 'MACHINERY'
   UNION ALL
   SELECT 's' || c_mktsegment, CAST(c_custkey // 100 AS INTEGER),
-    CAST(c_custkey % 100 AS INTEGER), 'u' || c_custkey
+    CAST(c_custkey % 100 AS INTEGER), {_user("c_custkey")}
   FROM customer""",
-    "assigned": """
+    "assigned": f"""
   SELECT 1 AS page, CAST(c_custkey AS INTEGER) AS pos, 'USER' AS principal_type,
-    'u' || c_custkey AS principal_id
+    {_user("c_custkey")} AS principal_id
   FROM customer WHERE c_mktsegment = 'BUILDING'
-  UNION ALL SELECT 2, CAST(c_custkey AS INTEGER), 'USER', 'u' || c_custkey
+  UNION ALL SELECT 2, CAST(c_custkey AS INTEGER), 'USER', {_user("c_custkey")}
   FROM customer WHERE c_mktsegment = 'BUILDING' AND c_custkey % 3 = 0
   UNION ALL SELECT 3, n_nationkey, 'GROUP', 'n' || n_nationkey
   FROM nation WHERE n_regionkey IN (1, 2)
@@ -192,6 +200,28 @@ ORACLE: dict[str, str] = {
         "AND try_strptime(data, '%m-%d-%Y') IS NULL",
         "log",
     ),
+    "sample_rows": "SELECT least(count(*), 100) AS returned, CAST(0 AS BIGINT) AS foreign FROM events",
+    "parsed_patterns": """
+      SELECT event_id, date_trunc('day', ts)::TIMESTAMP AS packed,
+        date_trunc('day', ts)::TIMESTAMP AS short_name,
+        date_trunc('day', ts)::TIMESTAMP AS long_name, date_trunc('second', ts) AS exact
+      FROM events""",
+    "incomplete_landings": _sql(
+        """SELECT group_id AS "GroupId", min(page) AS first_page, max(page) AS last_page,
+          count(*) AS pages,
+          CASE WHEN min(page) > 1 THEN 'first page missing'
+               WHEN count(DISTINCT page) <= max(page) - min(page) THEN 'page missing'
+               WHEN count(*) > count(DISTINCT page) THEN 'page repeated'
+               WHEN max(page) < max(last) THEN 'last page missing' END AS problem
+        FROM (SELECT *, unnest(range(CASE WHEN kind = 3 AND page = 1 THEN 2 ELSE 1 END)) AS copy
+              FROM (SELECT DISTINCT group_id, page,
+                      max(page) OVER (PARTITION BY group_id) AS last,
+                      (length(group_id) + ascii(substr(group_id, 2, 1))) % 5 AS kind
+                    FROM members)
+              WHERE NOT (kind = 1 AND page = 0) AND NOT (kind = 2 AND page = last))
+        GROUP BY group_id HAVING problem IS NOT NULL""",
+        "members",
+    ),
     "direct_users": _sql(_DIRECT, "people", "assigned"),
     "direct_user_count": _sql(
         """SELECT count(DISTINCT a.principal_id) AS assigned_users,
@@ -236,14 +266,12 @@ ORACLE: dict[str, str] = {
         *_ROSTER_VIEWS,
     ),
     "group_nested": _sql(
-        """SELECT page, pos, group_id, group_name, user_count, chunk,
+        """SELECT r.page, r.pos, s.group_id, s.group_name, s.user_count,
+          CAST(member_page // 4 AS BIGINT) AS chunk,
           CAST(to_json(list({'user_id': user_id, 'user_name': user_name, 'email': email,
             'display_name': display_name} ORDER BY member_page, member_pos, user_id))
             AS VARCHAR) AS users
-        FROM (SELECT r.*, s.user_count, CAST(
-                CAST('0x' || substr(md5(r.user_id || ':' || member_page || ':' || member_pos), 1, 8)
-                  AS BIGINT) % CAST(ceil(s.user_count / 1000) AS BIGINT) AS BIGINT) AS chunk
-              FROM roster r JOIN summary s ON s.page = r.page AND s.pos = r.pos)
+        FROM roster r JOIN summary s ON s.page = r.page AND s.pos = r.pos
         GROUP BY ALL
         UNION ALL
         SELECT page, pos, group_id, group_name, user_count, 0, '[]'
@@ -260,6 +288,7 @@ ORACLE: dict[str, str] = {
       FROM (SELECT page_id, regexp_replace(url, '^https?://', '') AS rest FROM pages)""",
     "export_stamp": "SELECT event_id, strftime(ts, '%Y%m%d_%H%M%S') AS stamp FROM events",
     "src_usage_text": _sql("SELECT * FROM usage", "usage"),
+    "src_activity_text": _sql("SELECT * FROM log", "log"),
     "src_usage_parquet": _sql(
         "SELECT *, replace(userid, '\"', '') AS user_id FROM usage", "usage"
     ),

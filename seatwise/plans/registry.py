@@ -12,6 +12,7 @@ from seatwise.functions.sql import register_sql_functions
 from seatwise.functions.text import clean_user_id, export_stamp, uri_bucket, uri_key
 from seatwise.operators import access, enrich, groups, usage
 from seatwise.plans import driver_tables as tables
+from seatwise.schemas import ACTIVITY_LOG, MEMBERSHIP_PAGE
 from seatwise.session import scratch_path
 from seatwise.sinks import files
 from seatwise.sources import directory, usage_files, user_list
@@ -53,6 +54,41 @@ def _latest_activity_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which rows come is open; how many come and that the table holds them is not."""
+    table = tables.usage(spark, sf_dir)
+    sample = usage.sample_rows(table)
+    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    counted = sample.select(one.alias("returned"), zero.alias("foreign"))
+    foreign = sample.exceptAll(table).select(zero, one)
+    return counted.union(foreign).agg(
+        F.coalesce(F.sum("returned"), zero).alias("returned"),
+        F.coalesce(F.sum("foreign"), zero).alias("foreign"),
+    )
+
+
+def _parsed_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    register_sql_functions(spark)
+    return spark.sql(
+        """
+        SELECT event_id,
+               parse_datetime(date_format(ts, 'yyyyMMdd'), 'YYYYMMdd') AS packed,
+               parse_datetime(date_format(ts, 'MMM-dd-yyyy'), 'MMM-dd-YYYY') AS short_name,
+               parse_datetime(date_format(ts, 'MMMM d yyyy'), 'MMMM dd YYYY') AS long_name,
+               parse_datetime(date_format(ts, 'M/d/yyyy HH:mm:ss'), 'MM/dd/YYYY HH:mm:ss') AS exact
+        FROM {events}
+        """,
+        events=tables.table(spark, sf_dir, "events"),
+    )
+
+
+def _incomplete_landings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "membership-pages")
+    tables.membership_landing(spark, sf_dir).write.json(path)
+    pages = spark.read.schema(MEMBERSHIP_PAGE).json(path)
+    return directory.incomplete_landings(pages, "GroupId")
+
+
 def _direct_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return access.direct_users(tables.assignments(spark, sf_dir), tables.users(spark, sf_dir))
 
@@ -79,7 +115,8 @@ def _activity_with_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _group_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nested = groups.group_nested(*tables.directory(spark, sf_dir))
+    # Few pages to a row, so that groups come in several rows at every size.
+    nested = groups.group_nested(*tables.directory(spark, sf_dir), pages_per_row=4)
     # As text, so that any engine compares the lists alike.
     return nested.withColumn("users", F.to_json("users", {"ignoreNullFields": "false"}))
 
@@ -112,6 +149,12 @@ def _src_usage_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return usage_files.read_usage_text(spark, path)
 
 
+def _src_activity_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "activity-text")
+    usage_files.write_usage_text(tables.activity_log(spark, sf_dir), path)
+    return usage_files.read_usage_text(spark, path, ACTIVITY_LOG)
+
+
 def _src_usage_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "usage-parquet")
     usage_files.write_usage_parquet(tables.usage(spark, sf_dir), path)
@@ -181,7 +224,7 @@ def _src_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("emails").alias("Emails"),
     )
     landed.write.partitionBy("identity_store_id").json(path)
-    return directory.read_users(spark, path).select(
+    return directory.read_users(spark, path, "d-0").select(
         "user_id",
         "user_name",
         "display_name",
@@ -201,7 +244,7 @@ def _src_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.col("group_name").alias("DisplayName")).alias("Group"),
     )
     landed.write.partitionBy("identity_store_id").json(path)
-    return directory.read_groups(spark, path)
+    return directory.read_groups(spark, path, STORE)
 
 
 def _read_export(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -244,7 +287,9 @@ QUERIES: dict[str, Query] = {
     "latest_activity_lenient": _latest_activity_lenient,
     "latest_activity_sql": _latest_activity_sql,
     "bad_days": _bad_days,
-    "sample_rows": _on_usage(usage.sample_rows),
+    "sample_rows": _sample_rows,
+    "parsed_patterns": _parsed_patterns,
+    "incomplete_landings": _incomplete_landings,
     "direct_users": _direct_users,
     "direct_user_count": _direct_user_count,
     "enrich_activity": _enrich_activity,
@@ -260,6 +305,7 @@ QUERIES: dict[str, Query] = {
     "uri_parts": _uri_parts,
     "export_stamp": _export_stamp,
     "src_usage_text": _src_usage_text,
+    "src_activity_text": _src_activity_text,
     "src_usage_parquet": _src_usage_parquet,
     "src_user_list": _src_user_list,
     "src_assignments": _src_assignments,

@@ -4,8 +4,9 @@ import compare
 import pytest
 
 import __spark_entry__ as contract
+from seatwise.plans.oracle import ORACLE
+from seatwise.plans.registry import QUERIES
 
-ORACLE = contract.oracle_sql()
 SQL_TYPES = {
     "string": "VARCHAR",
     "int": "INTEGER",
@@ -33,13 +34,10 @@ def test_query_matches_sql(spark, sf_dir, duck, name):
     assert got == compare.sql_rows(duck, ORACLE[name])
 
 
-def test_only_the_unordered_sample_has_no_sql(spark, sf_dir):
-    assert set(contract.queries()) - set(ORACLE) == {"sample_rows"}
-    table = contract.queries()["src_usage_text"](spark, sf_dir)
-    sample = contract.queries()["sample_rows"](spark, sf_dir)
-    assert sample.columns == table.columns
-    assert sample.count() == 100
-    assert sample.exceptAll(table).isEmpty()
+def test_every_query_has_its_sql_and_is_registered():
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(ORACLE) <= set(contract.oracle_sql())
 
 
 def test_entry_runs_the_rollup(spark):
