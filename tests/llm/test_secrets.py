@@ -1,0 +1,81 @@
+"""Findings in known places, and values that only look like one."""
+
+import re
+
+import edges
+import numpy as np
+import pytest
+
+from seatwise.llm import secrets
+from seatwise.llm.secret_findings import labelled_findings
+
+
+@pytest.fixture(scope="module")
+def forest():
+    return secrets.trained_forest()
+
+
+def test_findings_not_learnt_from(forest):
+    findings = labelled_findings(1000, seed=555)
+    scores = forest.predict(np.array([secrets.features(*f[:4]) for f in findings]))
+    right = [(s >= secrets.THRESHOLD) == bool(f[4]) for s, f in zip(scores, findings)]
+    assert sum(right) / len(right) > 0.98
+
+
+def test_whole_table(spark, sf_dir, forest):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    expected = {
+        (r["doc_id"], m.start(), m.end())
+        for r in docs.collect()
+        for m in re.finditer(r"\b[0-9a-fA-F]{40}\b", r["text"])
+    }
+    rows = secrets.scan(docs, forest=forest).collect()
+    assert {(r["doc_id"], r["start"], r["end"]) for r in rows} == expected
+    redacted = secrets.redact(docs, forest=forest)
+    assert redacted.columns == docs.columns and redacted.schema == docs.schema
+    before = {r["doc_id"]: r for r in docs.collect()}
+    for r in redacted.collect():
+        mine = sorted(e[1:] for e in expected if e[0] == r["doc_id"])
+        text = before[r["doc_id"]]["text"]
+        for a, b in reversed(mine):
+            text = text[:a] + secrets.REDACTED + text[b:]
+        assert r["text"] == text and r["n_chars"] == len(text)
+
+
+def values(forest, text, path=""):
+    return [text[a:b] for a, b, _, _ in secrets.find(forest, [text], [path])[0]]
+
+
+def test_kinds_of_secrets(forest):
+    key = "-----BEGIN RSA PRIVATE KEY-----\nabc\n-----END RSA PRIVATE KEY-----"
+    assert values(forest, f"x {key} y") == [key]
+    aws = "AKIA" + "Q7ZX2M4N8P1R5T3V"
+    assert values(forest, f"aws access_key = {aws} and more") == [aws]
+    hexes = "3f9c2b7a8d1e4f60a5b3c9d8e7f61234"
+    assert values(forest, f'password: "{hexes}"') == [hexes]
+    assert values(forest, "api_key = your_api_key_goes_here_xxxx") == []
+    assert values(forest, "the configuration_manager_service_provider handles it") == []
+    assert values(forest, f"commit sha {hexes} of the repository") == []
+
+
+def test_no_candidate_lies_within_another():
+    text = 'token = "eyJhbGciOi123456.eyJzdWIiOi123456.c2lnbmF0dXJlMTIz" end'
+    spans = secrets.candidates(text)
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+    assert secrets.candidates("") == []
+
+
+def test_awkward_rows(spark, forest):
+    docs = edges.documents(spark)
+    assert secrets.scan(docs, forest=forest).count() == 0
+    assert secrets.scan(edges.empty(spark), forest=forest).count() == 0
+    same = secrets.redact(docs, forest=forest)
+    key = lambda r: str(r)
+    assert sorted(same.collect(), key=key) == sorted(docs.collect(), key=key)
+    bare = spark.createDataFrame(
+        [(1, "token = '9c2b7a8d1e4f60a5b3c9d8e7f6123456'")] * 2, "doc_id long, text string"
+    )
+    assert secrets.scan(bare, forest=forest).count() == 2
+    assert {r["text"] for r in secrets.redact(bare, forest=forest).collect()} == {
+        "token = '[redacted]'"
+    }
