@@ -187,11 +187,12 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(True))
 
 
-def keep_identified(docs: DataFrame, lowest: float = 0.3) -> DataFrame:
+def keep_identified(docs: DataFrame, lowest: float = 0.0) -> DataFrame:
     """The rows whose language is recognised, all columns as they are.
 
-    ``und`` and scores under ``lowest`` go: null and empty texts and texts without
-    a letter among them. Copies of a row stay or go together.
+    ``und`` and scores under ``lowest`` go. By default that is null and empty texts
+    and texts without a letter: a few words may fit two languages and still be
+    good text. Copies of a row stay or go together.
     """
     model = fit(*training_sample(docs.where(~held_out())))
     return docs.where(accepts(model, lowest)(F.col("text").cast("string")))

@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from seatwise.llm import bpe, decontaminate, embeddings, html_text, language, licenses, secrets, simhash, substrings, toxicity
+from seatwise.llm import (
+    bpe,
+    decontaminate,
+    embeddings,
+    html_text,
+    language,
+    licenses,
+    secrets,
+    simhash,
+    substrings,
+    toxicity,
+)
 from seatwise.llm.common import table
 
 
