@@ -31,7 +31,7 @@ RANK = 96
 #: A passage is two blocks of words; the next one starts a block later.
 BLOCK_WORDS = 24
 #: Words in more than this share of the documents have no weight,
-COMMON = 0.02
+COMMON = 0.01
 #: but so many of an item's words, the rarest ones, always have: an item that
 #: leaked into a third of the documents has no rare words left.
 TELLING_WORDS = 8
@@ -237,6 +237,8 @@ class Retriever:
     def __init__(self, items: list[Item], vectors: np.ndarray, weights: np.ndarray):
         self.items, self.vectors, self.weights = items, vectors, weights
         self.masks = [_masks(i.words) for i in items]
+        self.sets = [frozenset(i.words) for i in items]
+        self.longest = max(len(i.words) for i in items)
         columns = [_columns(np.array(i.words, dtype=np.uint64)) for i in items]
         counts = np.array([len(c) for c in columns], dtype=np.int64)
         seen = Passages(np.concatenate(columns), counts, weights)
@@ -261,22 +263,24 @@ class Retriever:
                 )
 
     def _checked(self, at, words, counts, seen, rows, queries, cosines):
+        last, around = -1, frozenset()
         for row, query, cosine in zip(rows.tolist(), queries.tolist(), cosines.tolist()):
             number, doc = int(self.owner[query]), int(seen.owner[row])
-            item = self.items[number]
-            start = int(seen.first[doc]) + int(seen.place[row]) * BLOCK_WORDS
-            low = max(int(seen.first[doc]), start - len(item.words))
-            high = min(
-                int(seen.first[doc] + counts[doc]), start + 2 * BLOCK_WORDS + len(item.words)
-            )
-            around, size = words[low:high].tolist(), len(item.words)
-            there = set(around)
-            if sum(w in there for w in item.words) < LOOSE_MATCH * size:
+            item, begin = self.items[number], int(seen.first[doc])
+            start, end = begin + int(seen.place[row]) * BLOCK_WORDS, begin + int(counts[doc])
+            if row != last:
+                last = row
+                low, high = max(begin, start - self.longest), start + 2 * BLOCK_WORDS + self.longest
+                around = frozenset(words[low : min(end, high)].tolist())
+            # Words that are missing altogether cannot be in a common subsequence.
+            size = len(item.words)
+            if size - len(self.sets[number] - around) < LOOSE_MATCH * size:
                 continue
-            share = subsequence(self.masks[number], size, around) / size
-            if share >= MATCH or share >= LOOSE_MATCH and _stands_in(item.answer, around):
-                first = low - int(seen.first[doc])
-                yield at + doc, number, cosine, share, first, first + high - low - 1
+            low, high = max(begin, start - size), min(end, start + 2 * BLOCK_WORDS + size)
+            near = words[low:high].tolist()
+            share = subsequence(self.masks[number], size, near) / size
+            if share >= MATCH or share >= LOOSE_MATCH and _stands_in(item.answer, near):
+                yield at + doc, number, cosine, share, low - begin, high - begin - 1
 
 
 def _scaled(vectors: np.ndarray) -> np.ndarray:
