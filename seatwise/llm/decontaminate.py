@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seatwise.llm.common import WordHasher, chunks
+from seatwise.llm.common import WordHasher, chunks, stored
 
 #: Places of a passage vector, as a power of two.
 BITS = 14
@@ -93,20 +93,26 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     )
 
 
-def word_weights(docs: DataFrame, items: list[Item]) -> np.ndarray:
-    """Inverse document frequency of each hashed word over all documents."""
+def word_weights(docs: DataFrame, benchmark: DataFrame) -> np.ndarray | None:
+    """Inverse document frequency of each hashed word over all documents.
+
+    The items are gone through a block at a time for the words that have to keep
+    a weight; a benchmark without any words gives none.
+    """
     counted = docs.select("text").mapInPandas(_count, "place long, documents long")
     rows = counted.groupBy("place").agg(F.sum("documents").alias("n")).collect()
     known = {r["place"]: r["n"] for r in rows}
     total = max(1, known.pop(-1, 0))
     n = np.zeros(1 << BITS)
     n[list(known)] = list(known.values())
+    kept, found = n <= max(COMMON * total, 10), False
+    for items in _items(benchmark):
+        found = True
+        for item in items:
+            mine = np.unique(_columns(np.array(item.words, dtype=np.uint64)))
+            kept[mine[np.argsort(n[mine], kind="stable")[:TELLING_WORDS]]] = True
     weights = np.log((1 + total) / (1 + n)) + 1
-    kept = n <= max(COMMON * total, 10)
-    for item in items:
-        mine = np.unique(_columns(np.array(item.words, dtype=np.uint64)))
-        kept[mine[np.argsort(n[mine], kind="stable")[:TELLING_WORDS]]] = True
-    return (weights * kept).astype(np.float32)
+    return (weights * kept).astype(np.float32) if found else None
 
 
 class Passages:
@@ -310,15 +316,15 @@ def _items(benchmark: DataFrame) -> Iterator[list[Item]]:
             yield items
 
 
-def retrievers(docs: DataFrame, benchmark: DataFrame) -> list[Retriever]:
-    blocks = list(_items(benchmark))
-    if not blocks:
-        return []
-    weights = word_weights(docs, [item for items in blocks for item in items])
+def retrievers(docs: DataFrame, benchmark: DataFrame) -> Iterator[Retriever]:
+    """One for each block of items; only one block is on the driver at a time."""
+    weights = word_weights(docs, benchmark)
+    if weights is None:
+        return
     vectors = directions(docs, weights)
-    if not vectors.shape[1]:
-        return []
-    return [Retriever(items, vectors, weights) for items in blocks]
+    if vectors.shape[1]:
+        for items in _items(benchmark):
+            yield Retriever(items, vectors, weights)
 
 
 def _matches(retriever: Retriever):
@@ -357,10 +363,13 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     texts = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
     )
-    out = docs.sparkSession.createDataFrame([], MATCH_SCHEMA)
+    out = None
     for retriever in retrievers(texts, benchmark):
-        out = out.union(texts.mapInPandas(_matches(retriever), MATCH_SCHEMA))
-    return out
+        # With a further block, the one before is written and its items are let go.
+        before = None if out is None else stored(out, "leaks")
+        out = texts.mapInPandas(_matches(retriever), MATCH_SCHEMA)
+        out = out if before is None else before.union(out)
+    return docs.sparkSession.createDataFrame([], MATCH_SCHEMA) if out is None else out
 
 
 def _is_clean(retriever: Retriever):
@@ -378,6 +387,7 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows that hold no benchmark item, all columns as they are."""
     out = docs
     texts = docs.select(F.col("text").cast("string").alias("text"))
-    for retriever in retrievers(texts, benchmark):
+    for number, retriever in enumerate(retrievers(texts, benchmark)):
+        out = stored(out, "clean") if number else out
         out = out.where(_is_clean(retriever)(F.col("text").cast("string")))
     return out
