@@ -10,7 +10,10 @@ copy go on word by word, nothing branches and the path grows. At last each path
 is read at its source and at its copy, and the words must be the same.
 
 A task packs the hashes it sends to a bucket into one row, so a repeated window
-costs a few bytes and a document that holds it a thousand times counts once.
+costs a few bytes and a document that holds it a thousand times counts once. What
+a batch of documents can settle by itself does not meet in a bucket at all: of a
+window that many of them share only the first one's goes there, the others have
+found their source. So a passage in a third of all documents fills no task.
 """
 
 from __future__ import annotations
@@ -32,6 +35,8 @@ WIDTH = 13
 ANCHOR_WORDS = 7
 #: Bytes of text worked on at a time.
 BATCH_BYTES = 4 << 20
+#: Rows of what a batch has settled that travel together.
+PIECE = 4096
 #: Other hashes are tried this often if a path's words differ at its two ends.
 ATTEMPTS = 4
 
@@ -82,10 +87,11 @@ class Windows:
         self.first = ends - counts
 
 
-def _pack(frame: list, bucket, docs, counts, **arrays) -> None:
+def _pack(frame: list, bucket, settled, docs, counts, **arrays) -> None:
     frame.append(
         {
             "bucket": int(bucket),
+            "settled": bool(settled),
             "docs": docs.astype(np.int64).tobytes(),
             "counts": counts.astype(np.int32).tobytes(),
             **{name: values.tobytes() for name, values in arrays.items()},
@@ -105,7 +111,9 @@ def _by_bucket(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray
 
 def _runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First place and length of each run of equal values."""
-    starts = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
+    fresh = np.ones(len(values), dtype=bool)
+    fresh[1:] = values[1:] != values[:-1]
+    starts = np.flatnonzero(fresh)
     return starts, np.diff(np.concatenate([starts, [len(values)]]))
 
 
@@ -123,19 +131,41 @@ def _anchors(width: int, buckets: int, seed: int):
                 key = seen.anchor
                 fresh = np.ones(len(key), dtype=bool)
                 fresh[1:] = (key[1:] != key[:-1]) | (seen.owner[1:] != seen.owner[:-1])
-                key, owner = key[fresh], seen.owner[fresh]
+                key, docs = key[fresh], ids[a:b][seen.owner[fresh]]
                 out: list = []
-                for bucket, rows in _by_bucket(key, buckets):
-                    starts, counts = _runs(owner[rows])
-                    docs = ids[a:b][owner[rows][starts]]
-                    _pack(out, bucket, docs, counts, anchors=key[rows])
+                settled, sent = _settle_anchors(key, docs)
+                # Those already known to be shared go wherever there is room.
+                for i, rows in enumerate(np.split(settled, range(PIECE, len(settled), PIECE))):
+                    if len(rows):
+                        bucket = (int(key[rows[0]]) + i) % buckets
+                        first, counts = _runs(docs[rows])
+                        _pack(out, bucket, True, docs[rows][first], counts, anchors=key[rows])
+                for bucket, rows in _by_bucket(key[sent], buckets):
+                    rows = sent[rows]
+                    first, counts = _runs(docs[rows])
+                    _pack(out, bucket, False, docs[rows][first], counts, anchors=key[rows])
                 yield pd.DataFrame(out)
 
     return run
 
 
+def _settle_anchors(key: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows whose anchor several documents of the batch have, and rows to send on.
+
+    Of such an anchor two documents are sent on, so that any other one that has
+    it meets a document that is not itself; of the rest every row.
+    """
+    order = np.lexsort((docs, key))
+    starts, counts = _runs(key[order])
+    ends = starts + counts - 1
+    several = docs[order[starts]] != docs[order[ends]]
+    settled = np.sort(order[np.repeat(several, counts)])
+    sent = np.concatenate([order[starts], order[ends[several]]])
+    return settled, np.unique(sent)
+
+
 def _joined(group: pd.DataFrame, name: str, kind) -> np.ndarray:
-    return np.concatenate([np.frombuffer(x, dtype=kind) for x in group[name]])
+    return np.frombuffer(b"".join(group[name]), dtype=kind)
 
 
 def _owners(group: pd.DataFrame) -> np.ndarray:
@@ -144,15 +174,16 @@ def _owners(group: pd.DataFrame) -> np.ndarray:
 
 def _repeated_anchors(key, group: pd.DataFrame) -> pd.DataFrame:
     """Anchors of a bucket that stand in two documents, for each document once."""
+    known, group = group[group["settled"]], group[~group["settled"]]
     docs, anchors = _owners(group), _joined(group, "anchors", np.uint64)
     order = np.lexsort((docs, anchors))
     docs, anchors = docs[order], anchors[order]
     starts, counts = _runs(anchors)
     several = np.repeat(docs[starts] != docs[starts + counts - 1], counts)
-    once = np.ones(len(docs), dtype=bool)
-    once[1:] = (docs[1:] != docs[:-1]) | (anchors[1:] != anchors[:-1])
-    pick = several & once
-    return pd.DataFrame({"doc_id": docs[pick], "anchor": anchors[pick].view(np.int64)})
+    docs = np.concatenate([docs[several], _owners(known)])
+    anchors = np.concatenate([anchors[several], _joined(known, "anchors", np.uint64)])
+    found = pd.DataFrame({"doc_id": docs, "anchor": anchors.view(np.int64)})
+    return found.drop_duplicates()
 
 
 def _edges(width: int, buckets: int, seed: int):
@@ -180,76 +211,115 @@ def _edges(width: int, buckets: int, seed: int):
                 owner, anchor = seen.owner[keep], seen.anchor[keep]
                 origins = np.array([_origin(t) for t in texts[a:b]], dtype=np.int64)
                 at = seen.at[keep] - seen.first[owner] + origins[owner]
-                same = seen.anchor_at[keep]
+                docs, out = ids[a:b][owner], []
+                copies, first = _copies_of(anchor, edges, docs, at)
+                for i in range(0, len(copies), PIECE):
+                    part = copies.iloc[i : i + PIECE]
+                    _pack(
+                        out,
+                        (int(part["src_doc"].iloc[0]) + i // PIECE) % buckets,
+                        True,
+                        part["doc_id"].to_numpy(),
+                        np.ones(len(part)),
+                        anchors=part["src_doc"].to_numpy(),
+                        places=part["start"].to_numpy(),
+                        sizes=part["length"].to_numpy().astype(np.int32),
+                        edges=part["src_start"].to_numpy(),
+                    )
                 # Windows in a row under one anchor make one group.
-                starts, counts = _runs(same)
-                out: list = []
-                for bucket, rows in _by_bucket(anchor[starts], buckets):
-                    heads, sizes = starts[rows], counts[rows]
-                    first, docs_n = _runs(owner[heads])
-                    picked = np.repeat(heads, sizes) + _ramp(sizes)
+                row = np.flatnonzero(first)
+                apart = np.ones(len(row), dtype=bool)
+                same = seen.anchor_at[keep][row]
+                apart[1:] = (same[1:] != same[:-1]) | (np.diff(row) != 1)
+                starts = np.flatnonzero(apart)
+                counts = np.diff(np.append(starts, len(row)))
+                for bucket, rows in _by_bucket(anchor[row[starts]], buckets):
+                    heads, sizes = row[starts[rows]], counts[rows]
+                    begins, docs_n = _runs(docs[heads])
                     _pack(
                         out,
                         bucket,
-                        ids[a:b][owner[heads][first]],
+                        False,
+                        docs[heads][begins],
                         docs_n,
                         anchors=anchor[heads],
                         places=at[heads],
-                        sizes=sizes.astype(np.uint8 if width < 256 else np.int32),
-                        edges=edges[picked],
+                        sizes=sizes.astype(np.int32),
+                        edges=edges[np.repeat(heads, sizes) + _ramp(sizes)],
                     )
                 yield pd.DataFrame(out)
 
     return run
 
 
+RUN = ["doc_id", "start", "length", "src_doc", "src_start"]
+
+
+def _copies_of(anchors, edges, docs, places) -> tuple[pd.DataFrame, np.ndarray]:
+    """Runs of windows that stand in a smaller document too, and the rest.
+
+    Each window's source is its smallest document and the first place in it. The
+    rest are the windows of those smallest documents, as a mask.
+    """
+    order = np.lexsort((places, docs, edges, anchors))
+    fresh = np.ones(len(order), dtype=bool)
+    sorted_edges, sorted_anchors = edges[order], anchors[order]
+    fresh[1:] = (sorted_edges[1:] != sorted_edges[:-1]) | (
+        sorted_anchors[1:] != sorted_anchors[:-1]
+    )
+    starts = np.flatnonzero(fresh)
+    source = order[starts[np.cumsum(fresh) - 1]] if len(order) else order
+    later = docs[order] > docs[source]
+    first = np.ones(len(docs), dtype=bool)
+    first[order[later]] = False
+    rows, source = order[later], source[later]
+    copy = pd.DataFrame(
+        {
+            "doc_id": docs[rows],
+            "start": places[rows],
+            "src_doc": docs[source],
+            "src_start": places[source],
+        }
+    )
+    copy = copy.drop_duplicates(["doc_id", "start"]).sort_values(["doc_id", "start"])
+    step = copy.diff()
+    goes_on = (
+        (step["doc_id"] == 0)
+        & (step["start"] == 1)
+        & (step["src_doc"] == 0)
+        & (step["src_start"] == 1)
+    ).to_numpy()
+    heads = np.flatnonzero(~goes_on)
+    out = copy.iloc[heads].copy()
+    out["length"] = np.diff(np.append(heads, len(copy)))
+    return out[RUN], first
+
+
 def _ramp(sizes: np.ndarray) -> np.ndarray:
     """0, 1, ... within each of several groups."""
     return np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
 
 
-def _copied(width: int):
+def _copied(key, group: pd.DataFrame) -> pd.DataFrame:
     """Runs of windows of a bucket that stand in a document with a smaller id."""
-
-    def run(key, group: pd.DataFrame) -> pd.DataFrame:
-        sizes = _joined(group, "sizes", np.uint8 if width < 256 else np.int32).astype(np.int64)
-        docs = np.repeat(_owners(group), sizes)
-        anchors = np.repeat(_joined(group, "anchors", np.uint64), sizes)
-        places = np.repeat(_joined(group, "places", np.int64), sizes)
-        places += _ramp(sizes)
-        edges = _joined(group, "edges", np.uint64)
-        order = np.lexsort((places, docs, edges, anchors))
-        docs, places, edges, anchors = docs[order], places[order], edges[order], anchors[order]
-        fresh = np.ones(len(docs), dtype=bool)
-        fresh[1:] = (edges[1:] != edges[:-1]) | (anchors[1:] != anchors[:-1])
-        starts = np.flatnonzero(fresh)
-        source = starts[np.cumsum(fresh) - 1]
-        rows = np.flatnonzero(docs > docs[source])
-        if not len(rows):
-            return pd.DataFrame(columns=["doc_id", "start", "length", "src_doc", "src_start"])
-        source = source[rows]
-        copy = pd.DataFrame(
-            {
-                "doc_id": docs[rows],
-                "start": places[rows],
-                "src_doc": docs[source],
-                "src_start": places[source],
-            }
-        ).drop_duplicates(["doc_id", "start"])
-        copy = copy.sort_values(["doc_id", "start"])
-        step = copy.diff()
-        goes_on = (
-            (step["doc_id"] == 0)
-            & (step["start"] == 1)
-            & (step["src_doc"] == 0)
-            & (step["src_start"] == 1)
-        ).to_numpy()
-        heads = np.flatnonzero(~goes_on)
-        out = copy.iloc[heads].copy()
-        out["length"] = np.diff(np.concatenate([heads, [len(copy)]]))
-        return out[["doc_id", "start", "length", "src_doc", "src_start"]]
-
-    return run
+    known, group = group[group["settled"]], group[~group["settled"]]
+    settled = pd.DataFrame(
+        {
+            "doc_id": _joined(known, "docs", np.int64),
+            "start": _joined(known, "places", np.int64),
+            "length": _joined(known, "sizes", np.int32).astype(np.int64),
+            "src_doc": _joined(known, "anchors", np.int64),
+            "src_start": _joined(known, "edges", np.int64),
+        }
+    )
+    sizes = _joined(group, "sizes", np.int32).astype(np.int64)
+    found, _ = _copies_of(
+        np.repeat(_joined(group, "anchors", np.uint64), sizes),
+        _joined(group, "edges", np.uint64),
+        np.repeat(_owners(group), sizes),
+        np.repeat(_joined(group, "places", np.int64), sizes) + _ramp(sizes),
+    )
+    return pd.concat([settled, found])
 
 
 def _digest(words: list[bytes]) -> bytes:
@@ -314,8 +384,12 @@ CUT = (
 
 
 def paths_of(copies: DataFrame) -> DataFrame:
-    """Runs that continue each other in copy and source, compacted to paths."""
-    order = Window.partitionBy("doc_id").orderBy("start")
+    """Runs that continue each other in copy and source, compacted to paths.
+
+    Rows alike in id and text may bring the same run, or one with another source.
+    """
+    copies = copies.repartition("doc_id").distinct()
+    order = Window.partitionBy("doc_id").orderBy("start", "length", "src_doc", "src_start")
     after = F.lag(F.struct("start", "length", "src_doc", "src_start")).over(order)
     goes_on = (
         (after["start"] + after["length"] == F.col("start"))
@@ -325,7 +399,7 @@ def paths_of(copies: DataFrame) -> DataFrame:
     fresh = F.when(goes_on, 0).otherwise(1)
     return (
         copies.withColumn("fresh", fresh)
-        .withColumn("path", F.sum("fresh").over(order))
+        .withColumn("path", F.sum("fresh").over(order.rowsBetween(Window.unboundedPreceding, 0)))
         .groupBy("doc_id", "path")
         .agg(
             F.min("start").alias("start"),
@@ -339,7 +413,7 @@ def paths_of(copies: DataFrame) -> DataFrame:
 
 def _once(texts: DataFrame, width: int, seed: int) -> DataFrame:
     buckets = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    packed = "bucket int, docs binary, counts binary, anchors binary"
+    packed = "bucket int, settled boolean, docs binary, counts binary, anchors binary"
     shared = (
         texts.mapInPandas(_anchors(width, buckets, seed), packed)
         .groupBy("bucket")
@@ -356,7 +430,7 @@ def _once(texts: DataFrame, width: int, seed: int) -> DataFrame:
         )
         .groupBy("bucket")
         .applyInPandas(
-            _copied(width), "doc_id long, start long, length long, src_doc long, src_start long"
+            _copied, "doc_id long, start long, length long, src_doc long, src_start long"
         )
     )
     paths = paths_of(copies)
