@@ -33,6 +33,8 @@ SEED = 42
 PIVOTS = 24
 #: Fingerprints of one cell compared with each other at a time.
 BLOCK_ROWS = 1024
+#: A larger cell is cut into parts, whose pairs are compared apart.
+CELL_ROWS = 8192
 #: Shingles hashed before their bits are added up.
 HASH_ROWS = 1 << 15
 
@@ -147,36 +149,64 @@ def _star_links(max_bits: int, pivots: np.ndarray):
         out = np.flatnonzero(root != np.arange(len(fps)))
         return fps[root[out]], fps[out]
 
+    def found(parts: list[np.ndarray]) -> Iterator[pd.DataFrame]:
+        if sum(map(len, parts)) > 1:
+            a, b = links(np.concatenate(parts))
+            yield pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, cell = [], None
+        # The last cell of a batch may go on in the next one.
+        held: list[np.ndarray] = []
+        cell = None
         for batch in batches:
-            cells = batch["cell"].to_numpy()
+            cells = batch["cell"].to_numpy() ^ mix(
+                batch["pair"].to_numpy().view(np.uint64), 99
+            ).view(np.int64)
             fps = batch["fp"].to_numpy().view(np.uint64)
+            if not len(cells):
+                continue
             edges = np.flatnonzero(np.diff(cells)) + 1
-            starts = np.concatenate([[0], edges])
-            ends = np.concatenate([edges, [len(cells)]])
-            found = []
-            if len(cells) and cells[0] != cell:
-                found += [links(np.concatenate(held))] if sum(map(len, held)) > 1 else []
+            starts, ends = np.append(0, edges), np.append(edges, len(cells))
+            if cells[0] != cell:
+                yield from found(held)
                 held = []
-            for n, (a, b) in enumerate(zip(starts, ends)):
-                if n == len(starts) - 1 or n == 0:
-                    if n and held:
-                        found += [links(np.concatenate(held))] if sum(map(len, held)) > 1 else []
-                        held = []
-                    held.append(fps[a:b])
-                elif b - a > 1:
-                    found.append(links(fps[a:b]))
-            cell = cells[-1] if len(cells) else cell
-            for a, b in found:
-                yield pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
-        if sum(map(len, held)) > 1:
-            a, b = links(np.concatenate(held))
-            yield pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
+            held.append(fps[: ends[0]])
+            if len(starts) > 1:
+                yield from found(held)
+                held = [fps[starts[-1] :]]
+            cell = cells[-1]
+            inner = slice(1, len(starts) - 1)
+            # Most cells hold one fingerprint and cost nothing here.
+            for i in np.flatnonzero(ends[inner] - starts[inner] > 1) + 1:
+                yield from found([fps[starts[i] : ends[i]]])
+        yield from found(held)
 
     return run
 
 
+def _parted(cells: DataFrame) -> DataFrame:
+    """Cells with ``pair``: 0, or in a large cell each pair of parts a row is in.
+
+    A row of part ``s`` of ``k`` meets part ``j`` in the pair of the two, so all
+    pairs of rows meet, and no task holds more than two parts.
+    """
+    large = (
+        cells.groupBy("cell")
+        .agg(F.count("*").alias("n"))
+        .where(F.col("n") > CELL_ROWS)
+        .select(F.col("cell").alias("large"), F.ceil(F.col("n") / CELL_ROWS).alias("k"))
+    )
+    mine = F.pmod(F.xxhash64("fp"), F.col("k"))
+    pairs = F.transform(
+        F.sequence(F.lit(0).cast("bigint"), F.col("k") - 1),
+        lambda j: F.least(mine, j) * F.col("k") + F.greatest(mine, j) + 1,
+    )
+    alone = F.array(F.lit(0).cast("bigint"))
+    return cells.join(large, F.col("cell") == F.col("large"), "left").select(
+        "cell", "fp", F.explode(F.when(F.col("k").isNull(), alone).otherwise(pairs)).alias("pair")
+    )
+
+
 def fingerprint_links(
     distinct: DataFrame, max_bits: int = MAX_BITS, n_pivots: int = PIVOTS
 ) -> DataFrame:
@@ -189,8 +219,11 @@ def fingerprint_links(
     choices = [a | b for a, b in combinations(masks, 2)]
     pivots = mix(np.arange(1, n_pivots + 1, dtype=np.uint64))
     cells = distinct.select("fp").mapInPandas(_spread_cells(choices), "cell long, fp long")
-    # Most cells hold one fingerprint; those go before Python sees them.
-    met = cells.repartition("cell").sortWithinPartitions("cell")
+    met = (
+        _parted(cells)
+        .repartition("cell", "pair")
+        .sortWithinPartitions("cell", "pair")
+    )
     return met.mapInPandas(_star_links(max_bits, pivots), "a long, b long").distinct()
 
 
