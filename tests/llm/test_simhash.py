@@ -5,6 +5,7 @@ import re
 
 import edges
 import numpy as np
+import pytest
 import xxhash
 
 from seatwise.llm import simhash
@@ -53,7 +54,9 @@ def test_whole_table(spark, sf_dir):
         assert r["component_id"] == expected[r["doc_id"]]
 
 
-def test_links_connect_what_is_near(spark):
+@pytest.mark.parametrize("most", [8192, 3])
+def test_links_connect_what_is_near(spark, monkeypatch, most):
+    monkeypatch.setattr(simhash, "CELL_ROWS", most)
     rng = random.Random(5)
     fps = []
     for _ in range(60):
