@@ -33,6 +33,8 @@ SEED = 42
 PIVOTS = 24
 #: Fingerprints of one cell compared with each other at a time.
 BLOCK_ROWS = 1024
+#: Cells up to this size are compared many at a time.
+SMALL_CELL = 64
 #: A larger cell is cut into parts, whose pairs are compared apart.
 CELL_ROWS = 8192
 #: Shingles hashed before their bits are added up.
@@ -125,6 +127,32 @@ def cell_links(fps: np.ndarray, max_bits: int, pivots: np.ndarray) -> tuple:
     return np.concatenate(left), np.concatenate(right)
 
 
+def small_cell_links(
+    fps: np.ndarray, sizes: np.ndarray, max_bits: int, pivots: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs within ``max_bits`` in each of many cells that follow each other.
+
+    Each row is paired with the next one of its cell, then the one after, and so
+    on; pairs go as soon as one pivot distance tells them apart.
+    """
+    rest = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(fps)) - 1
+    left, right = [], []
+    for step in range(1, int(sizes.max(initial=0))):
+        i = np.flatnonzero(rest >= step)
+        for pivot in pivots:
+            if len(i) < SMALL_CELL:
+                break
+            away = np.bitwise_count(fps[i] ^ pivot).astype(np.int8)
+            there = np.bitwise_count(fps[i + step] ^ pivot).astype(np.int8)
+            i = i[np.abs(away - there) <= max_bits]
+        i = i[np.bitwise_count(fps[i] ^ fps[i + step]) <= max_bits]
+        left.append(i)
+        right.append(i + step)
+    if not left:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate(left), np.concatenate(right)
+
+
 def _spread_cells(choices: list[int]):
     """One row for each fingerprint and choice of blocks: its cell and itself."""
 
@@ -142,17 +170,15 @@ def _spread_cells(choices: list[int]):
 def _star_links(max_bits: int, pivots: np.ndarray):
     """Links of the cells of a partition sorted by cell, as stars."""
 
-    def links(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        fps = np.unique(fps)
-        left, right = cell_links(fps, max_bits, pivots)
+    def stars(fps: np.ndarray, left: np.ndarray, right: np.ndarray) -> pd.DataFrame:
         root = local_roots(len(fps), left, right)
         out = np.flatnonzero(root != np.arange(len(fps)))
-        return fps[root[out]], fps[out]
+        return pd.DataFrame({"a": fps[root[out]].view(np.int64), "b": fps[out].view(np.int64)})
 
     def found(parts: list[np.ndarray]) -> Iterator[pd.DataFrame]:
         if sum(map(len, parts)) > 1:
-            a, b = links(np.concatenate(parts))
-            yield pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
+            fps = np.unique(np.concatenate(parts))
+            yield stars(fps, *cell_links(fps, max_bits, pivots))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         # The last cell of a batch may go on in the next one.
@@ -175,10 +201,14 @@ def _star_links(max_bits: int, pivots: np.ndarray):
                 yield from found(held)
                 held = [fps[starts[-1] :]]
             cell = cells[-1]
-            inner = slice(1, len(starts) - 1)
             # Most cells hold one fingerprint and cost nothing here.
-            for i in np.flatnonzero(ends[inner] - starts[inner] > 1) + 1:
+            sizes = ends - starts
+            sizes[[0, -1]] = 1
+            for i in np.flatnonzero(sizes > SMALL_CELL):
                 yield from found([fps[starts[i] : ends[i]]])
+            few = (sizes > 1) & (sizes <= SMALL_CELL)
+            some = fps[np.repeat(few, ends - starts)]
+            yield stars(some, *small_cell_links(some, sizes[few], max_bits, pivots))
         yield from found(held)
 
     return run
