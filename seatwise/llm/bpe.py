@@ -24,6 +24,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seatwise.llm.common import chunks
+
 #: Texts longer than this many characters are halved.
 LEAF_CHARS = 65_536
 #: Characters on each side of a join in the first window.
@@ -32,6 +34,8 @@ WINDOW = 64
 REACH = 16
 #: Pieces of words kept by a task for words that come again.
 CACHE_WORDS = 200_000
+#: Characters of short texts whose new words are encoded in one call.
+TOGETHER_CHARS = 1 << 20
 
 SPECIAL = ("<|startoftext|>", "<|endoftext|>")
 _LETTERS = "a-zªµºß-öø-ɏ"
@@ -179,11 +183,13 @@ class Encoder:
     def decode(self, ids: list[int]) -> str:
         return self.tokenizer.decode(ids, skip_special_tokens=False)
 
-    def _learn(self, words: list[str]) -> None:
+    def _learn(self, words: set[str]) -> None:
         if len(self.ids) > CACHE_WORDS:
             self.ids.clear()
             self.pieces.clear()
-        new = [w for w in dict.fromkeys(words) if w not in self.ids]
+        new = [w for w in words if w not in self.ids]
+        if not new:
+            return
         # White space parts words for good, so one call encodes all of them.
         found = self.tokenizer.encode(" ".join(new), add_special_tokens=False)
         ids, pieces = list(map(str, found.ids)), found.tokens
@@ -192,20 +198,30 @@ class Encoder:
             self.ids[word] = " ".join(ids[a:b])
             self.pieces[word] = " ".join(pieces[a:b])
 
+    def texts(self, texts: list[str]) -> list[tuple[str, str]]:
+        """Ids as decimal numbers, and the decoded text, for each of some texts."""
+        words = [
+            WORD.findall(unicodedata.normalize("NFC", text).lower())
+            if PLAIN.fullmatch(text) and not any(s in text for s in SPECIAL)
+            else None
+            for text in texts
+        ]
+        self._learn(set().union(*(w for w in words if w)))
+        return [
+            self._whole(text) if known is None else self._known(known)
+            for text, known in zip(texts, words)
+        ]
+
     def text(self, text: str) -> tuple[str, str]:
-        """Ids as decimal numbers, and the decoded text."""
-        if PLAIN.fullmatch(text) and not any(s in text for s in SPECIAL):
-            words = WORD.findall(unicodedata.normalize("NFC", text).lower())
-            try:
-                return self._known(words)
-            except KeyError:
-                self._learn(words)
-                return self._known(words)
+        return self.texts([text])[0]
+
+    def _whole(self, text: str) -> tuple[str, str]:
         found = self.tokenizer.encode(text, add_special_tokens=False).ids
         return " ".join(map(str, found)), self.decode(found)
 
     def _known(self, words: list[str]) -> tuple[str, str]:
-        return " ".join([self.ids[w] for w in words]), " ".join([self.pieces[w] for w in words])
+        get, piece = self.ids.__getitem__, self.pieces.__getitem__
+        return " ".join(map(get, words)), " ".join(map(piece, words))
 
 
 def _encode_short(path: str):
@@ -213,9 +229,10 @@ def _encode_short(path: str):
         encoder = Encoder(path)
         for batch in batches:
             rows = []
-            for text in batch["text"]:
-                ids, decoded = encoder.text(text)
-                rows.append((ids.count(" ") + 1 if ids else 0, digest(ids), digest(decoded)))
+            texts = batch["text"].tolist()
+            for a, b in chunks(map(len, texts), TOGETHER_CHARS):
+                for ids, decoded in encoder.texts(texts[a:b]):
+                    rows.append((ids.count(" ") + 1 if ids else 0, digest(ids), digest(decoded)))
             yield _result(batch, rows)
 
     return run
@@ -259,10 +276,14 @@ def _encode_leaves(path: str):
 
 
 def _join_leaves(path: str):
-    from tokenizers import Tokenizer
+    loaded: list = []
 
-    def run(key, group: pd.DataFrame) -> pd.DataFrame:
-        tokenizer = Tokenizer.from_file(path)
+    def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
+        from tokenizers import Tokenizer
+
+        if not loaded:
+            loaded.append(Tokenizer.from_file(path))
+        tokenizer = loaded[0]
         copies = int((group["first"] == 0).sum())
         group = group.drop_duplicates("first").sort_values("first")
         nodes = []
