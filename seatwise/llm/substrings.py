@@ -172,7 +172,7 @@ def _owners(group: pd.DataFrame) -> np.ndarray:
     return np.repeat(_joined(group, "docs", np.int64), _joined(group, "counts", np.int32))
 
 
-def _repeated_anchors(key, group: pd.DataFrame) -> pd.DataFrame:
+def _repeated_anchors(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
     """Anchors of a bucket that stand in two documents, for each document once."""
     known, group = group[group["settled"]], group[~group["settled"]]
     docs, anchors = _owners(group), _joined(group, "anchors", np.uint64)
@@ -300,7 +300,7 @@ def _ramp(sizes: np.ndarray) -> np.ndarray:
     return np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
 
 
-def _copied(key, group: pd.DataFrame) -> pd.DataFrame:
+def _copied(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
     """Runs of windows of a bucket that stand in a document with a smaller id."""
     known, group = group[group["settled"]], group[~group["settled"]]
     settled = pd.DataFrame(
