@@ -27,11 +27,14 @@ from seatwise.llm.common import stored
 SAMPLE_ROWS = 24_000
 #: Words of the lexicon at most; the sample bounds the rest of the model.
 LEXICON_WORDS = 50_000
-#: Dirichlet prior: so many words dealt out by their overall share, and this much for each.
-PRIOR_WORDS = 500.0
-PRIOR_EACH = 0.5
-#: Standard deviations a word's log-odds are lowered by, for words seldom seen.
-CAUTION = 1.28
+#: Dirichlet prior: so many words dealt out by their overall share, and so many for
+#: each word, between the labels as the words of all rows are. Without that a word
+#: seen once, in a toxic row, would count against every text it comes up in.
+PRIOR_WORDS = 1000.0
+PRIOR_EACH = 4.0
+#: Standard deviations a word's log-odds are lowered by, and what then must remain.
+CAUTION = 3.0
+LEAST_SCORE = 1.25
 #: What a word outside the lexicon costs.
 DRIFT = 0.1
 PREDICTED_FROM = 0.7
@@ -141,13 +144,15 @@ def lexicon(counts: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
         return {}, {}
     share = (F.col("toxic_n") + F.col("clean_n")) / (toxic + clean)
     prior = F.lit(PRIOR_EACH) + F.lit(PRIOR_WORDS) * share
-    a, b = F.col("toxic_n") + prior, F.col("clean_n") + prior
-    odds = F.log(a / (toxic + PRIOR_WORDS - a)) - F.log(b / (clean + PRIOR_WORDS - b))
+    bad = toxic / (toxic + clean)
+    a, b = F.col("toxic_n") + prior * bad, F.col("clean_n") + prior * (1 - bad)
+    in_toxic, in_clean = toxic + PRIOR_WORDS * bad, clean + PRIOR_WORDS * (1 - bad)
+    odds = F.log(a / (in_toxic - a)) - F.log(b / (in_clean - b))
     score = odds - CAUTION * F.sqrt(1 / a + 1 / b)
     rows = (
         counts.where("toxic_n > 0")
-        .select("word", score.alias("score"), (b / (clean + PRIOR_WORDS)).alias("share"))
-        .where("score > 0")
+        .select("word", score.alias("score"), (b / in_clean).alias("share"))
+        .where(F.col("score") > LEAST_SCORE)
         .orderBy(F.desc("score"), "word")
         .limit(LEXICON_WORDS)
         .collect()
@@ -264,7 +269,9 @@ def training_sample(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_ROWS)
     """Texts with their label and fold, for at most ``most`` labelled ids.
 
     An id labelled both ways counts as toxic. The chosen ids are few by
-    construction, so they are broadcast and the texts never move.
+    construction, so they are broadcast and no other text moves. Of texts with the
+    same two smallest word hashes and label, nearly all of them copies, one stays:
+    a text that was copied often must not make all its words look toxic.
     """
     known = (
         labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out())
@@ -273,12 +280,20 @@ def training_sample(docs: DataFrame, labels: DataFrame, most: int = SAMPLE_ROWS)
         .withColumn("draw", F.xxhash64("id", F.lit("sample")))
         .orderBy("draw", "id")
         .limit(most)
-        .select("id", "toxic", F.pmod("draw", F.lit(FOLDS)).cast("int").alias("fold"))
+        .select("id", "toxic", "draw", F.pmod("draw", F.lit(FOLDS)).cast("int").alias("fold"))
     )
     texts = docs.where(F.col("text").isNotNull()).select(
         F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text")
     )
-    return stored(texts.join(F.broadcast(known), "id").select("text", "toxic", "fold"), "labelled")
+    words = F.split(F.lower("text"), r"[^\p{L}\p{N}]+")
+
+    def least(n: int):
+        return F.array_min(F.transform(words, lambda w: F.xxhash64(w, F.lit(n))))
+
+    chosen = texts.join(F.broadcast(known), "id")
+    one = F.min(F.struct("draw", "id", "fold", "text")).alias("one")
+    rows = chosen.groupBy(least(0).alias("least0"), least(1).alias("least1"), "toxic").agg(one)
+    return stored(rows.select("one.text", "toxic", "one.fold"), "labelled")
 
 
 def _score(model: ToxicModel):
