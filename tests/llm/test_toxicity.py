@@ -49,7 +49,7 @@ def test_held_out_rows(spark):
     held = [r for r in rows if r["held_out"] and r["doc_id"] in truth]
     toxic = [r["predicted"] for r in held if truth[r["doc_id"]]]
     clean = [r["predicted"] for r in held if not truth[r["doc_id"]]]
-    assert sum(toxic) / len(toxic) > 0.55
+    assert sum(toxic) / len(toxic) > 0.75
     assert sum(clean) / len(clean) < 0.01
 
 
