@@ -8,12 +8,18 @@ every passage is projected, compared by cosine with the passages of all
 benchmark items, and for the candidates the words decide: the longest common
 subsequence with the item, and for a loose match the item's answer as well.
 
+A projection only keeps cosines about right, and few words are lost among the
+many of a passage. So passages of an item's own length are candidates as well
+if they have as many of the item's rarer words as any match must have. The
+count is exact: no match in such a passage is missed, however many items there are.
+
 Only the model travels, whose size is a parameter, and the benchmark, a block of
 items at a time. Documents are read where they lie and never shuffled.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -39,11 +45,18 @@ TELLING_WORDS = 8
 COSINE = 0.35
 MATCH = 0.6
 LOOSE_MATCH = 0.45
+#: Items from this many words on are also looked for by their words alone, in passages
+#: of their own length; in fewer words, an order says nothing.
+ORDERED_WORDS = 6
 #: Without an answer column, the last words of an item are taken as its answer.
 ANSWER_WORDS = 6
 ITEMS_PER_BLOCK = 2000
 SLABS = 64
 BATCH_BYTES = 1 << 19
+#: Share of the words a match must have that are asked for among an item's rarest, and
+#: cells counted at a time. Both change the work only, never a result.
+RARE_SHARE = 0.2
+COUNTED = 1 << 22
 SEED = 5
 
 
@@ -93,8 +106,10 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     )
 
 
-def word_weights(docs: DataFrame, benchmark: DataFrame) -> np.ndarray | None:
-    """Inverse document frequency of each hashed word over all documents.
+def word_weights(
+    docs: DataFrame, benchmark: DataFrame
+) -> tuple[np.ndarray, np.ndarray] | None:
+    """Inverse document frequency of each hashed word over all documents, and its documents.
 
     The items are gone through a block at a time for the words that have to keep
     a weight; a benchmark without any words gives none.
@@ -112,7 +127,7 @@ def word_weights(docs: DataFrame, benchmark: DataFrame) -> np.ndarray | None:
             mine = np.unique(_columns(np.array(item.words, dtype=np.uint64)))
             kept[mine[np.argsort(n[mine], kind="stable")[:TELLING_WORDS]]] = True
     weights = np.log((1 + total) / (1 + n)) + 1
-    return (weights * kept).astype(np.float32) if found else None
+    return ((weights * kept).astype(np.float32), n) if found else None
 
 
 class Passages:
@@ -237,10 +252,156 @@ def _masks(words: list[int]) -> dict[int, int]:
     return out
 
 
+class Vocabulary:
+    """Numbers for the words of some items, in the order of their hashes."""
+
+    def __init__(self, items: list[Item]):
+        self.words = np.unique(
+            np.concatenate([np.array(i.words + i.answer, dtype=np.uint64) for i in items])
+        )
+        self.places = np.zeros(1 << BITS, dtype=bool)
+        self.places[_columns(self.words)] = True
+
+    def known(self, words: np.ndarray, columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where a word of the items stands, and its number."""
+        at = np.flatnonzero(self.places[columns])
+        found = words[at]
+        number = np.minimum(np.searchsorted(self.words, found), len(self.words) - 1)
+        same = self.words[number] == found
+        return at[same], number[same]
+
+
+class RareWords:
+    """Words of the items that have about one length, to be counted in passages.
+
+    A full match has ``need`` of an item's words at least. Without its ``size - need +
+    least`` rarest words an item has too few left, so ``least`` of these stand in
+    every full match, whatever the frequencies, and in a loose one the answer's
+    rarest word does, which counts for as many. What has them is counted in full.
+    """
+
+    def __init__(
+        self, block_words: int, numbers: list[int], items: list[Item], known: Vocabulary,
+        documents: np.ndarray,
+    ):
+        self.block_words, self.numbers = block_words, np.array(numbers)
+        self.vocabulary = len(known.words)
+        seen = documents[_columns(known.words)]
+        least, needs, rare, owners = [], [], [], []
+        words, times, answers = [], [], []
+        for i, number in enumerate(numbers):
+            mine, answer = (
+                np.searchsorted(known.words, np.array(w, dtype=np.uint64))
+                for w in (items[number].words, items[number].answer)
+            )
+            need = math.ceil(MATCH * len(mine) - 1e-9)
+            least.append(max(1, round(RARE_SHARE * need)))
+            needs.append((need, math.ceil(LOOSE_MATCH * len(mine) - 1e-9)))
+            for values, into in zip(np.unique(mine, return_counts=True), (words, times)):
+                into.append(values)
+            answers.append(np.unique(answer))
+            order = np.argsort(seen[mine], kind="stable")
+            rare.append(mine[order[: len(mine) - need + least[-1]]])
+            rare.append(np.full(least[-1], answer[seen[answer].argmin()]))
+            owners.append(np.full(len(rare[-2]) + len(rare[-1]), i))
+        self.least = np.array(least, dtype=np.int32)
+        self.need, self.loose_need = np.array(needs).T
+        #: All words of an item, each once with its times, and of its answer.
+        self.words, self.times = Lists(words), np.concatenate(times)
+        self.answers = Lists(answers)
+        #: The items that have a word among their rarest.
+        rare = np.concatenate(rare)
+        self.owners = np.concatenate(owners)[np.argsort(rare, kind="stable")]
+        self.posts = np.bincount(rare, minlength=self.vocabulary)
+        self.start = np.cumsum(self.posts) - self.posts
+
+    def passages(self, at: np.ndarray, doc: np.ndarray, known: np.ndarray, counts: np.ndarray):
+        """(document, its word the passage begins with, item) of every candidate."""
+        blocks = -(-counts // self.block_words)
+        ends = np.cumsum(counts)
+        first = np.cumsum(blocks) - blocks
+        owner = np.repeat(np.arange(len(counts)), blocks)
+        block = first[doc] + (at - (ends - counts)[doc]) // self.block_words
+        step = max(1, COUNTED // max(len(self.numbers), self.vocabulary))
+        for low in range(0, len(owner), step):
+            # One block more, for the second half of the last passage.
+            high = min(len(owner), low + step + 1)
+            more = np.append(owner[low + 1 : high] == owner[low : high - 1], False)
+            a, b = np.searchsorted(block, [low, high])
+            rows, found = self._candidates(block[a:b] - low, known[a:b], more)
+            rows, found = rows[rows < step], found[rows < step]
+            mine = owner[low + rows]
+            begin = (low + rows - first[mine]) * self.block_words
+            yield from zip(mine.tolist(), begin.tolist(), self.numbers[found].tolist())
+
+    def _candidates(self, block: np.ndarray, known: np.ndarray, more: np.ndarray):
+        """Blocks that with the next one, if there is more, have enough of an item's words."""
+        width = len(self.numbers)
+        telling = self.posts[known] > 0
+        rare, times = known[telling], self.posts[known[telling]]
+        hits = _ranges(self.start[rare], times)
+        cell = np.repeat(block[telling] * width, times) + self.owners[hits]
+        held = np.bincount(cell, minlength=len(more) * width).reshape(-1, width).astype(np.int32)
+        pairs = held.copy()
+        pairs[:-1][more[:-1]] += held[1:][more[:-1]]
+        rows, found = np.nonzero(pairs >= self.least)
+        if not len(rows):
+            return rows, found
+        stands = np.zeros((len(more) + 1, self.vocabulary), dtype=bool)
+        stands[block, known] = True
+        mine, row, starts = self.words.of(found, rows)
+        word = self.words.values[mine]
+        has = stands[row, word] | (stands[row + 1, word] & more[row])
+        there = np.add.reduceat(has * self.times[mine], starts)
+        loose = np.flatnonzero((there >= self.loose_need[found]) & (there < self.need[found]))
+        enough = there >= self.need[found]
+        if len(loose):
+            mine, row, starts = self.answers.of(found[loose], rows[loose])
+            word = self.answers.values[mine]
+            has = stands[row, word] | (stands[row + 1, word] & more[row])
+            enough[loose] = np.logical_and.reduceat(has, starts)
+        return rows[enough], found[enough]
+
+
+class Lists:
+    """Lists one after the other, none of them empty."""
+
+    def __init__(self, lists: list[np.ndarray]):
+        self.values, self.sizes = np.concatenate(lists), np.array([len(x) for x in lists])
+        self.first = np.cumsum(self.sizes) - self.sizes
+
+    def of(self, numbers: np.ndarray, rows: np.ndarray) -> tuple:
+        """Places of the lists' values, the row given for each, and where each list starts."""
+        sizes = self.sizes[numbers]
+        places = _ranges(self.first[numbers], sizes)
+        return places, np.repeat(rows, sizes), np.cumsum(sizes) - sizes
+
+
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of consecutive ranges."""
+    return np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
+
+
+def _rare_words(items: list[Item], known: Vocabulary, documents: np.ndarray) -> list[RareWords]:
+    """The items by the length of their blocks, which hold a whole item each."""
+    by_size: dict[int, list[int]] = {}
+    for number, item in enumerate(items):
+        if len(item.words) >= ORDERED_WORDS:
+            size = ORDERED_WORDS
+            while size < len(item.words):
+                size *= 2
+            by_size.setdefault(size, []).append(number)
+    return [RareWords(size, mine, items, known, documents) for size, mine in sorted(by_size.items())]
+
+
 class Retriever:
     """Items of one block, ready to be looked for in texts."""
 
-    def __init__(self, items: list[Item], vectors: np.ndarray, weights: np.ndarray):
+    def __init__(
+        self, items: list[Item], vectors: np.ndarray, weights: np.ndarray, documents: np.ndarray
+    ):
+        self.vocabulary = Vocabulary(items)
+        self.rare = _rare_words(items, self.vocabulary, documents)
         self.items, self.vectors, self.weights = items, vectors, weights
         self.masks = [_masks(i.words) for i in items]
         self.sets = [frozenset(i.words) for i in items]
@@ -257,9 +418,8 @@ class Retriever:
     def find(self, texts: list[str | None]) -> Iterator[tuple[int, int, float, float, int, int]]:
         """(text, item, cosine, share of the item in order, first word, last word)."""
         for at, words, counts in _batches(_encoded(texts), self.hasher):
-            seen = Passages(_columns(words), counts, self.weights)
-            if not len(seen.columns):
-                continue
+            columns = _columns(words)
+            seen = Passages(columns, counts, self.weights)
             made = _scaled(seen.pairs(seen.per_block(self.vectors[seen.columns])))
             for low in range(0, len(made), 4096):
                 cosine = made[low : low + 4096] @ self.queries.T
@@ -267,6 +427,27 @@ class Retriever:
                 yield from self._checked(
                     at, words, counts, seen, rows + low, queries, cosine[rows, queries]
                 )
+            stand, known = self.vocabulary.known(words, columns)
+            docs = np.repeat(np.arange(len(counts)), counts)[stand]
+            for rare in self.rare:
+                for doc, start, number in rare.passages(stand, docs, known, counts):
+                    match = self._in_order(words, counts, seen, made, rare, doc, start, number)
+                    if match:
+                        yield at + doc, number, *match
+
+    def _in_order(self, words, counts, seen, made, rare, doc, start, number):
+        """The match of an item with a passage of its own length, if it is one."""
+        item, begin = self.items[number], int(seen.first[doc])
+        end = min(int(counts[doc]), start + 2 * rare.block_words)
+        near = words[begin + start : begin + end].tolist()
+        share = subsequence(self.masks[number], len(item.words), near) / len(item.words)
+        if share < MATCH and (share < LOOSE_MATCH or not _stands_in(item.answer, near)):
+            return None
+        # The cosine is the best of the passages around that all items are compared with.
+        first = int(np.searchsorted(seen.owner, doc))
+        low, high = max(0, start // BLOCK_WORDS - 1), (end - 1) // BLOCK_WORDS + 1
+        cosine = made[first + low : first + high] @ self.queries[self.owner == number].T
+        return float(cosine.max()), share, start, end - 1
 
     def _checked(self, at, words, counts, seen, rows, queries, cosines):
         last, around = -1, frozenset()
@@ -318,13 +499,13 @@ def _items(benchmark: DataFrame) -> Iterator[list[Item]]:
 
 def retrievers(docs: DataFrame, benchmark: DataFrame) -> Iterator[Retriever]:
     """One for each block of items; only one block is on the driver at a time."""
-    weights = word_weights(docs, benchmark)
-    if weights is None:
+    counted = word_weights(docs, benchmark)
+    if counted is None:
         return
+    weights, documents = counted
     vectors = directions(docs, weights)
-    if vectors.shape[1]:
-        for items in _items(benchmark):
-            yield Retriever(items, vectors, weights)
+    for items in _items(benchmark):
+        yield Retriever(items, vectors, weights, documents)
 
 
 def _matches(retriever: Retriever):

@@ -144,3 +144,51 @@ def test_awkward_rows(spark):
     assert decontaminate.find_leaks(edges.empty(spark), items).count() == 0
     assert decontaminate.keep_clean(docs, items).count() == len(edges.rows()) - 3
     assert decontaminate.keep_clean(docs, items.where("item_id > 9")).count() == len(edges.rows())
+
+
+def test_short_and_reworded_items_of_a_large_benchmark(spark, sf_dir):
+    rng = random.Random(7)
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet").orderBy("doc_id").limit(400).collect()
+    docs = [words(r["text"]) for r in rows]
+    vocabulary = sorted({w for d in docs for w in d})
+    some = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    items = [some(n) for n in (6, 8, 12, 15, 20, 29) for _ in range(50)]
+    expected = set()
+    for n, item in enumerate(items):
+        put = list(item)
+        for at in rng.sample(range(len(put)), len(put) * 3 // 10 * (n % 2)):
+            put[at] = f"new{at}"
+        at = rng.randrange(len(docs[n]) + 1)
+        docs[n][at:at] = put
+        expected.add((n, n))
+    others = [some(rng.randint(15, 29)) for _ in range(3000)]
+    data = frames(spark, *([" ".join(t) for t in texts] for texts in (docs, items + others)))
+    found = {(r["doc_id"], r["item_id"]) for r in decontaminate.find_leaks(*data).collect()}
+    assert expected <= found
+    assert len(found) < 1.1 * len(expected)
+
+
+def test_no_match_in_a_passage_of_an_items_length_is_missed(monkeypatch):
+    monkeypatch.setattr(decontaminate, "COSINE", 2.0)
+    monkeypatch.setattr(decontaminate, "COUNTED", 2000)
+    rng, hasher = random.Random(3), decontaminate._hasher()
+    some = lambda n: [f"w{int(rng.random() ** 2 * 60)}" for _ in range(n)]
+    hashed = lambda w: hasher.many(decontaminate._encoded([" ".join(w)]))[0].tolist()
+    texts = [some(rng.randint(0, 150)) for _ in range(60)] + [[]]
+    words = [hashed(some(rng.randint(1, 40))) for _ in range(40)]
+    items = [decontaminate.Item(n, w, w[-1:]) for n, w in enumerate(words)]
+    ones = decontaminate.np.ones(1 << decontaminate.BITS, dtype="float32")
+    retriever = decontaminate.Retriever(items, ones[:, None], ones, ones)
+    expected = set()
+    for d, text in enumerate(map(hashed, texts)):
+        for item in items:
+            size = 6
+            while size < len(item.words):
+                size *= 2
+            for at in range(0, len(text) if len(item.words) >= 6 else 0, size):
+                near = text[at : at + 2 * size]
+                share = slow_subsequence(item.words, near) / len(item.words)
+                if share >= 0.6 or share >= 0.45 and item.answer[0] in near:
+                    expected.add((d, item.item_id))
+    found = {f[:2] for f in retriever.find([" ".join(t) for t in texts])}
+    assert found == expected and len(expected) > 50
