@@ -109,8 +109,26 @@ class FindingMaker:
             before = self.prose()
         return before, value, quote + " ", path, 0
 
+    def block(self, label: int) -> Finding:
+        """A key between its markers, or what stands there in place of one."""
+        kind = self.random.choice(["", "RSA ", "EC ", "OPENSSH ", "ENCRYPTED "]) + "PRIVATE KEY-----"
+        if label:
+            full = self.random.choice([0, 0, self.random.randint(1, 26)])
+            lines = [self.some(BASE64, 64, 64) for _ in range(full)]
+            lines.append(self.some(BASE64, 3, 64 if full else 24) + self.random.choice(["", "=", "=="]))
+        else:
+            mark = ["xxxxxxxx", "yourkeyhere", "INSERTKEYHERE", "examplekey", "placeholder"]
+            lines = [self.random.choice(mark)] * self.random.randint(1, 4)
+        ends = [f"-----END {kind}"] if not label or self.random.random() < 0.8 else []
+        value = self.random.choice(["\n", "\n", "\\n"]).join([f"-----BEGIN {kind}", *lines, *ends])
+        before = self.random.choice([self.prose(), self.named("private_key")[0], ""])
+        return before, value, "\n", self.random.choice(PATHS + CALM_PATHS), label
+
 
 def labelled_findings(count: int, seed: int = 3) -> list[Finding]:
     """``(before, value, after, path, label)``, half of them credentials."""
     maker = FindingMaker(seed)
-    return [maker.secret() if i % 2 else maker.other() for i in range(count)]
+    return [
+        maker.block(i % 2) if i % 16 >= 14 else maker.secret() if i % 2 else maker.other()
+        for i in range(count)
+    ]

@@ -32,7 +32,18 @@ REDACTED = "[redacted]"
 
 RUN = re.compile(r"[A-Za-z0-9+/_\-]{16,}={0,2}")
 QUOTED = re.compile(r"""[=:]>?[^\w\s"']{0,4}\s?["']([^\s"']{8,})["']""")
-BLOCK = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----.*?(?:-----END [A-Z ]*PRIVATE KEY-----|\Z)", re.S)
+#: Between a key's lines: quotes and signs of the text around, and line ends, escaped or not.
+_SIGNS, _LINE_END = r"""[ \t"'`,>|#*;+]""", r"(?:[\r\n]|\\+[rn])"
+_GAP = rf"{_SIGNS}*+{_LINE_END}(?:{_SIGNS}|{_LINE_END})*+"
+_ALONE = rf"(?={_SIGNS}*+(?:[\r\n\\]|-----END|\Z))"
+#: Markers with nothing but headers and base64 between them, and such a block without an end.
+BLOCK = re.compile(
+    rf"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:{_GAP}[A-Za-z][A-Za-z0-9\-]*+:[^\r\n\\]*+)*+(?:"
+    rf"(?:(?:{_GAP}[A-Za-z0-9+/=]++{_ALONE})++|(?:[ \t]*+[A-Za-z0-9+/=]{{16,}}+)++(?:[ \t]++[A-Za-z0-9+/=]++)?)"
+    rf"(?:{_SIGNS}|{_LINE_END})*+-----END [A-Z ]*PRIVATE KEY-----"
+    rf"|(?:{_GAP}[A-Za-z0-9+/=]{{32,}}+{_ALONE})++(?:{_LINE_END}[A-Za-z0-9+/=]++{_ALONE})?"
+    rf"|(?:[ \t]*+[A-Za-z0-9+/=]{{32,}}+)++)"
+)
 TOKEN = re.compile(r"eyJ[\w\-]{8,}\.[\w\-]{8,}\.[\w\-]*")
 ISSUED = re.compile(
     r"(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_\w{30,}|sk-[\w\-]{20,}|[sr]k_live_\w{16,}|"
@@ -222,8 +233,8 @@ def find(forest: Forest, texts: list, paths: list) -> list[list[tuple[int, int,
     if rows:
         scores = forest.predict(np.array(rows))
         for (i, start, end, kind), score in zip(found, scores.tolist()):
-            if kind == "block" or score >= THRESHOLD:
-                out[i].append((start, end, kind, 1.0 if kind == "block" else score))
+            if score >= THRESHOLD:
+                out[i].append((start, end, kind, score))
     return out
 
 
