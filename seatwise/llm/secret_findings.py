@@ -124,11 +124,58 @@ class FindingMaker:
         before = self.random.choice([self.prose(), self.named("private_key")[0], ""])
         return before, value, "\n", self.random.choice(PATHS + CALM_PATHS), label
 
+    def login(self) -> str:
+        scheme = self.random.choice(["postgres", "mysql", "https", "redis", "amqp"])
+        lead = self.random.choice([self.prose(), "", self.named("url")[0], self.named("link")[0]])
+        return f"{lead}{scheme}://{self.some('abcdest', 0, 7)}:"
+
+    def assigned(self, label: int) -> Finding:
+        """A short value after a secret name or in an address, or what is none there."""
+        path = self.random.choice(PATHS)
+        name = self.random.choice(SECRET_NAMES)
+        name = self.random.choice([name, name.upper(), f"{self.some('abcdest', 2, 5)}_{name}"])
+        sign = self.random.choice(["=", ": ", " = ", ":", "="])
+        before = self.random.choice([self.prose(), "", "\n"]) + name + sign
+        if label:
+            signs = self.random.choice(["!@#%^&*", "!@#$%&*-_.+?", "!#", ""])
+            value = self.some(ALNUM + signs, 7, 18) + self.random.choice("0123456789")
+            word = self.random.choice([*WORDS, self.some(string.ascii_lowercase, 4, 8)])
+            if self.random.random() < 0.4:
+                value = word + self.some(string.digits + signs, 2, 5) + self.some(ALNUM + signs, 1, 4)
+            if self.random.random() < 0.5:
+                return self.login(), value, f"@{self.some('abcdest', 2, 8)}/x ", path, 1
+            return before, value, self.random.choice([" ", "\n", ""]), path, 1
+        words = self.random.sample(WORDS, 2)
+        value = self.random.choice(
+            [
+                words[0] + self.random.choice(["", "", ".", ",", ")"]),
+                self.some(string.ascii_lowercase, 4, 14) + self.random.choice(["", "", ".", ","]),
+                self.random.choice(["None", "null", "true", "false", "required", "string", "Optional"]),
+                f"get_{words[0]}()",
+                f"{words[0]}.{words[1]}" + self.random.choice(["", "()", "[0]"]),
+                "${" + "_".join(words).upper() + "}",
+                "$" + "_".join(words[: self.random.randint(1, 2)]).upper(),
+                f"<{words[0]}>",
+                self.some("x*", 5, 12),
+                self.random.choice(["your_", "example_", "changeme", "placeholder"]) + words[0],
+            ]
+        )
+        if self.random.random() < 0.1:
+            value = self.random.choice(["password", "pass", "${" + words[0].upper() + "}", "xxxx"])
+            return self.login(), value, f"@{self.some('abcdest', 2, 8)}/x ", path, 0
+        return before, value, self.random.choice([" ", "\n"]), path, 0
+
 
 def labelled_findings(count: int, seed: int = 3) -> list[Finding]:
     """``(before, value, after, path, label)``, half of them credentials."""
     maker = FindingMaker(seed)
     return [
-        maker.block(i % 2) if i % 16 >= 14 else maker.secret() if i % 2 else maker.other()
+        maker.block(i % 2)
+        if i % 16 >= 14
+        else maker.assigned(i % 2)
+        if i % 16 >= 10
+        else maker.secret()
+        if i % 2
+        else maker.other()
         for i in range(count)
     ]

@@ -1,7 +1,8 @@
 """Secret scans with a random forest against false positives.
 
-Patterns propose candidates in every whole text: issued keys, private key
-blocks, quoted values and long mixed runs. A forest of decision trees over a
+Patterns propose candidates in every whole text: issued keys, private
+key blocks, quoted values, values after secret names, passwords in addresses and
+long mixed runs. A forest of decision trees over a
 candidate's length, character transitions, coverage by dictionary words, path
 and neighbouring words, trained on labelled findings, decides which ones stay.
 """
@@ -44,6 +45,14 @@ BLOCK = re.compile(
     rf"|(?:{_GAP}[A-Za-z0-9+/=]{{32,}}+{_ALONE})++(?:{_LINE_END}[A-Za-z0-9+/=]++{_ALONE})?"
     rf"|(?:[ \t]*+[A-Za-z0-9+/=]{{32,}}+)++)"
 )
+#: A sign after a secret name, and the value that follows it, in quotes or not.
+SIGN = re.compile("[=:]")
+NAMED = re.compile(
+    rf"(?:{'|'.join(SECRET_NAMES)})[\w.\-]{{0,16}}[\"'\]]?[^\w\s\"']{{0,4}}\s{{0,3}}$", re.I
+)
+VALUE = re.compile(r"""[=:]{1,2}>?(?:\*{3})?[ \t]{0,4}["']?([^\s"']{4,})""")
+#: The password of an address.
+LOGIN = re.compile(r"""://[^\s:/@"'<>]*+:([^\s/"'<>]+)@""")
 TOKEN = re.compile(r"eyJ[\w\-]{8,}\.[\w\-]{8,}\.[\w\-]*")
 ISSUED = re.compile(
     r"(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_\w{30,}|sk-[\w\-]{20,}|[sr]k_live_\w{16,}|"
@@ -52,9 +61,31 @@ ISSUED = re.compile(
 UUID = re.compile(r"[0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12}", re.I)
 NAME = re.compile(r"[A-Za-z][A-Za-z0-9_]*")
 CALM = re.compile(r"test|example|doc|fixture|sample|lock|vendor|mock|demo|readme", re.I)
+CODE = re.compile(
+    r"(?:\$\{?[a-z_.]+\}?|\{\{.*|<[^<>]*>|[a-z_.]+\(.*|[a-z_.]+\[.*|(?:[a-z_]+\.)+[a-z_]+)\W*", re.I
+)
 STAND_IN = re.compile(r"x{4,}|\*{3,}|your|insert|change|example|sample|dummy|placeholder|fake", re.I)
 
 
+def _assigned(text: str) -> Iterator[tuple[int, int]]:
+    """Values after secret names; where one stands within another value, that one has it."""
+    end = 0
+    for sign in SIGN.finditer(text):
+        at = sign.start()
+        if at >= end and NAMED.search(text, max(0, at - NEAR), at):
+            value = VALUE.match(text, at)
+            if value:
+                end = value.end(1)
+                run = RUN.match(value[1])
+                # Signs after a long run are not part of it; the run is a candidate itself.
+                if not run or any(c.isalnum() for c in value[1][run.end() :]) or _plain(run[0]):
+                    yield value.start(1), end - (value[1][-1] in ",;")
+
+
+def _plain(value: str) -> bool:
+    return value.isalpha() and (value.islower() or value.isupper() or value.istitle())
+
+
 def candidates(text: str) -> list[tuple[int, int, str]]:
     """``(start, end, kind)`` in order, none within another."""
     found: list[tuple[int, int, str]] = []
@@ -63,12 +94,13 @@ def candidates(text: str) -> list[tuple[int, int, str]]:
     if "eyJ" in text:
         found += [(*m.span(), "token") for m in TOKEN.finditer(text)]
     for m in RUN.finditer(text):
-        value = m[0]
-        plain = value.isalpha() and (value.islower() or value.isupper() or value.istitle())
-        if not plain:
+        if not _plain(m[0]):
             found.append((*m.span(), "run"))
     if '"' in text or "'" in text:
         found += [(*m.span(1), "quoted") for m in QUOTED.finditer(text)]
+    found += [(*span, "assigned") for span in _assigned(text)]
+    if "://" in text:
+        found += [(*m.span(1), "login") for m in LOGIN.finditer(text)]
     found.sort(key=lambda f: (f[0], -f[1]))
     out: list[tuple[int, int, str]] = []
     for f in found:
@@ -134,10 +166,12 @@ def features(before: str, value: str, after: str, path: str) -> list[float]:
         float(bool(UUID.fullmatch(value))),
         float(bool(ISSUED.match(value))),
         float(bool(STAND_IN.search(value))),
+        float(bool(CODE.fullmatch(value))),
         float(bool(CALM.search(path or ""))),
         _named(before, SECRET_NAMES),
         _named(before, OTHER_NAMES),
         float(bool(re.search(r"[=:]\W{0,6}$", before))),
+        float(bool(re.search(r"://[^\s:/@]*:$", before)) and after[:1] == "@"),
         float(before[-1:] in "\"'" and after[:1] in "\"'" and bool(before) and bool(after)),
     ]
 

@@ -76,6 +76,28 @@ def test_a_block_is_markers_with_a_key_between(forest):
     assert values(forest, f"see {begin} or\n{prose}\n{headed}\n{prose}") == [headed]
 
 
+def test_findings_not_learnt_from_are_found_in_their_texts(forest):
+    findings = labelled_findings(1000, seed=556)
+    found = secrets.find(forest, [b + v + a for b, v, a, _, _ in findings], [f[3] for f in findings])
+    right = 0
+    for (before, value, _, _, label), spans in zip(findings, found):
+        low, high = len(before), len(before) + len(value)
+        covered = sum(max(0, min(b, high) - max(a, low)) for a, b, _, _ in spans)
+        right += covered >= len(value) - 1 if label else covered == 0
+    assert right / len(findings) > 0.97
+
+
+def test_unquoted_and_short_passwords(forest):
+    assert values(forest, "DB_PASSWORD=Tr0ub4dor&3x!\nPORT=5432\n", ".env") == ["Tr0ub4dor&3x!"]
+    assert values(forest, "user: me\npassword: hunter2!x9\n") == ["hunter2!x9"]
+    assert values(forest, "url postgres://admin:S3cr3tP4ss@db/main now") == ["S3cr3tP4ss"]
+    assert values(forest, "login?a=b&password=k3yX!92mQ end") == ["k3yX!92mQ"]
+    for text in ("the secret: everything is simple", "password = get_password()", "token: str",
+                 "password=${DB_PASSWORD}", "see https://example.org:8080/path for the key: here"):
+        assert values(forest, text) == []
+    assert secrets.candidates("password:" * 20000)
+
+
 def test_no_candidate_lies_within_another():
     text = 'token = "eyJhbGciOi123456.eyJzdWIiOi123456.c2lnbmF0dXJlMTIz" end'
     spans = secrets.candidates(text)
