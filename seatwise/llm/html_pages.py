@@ -105,8 +105,11 @@ class PageMaker:
             out += [(f"<{head}>", None), (self.prose(1), MAIN), (f"</{head}>", None)]
         for _ in range(self.random.randint(1, 14)):
             kind = self.random.random()
-            if kind < 0.78:
+            if kind < 0.7:
                 out += [("<p>", None), (self.prose(6), MAIN), ("</p>", None)]
+            elif kind < 0.78:
+                out += [("<p>", None), (self.prose(6), MAIN), *self.held(True)]
+                out += [(self.prose(3), MAIN), ("</p>", None), *self.held(True)]
             elif kind < 0.84:
                 out += [("<h2>", None), (self.sentence(1, 5), MAIN), ("</h2>", None)]
             elif kind < 0.89:
@@ -125,6 +128,18 @@ class PageMaker:
             out += self.other(inside=True)
         return [*out, (f"</{tag}>", None)]
 
+    def held(self, inside: bool) -> list[tuple[str, int | None]]:
+        """Elements that stand in for something, in an article or outside."""
+        kind = self.random.choice(["svg", "select", "video", "audio", "canvas", "template", "", ""])
+        inner = {"svg": "text", "select": "option"}.get(kind)
+        if not kind:
+            kind, inner = self.random.choice(["noscript", "object"]), self.random.choice(["p", None])
+            label, text = (MAIN if inside else OTHER), self.prose(4)
+        else:
+            label, text = OTHER, self.random.choice([self.sentence(1, 3), self.prose(3)])
+        opened, closed = (f"<{inner}>", f"</{inner}>") if inner else ("", "")
+        return [(f"<{kind}>{opened}", None), (text, label), (f"{closed}</{kind}>", None)]
+
     def other(self, inside: bool = False) -> list[tuple[str, int | None]]:
         tag, names, kind = self.random.choice(OTHERS)
         if inside and tag in ("header", "footer"):
@@ -158,6 +173,8 @@ class PageMaker:
             out += [(self.named("div", self.random.choice(["wrapper", "page", "container"])), None)]
         for _ in range(self.random.randint(0, 4)):
             out += self.other()
+        if self.random.random() < 0.3:
+            out += self.held(False)
         out += self.article(*self.random.choice(ARTICLES))
         for _ in range(self.random.randint(0, 4)):
             out += self.other()

@@ -32,15 +32,16 @@ TAG = re.compile(
 NAMES = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 PART = re.compile(r"[^\W\d_]+|\d+")
 
-#: Fixed values of HTML: what holds no text of a page, what stands within a line,
-#: what never has content, and what ends an open paragraph or item.
-SILENT = frozenset(
-    "script style noscript template iframe object svg math head select textarea audio video "
-    "canvas".split()
-)
+#: Fixed values of HTML: what holds raw text instead of a page's, what stands in a
+#: paragraph but has lines of its own, what stands within a line, what never has
+#: content, and what ends an open paragraph or item.
+RAW = frozenset("script style textarea title".split())
+HOLDERS = frozenset("noscript template object svg select audio video canvas".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby "
-    "s samp small span strike strong sub sup time tt u var wbr".split()
+    "s samp small span strike strong sub sup time tt u var wbr "
+    "math mi mn mo ms mtext mspace mrow mfrac msqrt mroot msub msup msubsup munder mover "
+    "munderover mtable mtr mtd mstyle mpadded mphantom menclose semantics annotation".split()
 )
 EMPTY = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
@@ -55,7 +56,12 @@ CLOSES = {
     "option": ("option",),
 }
 #: An implied end goes no further up than these.
-SCOPES = frozenset("ul ol dl table body html article section main div nav aside".split())
+SCOPES = HOLDERS | set("ul ol dl table body html article section main div nav aside".split())
+#: What cannot stand in a drawing or a choice, and so ends one that was left open.
+OUTSIDE = frozenset(
+    "address article aside blockquote body center dd div dl dt figure footer form h1 h2 h3 h4 h5 "
+    "h6 header hr li main nav ol p pre section table ul".split()
+)
 
 
 @dataclass
@@ -69,13 +75,24 @@ def blocks_of(page: str) -> list[Block]:
     """Leaf blocks in page order; white space within is one space, empty ones go.
 
     References are decoded in text only. A tag cut off by the page's end is
-    dropped, unclosed elements reach to the end.
+    dropped, unclosed elements reach to the end. A head holds raw text and empty
+    elements only, so its tags are passed over, written or left out. An element
+    such as a drawing has its text in blocks of its own; with no end tag left in
+    the page it holds nothing.
     """
     stack: list[tuple[str, str]] = []
     path: tuple[str, ...] = ()
     pieces: list[str] = []
     linked, links = 0, 0
     out: list[Block] = []
+    lasts: dict[str, int] = {}
+
+    def ends(name: str) -> int:
+        """Where the last end tag of an element begins."""
+        if name not in lasts:
+            found = [m.start() for m in re.finditer(f"</{name}(?=[\\s/>])", page, re.I)]
+            lasts[name] = found[-1] if found else -1
+        return lasts[name]
 
     def flush() -> None:
         nonlocal linked
@@ -117,12 +134,17 @@ def blocks_of(page: str) -> list[Block]:
                     break
             links = 0
             continue
-        if name in SILENT:
+        if name in RAW or name == "iframe" and at <= ends(name):
             if not page[at - 2 : at] == "/>":
-                gone = re.compile(f"</{re.escape(name)}\\b[^>]*>", re.I).search(page, at)
+                gone = re.compile(f"</{name}\\b[^>]*>", re.I).search(page, at)
                 at = gone.end() if gone else end
             pieces.append(" ")
             continue
+        if name in ("head", "iframe") or name in HOLDERS and (
+            at > ends(name) or page[at - 2 : at] == "/>"
+        ):
+            pieces.append(" ")
+            continue
         if name in INLINE:
             links += name == "a"
             continue
@@ -133,8 +155,15 @@ def blocks_of(page: str) -> list[Block]:
         if name in EMPTY:
             continue
         links = 0
+        if name in OUTSIDE:
+            for i, (tag, _) in enumerate(stack):
+                if tag in ("svg", "select") and ("foreignobject", "foreignobject") not in stack[i:]:
+                    close(i)
+                    break
         upto = len(stack)
         for i in range(len(stack) - 1, -1, -1):
+            if name in HOLDERS:
+                break
             if stack[i][0] == "p" or stack[i][0] in CLOSES.get(name, ()):
                 upto = i
             elif stack[i][0] in SCOPES:

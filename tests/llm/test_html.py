@@ -100,6 +100,33 @@ def test_other_layouts(chain):
         assert chain.main_text(page) == f"Headline {text} {text} {text}"
 
 
+def test_pages_with_omitted_end_tags(chain):
+    text = "A first sentence of some length, with a comma. And then another one follows it."
+    body = f"<article><h1>Headline</h1><p>{text}</p>%s<p>{text}</p></article>"
+    page = "<html><head><meta charset=x><title>T</title>%s<body><nav><a href='/'>Home</a></nav>" + body
+    whole = f"Headline {text} {text}"
+    for head in ("", "</head>", "<noscript><link rel=x></noscript>", "<style>p{}</style>"):
+        assert chain.main_text(page % (head, "")) == whole
+    assert chain.main_text(f"<head><title>T</title>{body % ''}") == whole
+    for left_open in ("svg", "select", "object", "noscript", "video", "canvas", "iframe", "template"):
+        assert chain.main_text(page % ("", f"<{left_open}>")) == whole
+    for left_open in ("svg", "select"):
+        late = page % ("", f"<{left_open}>") + f"<footer><{left_open}></{left_open}></footer>"
+        assert chain.main_text(late) == whole
+
+
+def test_text_in_other_elements_of_an_article(chain):
+    text = "A first sentence of some length, with a comma. And then another one follows it."
+    page = f"<body><article><h1>Headline</h1><p>{text}</p>%s<p>{text}</p></article>"
+    formula = f"<p>{text} Here <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds.</p>"
+    assert chain.main_text(page % formula) == f"Headline {text} {text} Here x=2 holds. {text}"
+    for tag in ("noscript", "object"):
+        held = page % f"<{tag}><p>{text}</p></{tag}>"
+        assert chain.main_text(held) == f"Headline {text} {text} {text}"
+    for drawn in ("<svg><text>Label</text></svg>", "<select><option>One<option>Two</select>"):
+        assert chain.main_text(page % drawn) == f"Headline {text} {text}"
+
+
 def test_awkward_rows(spark, chain):
     schema = "page_id long, url string, html string, text string, n_chars string, label string"
     article = "<article><h1>T</h1><p>One two.</p></article>"
