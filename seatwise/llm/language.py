@@ -173,11 +173,14 @@ def _predict(model: LanguageModel):
 
 def accepts(model: LanguageModel, lowest: float):
     """A column function of ``text``: whether its language is known well enough."""
+    nothing = model.languages == [UNKNOWN]
 
     @F.pandas_udf("boolean")
     def accept(text: pd.Series) -> pd.Series:
         langs, scores = model.predict(text.tolist())
-        return pd.Series([y != UNKNOWN for y in langs]) & (pd.Series(scores) >= lowest)
+        # A model without languages tells texts with a letter by their score only.
+        known = scores > 0 if nothing else np.array([y != UNKNOWN for y in langs], dtype=bool)
+        return pd.Series(known & (scores >= lowest))
 
     return accept
 
@@ -192,7 +195,8 @@ def keep_identified(docs: DataFrame, lowest: float = 0.0) -> DataFrame:
 
     ``und`` and scores under ``lowest`` go. By default that is null and empty texts
     and texts without a letter: a few words may fit two languages and still be
-    good text. Copies of a row stay or go together.
+    good text. Copies of a row stay or go together. Where no row has a ``lang`` to
+    learn from, every text with a letter stays.
     """
     model = fit(*training_sample(docs.where(~held_out())))
     return docs.where(accepts(model, lowest)(F.col("text").cast("string")))

@@ -49,3 +49,9 @@ def test_awkward_rows(spark):
     kept = language.keep_identified(labelled)
     assert kept.columns == labelled.columns
     assert {r["doc_id"] for r in kept.collect()} == {1, 2, 6, 8, None}
+
+
+def test_texts_stay_where_there_is_nothing_to_learn_from(spark):
+    kept = language.keep_identified(edges.documents(spark))
+    assert {r["doc_id"] for r in kept.collect()} == {1, 2, 6, 8, None}
+    assert language.keep_identified(edges.empty(spark)).count() == 0
