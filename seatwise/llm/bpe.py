@@ -40,7 +40,8 @@ TOGETHER_CHARS = 1 << 20
 SPECIAL = ("<|startoftext|>", "<|endoftext|>")
 _LETTERS = "a-zªµºß-öø-ɏ"
 _NUMBERS = "0-9²³¹¼-¾"
-#: Texts of these characters only are split into words in Python, all others by the library.
+#: Texts of these characters only, before and after lower-casing, are split into words in
+#: Python, all others by the library: some letters have their lower case beyond the range.
 PLAIN = re.compile("[\t\n\r -~¡-¬®-ɏ]*")
 WORD = re.compile(
     f"'(?:s|t|re|ve|m|ll|d)|[{_LETTERS}]+|[{_NUMBERS}]|[^\\s{_LETTERS}{_NUMBERS}]+"
@@ -200,12 +201,7 @@ class Encoder:
 
     def texts(self, texts: list[str]) -> list[tuple[str, str]]:
         """Ids as decimal numbers, and the decoded text, for each of some texts."""
-        words = [
-            WORD.findall(unicodedata.normalize("NFC", text).lower())
-            if PLAIN.fullmatch(text) and not any(s in text for s in SPECIAL)
-            else None
-            for text in texts
-        ]
+        words = [self._words(text) for text in texts]
         self._learn(set().union(*(w for w in words if w)))
         return [
             self._whole(text) if known is None else self._known(known)
@@ -215,6 +211,13 @@ class Encoder:
     def text(self, text: str) -> tuple[str, str]:
         return self.texts([text])[0]
 
+    def _words(self, text: str) -> list[str] | None:
+        """The words of a text made up of known characters, else None."""
+        if not PLAIN.fullmatch(text) or any(s in text for s in SPECIAL):
+            return None
+        folded = unicodedata.normalize("NFC", text).lower()
+        return WORD.findall(folded) if PLAIN.fullmatch(folded) else None
+
     def _whole(self, text: str) -> tuple[str, str]:
         found = self.tokenizer.encode(text, add_special_tokens=False).ids
         return " ".join(map(str, found)), self.decode(found)

@@ -50,6 +50,23 @@ def test_joined_leaves_equal_the_whole(tokenizer, seed):
     assert joined[:, 0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_every_latin_letter_alone_between_letters_and_after_a_sign(tokenizer):
+    encoder = bpe.Encoder(tokenizer_path())
+    texts = []
+    for code in range(0x250):
+        c = chr(code)
+        texts += [c, f"a{c}b", f"({c}li)", f"{c}kwan {c}", f"x {c}{c.lower()}{c.upper()}"]
+    rng = random.Random(5)
+    letters = [chr(code) for code in range(0x250)]
+    texts += ["".join(rng.choices(letters, k=rng.randint(1, 40))) for _ in range(2000)]
+    for at in range(0, len(texts), 37):
+        some = texts[at : at + 37]
+        for text, (ids, decoded) in zip(some, encoder.texts(some), strict=True):
+            known = tokenizer.encode(text, add_special_tokens=False).ids
+            assert ids == " ".join(map(str, known)), repr(text)
+            assert decoded == tokenizer.decode(known, skip_special_tokens=False)
+
+
 @pytest.mark.parametrize("unit", ["a", "abc", "=", "'s", "中", "é", "zq9", "́", "Ab!"])
 def test_long_unsplit_text(tokenizer, unit):
     text = unit * 3000
