@@ -8,15 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from seatwise.llm import (
     bpe,
+    conversations,
     decontaminate,
     embeddings,
     html_text,
+    impacts,
     language,
     licenses,
     secrets,
     simhash,
     substrings,
     toxicity,
+    whitening,
 )
 from seatwise.llm.common import table
 
@@ -71,6 +74,18 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_conversations(table(spark, sf_dir, "conversations"))
+
+
+def op12_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return impacts.top_matches(table(spark, sf_dir, "embeddings"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html": op1_html,
     "op2_licenses": op2_licenses,
@@ -82,10 +97,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_embeddings": op8_embeddings,
     "op9_bpe": op9_bpe,
     "op10_decontaminate": op10_decontaminate,
+    "op11_conversations": op11_conversations,
+    "op12_topk": op12_topk,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLE: dict[str, str] = {
     "op2_licenses": licenses.oracle_sql(),
     "op4_substrings": substrings.oracle_sql(),
     "op8_embeddings": embeddings.oracle_sql(),
+    "op11_conversations": conversations.oracle_sql(),
+    "op12_topk": impacts.oracle_sql(),
 }

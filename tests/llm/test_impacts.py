@@ -1,0 +1,112 @@
+"""Top-k search against every query times every row."""
+
+import math
+import random
+
+import numpy as np
+import pytest
+
+from seatwise.llm import impacts
+
+SCHEMA = "vec_id long, embedding array<float>, label int, row string, x string, `slice` int, score long"
+
+
+def brute(rows, k=20, every=20):
+    good = [
+        (i, v, [math.floor(64 * float(np.float32(c))) for c in v])
+        for i, v in rows
+        if v is not None and all(c is not None and math.isfinite(c) for c in v)
+    ]
+    out = []
+    for a, (q_id, _, q) in enumerate(good):
+        if q_id is None or q_id % every:
+            continue
+        scored = [
+            (-sum(s * t for s, t in zip(q, x)), i is None, i or 0)
+            for b, (i, _, x) in enumerate(good)
+            if a != b
+        ]
+        for rank, (score, absent, i) in enumerate(sorted(scored)[:k], 1):
+            out.append((q_id, rank, None if absent else i, -score))
+    return sorted(out, key=str)
+
+
+def plain(v):
+    return v if v is None else [None if c is None else float(c) for c in v]
+
+
+def found(spark, rows, **kw):
+    frame = spark.createDataFrame(
+        [(i, plain(v), 1, "r", "x", 2, 3) for i, v in rows], SCHEMA
+    ).repartition(3)
+    return sorted((tuple(r) for r in impacts.top_matches(frame, **kw).collect()), key=str)
+
+
+def vectors(rng, n, dim=16, spread=0.3):
+    return [(i, [rng.gauss(0, spread) for _ in range(dim)]) for i in range(n)]
+
+
+@pytest.mark.parametrize("shard_rows,block", [(7, 2), (50, 3), (4096, 4096)])
+def test_against_brute_force(spark, monkeypatch, shard_rows, block):
+    monkeypatch.setattr(impacts, "SHARD_ROWS", shard_rows)
+    monkeypatch.setattr(impacts, "BLOCK_QUERIES", block)
+    rows = vectors(random.Random(shard_rows), 160)
+    assert found(spark, rows) == brute(rows)
+
+
+def test_ties_copies_and_awkward_rows(spark):
+    rng = random.Random(3)
+    rows = vectors(rng, 60, 4)
+    rows += [(i, rows[20][1]) for i in (100, 7, 300)] + [rows[40]] * 30
+    rows += [
+        (None, rows[20][1]), (120, None), (140, [0.5, None, 0.1, 0.2]), (160, [float("nan")] * 4),
+        (180, [float("inf"), 0, 0, 0]), (200, []), (220, [0.0] * 4), (240, [1.0] * 9), (-20, [2.0]),
+    ]
+    assert found(spark, rows) == brute(rows)
+
+
+def test_values_beyond_exact_doubles(spark):
+    rows = [(i, [float(10.0 ** (i % 7)), -3.0 * i, 3e7]) for i in range(45)]
+    assert found(spark, rows) == brute(rows)
+    huge = [(0, [3e38, 1.0]), (1, [3e38, 1.0]), (2, [-3e38, 0.0]), (3, [0.0, 0.0])]
+    assert found(spark, huge) == [(0, 1, 1, 2**63 - 1), (0, 2, 3, 0), (0, 3, 2, -(2**63))]
+
+
+def test_nothing_to_search(spark):
+    assert found(spark, []) == []
+    assert found(spark, [(1, [1.0]), (2, [2.0])]) == []
+    assert found(spark, [(0, [1.0])]) == []
+
+
+def test_reading_stops_on_proof_only():
+    rng = np.random.default_rng(1)
+    x = np.floor(64 * rng.normal(0, 0.125, (3000, 64))).astype(np.int64)
+    x[1500:] = np.floor(x[1500:] / 40)
+    q = x[:40]
+    shard = {
+        "x": x, "row": np.arange(len(x)), "vec": np.arange(len(x)),
+        "absent": np.zeros(len(x), bool), "segments": impacts.segments(x.astype(float)),
+    }
+    best = impacts.Best(len(q), 20)
+    asked = []
+    exact = impacts.exact_scores
+    impacts.exact_scores = lambda a, b: asked.append(len(a)) or exact(a, b)
+    try:
+        impacts.score_shard(best, q, np.arange(40), shard)
+    finally:
+        impacts.exact_scores = exact
+    scores = q @ x.T
+    scores[np.arange(40), np.arange(40)] = -(10**9)
+    for i in range(40):
+        order = sorted(range(len(x)), key=lambda j: (-scores[i, j], j))[:20]
+        assert best.vec[best.query == i].tolist() == order
+    assert sum(asked) <= impacts.OPEN_SHARE * scores.size
+
+
+def test_segments_hold_every_value_once():
+    x = np.array([[5, -3, 0, 64], [1, 1, -40, 2]], dtype=float)
+    parts = impacts.segments(x)
+    assert np.array_equal(sum(v for v, _ in parts), x)
+    sizes = [np.abs(v[v != 0]) for v, _ in parts]
+    assert all(a.min() > b.max() for a, b in zip(sizes, sizes[1:]))
+    assert parts[-1][1].tolist() == [0.0, 0.0]

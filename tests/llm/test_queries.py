@@ -18,6 +18,13 @@ COLUMNS = {
     "op6_simhash": "doc_id fingerprint component_id".split(),
     "op7_language": "doc_id held_out lang_pred score".split(),
     "op8_embeddings": "vec_id n_links component_id kept".split(),
+    "op11_conversations": (
+        "conv_id gaps blank duplicate truncated illegal cost audit repaired_sha256"
+    ).split(),
+    "op12_topk": "query_id rank vec_id score".split(),
+    "op13_whitening": (
+        "vec_id component n deviation whitened explained identity_error"
+    ).split(),
     "op9_bpe": "doc_id n_tokens ids_sha256 decoded_sha256".split(),
 }
 
@@ -25,7 +32,7 @@ COLUMNS = {
 def test_all_are_registered():
     names = set(contract.queries())
     assert set(queries.QUERIES) | {"pipeline"} <= names
-    assert {re.match(r"op\d+_", n)[0] for n in queries.QUERIES} == {f"op{n}_" for n in range(1, 11)}
+    assert {re.match(r"op\d+_", n)[0] for n in queries.QUERIES} == {f"op{n}_" for n in range(1, 14)}
     assert set(queries.ORACLE) <= set(contract.oracle_sql())
 
 
