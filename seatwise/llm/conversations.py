@@ -17,7 +17,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator, Sequence
-from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -77,6 +76,7 @@ class Parser:
             at += 1
         self.accepts = [self._accepts(stack[-1]) for stack in stacks]
         self.tops = range(len(stacks))
+        self.steps: dict = {}
 
     def _closed(self, items: set) -> frozenset:
         """Items with all productions that may begin where they stand."""
@@ -121,7 +121,6 @@ class Parser:
             for rule, dot in state
         )
 
-    @lru_cache(maxsize=None)  # noqa: B019  one parser lives as long as its task
     def inserts(self, top: int) -> tuple[tuple[int, str], ...]:
         """Tops reached from this one by inserted turns alone, with their roles."""
         out, todo = {top: ""}, [top]
@@ -133,7 +132,6 @@ class Parser:
                     todo.append(to)
         return tuple(out.items())
 
-    @lru_cache(maxsize=None)  # noqa: B019
     def edits(self, top: int, kind: tuple[str, str]) -> tuple[tuple[int, int, str], ...]:
         """(top, cost, audit) of every way past one row of this initial and fault."""
         initial, fault = kind
@@ -150,7 +148,6 @@ class Parser:
                         out.append((after, stays + COSTS[edit], audit + edit))
         return tuple(out)
 
-    @lru_cache(maxsize=None)  # noqa: B019
     def step(self, front: tuple, kind: tuple[str, str]) -> tuple[int, tuple, tuple]:
         """The tops after a row: (cost added to all, tops, links back).
 
@@ -158,6 +155,9 @@ class Parser:
         Audits that end in a row's own edit are never the beginning of each other, so
         the order of two audits settles that of all that begins with them.
         """
+        known = self.steps.get((front, kind))
+        if known is not None:
+            return known
         best: list = [None] * len(self.tops)
         for top, held in enumerate(front):
             if held is None:
@@ -170,7 +170,9 @@ class Parser:
         place = {to: k for k, (_, _, to) in enumerate(order)}
         least = min(b[0] for b in best if b)
         tops = tuple((b[0] - least, place[to]) if b else None for to, b in enumerate(best))
-        return least, tops, tuple((b[3], b[2]) if b else None for b in best)
+        found = least, tops, tuple((b[3], b[2]) if b else None for b in best)
+        self.steps[front, kind] = found
+        return found
 
     def start(self, top: int = 0) -> tuple:
         return tuple((0, 0) if t == top else None for t in self.tops)
@@ -331,13 +333,12 @@ def _parse_whole(block: int):
             done.append((*at, *repair(parser, whole)))
 
         def out() -> Iterator[pd.DataFrame]:
-            names = [c.split()[0] for c in f"{OPEN}, {DONE}".split(", ")]
-            opens = [c.split()[0] for c in OPEN.split(", ")]
-            if rows:
-                yield pd.DataFrame(rows, columns=opens).reindex(columns=names).assign(open=True)
-            if done:
-                frame = pd.DataFrame(done, columns=[*CONV, *RESULT])
-                yield frame.reindex(columns=names).assign(open=False)
+            names = [c.split()[0] for c in f"{OPEN}, {DONE}, open".split(", ")]
+            nothing = (None,) * 8
+            found = [(*r, *nothing, True) for r in rows]
+            found += [(*r[:2], *nothing, *r[2:], False) for r in done]
+            if found:
+                yield pd.DataFrame(found, columns=names, dtype=object)
             rows.clear()
             done.clear()
 

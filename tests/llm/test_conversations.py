@@ -1,0 +1,167 @@
+"""Conversation repair against all edits of short conversations, and against SQL."""
+
+import hashlib
+import random
+import re
+import zlib
+
+import compare
+import duckdb
+import pytest
+
+from seatwise.llm import conversations
+
+LEGAL = re.compile(r"(s?(ua)+)?")
+SCHEMA = "conv_id long, turn long, role string, text string, part string, tie string, seq int"
+
+
+def cheapest(kinds):
+    """(cost, audit) over every sequence of edits, by brute force."""
+    bound = 2 * len(kinds)
+    best = [(bound, "D" * len(kinds))]
+
+    def go(at, cost, audit, roles):
+        if (cost, audit) > best[0] and cost > best[0][0]:
+            return
+        if at == len(kinds) and LEGAL.fullmatch(roles):
+            best[0] = min(best[0], (cost, audit))
+        if cost + 5 <= best[0][0]:
+            for r in "ua":
+                go(at, cost + 5, audit + "I", roles + r)
+        if at == len(kinds):
+            return
+        initial, fault = kinds[at]
+        go(at + 1, cost + 2, audit + "D", roles)
+        if fault not in ("blank", "duplicate"):
+            extra = 5 * (fault == "truncated")
+            if initial in ("s", "u", "a"):
+                go(at + 1, cost + extra, audit + "K", roles + initial)
+            for r in "ua":
+                go(at + 1, cost + 1 + extra, audit + "R", roles + r)
+
+    go(0, 0, "", "")
+    return best[0]
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_cheapest_edits_by_brute_force(seed):
+    rng = random.Random(seed)
+    parser = conversations.Parser()
+    kinds = [
+        (rng.choice(["s", "u", "a", "a", "u", "x", ""]), rng.choice(["", "", "", "truncated", "blank", "duplicate"]))
+        for _ in range(rng.randint(0, 5))
+    ]
+    total, front, links = parser.read(kinds, parser.start())
+    cost, top, inserted = parser.end(front)
+    audit = "".join(parser.audits(links, top)) + "I" * len(inserted)
+    assert (total + cost, audit) == cheapest(kinds)
+
+
+def test_inserting_beats_deleting_a_long_run():
+    rows = [(i, r, f"text {i}.") for i, r in enumerate(["user", "assistant", "assistant", "user"] * 2)]
+    _, _, _, _, illegal, cost, audit, _ = conversations.repair(conversations.Parser(), rows)
+    kinds = [(r[0], "") for _, r, _ in rows]
+    assert (cost, audit) == cheapest(kinds) and illegal == 3
+
+
+def damage(rows):
+    out = []
+    for conv, turn, role, text in rows:
+        blank = lambda v: " " if v is None else v
+        hit = zlib.crc32(f"{blank(conv)}:{blank(turn)}".encode()) % 20
+        role, text = blank(role), blank(text)
+        if hit == 1:
+            text = ""
+        if hit == 2:
+            text = re.sub("[.!?]", "", text)
+        if hit == 4:
+            role = "user"
+        out += [(conv, turn, role, text)] * {0: 0, 3: 2}.get(hit, 1)
+    return out
+
+
+def tie(role, text):
+    return hashlib.md5(f"{len(role)}:{role}:{text}".encode()).hexdigest()
+
+
+def expected(rows):
+    parser, out = conversations.Parser(), []
+    kept = damage(rows)
+    for conv in {r[0] for r in rows}:
+        own = [(t, r, x) for c, t, r, x in kept if c == conv]
+        own.sort(key=lambda v: (v[0] is not None, v[0] or 0, tie(v[1], v[2])))
+        out.append((conv, *conversations.repair(parser, own)))
+    return sorted(out, key=str)
+
+
+def by_sql(rows):
+    con = duckdb.connect()
+    con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    if rows:
+        con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
+    return sorted(con.execute(conversations.oracle_sql()).fetchall(), key=str)
+
+
+def by_spark(spark, rows, parts=4, **kw):
+    frame = spark.createDataFrame([(*r, "p", "t", 1) for r in rows], SCHEMA).repartition(parts)
+    found = conversations.repair_conversations(frame, **kw)
+    assert found.columns == ["conv_id", *conversations.RESULT]
+    return sorted((tuple(r) for r in found.collect()), key=str)
+
+
+def talk(rng, conv, n):
+    rows = []
+    for t in range(n):
+        role = "system" if t == 0 and rng.random() < 0.3 else ("user", "assistant")[t % 2]
+        if rng.random() < 0.2:
+            role = rng.choice(["user", "assistant", "system", "tool", "", None])
+        text = rng.choice(["Hello there.", "Cut off", "Really?", " \t ", "", "ok!\n", None, f"No {t}."])
+        rows.append((conv, rng.choice([t, t, t, t + 3, None]), role, text))
+    return rows
+
+
+def sample(seed, convs=25, most=12):
+    rng = random.Random(seed)
+    rows = [r for c in range(convs) for r in talk(rng, c, rng.randint(1, most))]
+    return rows + [(None, 0, "user", "No id."), (None, None, None, None), (-5, 2**40, "user", "Far?")]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_spark_sql_and_plain_python_agree(spark, seed):
+    rows = sample(seed)
+    assert by_sql(rows) == expected(rows)
+    assert by_spark(spark, rows) == expected(rows)
+
+
+def test_long_conversations_go_by_blocks(spark):
+    rng = random.Random(9)
+    rows = sample(4, 6, 5) + talk(rng, 50, 400) + talk(rng, 51, 3)
+    assert by_spark(spark, rows, 5, block=7) == expected(rows)
+
+
+def test_a_conversation_over_all_tasks(spark):
+    rows = talk(random.Random(2), 1, 60)
+    assert by_spark(spark, rows, block=4) == expected(rows)
+
+
+def test_one_row_repeated_many_times(spark):
+    rows = [(7, 3, "user", "Same again.")] * 300 + [(8, 1, "user", "Other."), (8, 2, "assistant", "Yes.")]
+    assert by_spark(spark, rows, block=16) == expected(rows)
+
+
+def test_dropped_conversations_empty_tables_and_very_long_texts(spark):
+    gone = next(c for c in range(1000) if zlib.crc32(f"{c}:0".encode()) % 20 == 0)
+    fine = next(c for c in range(1000) if zlib.crc32(f"{c}:0".encode()) % 20 > 4)
+    rows = [(gone, 0, "user", "Gone."), (fine, 0, "user", "x" * 3_000_000 + ".")]
+    got = by_spark(spark, rows)
+    assert got == expected(rows)
+    nothing = hashlib.sha256(b"").hexdigest()
+    assert (gone, 0, 0, 0, 0, 0, 0, "", nothing) in got
+    assert by_spark(spark, [], 1) == []
+
+
+def test_whole_table_by_sql(spark):
+    path = "/root/testdata/sf0.1"
+    con = compare.connect(path)
+    found = conversations.repair_conversations(spark.read.parquet(f"{path}/conversations.parquet"))
+    assert compare.spark_rows(found) == compare.sql_rows(con, conversations.oracle_sql())
