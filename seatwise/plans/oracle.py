@@ -296,6 +296,13 @@ ORACLE: dict[str, str] = {
         "SELECT userid AS user_id, replace(act_date, '-', ', \"') AS last_activity_date FROM usage",
         "usage",
     ),
+    "src_user_list_multiline": """
+      SELECT 'u' || user_id || CASE WHEN event_id % 3 = 0 THEN chr(10) || chr(10) ELSE '' END
+          || 'x"y' AS user_id,
+        CASE WHEN event_id % 4 <> 0 THEN strftime(ts, '%m-%d-%Y')
+          || CASE WHEN event_id % 5 = 0 THEN chr(10) || '"late",' || chr(10) ELSE '' END
+        END AS last_activity_date
+      FROM events""",
     "src_assignments": _sql(
         """SELECT 'arn:test:application/main' AS application_arn, page,
           CAST(row_number() OVER (PARTITION BY page ORDER BY pos) - 1 AS INTEGER) AS pos,

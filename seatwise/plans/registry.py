@@ -171,6 +171,17 @@ def _src_user_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     return user_list.read_user_list(spark, path)
 
 
+def _src_user_list_multiline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "user-list")
+    broken = tables.table(spark, sf_dir, "events").selectExpr(
+        "concat('u', user_id, if(event_id % 3 = 0, '\n\n', ''), 'x\"y') AS id",
+        "if(event_id % 4 <> 0, concat(date_format(ts, 'MM-dd-yyyy'),"
+        " if(event_id % 5 = 0, '\n\"late\",\n', '')), NULL) AS day",
+    )
+    files.write_csv(broken, path)
+    return user_list.read_user_list(spark, path)
+
+
 def _src_assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "assignments")
     entry = F.struct(
@@ -308,6 +319,7 @@ QUERIES: dict[str, Query] = {
     "src_activity_text": _src_activity_text,
     "src_usage_parquet": _src_usage_parquet,
     "src_user_list": _src_user_list,
+    "src_user_list_multiline": _src_user_list_multiline,
     "src_assignments": _src_assignments,
     "src_memberships": _src_memberships,
     "src_directory": _src_directory,

@@ -1,0 +1,128 @@
+"""Quoted records against the standard library's CSV reader, at every split size."""
+
+import csv
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from seatwise.sources import quoted_records, user_list
+
+
+@pytest.fixture
+def split(spark):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    cost = spark.conf.get("spark.sql.files.openCostInBytes")
+
+    def use(size):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+
+    yield use
+    spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    spark.conf.set("spark.sql.files.openCostInBytes", cost)
+
+
+def put(folder, *texts):
+    folder.mkdir(parents=True, exist_ok=True)
+    for i, text in enumerate(texts):
+        (folder / f"{i}.csv").write_bytes(text.encode())
+    return str(folder)
+
+
+def by_library(*texts):
+    csv.field_size_limit(1 << 30)
+    rows = []
+    for text in texts:
+        flat = text.replace("\r\n", "\n").replace("\r", "\n")
+        lines = [line + "\n" for line in flat.split("\n")[:-1]] + [x for x in [flat.split("\n")[-1]] if x]
+        records = csv.reader(lines)
+        next(records, None)
+        rows += [(r[0].strip(), (r[1] if len(r) > 1 else "") or None) for r in records if r]
+    return sorted(rows, key=str)
+
+
+def read(spark, path):
+    rows = user_list.read_user_list(spark, path).collect()
+    return sorted(((r[0] or "", r[1] or None) for r in rows), key=str)
+
+
+def field(rng):
+    value = "".join(rng.choices(["a", "b", '"', ",", "\n", "\r\n", "\r", " ", "é", '""', "\n\n"], k=rng.randint(1, 9)))
+    return '"' + value.replace('"', '""') + '"' if rng.random() < 0.7 else "plain " + str(rng.randint(0, 99))
+
+
+def listing(seed, records):
+    rng = random.Random(seed)
+    ends = ["\n", "\r\n", "\n\n"]
+    head = rng.choice(["id,date\n", '"i\nd",date\n', "id,date\r\n"])
+    lines = [",".join(field(rng) for _ in range(rng.randint(1, 3))) + rng.choice(ends) for _ in range(records)]
+    return head + "".join(lines)
+
+
+@pytest.mark.parametrize("size,records", [(11, 3), (29, 6), (300, 40), (1 << 20, 40)])
+def test_same_records_at_every_split_size(spark, tmp_path, split, size, records):
+    split(size)
+    texts = [listing(seed + size, records) for seed in range(2)]
+    path = put(tmp_path / "list", *texts)
+    if size < 100:
+        assert spark.read.text(path).rdd.getNumPartitions() > 5
+    assert read(spark, path) == by_library(*texts)
+
+
+def test_every_line_is_one_of_four_functions(spark):
+    rng = random.Random(1)
+    lines = ["", '"', '""', '","', 'a"b', '"a",', '"a"b",', '""""', ',"'] + [
+        "".join(rng.choices(['"', ",", "a", " "], k=rng.randint(0, 9))) for _ in range(400)
+    ]
+
+    def ends(line, inside):
+        state = "quoted" if inside else "start"
+        for c in line:
+            if state in ("start", "plain"):
+                state = "quoted" if (state, c) == ("start", '"') else "start" if c == "," else "plain"
+            elif state == "quoted":
+                state = "closing" if c == '"' else "quoted"
+            else:
+                state = "quoted" if c == '"' else "start" if c == "," else "plain"
+        return state == "quoted"
+
+    df = spark.createDataFrame([(x,) for x in lines], "line string")
+    told = df.select(
+        "line",
+        *(quoted_records.ends_inside(F.col("line"), i).alias(f"i{int(i)}") for i in (False, True)),
+    )
+    for line, outside, inside in told.collect():
+        assert (outside, inside) == (ends(line, False), ends(line, True)), line
+
+
+def test_a_record_over_many_blocks_and_an_open_end(spark, tmp_path, split):
+    split(50)
+    text = 'id,date\n"' + "x\n" * 150 + '",d\nu2,"left\nopen\n'
+    path = put(tmp_path / "list", text)
+    rows = dict(read(spark, path))
+    assert rows[("x\n" * 150).strip()] == "d"
+    assert rows["u2"].startswith("left\nopen")
+
+
+def test_a_quote_left_open_is_named_not_gathered(spark, tmp_path):
+    path = put(tmp_path / "list", 'id,date\n"u1,d\n' + "u2,d\n" * 1000)
+    with pytest.raises(ValueError, match="quote left open"):
+        quoted_records.read_records(spark, path, most=500)
+
+
+def test_long_lines_and_many_doubled_quotes(spark, tmp_path):
+    text = 'id,date\n"' + '""' * 50_000 + '","' + "a,\n" * 5 + '"\n' + "b" * 300_000 + ",d\n"
+    path = put(tmp_path / "list", text)
+    assert read(spark, path) == by_library(text)
+
+
+def test_lines_without_open_quotes_are_read_as_before(spark, tmp_path):
+    path = put(tmp_path / "list", 'id,date\n"a,b",c\nu2,"x""y"\n')
+    plan = user_list.read_user_list(spark, path)._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan csv" in plan and "Exchange" not in plan
+    assert read(spark, path) == [("a,b", "c"), ("u2", 'x"y')]
+
+
+def test_empty_files(spark, tmp_path):
+    assert read(spark, put(tmp_path / "list", "", "id,date\n", '"i\nd"')) == []
