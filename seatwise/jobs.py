@@ -35,17 +35,21 @@ def _usage(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
 
 
 def _assignments(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
-    pages = directory.assignment_pages(spark, args.assignments, args.application)
-    directory.require_complete(pages, "application_arn")
-    return directory.read_assignments(spark, args.assignments, args.application)
+    if not args.by_token:
+        pages = directory.assignment_pages(spark, args.assignments, args.application)
+        directory.require_complete(pages, "application_arn")
+    return directory.read_assignments(
+        spark, args.assignments, args.application, args.by_token
+    )
 
 
 def _memberships(
     spark: SparkSession, args: argparse.Namespace, store: str | None
 ) -> DataFrame:
-    pages = directory.membership_pages(spark, args.memberships, store)
-    directory.require_complete(pages, "GroupId")
-    return directory.read_memberships(spark, args.memberships, store)
+    if not args.by_token:
+        pages = directory.membership_pages(spark, args.memberships, store)
+        directory.require_complete(pages, "GroupId")
+    return directory.read_memberships(spark, args.memberships, store, args.by_token)
 
 
 def _store(spark: SparkSession, args: argparse.Namespace) -> str | None:
@@ -214,6 +218,8 @@ def parser() -> argparse.ArgumentParser:
         if "users" in inputs:
             job.add_argument("--store", help="identity store; needed where several are landed")
             job.add_argument("--instances", help="landed instance list, whose first store counts")
+        if "assignments" in inputs:
+            job.add_argument("--by-token", action="store_true", help="pages carry no numbers")
         if name == "enrich-activity":
             job.add_argument("--keep-date", action="store_true")
             job.add_argument("--multi-line", action="store_true", help="line breaks in quotes")

@@ -170,3 +170,31 @@ def membership_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.explode(F.array_repeat("NextToken", F.col("copies"))).alias("NextToken"),
         )
     )
+
+
+def token_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Membership pages with tokens and no numbers, one kind of fault for most groups.
+
+    By kind: 0 whole, 1 first page missing, 2 a page missing, 3 one landed twice,
+    4 one landed with two next tokens, 5 the last leads back to the third, 6 three
+    pages that lead to each other only.
+    """
+    pages = memberships(spark, sf_dir).groupBy("group_id", "page").agg(F.count("*").alias("members"))
+    number = F.length("group_id") * 3 + F.ascii(F.substring("group_id", 2, 1))
+    name = "substring(sha2(concat(group_id, '/', {}), 256), 1, 12)"
+    follows = f"""CASE WHEN kind = 5 AND page = last THEN {name.format(2)}
+        WHEN kind = 6 AND page = 5 THEN {name.format(3)} WHEN kind = 6 AND page = 2 THEN NULL
+        WHEN page < last THEN {name.format("page + 1")} END"""
+    return (
+        pages.withColumn("last", F.max("page").over(Window.partitionBy("group_id")))
+        .withColumn("kind", F.pmod(number, F.lit(7)))
+        .withColumn("again", F.expr("explode(if(kind IN (3, 4) AND page = 4, array(0, 1), array(0)))"))
+        .where("NOT (kind = 1 AND page = 0) AND NOT (kind = 2 AND page = 5)")
+        .selectExpr(
+            "group_id AS GroupId",
+            f"if(page = 0, NULL, {name.format('page')}) AS Token",
+            f"if(kind = 4 AND again = 1, {name.format(9)}, {follows}) AS NextToken",
+            "members",
+        )
+        .repartition(4, "NextToken")
+    )

@@ -116,6 +116,28 @@ _VIEWS = {
   UNION ALL SELECT 4, 0, 'GROUP', 'sHOUSEHOLD'
   UNION ALL SELECT 4, 1, 'GROUP', 'empty'
   UNION ALL SELECT 4, 2, 'GROUP', 'n' || min(n_nationkey) FROM nation WHERE n_regionkey = 1""",
+    "token_pages": """
+  SELECT group_id AS g, CASE WHEN page > 0 THEN substr(sha256(group_id || '/' || page), 1, 12)
+      ELSE '' END AS token,
+    coalesce(CASE WHEN kind = 4 AND again = 1 THEN substr(sha256(group_id || '/9'), 1, 12)
+         WHEN kind = 5 AND page = last THEN substr(sha256(group_id || '/2'), 1, 12)
+         WHEN kind = 6 AND page = 5 THEN substr(sha256(group_id || '/3'), 1, 12)
+         WHEN kind = 6 AND page = 2 THEN NULL
+         WHEN page < last THEN substr(sha256(group_id || '/' || (page + 1)), 1, 12) END, '') AS nxt
+  FROM (SELECT *, unnest(CASE WHEN kind IN (3, 4) AND page = 4 THEN [0, 1] ELSE [0] END) AS again
+        FROM (SELECT DISTINCT group_id, page, max(page) OVER (PARTITION BY group_id) AS last,
+                (length(group_id) * 3 + ascii(substr(group_id, 2, 1))) % 7 AS kind FROM members))
+  WHERE NOT (kind = 1 AND page = 0) AND NOT (kind = 2 AND page = 5)""",
+    "backs": """
+  SELECT n.g, n.token, CASE WHEN n.token <> '' THEN b.before END AS before
+  FROM (SELECT DISTINCT g, token FROM token_pages) n LEFT JOIN
+    (SELECT g, nxt, min(token) AS before FROM token_pages WHERE nxt <> '' GROUP BY g, nxt) b
+    ON b.g = n.g AND b.nxt = n.token""",
+    "walked(g, token, start, steps)": """
+  SELECT g, token, token, 0 FROM backs WHERE before IS NULL
+  UNION ALL
+  SELECT b.g, b.token, w.start, w.steps + 1 FROM walked w JOIN backs b
+    ON b.g = w.g AND b.before = w.token""",
     "roster": """
   SELECT a.page, a.pos, a.principal_id AS group_id, g.group_name, m.page AS member_page,
     m.pos AS member_pos, k.user_id, k.user_name, k.email, k.display_name
@@ -157,7 +179,7 @@ _DIRECT = """
 
 def _sql(body: str, *views: str) -> str:
     named = ",\n".join(f"{name} AS ({_VIEWS[name]})" for name in views)
-    return f"WITH {named}\n{body}" if views else body
+    return f"WITH RECURSIVE {named}\n{body}" if views else body
 
 
 ORACLE: dict[str, str] = {
@@ -222,6 +244,40 @@ ORACLE: dict[str, str] = {
         GROUP BY group_id HAVING problem IS NOT NULL""",
         "members",
     ),
+    "page_order": _sql(
+        """SELECT g AS "GroupId", token, CAST(steps + 1 AS INTEGER) AS page
+        FROM walked WHERE start = ''""",
+        "members",
+        "token_pages",
+        "backs",
+        "walked(g, token, start, steps)",
+    ),
+    "chain_problems": _sql(
+        """SELECT g AS "GroupId", problem, min(token) AS token, count(*) AS pages FROM (
+          SELECT g, token, 'page repeated' AS problem FROM
+            (SELECT g, token, nxt, count(*) AS c FROM token_pages GROUP BY ALL)
+          GROUP BY g, token HAVING max(c) > 1
+          UNION ALL
+          SELECT g, token, 'fork' FROM token_pages GROUP BY g, token HAVING count(DISTINCT nxt) > 1
+          UNION ALL
+          SELECT g, nxt, 'token repeated' FROM token_pages WHERE nxt <> ''
+          GROUP BY g, nxt HAVING count(DISTINCT token) > 1
+          UNION ALL
+          SELECT DISTINCT g, nxt, 'gap' FROM token_pages p WHERE nxt <> '' AND NOT EXISTS
+            (SELECT 1 FROM token_pages q WHERE q.g = p.g AND q.token = p.nxt)
+          UNION ALL
+          SELECT g, token, 'cut off' FROM walked WHERE steps = 0 AND token <> ''
+          UNION ALL
+          SELECT g, token, 'cycle' FROM backs b WHERE NOT EXISTS
+            (SELECT 1 FROM walked w WHERE w.g = b.g AND w.token = b.token)
+          UNION ALL
+          SELECT g, min(token), 'first page missing' FROM backs GROUP BY g HAVING min(token) <> '')
+        GROUP BY g, problem""",
+        "members",
+        "token_pages",
+        "backs",
+        "walked(g, token, start, steps)",
+    ),
     "direct_users": _sql(_DIRECT, "people", "assigned"),
     "direct_user_count": _sql(
         """SELECT count(DISTINCT a.principal_id) AS assigned_users,
@@ -318,6 +374,14 @@ ORACLE: dict[str, str] = {
         FROM members WHERE page % 5 <> 0""",
         "members",
     ),
+    "src_memberships_by_token": _sql(
+        """SELECT group_id,
+          CAST(dense_rank() OVER (PARTITION BY group_id ORDER BY page) AS INTEGER) AS page,
+          CAST(row_number() OVER (PARTITION BY group_id, page ORDER BY pos) - 1 AS INTEGER) AS pos,
+          user_id
+        FROM members""",
+        "members",
+    ),
     "src_directory": _sql(
         """SELECT user_id, user_name, display_name, first_name, last_name,
           emails, first_email, primary_email

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seatwise.functions.emails import first_or_null, primary_or_blank
@@ -15,7 +15,7 @@ from seatwise.plans import driver_tables as tables
 from seatwise.schemas import ACTIVITY_LOG, MEMBERSHIP_PAGE
 from seatwise.session import scratch_path
 from seatwise.sinks import files
-from seatwise.sources import directory, usage_files, user_list
+from seatwise.sources import directory, page_order, usage_files, user_list
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -89,6 +89,41 @@ def _incomplete_landings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return directory.incomplete_landings(pages, "GroupId")
 
 
+def _token_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-pages")
+    tables.token_landing(spark, sf_dir).drop("members").write.json(path)
+    return spark.read.schema(MEMBERSHIP_PAGE).json(path)
+
+
+def _page_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_order.page_order(_token_pages(spark, sf_dir), "GroupId")
+
+
+def _chain_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_order.chain_problems(_token_pages(spark, sf_dir), "GroupId")
+
+
+def _src_memberships_by_token(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Members of the groups whose chain of pages is whole, numbered along it."""
+    path = scratch_path(spark, "memberships")
+    members = tables.memberships(spark, sf_dir)
+    entry = F.struct("pos", F.struct(F.col("user_id").alias("UserId")).alias("MemberId"))
+    token = F.substring(F.sha2(F.concat_ws("/", "GroupId", "page"), 256), 1, 10)
+    pages = Window.partitionBy("GroupId").orderBy("page")
+    (
+        members.groupBy(F.col("group_id").alias("GroupId"), "page")
+        .agg(_in_order(entry, "MemberId").alias("GroupMemberships"))
+        .withColumn("own", token)
+        .withColumn("NextToken", F.coalesce(F.lead("own").over(pages), F.lit("")))
+        .withColumn("Token", F.when(F.row_number().over(pages) > 1, F.col("own")))
+        .withColumn("identity_store_id", F.lit(STORE))
+        .drop("page", "own")
+        .write.partitionBy("identity_store_id")
+        .json(path)
+    )
+    return directory.read_memberships(spark, path, STORE, by_token=True)
+
+
 def _direct_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return access.direct_users(tables.assignments(spark, sf_dir), tables.users(spark, sf_dir))
 
@@ -301,6 +336,8 @@ QUERIES: dict[str, Query] = {
     "sample_rows": _sample_rows,
     "parsed_patterns": _parsed_patterns,
     "incomplete_landings": _incomplete_landings,
+    "page_order": _page_order,
+    "chain_problems": _chain_problems,
     "direct_users": _direct_users,
     "direct_user_count": _direct_user_count,
     "enrich_activity": _enrich_activity,
@@ -322,6 +359,7 @@ QUERIES: dict[str, Query] = {
     "src_user_list_multiline": _src_user_list_multiline,
     "src_assignments": _src_assignments,
     "src_memberships": _src_memberships,
+    "src_memberships_by_token": _src_memberships_by_token,
     "src_directory": _src_directory,
     "src_groups": _src_groups,
     "snk_csv_roundtrip": _snk_csv_roundtrip,

@@ -66,11 +66,13 @@ USER_LIST = _row(("user_id", _S), ("last_activity_date", _S))
 #: The landed list of identity instances; the first one names the store to use.
 INSTANCES = _row(("page", _I), ("Instances", T.ArrayType(_row(("IdentityStoreId", _S)))))
 
-#: One landed page of an application's assignments, as the service returns it.
+#: One landed page of an application's assignments, as the service returns it. Pages
+#: have a number, or the token they were asked for with.
 ASSIGNMENT_PAGE = _row(
     ("application_arn", _S),
     ("page", _I),
     ("ApplicationAssignments", T.ArrayType(_row(("PrincipalType", _S), ("PrincipalId", _S)))),
+    ("Token", _S),
     ("NextToken", _S),
 )
 
@@ -81,6 +83,7 @@ MEMBERSHIP_PAGE = _row(
     ("GroupId", _S),
     ("page", _I),
     ("GroupMemberships", T.ArrayType(_row(("MemberId", _row(("UserId", _S)))))),
+    ("Token", _S),
     ("NextToken", _S),
 )
 

@@ -19,23 +19,27 @@ from seatwise.schemas import (
     MEMBERSHIP_PAGE,
     USER_PROFILE,
 )
+from seatwise.sources.page_order import in_token_order
 
 # The numbers a first page may have.
 FIRST_PAGES = (0, 1)
 
 
 def read_assignments(
-    spark: SparkSession, path: str, application_arn: str | None = None
+    spark: SparkSession, path: str, application_arn: str | None = None, by_token: bool = False
 ) -> DataFrame:
     """(application_arn, page, pos, principal_type, principal_id).
 
     Where the pages lie in one folder per application, naming the application
     reads that folder only. A page without entries gives no rows. A page landed
-    without its number fails any query that needs an assignment's place.
+    without its number fails any query that needs an assignment's place;
+    ``by_token`` numbers pages along their tokens, see ``page_order``.
     """
+    pages = assignment_pages(spark, path, application_arn)
+    if by_token:
+        pages = in_token_order(pages, "application_arn")
     return (
-        assignment_pages(spark, path, application_arn)
-        .select(
+        pages.select(
             "application_arn",
             _page_number(),
             F.posexplode("ApplicationAssignments").alias("pos", "entry"),
@@ -59,9 +63,14 @@ def assignment_pages(
     return pages
 
 
-def read_memberships(spark: SparkSession, path: str, store_id: str | None = None) -> DataFrame:
+def read_memberships(
+    spark: SparkSession, path: str, store_id: str | None = None, by_token: bool = False
+) -> DataFrame:
     """(group_id, page, pos, user_id) of one identity store."""
-    pages = membership_pages(spark, path, store_id).select(
+    landed = membership_pages(spark, path, store_id)
+    if by_token:
+        landed = in_token_order(landed, "GroupId")
+    pages = landed.select(
         F.col("GroupId").alias("group_id"),
         _page_number(),
         F.posexplode("GroupMemberships").alias("pos", "entry"),
