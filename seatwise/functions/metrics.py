@@ -109,6 +109,11 @@ class Ratio:
     def fraction(self) -> Column:
         return self._over("/").alias(f"{self.name}_fraction")
 
+    def of(self, accepted: str, generated: str, kind: str) -> Column:
+        """From the two sums: ``kind`` is ``whole`` or ``fraction``."""
+        operator, ending = {"whole": ("div", "ratio"), "fraction": ("/", "fraction")}[kind]
+        return F.expr(f"{accepted} {operator} nullif({generated}, 0)").alias(f"{self.name}_{ending}")
+
     def _over(self, operator: str) -> Column:
         return F.expr(f"sum({self.accepted}) {operator} nullif(sum({self.generated}), 0)")
 

@@ -14,11 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from seatwise.functions.sql import register_sql_functions
-from seatwise.operators import access, enrich, groups, usage
+from seatwise.operators import access, enrich, foldable, groups, laid_out, usage
 from seatwise.schemas import USAGE
 from seatwise.session import build_session
 from seatwise.sinks import files
-from seatwise.sources import directory, usage_files, user_list
+from seatwise.sources import directory, usage_files, usage_table, user_list
 
 
 #: Where instances are asked for and none is listed, no profile is known.
@@ -34,6 +34,12 @@ def _usage(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     return spark.table(name) if name and not kind else spark.read.parquet(args.usage)
 
 
+def _laid_out(spark: SparkSession, args: argparse.Namespace) -> usage_table.UsageTable | None:
+    """``laid-out:NAME`` for a table laid out by user."""
+    kind, _, name = args.usage.partition("laid-out:")
+    return usage_table.usage_table(spark, name) if name and not kind else None
+
+
 def _assignments(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     if not args.by_token:
         pages = directory.assignment_pages(spark, args.assignments, args.application)
@@ -75,15 +81,38 @@ def convert_usage(spark: SparkSession, args: argparse.Namespace) -> None:
         paths = usage_files.new_files(spark, args.text, args.out)
         if not paths:
             return
-    text = usage_files.read_usage_text(spark, paths, _schema(args.schema), with_source=True)
+    text = usage_files.read_usage_text(
+        spark, paths, _schema(args.schema), with_source=True, with_lost=args.count_losses
+    )
     usage_files.write_usage_parquet(text, args.out, "append" if args.append else "errorifexists")
 
 
 def usage_rollup(spark: SparkSession, args: argparse.Namespace) -> None:
-    files.write_csv(usage.usage_rollup(_usage(spark, args), args.day_col), args.out)
+    table = _laid_out(spark, args)
+    if table:
+        files.write_csv(laid_out.usage_rollup(table, args.day_col), args.out)
+    else:
+        files.write_csv(usage.usage_rollup(_usage(spark, args), args.day_col), args.out)
+
+
+def lay_out_usage(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Usage rows as a table of the catalog by user, ``--out`` is its name."""
+    usage_table.write_usage_table(_usage(spark, args), args.out, args.buckets, args.folder)
+
+
+def update_rollup(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Adds new rows to the states kept, and writes the rollup of all batches."""
+    state = foldable.usage_state(_usage(spark, args), args.day_col)
+    foldable.write_state(state, args.state, args.batch)
+    files.write_csv(foldable.rollup_of(foldable.merged(foldable.read_state(spark, args.state))), args.out)
 
 
 def latest_activity(spark: SparkSession, args: argparse.Namespace) -> None:
+    table = _laid_out(spark, args)
+    if table:
+        latest = laid_out.latest_activity(table, args.day_col, args.on_bad_date)
+        files.write_csv(latest, args.out)
+        return
     latest = usage.latest_activity(
         _usage(spark, args), args.day_col, args.normalize, args.on_bad_date
     )
@@ -92,6 +121,13 @@ def latest_activity(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def activity_with_profile(spark: SparkSession, args: argparse.Namespace) -> None:
     users = directory.read_users(spark, args.users, _store(spark, args))
+    table = _laid_out(spark, args)
+    if table:
+        activity = laid_out.activity_with_profile(
+            table, users, day_col=args.day_col, on_bad_date=args.on_bad_date
+        )
+        files.export_activity(activity, args.out)
+        return
     activity = enrich.activity_with_profile(
         _usage(spark, args),
         users,
@@ -190,6 +226,8 @@ _DIRECTORY = ("assignments", "application", "users")
 _JOBS = {
     "convert-usage": (convert_usage, ("text",)),
     "usage-rollup": (usage_rollup, ("usage",)),
+    "lay-out-usage": (lay_out_usage, ("usage",)),
+    "update-rollup": (update_rollup, ("usage", "state", "batch")),
     "latest-activity": (latest_activity, ("usage",)),
     "activity-with-profile": (activity_with_profile, ("usage", "users")),
     "enrich-activity": (enrich_activity, ("list", "users")),
@@ -210,11 +248,15 @@ def parser() -> argparse.ArgumentParser:
         if name == "convert-usage":
             job.add_argument("--append", action="store_true", help="add newly landed files")
             job.add_argument("--schema", help="columns in file order, as in CREATE TABLE")
+            job.add_argument("--count-losses", action="store_true", help="beside the table")
         if "usage" in inputs:
             job.add_argument("--day-col", default="act_date")
         if name in ("latest-activity", "activity-with-profile"):
             job.add_argument("--normalize", action="store_true")
             job.add_argument("--on-bad-date", choices=("raise", "null"), default="raise")
+        if name == "lay-out-usage":
+            job.add_argument("--buckets", type=int, help="default: the shuffle partitions")
+            job.add_argument("--folder", help="where, if not the warehouse")
         if "users" in inputs:
             job.add_argument("--store", help="identity store; needed where several are landed")
             job.add_argument("--instances", help="landed instance list, whose first store counts")

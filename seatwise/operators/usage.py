@@ -37,16 +37,17 @@ def usage_rollup(usage: DataFrame, day_col: str = "act_date", ordered: bool = Tr
         F.when(~F.col("_absent"), F.col("_user")).alias("userid"),
         *(c for c in joined.columns if c not in key),
     )
-    return _busiest_first(rollup) if ordered else rollup
+    return busiest_first(rollup) if ordered else rollup
 
 
 def active_days(usage: DataFrame, day_col: str = "act_date", ordered: bool = True) -> DataFrame:
     """Distinct days per user, as text: '' is a day, NULL is not."""
     days = usage.groupBy("userid").agg(F.count_distinct(day_col).alias("active_days"))
-    return _busiest_first(days) if ordered else days
+    return busiest_first(days) if ordered else days
 
 
-def _busiest_first(per_user: DataFrame) -> DataFrame:
+def busiest_first(per_user: DataFrame) -> DataFrame:
+    """Most active days first, the id last."""
     # Few distinct day counts exist, so the id has to take part in the range
     # partitioning for the sort to spread over tasks.
     return per_user.orderBy(F.col("active_days").desc_nulls_last(), F.col("userid"))
@@ -98,9 +99,12 @@ def latest_activity(
             .repartition("user_id")
             .distinct()
         )
-    if ordered:
-        result = result.orderBy(F.col("latest_activity_date").desc_nulls_last(), F.col("user_id"))
-    return result
+    return newest_first(result) if ordered else result
+
+
+def newest_first(latest: DataFrame) -> DataFrame:
+    """Latest day first, the id last."""
+    return latest.orderBy(F.col("latest_activity_date").desc_nulls_last(), F.col("user_id"))
 
 
 def bad_days(usage: DataFrame, day_col: str = "act_date") -> DataFrame:

@@ -198,3 +198,22 @@ def token_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .repartition(4, "NextToken")
     )
+
+
+def faulty_usage_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Usage text lines of which some are short, long, or hold no number."""
+    fields = usage(spark, sf_dir).select(
+        "userid", "act_date", *(F.col(c).cast("string") for c in COUNTERS[:4])
+    )
+    numbered = fields.withColumn("n", F.substring(F.replace("userid", F.lit('"'), F.lit("")), 2, 20))
+    text = [F.coalesce(F.col(c), F.lit("\\N")) for c in fields.columns]
+    number = F.col("n").cast("bigint")
+    text[2] = F.when(number % 5 == 0, "many").otherwise(text[2])
+    text[5] = F.when(number % 7 == 0, "99999999999").when(number % 7 == 1, "").otherwise(text[5])
+    line = F.concat_ws(",", *text)
+    return numbered.select(
+        F.when(number % 11 == 0, F.concat_ws(",", *text[:3]))
+        .when(number % 13 == 0, F.concat(line, F.lit(",7,8")))
+        .otherwise(line)
+        .alias("userid,act_date,a,b,c,d")
+    )

@@ -182,12 +182,28 @@ def _sql(body: str, *views: str) -> str:
     return f"WITH RECURSIVE {named}\n{body}" if views else body
 
 
+_ROLLUP = f"""SELECT userid, count(DISTINCT act_date) AS active_days, {_SINGLE_SQL}, {_PAIR_SQL},
+        {_RATIO_SQL}, {_FRACTION_SQL} FROM usage GROUP BY userid ORDER BY active_days DESC"""
+
 ORACLE: dict[str, str] = {
-    "usage_rollup": _sql(
-        f"""SELECT userid, count(DISTINCT act_date) AS active_days, {_SINGLE_SQL}, {_PAIR_SQL},
-        {_RATIO_SQL}, {_FRACTION_SQL} FROM usage GROUP BY userid ORDER BY active_days DESC""",
+    "usage_rollup": _sql(_ROLLUP, "usage"),
+    "usage_rollup_folded": _sql(_ROLLUP, "usage"),
+    "usage_rollup_table": _sql(_ROLLUP, "usage"),
+    "latest_activity_table": _sql("SELECT * FROM latest", "usage", "latest"),
+    "conversion_losses": _sql(
+        f"""WITH lines AS (
+          SELECT n % 11 = 0 AS short, n % 11 <> 0 AND n % 13 = 0 AS long,
+            n % 5 = 0 AS many, n % 11 <> 0 AND n % 7 = 0 AS big
+          FROM (SELECT CAST(substr(replace(userid, '"', ''), 2) AS BIGINT) AS n FROM usage))
+        SELECT unnest(['rows', 'short rows', 'missing fields', 'rows with surplus',
+            'surplus fields', 'failed', 'failed', 'failed', 'failed']) AS measure,
+          unnest([NULL, NULL, NULL, NULL, NULL, {", ".join(f"'{c}'" for c in COUNTERS[:4])}])
+            AS column,
+          CAST(unnest([count(*), count_if(short), 3 * count_if(short), count_if(long),
+            2 * count_if(long), count_if(many), 0, 0, count_if(big)]) AS BIGINT) AS n
+        FROM lines""",
         "usage",
-    ),
+    ).replace("\nWITH lines AS", ", lines AS", 1),
     "active_days": _sql(
         "SELECT userid, count(DISTINCT act_date) AS active_days FROM usage GROUP BY userid",
         "usage",
@@ -303,6 +319,13 @@ ORACLE: dict[str, str] = {
         "people",
         "known",
     ),
+    "activity_with_profile_table": _sql(
+        _ENRICHED.format(date="latest_activity_date", source="latest"),
+        "usage",
+        "latest",
+        "people",
+        "known",
+    ),
     "effective_users": _sql(
         """SELECT i.user_id, k.user_name, k.email, k.display_name
         FROM (SELECT principal_id AS user_id FROM assigned WHERE principal_type = 'USER'

@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from seatwise.functions.emails import first_or_null, primary_or_blank
 from seatwise.functions.sql import register_sql_functions
 from seatwise.functions.text import clean_user_id, export_stamp, uri_bucket, uri_key
-from seatwise.operators import access, enrich, groups, usage
+from seatwise.operators import access, enrich, foldable, groups, laid_out, usage
 from seatwise.plans import driver_tables as tables
-from seatwise.schemas import ACTIVITY_LOG, MEMBERSHIP_PAGE
+from seatwise.schemas import ACTIVITY_LOG, MEMBERSHIP_PAGE, USAGE
 from seatwise.session import scratch_path
 from seatwise.sinks import files
-from seatwise.sources import directory, page_order, usage_files, user_list
+from seatwise.sources import directory, page_order, usage_files, usage_table, user_list
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,6 +41,45 @@ def _bad_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return usage.bad_days(tables.activity_log(spark, sf_dir), "data")
 
 
+def _usage_rollup_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three uneven batches, one of them written twice, folded out of order."""
+    rows = tables.usage(spark, sf_dir)
+    day = F.substring("act_date", 4, 2).cast("int")
+    batches = {"c": day.isNull(), "a": day <= 9, "b": day > 9}
+    path = scratch_path(spark, "usage-state")
+    for batch in ("b", "c", "a", "c"):
+        foldable.write_state(foldable.usage_state(rows.where(batches[batch])), path, batch)
+    return foldable.rollup_of(foldable.merged(foldable.read_state(spark, path)))
+
+
+def _laid_out(spark: SparkSession, sf_dir: str) -> usage_table.UsageTable:
+    folder = scratch_path(spark, "usage-table")
+    name = "usage_" + folder.rpartition("-")[2]
+    usage_table.write_usage_table(tables.usage(spark, sf_dir), name, folder=folder)
+    return usage_table.usage_table(spark, name)
+
+
+def _usage_rollup_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return laid_out.usage_rollup(_laid_out(spark, sf_dir))
+
+
+def _latest_activity_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return laid_out.latest_activity(_laid_out(spark, sf_dir))
+
+
+def _activity_with_profile_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return laid_out.activity_with_profile(_laid_out(spark, sf_dir), tables.users(spark, sf_dir))
+
+
+def _conversion_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text, out = scratch_path(spark, "usage-text"), scratch_path(spark, "usage-parquet")
+    usage_files.write_lines(tables.faulty_usage_lines(spark, sf_dir), text)
+    schema = type(USAGE)(USAGE.fields[:6])
+    rows = usage_files.read_usage_text(spark, text, schema, with_lost=True)
+    usage_files.write_usage_parquet(rows, out)
+    return usage_files.read_losses(spark, out)
+
+
 def _latest_activity_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     register_sql_functions(spark)
     return spark.sql(
@@ -324,6 +363,11 @@ def _snk_report_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "usage_rollup": _on_usage(usage.usage_rollup),
+    "usage_rollup_folded": _usage_rollup_folded,
+    "usage_rollup_table": _usage_rollup_table,
+    "latest_activity_table": _latest_activity_table,
+    "activity_with_profile_table": _activity_with_profile_table,
+    "conversion_losses": _conversion_losses,
     "active_days": _on_usage(usage.active_days),
     "usage_pair_sums": _on_usage(usage.usage_pair_sums),
     "acceptance_ratio": _on_usage(usage.acceptance_ratio),

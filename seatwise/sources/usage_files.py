@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,6 +18,11 @@ SOURCE = "source_file"
 #: A character no text file holds, so that a reader keeps whole lines whole.
 NO_DELIMITER = "\u0001"
 
+#: What a converted row lost on the way: see ``read_usage_text``.
+LOST = "lost"
+#: Folder of the counts of such losses, beside the files of a table that readers see.
+LOSSES = "_losses"
+
 # Fixed value: how a missing value is written in delimited table text.
 MISSING = "\\N"
 
@@ -27,6 +32,7 @@ def read_usage_text(
     path: str | list[str],
     schema: T.StructType = USAGE,
     with_source: bool = False,
+    with_lost: bool = False,
 ) -> DataFrame:
     """Every file under ``path``, dated subfolders included, as rows of ``schema``.
 
@@ -34,7 +40,8 @@ def read_usage_text(
     character. The first line of each file is dropped. Short lines are filled
     with NULL, surplus fields ignored, text that is no integer becomes NULL, and
     an empty string stays apart from a missing one. Large files are split between
-    tasks. ``with_source`` adds the file each row comes from.
+    tasks. ``with_source`` adds the file each row comes from, ``with_lost`` how many
+    fields each row is short of or has too many, and which columns' numbers failed.
     """
     lines = (
         spark.read.schema("line string")
@@ -47,6 +54,9 @@ def read_usage_text(
     if with_source:
         lines = lines.select("line", F.col("_metadata.file_path").alias(SOURCE))
     kept = [SOURCE] if with_source else []
+    if with_lost:
+        lines = lines.withColumn("fields", F.split("line", ",", -1))
+        kept.append("fields")
     # The text columns are cut off by hand, since a CSV reader cannot tell an
     # empty string from a missing one; the counters need no such care.
     text = [isinstance(f.dataType, T.StringType) for f in schema.fields]
@@ -70,12 +80,36 @@ def read_usage_text(
         *kept,
     )
     if not counters:
-        return rows.drop("rest")
+        return _with_lost(rows.drop("rest"), schema, with_lost)
     numbers = F.from_csv(
         "rest", T.StructType(counters).toDDL(), {"quote": "", "nullValue": MISSING}
     )
     flat = rows.withColumn("n", numbers).select(*rows.drop("rest").columns, "n.*")
-    return flat.select(*schema.names, *kept)
+    return _with_lost(flat.select(*schema.names, *kept), schema, with_lost)
+
+
+def _with_lost(rows: DataFrame, schema: T.StructType, wanted: bool) -> DataFrame:
+    if not wanted:
+        return rows
+    n = len(schema.fields)
+    failed = [
+        F.when(_failed(F.get("fields", F.lit(i)), F.col(field.name)), F.lit(field.name))
+        for i, field in enumerate(schema.fields)
+        if not isinstance(field.dataType, T.StringType)
+    ]
+    lost = F.struct(
+        F.greatest(n - F.size("fields"), F.lit(0)).alias("missing"),
+        F.greatest(F.size("fields") - n, F.lit(0)).alias("surplus"),
+        (F.array_compact(F.array(*failed)) if failed else F.array().cast("array<string>")).alias(
+            "failed"
+        ),
+    )
+    return rows.withColumn(LOST, lost).drop("fields")
+
+
+def _failed(text: Column, number: Column) -> Column:
+    """Text that is there, is not the sign of a missing value, and gave no number."""
+    return number.isNull() & text.isNotNull() & (text != MISSING) & (text != "")
 
 
 def new_files(spark: SparkSession, path: str, converted: str) -> list[str]:
@@ -111,23 +145,60 @@ def write_usage_parquet(usage: DataFrame, path: str, mode: str = "errorifexists"
     adaptive planner split a user too big for one file and merge small ones.
     Raw and clean ids are both kept: the totals go by the raw one, directory
     lookups by the clean one.
+
+    Rows read ``with_lost`` have their losses counted in the same pass. The counts
+    are taken in the tasks that write, after the shuffle: each of those counts once,
+    whereas tasks before a shuffle count again if their executor is lost.
     """
-    (
+    laid_out = (
         usage.withColumn("user_id", clean_user_id(F.col("userid")))
         .hint("rebalance", "userid")
         .sortWithinPartitions("userid", *usage.columns[1:2])
-        .write.mode(mode)
-        .parquet(path)
     )
+    if LOST not in usage.columns:
+        laid_out.write.mode(mode).parquet(path)
+        return
+    numbers = [
+        f.name for f in usage.schema.fields
+        if not isinstance(f.dataType, (T.StringType, T.StructType))
+    ]
+    seen = Observation("losses")
+    counts = {
+        "rows": F.count(F.lit(1)),
+        "short rows": F.count_if(F.col("lost.missing") > 0),
+        "missing fields": F.sum("lost.missing"),
+        "rows with surplus": F.count_if(F.col("lost.surplus") > 0),
+        "surplus fields": F.sum("lost.surplus"),
+    } | {f"failed {c}": F.count_if(F.array_contains("lost.failed", c)) for c in numbers}
+    observed = laid_out.observe(seen, *(c.alias(n) for n, c in counts.items())).drop(LOST)
+    observed.write.mode(mode).parquet(path)
+    found = seen.get
+    rows = [
+        (*(n.split(" ", 1) if n.startswith("failed ") else (n, None)), int(found[n] or 0))
+        for n in counts
+    ]
+    spark = usage.sparkSession
+    spark.createDataFrame(rows, "measure string, column string, n long").coalesce(1).write.mode(
+        mode if mode == "overwrite" else "append"
+    ).parquet(f"{path.rstrip('/')}/{LOSSES}")
+
+
+def read_losses(spark: SparkSession, path: str) -> DataFrame:
+    """``(measure, column, n)``: what all conversions into ``path`` have lost."""
+    found = spark.read.parquet(f"{path.rstrip('/')}/{LOSSES}")
+    return found.groupBy("measure", "column").agg(F.sum("n").alias("n"))
 
 
 def write_usage_text(usage: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Delimited text with a header line per file, as ``read_usage_text`` takes it."""
     fields = [F.coalesce(F.col(c).cast("string"), F.lit(MISSING)) for c in usage.columns]
-    line = F.concat_ws(",", *fields).alias(",".join(usage.columns))
+    write_lines(usage.select(F.concat_ws(",", *fields).alias(",".join(usage.columns))), path, mode)
+
+
+def write_lines(lines: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Whole lines of text, each file begun by the column's name."""
     (
-        usage.select(line)
-        .write.mode(mode)
+        lines.write.mode(mode)
         .option("header", True)
         .option("sep", NO_DELIMITER)
         .option("quote", "")

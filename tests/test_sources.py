@@ -306,3 +306,24 @@ def test_datetime_patterns_of_the_query_service(spark):
     ):
         row = spark.sql(f"SELECT parse_datetime('{text}', '{pattern}')").first()
         assert row[0] == datetime.datetime(2025, 3, 1), pattern
+
+
+def test_losses_are_counted_by_column_in_the_converting_pass(spark, tmp_path):
+    schema = type(USAGE)(USAGE.fields[:4])
+    lines = ["u,d,a,b", "u1,d,1,2", "u2,d,x,\\N", "u3,d", "u4,d,,99999999999", "u5,d,1,2,3,4", "u6,d,1.5,y"]
+    text = put(tmp_path / "text", "a.csv", "\n".join(lines) + "\n")
+    out = str(tmp_path / "out")
+    rows = usage_files.read_usage_text(spark, text, schema, with_source=True, with_lost=True)
+    assert rows._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    usage_files.write_usage_parquet(rows, out)
+    counted = {(r["measure"], r["column"]): r["n"] for r in usage_files.read_losses(spark, out).collect()}
+    a, b = schema.names[2:]
+    assert counted == {
+        ("rows", None): 6, ("short rows", None): 1, ("missing fields", None): 2,
+        ("rows with surplus", None): 1, ("surplus fields", None): 2,
+        ("failed", a): 2, ("failed", b): 2,
+    }
+    back = spark.read.parquet(out)
+    assert back.count() == 6 and usage_files.LOST not in back.columns
+    usage_files.write_usage_parquet(rows, out, "append")
+    assert usage_files.read_losses(spark, out).where("measure = 'rows'").first()["n"] == 12
