@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -217,3 +219,55 @@ def faulty_usage_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(line)
         .alias("userid,act_date,a,b,c,d")
     )
+
+
+def user_landings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User profiles landed whole on two days, and their changes on four others."""
+    rows = users(spark, sf_dir).withColumn("n", F.substring("user_id", 2, 20).cast("bigint"))
+    # Whom each landing holds, and what it says of them.
+    landings = [
+        ("full", "2025-03-01", "n % 10 <> 9", "false", "user_name"),
+        ("changes", "2025-03-02", "n % 3 = 0", "false", "concat(user_name, '@2')"),
+        ("changes", "2025-03-03", "n % 7 = 0", "true", "NULL"),
+        ("changes", "2025-03-04", "n % 21 = 0", "false", "concat(user_name, '@4')"),
+        ("full", "2025-03-05", "n % 11 <> 0", "false", "user_name"),
+        ("changes", "2025-03-05", "n % 5 = 0", "false", "concat(user_name, '@5')"),
+        ("changes", "2025-03-06", "n % 10 = 0", "n % 20 = 0", "concat(user_name, '@6')"),
+        ("changes", "2025-03-08", "n % 2 = 0", "true", "NULL"),
+    ]
+    parts = [
+        rows.where(held).selectExpr(
+            f"'{kind}' AS kind",
+            f"'{day}' AS landed",
+            f"{gone} AS Removed",
+            "'d-1' AS IdentityStoreId",
+            "user_id AS UserId",
+            f"{name} AS UserName",
+            "display_name AS DisplayName",
+            "name AS Name",
+            "emails AS Emails",
+        )
+        for kind, day, held, gone, name in landings
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def instance_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The listed identity instances: a page for each region, a store for each nation."""
+    store = F.concat(F.lit("d-"), F.lpad((97 - F.col("n_nationkey")).cast("string"), 3, "0"))
+    entry = F.struct("n_nationkey", F.struct(store.alias("IdentityStoreId")).alias("entry"))
+    listed = F.sort_array(F.collect_list(entry))
+    return (
+        table(spark, sf_dir, "nation")
+        .groupBy((4 - F.col("n_regionkey")).alias("page"))
+        .agg(F.transform(listed, lambda e: e["entry"]).alias("Instances"))
+    )
+
+
+def application_assignments(assignments: DataFrame) -> DataFrame:
+    """The assignments dealt out to applications by page; some belong to two."""
+    return assignments.withColumn("application_arn", F.concat(F.lit("app"), F.col("page"))).unionByName(
+        assignments.where("principal_type = 'GROUP' AND pos % 2 = 0").withColumn(
+            "application_arn", F.lit("app2")
+        )
+    )

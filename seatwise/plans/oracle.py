@@ -138,6 +138,25 @@ _VIEWS = {
   UNION ALL
   SELECT b.g, b.token, w.start, w.steps + 1 FROM walked w JOIN backs b
     ON b.g = w.g AND b.before = w.token""",
+    "landings": """
+  SELECT p.*, l.day, l.whole, l.gone, l.name FROM (SELECT *, c_custkey AS n FROM people) p, LATERAL (
+    SELECT * FROM (VALUES
+      ('2025-03-01', true, n % 10 <> 9, false, user_name),
+      ('2025-03-02', false, n % 3 = 0, false, user_name || '@2'),
+      ('2025-03-03', false, n % 7 = 0, true, NULL),
+      ('2025-03-04', false, n % 21 = 0, false, user_name || '@4'),
+      ('2025-03-05', true, n % 11 <> 0, false, user_name),
+      ('2025-03-05', false, n % 5 = 0, false, user_name || '@5'),
+      ('2025-03-06', false, n % 10 = 0, n % 20 = 0, user_name || '@6'),
+      ('2025-03-08', false, n % 2 = 0, true, NULL)) v(day, whole, held, gone, name)
+    WHERE held) l""",
+    "standing": """
+  SELECT d.day AS asked, l.*,
+    row_number() OVER (PARTITION BY d.day, user_id ORDER BY l.day DESC, whole) AS place
+  FROM (SELECT unnest(['2025-03-01', '2025-03-03', '2025-03-05', '2025-03-06', '2025-03-07',
+          '2025-03-09']) AS day) d
+  JOIN landings l ON l.day <= d.day AND l.day >= CASE WHEN d.day >= '2025-03-05'
+    THEN '2025-03-05' ELSE '2025-03-01' END""",
     "roster": """
   SELECT a.page, a.pos, a.principal_id AS group_id, g.group_name, m.page AS member_page,
     m.pos AS member_pos, k.user_id, k.user_name, k.email, k.display_name
@@ -242,7 +261,9 @@ ORACLE: dict[str, str] = {
     "parsed_patterns": """
       SELECT event_id, date_trunc('day', ts)::TIMESTAMP AS packed,
         date_trunc('day', ts)::TIMESTAMP AS short_name,
-        date_trunc('day', ts)::TIMESTAMP AS long_name, date_trunc('second', ts) AS exact
+        date_trunc('day', ts)::TIMESTAMP AS long_name, date_trunc('second', ts) AS exact,
+        date_trunc('minute', ts) AS one_digit, date_trunc('second', ts) AS half_days,
+        date_trunc('minute', ts) AS quoted
       FROM events""",
     "incomplete_landings": _sql(
         """SELECT group_id AS "GroupId", min(page) AS first_page, max(page) AS last_page,
@@ -359,6 +380,60 @@ ORACLE: dict[str, str] = {
         "summary",
     ),
     "group_report": _sql("SELECT * FROM report", *_ROSTER_VIEWS, "summary", "report"),
+    "group_report_places": _sql(
+        """SELECT *, row_number() OVER place AS line_number,
+          CAST(sum(strlen(line) + 1) OVER place - strlen(line) - 1 AS BIGINT) AS byte_offset,
+          strlen(line) + 1 AS byte_length
+        FROM report
+        WINDOW place AS (ORDER BY page NULLS FIRST, pos NULLS FIRST, part, major, minor, line
+          ROWS UNBOUNDED PRECEDING)""",
+        *_ROSTER_VIEWS,
+        "summary",
+        "report",
+    ),
+    "publish_manifest": _sql(
+        """SELECT CAST(unnest([1, 2]) AS BIGINT) AS version,
+          CAST(unnest([count(*) FILTER (line LIKE '- %'), count(*)]) AS BIGINT) AS rows,
+          CAST(unnest([sum(strlen(line) + 1) FILTER (line LIKE '- %'), sum(strlen(line) + 1)])
+            AS BIGINT) AS bytes
+        FROM report""",
+        *_ROSTER_VIEWS,
+        "summary",
+        "report",
+    ),
+    "directory_as_of": _sql(
+        """SELECT user_id, name AS user_name, display_name, emails FROM standing
+        WHERE asked = '2025-03-06' AND place = 1 AND NOT gone""",
+        "people",
+        "landings",
+        "standing",
+    ),
+    "directory_landings": _sql(
+        """SELECT asked AS day, count(*) AS users,
+          CAST(count_if(name LIKE '%@%') AS BIGINT) AS renamed
+        FROM standing WHERE place = 1 AND NOT gone AND asked <> '2025-03-06' GROUP BY asked""",
+        "people",
+        "landings",
+        "standing",
+    ),
+    "first_store": """
+      SELECT 'd-' || lpad(CAST(97 - n_nationkey AS VARCHAR), 3, '0') AS identity_store_id
+      FROM nation ORDER BY n_regionkey DESC, n_nationkey LIMIT 1""",
+    "snk_published": _sql("SELECT * FROM latest", "usage", "latest"),
+    "effective_users_by_application": _sql(
+        """SELECT a.app AS application_arn, a.user_id, k.user_name, k.email, k.display_name
+        FROM (SELECT DISTINCT app, coalesce(m.user_id, principal_id) AS user_id
+              FROM (SELECT 'app' || page AS app, * FROM assigned
+                    UNION ALL
+                    SELECT 'app2', * FROM assigned WHERE principal_type = 'GROUP' AND pos % 2 = 0) s
+              LEFT JOIN members m ON s.principal_type = 'GROUP' AND m.group_id = s.principal_id
+              WHERE s.principal_type = 'USER' OR m.user_id IS NOT NULL) a
+        LEFT JOIN known k ON k.user_id = a.user_id WHERE a.app IN ('app2', 'app3')""",
+        "people",
+        "known",
+        "members",
+        "assigned",
+    ),
     "email_primary": _sql("SELECT user_id, primary_email AS email FROM people", "people"),
     "email_first": _sql("SELECT user_id, email FROM known", "people", "known"),
     "uri_parts": """

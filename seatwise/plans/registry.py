@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -10,12 +11,12 @@ from pyspark.sql import functions as F
 from seatwise.functions.emails import first_or_null, primary_or_blank
 from seatwise.functions.sql import register_sql_functions
 from seatwise.functions.text import clean_user_id, export_stamp, uri_bucket, uri_key
-from seatwise.operators import access, enrich, foldable, groups, laid_out, usage
+from seatwise.operators import access, applications, enrich, foldable, groups, laid_out, usage
 from seatwise.plans import driver_tables as tables
-from seatwise.schemas import ACTIVITY_LOG, MEMBERSHIP_PAGE, USAGE
+from seatwise.schemas import ACTIVITY_LOG, MEMBERSHIP_PAGE, USAGE, USER_PROFILE
 from seatwise.session import scratch_path
-from seatwise.sinks import files
-from seatwise.sources import directory, page_order, usage_files, usage_table, user_list
+from seatwise.sinks import files, places, publish
+from seatwise.sources import directory, page_order, snapshots, usage_files, usage_table, user_list
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -114,7 +115,12 @@ def _parsed_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
                parse_datetime(date_format(ts, 'yyyyMMdd'), 'YYYYMMdd') AS packed,
                parse_datetime(date_format(ts, 'MMM-dd-yyyy'), 'MMM-dd-YYYY') AS short_name,
                parse_datetime(date_format(ts, 'MMMM d yyyy'), 'MMMM dd YYYY') AS long_name,
-               parse_datetime(date_format(ts, 'M/d/yyyy HH:mm:ss'), 'MM/dd/YYYY HH:mm:ss') AS exact
+               parse_datetime(date_format(ts, 'M/d/yyyy HH:mm:ss'), 'MM/dd/YYYY HH:mm:ss') AS exact,
+               parse_datetime(date_format(ts, 'yyyy-M-d H:m'), 'YYYY-MM-dd HH:mm') AS one_digit,
+               parse_datetime(date_format(ts, 'd MMM yyyy h:mm:ss a'),
+                              'dd MMM YYYY hh:mm:ss a') AS half_days,
+               parse_datetime(date_format(ts, "'Y'yyyy'at'HHmm DDD"),
+                              "'Y'YYYY'at'HHmm DDD") AS quoted
         FROM {events}
         """,
         events=tables.table(spark, sf_dir, "events"),
@@ -332,6 +338,78 @@ def _src_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return directory.read_groups(spark, path, STORE)
 
 
+def _directory_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "landings")
+    tables.user_landings(spark, sf_dir).write.partitionBy("kind", "landed").json(path)
+    return directory.read_users(spark, path, STORE, as_of="2025-03-06").select(
+        "user_id", "user_name", "display_name", F.array_size("emails").alias("emails")
+    )
+
+
+def _directory_landings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many users stand after each landing."""
+    path = scratch_path(spark, "landings")
+    tables.user_landings(spark, sf_dir).write.partitionBy("kind", "landed").json(path)
+    rows = spark.read.schema(snapshots.with_landing(USER_PROFILE)).json(path)
+    days = ("2025-03-01", "2025-03-03", "2025-03-05", "2025-03-07", "2025-03-09")
+    counts = [
+        snapshots.as_of(rows, "UserId", day).agg(
+            F.lit(day).alias("day"),
+            F.count("*").alias("users"),
+            F.count_if(F.col("UserName").like("%@%")).alias("renamed"),
+        )
+        for day in days
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def _first_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "instances")
+    tables.instance_pages(spark, sf_dir).write.json(path)
+    return spark.range(1).select(
+        F.lit(directory.first_store(spark, path)).alias("identity_store_id")
+    )
+
+
+def _snk_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Published twice; what readers see is the second."""
+    out = scratch_path(spark, "published")
+    latest = usage.latest_activity(tables.usage(spark, sf_dir))
+    publish.publish(latest.where("latest_activity_date IS NOT NULL"), out)
+    publish.publish(latest, out)
+    folder = publish.published_folder(spark, out, verify=True)
+    return _read_export(spark, folder, "user_id string, latest_activity_date date")
+
+
+def _publish_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and bytes of two published versions, as their manifests tell them."""
+    out = scratch_path(spark, "published")
+    lines = groups.group_report(*tables.directory(spark, sf_dir))
+    publish.publish(lines.where("line LIKE '- %'"), out, files.write_report)
+    publish.publish(lines, out, files.write_report)
+    return publish.manifests(spark, out).groupBy("version").agg(
+        F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes")
+    )
+
+
+def _group_report_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report = groups.group_report(*tables.directory(spark, sf_dir))
+    return places.with_places(report, [c for c in report.columns if c != "line"])
+
+
+def _effective_users_by_application(spark: SparkSession, sf_dir: str) -> DataFrame:
+    assignments, memberships, _, users = tables.directory(spark, sf_dir)
+    path = scratch_path(spark, "memberships")
+    applications.write_memberships(memberships, path, buckets=16)
+    return applications.effective_users(
+        tables.application_assignments(assignments),
+        spark.read.parquet(path),
+        users,
+        ["app2", "app3"],
+        buckets=16,
+    )
+
+
 def _read_export(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).option("header", True).option("escape", '"').csv(path)
 
@@ -410,4 +488,11 @@ QUERIES: dict[str, Query] = {
     "snk_user_export": _snk_user_export,
     "snk_activity_export": _snk_activity_export,
     "snk_report_text": _snk_report_text,
+    "directory_as_of": _directory_as_of,
+    "directory_landings": _directory_landings,
+    "first_store": _first_store,
+    "snk_published": _snk_published,
+    "publish_manifest": _publish_manifest,
+    "group_report_places": _group_report_places,
+    "effective_users_by_application": _effective_users_by_application,
 }

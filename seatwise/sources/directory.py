@@ -19,6 +19,7 @@ from seatwise.schemas import (
     MEMBERSHIP_PAGE,
     USER_PROFILE,
 )
+from seatwise.sources import snapshots
 from seatwise.sources.page_order import in_token_order
 
 # The numbers a first page may have.
@@ -124,12 +125,15 @@ def require_complete(pages: DataFrame, key: str) -> None:
         raise ValueError(f"incomplete landing of {found[key]}: {found['problem']}")
 
 
-def read_users(spark: SparkSession, path: str, store_id: str | None = None) -> DataFrame:
+def read_users(
+    spark: SparkSession, path: str, store_id: str | None = None, as_of: str | None = None
+) -> DataFrame:
     """(user_id, user_name, display_name, name, emails), one row per user.
 
-    A user who is landed twice fails the query by name.
+    A user who is landed twice fails the query by name. ``as_of`` reads landings
+    over time as they stood on that day, see ``snapshots``.
     """
-    profiles = in_store(_landed(spark, path, USER_PROFILE), store_id).select(
+    profiles = in_store(_landed(spark, path, USER_PROFILE, "UserId", as_of), store_id).select(
         F.col("UserId").alias("user_id"),
         F.col("UserName").alias("user_name"),
         F.col("DisplayName").alias("display_name"),
@@ -139,9 +143,11 @@ def read_users(spark: SparkSession, path: str, store_id: str | None = None) -> D
     return one_each(profiles, "user_id")
 
 
-def read_groups(spark: SparkSession, path: str, store_id: str | None = None) -> DataFrame:
+def read_groups(
+    spark: SparkSession, path: str, store_id: str | None = None, as_of: str | None = None
+) -> DataFrame:
     """(group_id, group_name), one row per group; one landed twice fails the query."""
-    profiles = in_store(_landed(spark, path, GROUP_PROFILE), store_id).select(
+    profiles = in_store(_landed(spark, path, GROUP_PROFILE, "GroupId", as_of), store_id).select(
         F.col("GroupId").alias("group_id"), F.col("Group.DisplayName").alias("group_name")
     )
     return one_each(profiles, "group_id")
@@ -164,9 +170,19 @@ def one_each(profiles: DataFrame, key: str) -> DataFrame:
     return grouped.where(once).select(key, "profile.*").select(*profiles.columns)
 
 
-def _landed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def _landed(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    key: str | None = None,
+    as_of: str | None = None,
+) -> DataFrame:
     """Rows with ``store``: from the folder's name or from the landed object."""
-    rows = spark.read.schema(schema).json(path)
+    if as_of is None:
+        rows = spark.read.schema(schema).json(path)
+    else:
+        landings = spark.read.schema(snapshots.with_landing(schema)).json(path)
+        rows = snapshots.as_of(landings, key, as_of)
     return rows.withColumn("store", F.coalesce("identity_store_id", "IdentityStoreId")).drop(
         "identity_store_id", "IdentityStoreId"
     )
