@@ -7,7 +7,7 @@ folder; a job that fails raises, it never leaves an empty result behind.
 from __future__ import annotations
 
 import argparse
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +17,7 @@ from seatwise.functions.sql import register_sql_functions
 from seatwise.operators import access, enrich, foldable, groups, laid_out, usage
 from seatwise.schemas import USAGE
 from seatwise.session import build_session
-from seatwise.sinks import files
+from seatwise.sinks import files, publish
 from seatwise.sources import directory, usage_files, usage_table, user_list
 
 
@@ -74,25 +74,31 @@ def _schema(ddl: str | None) -> T.StructType:
     return T.StructType.fromDDL(ddl) if ddl else USAGE
 
 
+def _write(
+    result: DataFrame,
+    args: argparse.Namespace,
+    writer: Callable[[DataFrame, str], object] = files.write_csv,
+) -> None:
+    """The result in a new folder, or published where ``--publish`` asks for it."""
+    if args.publish:
+        publish.publish(result, args.out, writer)
+    else:
+        writer(result, args.out)
+
+
 def convert_usage(spark: SparkSession, args: argparse.Namespace) -> None:
     """Converts all files, or with ``--append`` those not converted before."""
-    paths: str | list[str] = args.text
-    if args.append:
-        paths = usage_files.new_files(spark, args.text, args.out)
-        if not paths:
-            return
-    text = usage_files.read_usage_text(
-        spark, paths, _schema(args.schema), with_source=True, with_lost=args.count_losses
+    usage_files.convert_files(
+        spark, args.text, args.out, _schema(args.schema), args.append, args.count_losses
     )
-    usage_files.write_usage_parquet(text, args.out, "append" if args.append else "errorifexists")
 
 
 def usage_rollup(spark: SparkSession, args: argparse.Namespace) -> None:
     table = _laid_out(spark, args)
     if table:
-        files.write_csv(laid_out.usage_rollup(table, args.day_col), args.out)
+        _write(laid_out.usage_rollup(table, args.day_col), args)
     else:
-        files.write_csv(usage.usage_rollup(_usage(spark, args), args.day_col), args.out)
+        _write(usage.usage_rollup(_usage(spark, args), args.day_col), args)
 
 
 def lay_out_usage(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -104,29 +110,30 @@ def update_rollup(spark: SparkSession, args: argparse.Namespace) -> None:
     """Adds new rows to the states kept, and writes the rollup of all batches."""
     state = foldable.usage_state(_usage(spark, args), args.day_col)
     foldable.write_state(state, args.state, args.batch)
-    files.write_csv(foldable.rollup_of(foldable.merged(foldable.read_state(spark, args.state))), args.out)
+    merged = foldable.merged(foldable.read_state(spark, args.state))
+    _write(foldable.rollup_of(merged), args)
 
 
 def latest_activity(spark: SparkSession, args: argparse.Namespace) -> None:
     table = _laid_out(spark, args)
     if table:
         latest = laid_out.latest_activity(table, args.day_col, args.on_bad_date)
-        files.write_csv(latest, args.out)
+        _write(latest, args)
         return
     latest = usage.latest_activity(
         _usage(spark, args), args.day_col, args.normalize, args.on_bad_date
     )
-    files.write_csv(latest, args.out)
+    _write(latest, args)
 
 
 def activity_with_profile(spark: SparkSession, args: argparse.Namespace) -> None:
-    users = directory.read_users(spark, args.users, _store(spark, args))
+    users = directory.read_users(spark, args.users, _store(spark, args), args.as_of)
     table = _laid_out(spark, args)
     if table:
         activity = laid_out.activity_with_profile(
             table, users, day_col=args.day_col, on_bad_date=args.on_bad_date
         )
-        files.export_activity(activity, args.out)
+        _write(activity, args, files.export_activity)
         return
     activity = enrich.activity_with_profile(
         _usage(spark, args),
@@ -135,17 +142,17 @@ def activity_with_profile(spark: SparkSession, args: argparse.Namespace) -> None
         normalize=args.normalize,
         on_bad_date=args.on_bad_date,
     )
-    files.export_activity(activity, args.out)
+    _write(activity, args, files.export_activity)
 
 
 def enrich_activity(spark: SparkSession, args: argparse.Namespace) -> None:
-    users = directory.read_users(spark, args.users, _store(spark, args))
+    users = directory.read_users(spark, args.users, _store(spark, args), args.as_of)
     listed = user_list.read_user_list(spark, args.list, args.multi_line)
-    files.export_activity(enrich.enrich_activity(listed, users, args.keep_date), args.out)
+    _write(enrich.enrich_activity(listed, users, args.keep_date), args, files.export_activity)
 
 
 def direct_users(spark: SparkSession, args: argparse.Namespace) -> None:
-    users = directory.read_users(spark, args.users, _store(spark, args))
+    users = directory.read_users(spark, args.users, _store(spark, args), args.as_of)
     files.export_users(
         access.direct_users(_assignments(spark, args), users), args.out, args.name
     )
@@ -156,9 +163,9 @@ def effective_users(spark: SparkSession, args: argparse.Namespace) -> None:
     result = access.effective_users(
         _assignments(spark, args),
         _memberships(spark, args, store),
-        directory.read_users(spark, args.users, store),
+        directory.read_users(spark, args.users, store, args.as_of),
     )
-    files.write_csv(result, args.out)
+    _write(result, args)
 
 
 def group_access(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -170,12 +177,12 @@ def group_access(spark: SparkSession, args: argparse.Namespace) -> None:
     """
     store = _store(spark, args)
     assignments = _assignments(spark, args)
-    profiles = directory.read_groups(spark, args.groups, store)
+    profiles = directory.read_groups(spark, args.groups, store, args.as_of)
     computed = groups.roster_in_order(
         assignments,
         _memberships(spark, args, store),
         profiles,
-        directory.read_users(spark, args.users, store),
+        directory.read_users(spark, args.users, store, args.as_of),
         args.dedupe,
     )
     out = args.out.rstrip("/")
@@ -222,6 +229,15 @@ def query(spark: SparkSession, args: argparse.Namespace) -> None:
     files.write_csv(spark.sql(args.sql.strip().removesuffix(";")), args.out)
 
 
+#: Jobs of one result, which can be published in place of the one before.
+_PUBLISHED = (
+    "usage-rollup",
+    "update-rollup",
+    "latest-activity",
+    "activity-with-profile",
+    "enrich-activity",
+    "effective-users",
+)
 _DIRECTORY = ("assignments", "application", "users")
 _JOBS = {
     "convert-usage": (convert_usage, ("text",)),
@@ -257,7 +273,10 @@ def parser() -> argparse.ArgumentParser:
         if name == "lay-out-usage":
             job.add_argument("--buckets", type=int, help="default: the shuffle partitions")
             job.add_argument("--folder", help="where, if not the warehouse")
+        if name in _PUBLISHED:
+            job.add_argument("--publish", action="store_true", help="replace what readers see")
         if "users" in inputs:
+            job.add_argument("--as-of", metavar="DAY", help="profiles as they stood on a day")
             job.add_argument("--store", help="identity store; needed where several are landed")
             job.add_argument("--instances", help="landed instance list, whose first store counts")
         if "assignments" in inputs:

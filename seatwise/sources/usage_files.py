@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import re
-from urllib.parse import unquote
+import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +23,10 @@ LOST = "lost"
 #: Folder of the counts of such losses, beside the files of a table that readers see.
 LOSSES = "_losses"
 
+#: Where a table keeps the names of the files it was converted from, by conversion.
+SOURCES_FOLDER = "_sources"
+SOURCES = "batch string, file string, ended boolean"
+
 # Fixed value: how a missing value is written in delimited table text.
 MISSING = "\\N"
 
@@ -112,22 +116,97 @@ def _failed(text: Column, number: Column) -> Column:
     return number.isNull() & text.isNotNull() & (text != MISSING) & (text != "")
 
 
+def _plain(name: Column, encoded: bool = True) -> Column:
+    """One spelling of a file's address, however many slashes or escapes it has."""
+    if encoded:
+        name = F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(name, r"^(\w+):/+", "$1:/")
+
+
 def new_files(spark: SparkSession, path: str, converted: str) -> list[str]:
     """Files under ``path`` of which the table at ``converted`` holds no row yet.
 
-    Both are lists of files such as a reader plans with, never rows.
+    Landed names meet the names the table has taken down of its files on the
+    cluster; what comes back are the new ones, such as a reader plans with.
+    """
+    landed = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    names = landed.select("path", _plain(F.col("path"), encoded=False).alias("file"))
+    fresh = names.join(converted_files(spark, converted), "file", "left_anti")
+    return sorted(r[0] for r in fresh.select("path").collect())
+
+
+def _sources(spark: SparkSession, converted: str) -> DataFrame | None:
+    try:
+        return spark.read.schema(SOURCES).parquet(f"{converted.rstrip('/')}/{SOURCES_FOLDER}")
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def converted_files(spark: SparkSession, converted: str) -> DataFrame:
+    """``(file)``: the files the table's rows come from.
+
+    The table's own rows are only asked about files of a conversion that was begun
+    and not seen to end, or about all where nothing was taken down.
     """
-    landed = read_usage_text(spark, path).inputFiles()
     table = spark.read.parquet(converted)
     if SOURCE not in table.columns:
         raise ValueError(f"{converted} does not tell its rows' files, convert it anew")
-    known = {_plain(r[0]) for r in table.select(SOURCE).distinct().collect()}
-    return [name for name in landed if _plain(name) not in known]
-
+    held = table.select(_plain(F.col(SOURCE)).alias("file"))
+    told = _sources(spark, converted)
+    if told is None:
+        return held.distinct()
+    ended = told.where("ended").select("batch").distinct()
+    begun = told.where("NOT ended").select("batch", "file")
+    sure = begun.join(ended, "batch", "left_semi").select("file").distinct()
+    doubtful = begun.join(ended, "batch", "left_anti").select("file").distinct()
+    if doubtful.isEmpty():
+        return sure
+    return sure.unionByName(held.join(doubtful, "file", "left_semi").distinct()).distinct()
+
+
+def convert_files(
+    spark: SparkSession,
+    text: str,
+    converted: str,
+    schema: T.StructType = USAGE,
+    append: bool = False,
+    with_lost: bool = False,
+) -> int:
+    """Converts the files under ``text``, or with ``append`` those not converted yet.
 
-def _plain(name: str) -> str:
-    """One spelling of a file's address, however many slashes or escapes it has."""
-    return re.sub(r"^(\w+):/+", r"\1:/", unquote(name))
+    Returns how many files that were. Their names are taken down beside the table
+    before rows are added and marked once they are, so that after a failure it is
+    known which files to look for among the rows.
+    """
+    names = new_files(spark, text, converted) if append else None
+    if append and not names:
+        return 0
+    batch = uuid.uuid4().hex
+    folder = f"{converted.rstrip('/')}/{SOURCES_FOLDER}"
+
+    def note(files: DataFrame, ended: bool) -> None:
+        marked = files.select(
+            F.lit(batch).alias("batch"), F.col("file").cast("string"), F.lit(ended).alias("ended")
+        )
+        marked.coalesce(1).write.mode("append").parquet(folder)
+
+    listed = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .load(names or text)
+        .select(_plain(F.col("path"), encoded=False).alias("file"))
+    )
+    rows = read_usage_text(spark, names or text, schema, with_source=True, with_lost=with_lost)
+    if append:
+        note(listed, False)
+        write_usage_parquet(rows, converted, "append")
+    else:
+        write_usage_parquet(rows, converted)
+        note(listed, False)
+    note(spark.range(1).select(F.lit(None).alias("file")), True)
+    return listed.count()
 
 
 def register_usage_text(

@@ -3,10 +3,13 @@
 import csv
 import glob
 import json
+import uuid
 
 import pytest
 
 from seatwise import jobs
+from seatwise.sinks import publish
+from seatwise.sources import usage_files
 
 
 def land(folder, name, *objects):
@@ -253,3 +256,90 @@ def test_an_existing_result_is_not_overwritten(run, table):
     run("usage-rollup", "once", usage=table)
     with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
         run("usage-rollup", "once", usage=table)
+
+
+def test_a_conversion_that_ended_early_is_looked_into(spark, run, tmp_path):
+    root = tmp_path / "te xt+1"
+    root.mkdir()
+    (root / "a b.csv").write_text('userid,act_date,x\n"u1",03-01-2025,5\n')
+    table = run("convert-usage", "early", text=root)
+    (root / "c%20d.csv").write_text('userid,act_date,x\n"u2",03-02-2025,5\n')
+    (root / "e.csv").write_text('userid,act_date,x\n"u3",03-02-2025,5\n')
+    # Begun: one file's rows are there, the other's are not, and the end was never noted.
+    begun = [(f"file:{root}/{n}",) for n in ("c%20d.csv", "e.csv")]
+    noted = spark.createDataFrame(begun, "file string").selectExpr("'x' AS batch", "file", "false AS ended")
+    noted.write.mode("append").parquet(f"{table}/_sources")
+    rows = usage_files.read_usage_text(spark, [str(root / "e.csv")], with_source=True)
+    usage_files.write_usage_parquet(rows, table, "append")
+    assert [n.rsplit("/", 1)[1] for n in usage_files.new_files(spark, str(root), table)] == ["c%20d.csv"]
+    run("convert-usage", "early", "--append", "--count-losses", text=root)
+    assert usage_files.new_files(spark, str(root), table) == []
+    assert sorted(r[0] for r in spark.read.parquet(table).select("userid").collect()) == ['"u1"', '"u2"', '"u3"']
+    assert usage_files.read_losses(spark, table).where("measure = 'rows'").first()["n"] == 1
+
+
+def test_a_table_without_names_of_its_files(spark, run, landed, tmp_path):
+    rows = usage_files.read_usage_text(spark, str(landed / "text"), with_source=True)
+    usage_files.write_usage_parquet(rows, str(tmp_path / "old"))
+    assert usage_files.new_files(spark, str(landed / "text"), str(tmp_path / "old")) == []
+
+
+def test_rollup_of_batches(spark, run, landed, tmp_path):
+    state = tmp_path / "state"
+    for name in ("1", "2", "2"):
+        only = tmp_path / f"only{name}"
+        only.mkdir(exist_ok=True)
+        (only / "x.csv").write_text((landed / "text" / f"{name}.csv").read_text())
+        table = f"{tmp_path}/table{name}"
+        if not glob.glob(table):
+            jobs.main(["convert-usage", "--text", str(only), "--out", table], spark)
+        out = run(
+            "update-rollup", "folded", "--publish", usage=table, state=state, batch=f"day{name}"
+        )
+    whole = read(run("usage-rollup", "unfolded", usage=run("convert-usage", "all", text=landed / "text")))
+    runs = sorted(glob.glob(f"{out}/data/*"))
+    assert len(runs) == 3
+    assert read(publish.published_folder(spark, out, verify=True)) == whole
+
+
+def test_usage_laid_out_by_name(spark, run, landed, table, tmp_path):
+    name = "laid_" + uuid.uuid4().hex
+    jobs.main(
+        ["lay-out-usage", "--usage", table, "--out", name, "--buckets", "3", "--folder", str(tmp_path)],
+        spark,
+    )
+    laid = f"laid-out:{name}"
+    assert read(run("usage-rollup", "laid-rollup", usage=laid)) == read(
+        run("usage-rollup", "flat-rollup", usage=table)
+    )
+    assert read(run("latest-activity", "laid-latest", usage=laid)) == read(
+        run("latest-activity", "flat-latest", usage=table)
+    )
+    users = landed / "users"
+    key = lambda r: r["UserId"]
+    assert sorted(read(run("activity-with-profile", "laid-both", usage=laid, users=users)), key=key) == (
+        sorted(read(run("activity-with-profile", "flat-both", usage=table, users=users)), key=key)
+    )
+
+
+def test_pages_by_token_and_profiles_as_of_a_day(run, landed, tmp_path):
+    entry = lambda u: [{"PrincipalType": "USER", "PrincipalId": u}]
+    land(
+        tmp_path / "a" / "application_arn=app", "p.json",
+        {"Token": "t", "ApplicationAssignments": entry("u2"), "NextToken": ""},
+        {"ApplicationAssignments": entry("u1"), "NextToken": "t"},
+    )
+    for kind, day, name in (("full", "2025-03-01", "old"), ("changes", "2025-03-04", "new")):
+        land(
+            tmp_path / "u" / f"kind={kind}" / f"landed={day}", "u.json",
+            {"IdentityStoreId": "d-1", "UserId": "u1", "UserName": name},
+        )
+    directory = {"assignments": tmp_path / "a", "application": "app", "users": tmp_path / "u"}
+    for day, name in (("2025-03-02", "old"), ("2025-03-05", "new")):
+        out = run("direct-users", f"as-of-{day}", "--by-token", "--as-of", day, "--name", "u", **directory)
+        assert [(r["UserId"], r["Username"]) for r in read(f"{out}/u")] == [("u1", name)]
+    entries = [{"PrincipalType": "USER", "PrincipalId": "u1"}]
+    land(tmp_path / "b" / "application_arn=app", "p.json", {"Token": "t", "ApplicationAssignments": entries})
+    with pytest.raises(ValueError, match="cut off at token 't'"):
+        run("direct-users", "headless", "--by-token", "--as-of", "2025-03-05",
+            **{**directory, "assignments": tmp_path / "b"})
