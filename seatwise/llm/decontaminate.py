@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seatwise.llm.common import WordHasher, chunks, stored
+from seatwise.llm.common import WordHasher, chunks, stored, window_hashes
 
 #: Places of a passage vector, as a power of two.
 BITS = 14
@@ -46,7 +46,8 @@ COSINE = 0.35
 MATCH = 0.6
 LOOSE_MATCH = 0.45
 #: Items from this many words on are also looked for by their words alone, in passages
-#: of their own length; in fewer words, an order says nothing.
+#: of their own length. In fewer words an order says nothing: those are looked for as
+#: runs, word for word, beside what the cosine finds.
 ORDERED_WORDS = 6
 #: Without an answer column, the last words of an item are taken as its answer.
 ANSWER_WORDS = 6
@@ -97,9 +98,12 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         documents += len(batch)
         for _, words, counts in _batches(_encoded(batch["text"]), hasher):
-            has = np.zeros((len(counts), 1 << BITS), dtype=bool)
-            has[np.repeat(np.arange(len(counts)), counts), _columns(words)] = True
-            seen += has.sum(axis=0)
+            # A batch has few enough documents for a pair to be a small number.
+            pairs = np.repeat(np.arange(len(counts), dtype=np.int32) << BITS, counts)
+            pairs |= _columns(words).astype(np.int32)
+            pairs.sort()
+            once = pairs[np.diff(pairs, prepend=-1) != 0] & ((1 << BITS) - 1)
+            seen += np.bincount(once, minlength=1 << BITS)
     place = np.flatnonzero(seen)
     yield pd.DataFrame(
         {"place": np.append(place, -1), "documents": np.append(seen[place], documents)}
@@ -403,9 +407,16 @@ class Retriever:
         self.vocabulary = Vocabulary(items)
         self.rare = _rare_words(items, self.vocabulary, documents)
         self.items, self.vectors, self.weights = items, vectors, weights
-        self.masks = [_masks(i.words) for i in items]
-        self.sets = [frozenset(i.words) for i in items]
-        self.longest = max(len(i.words) for i in items)
+        numbers = [
+            np.searchsorted(self.vocabulary.words, np.array(i.words, dtype=np.uint64)) for i in items
+        ]
+        self.masks = [_masks(n.tolist()) for n in numbers]
+        self.sizes = np.array([len(n) for n in numbers])
+        each = [np.unique(n, return_counts=True) for n in numbers]
+        #: An item's words, each once, and how often it has them.
+        self.once, self.times = Lists([w for w, _ in each]), np.concatenate([t for _, t in each])
+        self.longest = int(self.sizes.max())
+        self.short = _short_items(items)
         columns = [_columns(np.array(i.words, dtype=np.uint64)) for i in items]
         counts = np.array([len(c) for c in columns], dtype=np.int64)
         seen = Passages(np.concatenate(columns), counts, weights)
@@ -421,53 +432,127 @@ class Retriever:
             columns = _columns(words)
             seen = Passages(columns, counts, self.weights)
             made = _scaled(seen.pairs(seen.per_block(self.vectors[seen.columns])))
+            stand, known = self.vocabulary.known(words, columns)
             for low in range(0, len(made), 4096):
                 cosine = made[low : low + 4096] @ self.queries.T
                 rows, queries = np.nonzero(cosine >= COSINE)
                 yield from self._checked(
-                    at, words, counts, seen, rows + low, queries, cosine[rows, queries]
+                    at, words, counts, seen, stand, known, rows + low, queries, cosine[rows, queries]
                 )
-            stand, known = self.vocabulary.known(words, columns)
-            docs = np.repeat(np.arange(len(counts)), counts)[stand]
+            owner = np.repeat(np.arange(len(counts)), counts)
+            for doc, start, number in self._runs(words, owner):
+                best = self._best_cosine(seen, made, doc, start, start + 1, number)
+                last = start + int(self.sizes[number]) - 1
+                yield at + doc, number, best, 1.0, start, last
+            docs = owner[stand]
             for rare in self.rare:
                 for doc, start, number in rare.passages(stand, docs, known, counts):
                     match = self._in_order(words, counts, seen, made, rare, doc, start, number)
                     if match:
                         yield at + doc, number, *match
 
+    def _runs(self, words: np.ndarray, owner: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """(document, first word, item) of each item of few words that stands word for word."""
+        for width, (runs, numbers) in self.short.items():
+            if len(words) < width:
+                continue
+            hashes = window_hashes(words, width)
+            place = np.minimum(np.searchsorted(runs, hashes), len(runs) - 1)
+            same = (runs[place] == hashes) & (owner[: len(hashes)] == owner[width - 1 :])
+            for at in np.flatnonzero(same).tolist():
+                doc = int(owner[at])
+                first = int(np.searchsorted(owner, doc))
+                k = int(np.searchsorted(runs, hashes[at]))
+                while k < len(runs) and runs[k] == hashes[at]:
+                    yield doc, at - first, numbers[k]
+                    k += 1
+
+    def _best_cosine(self, seen, made, doc, start, end, number) -> float:
+        """The best of the passages around that all items are compared with."""
+        first = int(np.searchsorted(seen.owner, doc))
+        low, high = max(0, start // BLOCK_WORDS - 1), (end - 1) // BLOCK_WORDS + 1
+        near = made[first + low : first + high] @ self.queries[self.owner == number].T
+        return float(near.max())
+
     def _in_order(self, words, counts, seen, made, rare, doc, start, number):
         """The match of an item with a passage of its own length, if it is one."""
         item, begin = self.items[number], int(seen.first[doc])
         end = min(int(counts[doc]), start + 2 * rare.block_words)
-        near = words[begin + start : begin + end].tolist()
-        share = subsequence(self.masks[number], len(item.words), near) / len(item.words)
-        if share < MATCH and (share < LOOSE_MATCH or not _stands_in(item.answer, near)):
+        near = words[begin + start : begin + end]
+        numbers = np.minimum(np.searchsorted(self.vocabulary.words, near), rare.vocabulary - 1)
+        numbers[self.vocabulary.words[numbers] != near] = -1
+        share = subsequence(self.masks[number], len(item.words), numbers.tolist()) / len(item.words)
+        if share < MATCH and (share < LOOSE_MATCH or not _stands_in(item.answer, near.tolist())):
             return None
-        # The cosine is the best of the passages around that all items are compared with.
-        first = int(np.searchsorted(seen.owner, doc))
-        low, high = max(0, start // BLOCK_WORDS - 1), (end - 1) // BLOCK_WORDS + 1
-        cosine = made[first + low : first + high] @ self.queries[self.owner == number].T
-        return float(cosine.max()), share, start, end - 1
-
-    def _checked(self, at, words, counts, seen, rows, queries, cosines):
-        last, around = -1, frozenset()
-        for row, query, cosine in zip(rows.tolist(), queries.tolist(), cosines.tolist()):
-            number, doc = int(self.owner[query]), int(seen.owner[row])
-            item, begin = self.items[number], int(seen.first[doc])
-            start, end = begin + int(seen.place[row]) * BLOCK_WORDS, begin + int(counts[doc])
-            if row != last:
-                last = row
-                low, high = max(begin, start - self.longest), start + 2 * BLOCK_WORDS + self.longest
-                around = frozenset(words[low : min(end, high)].tolist())
-            # Words that are missing altogether cannot be in a common subsequence.
-            size = len(item.words)
-            if size - len(self.sets[number] - around) < LOOSE_MATCH * size:
-                continue
-            low, high = max(begin, start - size), min(end, start + 2 * BLOCK_WORDS + size)
-            near = words[low:high].tolist()
-            share = subsequence(self.masks[number], size, near) / size
-            if share >= MATCH or share >= LOOSE_MATCH and _stands_in(item.answer, near):
-                yield at + doc, number, cosine, share, low - begin, high - begin - 1
+        return self._best_cosine(seen, made, doc, start, end, number), share, start, end - 1
+
+    def _checked(self, at, words, counts, seen, stand, known, rows, queries, cosines):
+        """Matches among pairs of a passage and an item of like direction.
+
+        Only words of the items can be in a common subsequence, ``known`` at the
+        places ``stand``, and no more of an item's words than stand in the passage.
+        """
+        if not len(rows):
+            return
+        number, doc = self.owner[queries], seen.owner[rows]
+        begin, end = seen.first[doc], seen.first[doc] + counts[doc]
+        start = begin + seen.place[rows] * BLOCK_WORDS
+        size = self.sizes[number]
+        low = np.maximum(begin, start - size)
+        high = np.minimum(end, start + 2 * BLOCK_WORDS + size)
+        enough = self._enough(stand, known, rows, begin, start, end, number)
+        first, last = np.searchsorted(stand, low), np.searchsorted(stand, high)
+        for i in np.flatnonzero(enough).tolist():
+            n = int(number[i])
+            near = known[first[i] : last[i]].tolist()
+            share = subsequence(self.masks[n], int(size[i]), near) / int(size[i])
+            if share >= MATCH or share >= LOOSE_MATCH and _stands_in(
+                self.items[n].answer, words[low[i] : high[i]].tolist()
+            ):
+                where = int(begin[i])
+                yield (
+                    at + int(doc[i]), n, float(cosines[i]), share,
+                    int(low[i]) - where, int(high[i]) - where - 1,
+                )
+
+    def _enough(self, stand, known, rows, begin, start, end, number) -> np.ndarray:
+        """Whether so many of an item's words stand around a passage as a match needs."""
+        own, index, place = np.unique(rows, return_index=True, return_inverse=True)
+        low = np.maximum(begin, start - self.longest)[index]
+        high = np.minimum(end, start + 2 * BLOCK_WORDS + self.longest)[index]
+        first, last = np.searchsorted(stand, low), np.searchsorted(stand, high)
+        width = len(self.vocabulary.words)
+        out = np.zeros(len(rows), dtype=bool)
+        step = max(1, COUNTED // width)
+        order = np.argsort(place, kind="stable")
+        edges = np.searchsorted(place[order], np.arange(0, len(own) + step, step))
+        for k, a in enumerate(range(0, len(own), step)):
+            here = slice(a, min(a + step, len(own)))
+            sizes = last[here] - first[here]
+            stands = np.zeros((len(sizes), width), dtype=bool)
+            stands[np.repeat(np.arange(len(sizes)), sizes), known[_ranges(first[here], sizes)]] = True
+            mine = order[edges[k] : edges[k + 1]]
+            for b in range(0, len(mine), 1 << 16):
+                some = mine[b : b + (1 << 16)]
+                values, row, starts = self.once.of(number[some], place[some] - a)
+                held = stands[row, self.once.values[values]] * self.times[values]
+                there = np.add.reduceat(held, starts)
+                out[some] = there >= LOOSE_MATCH * self.sizes[number[some]]
+        return out
+
+
+def _short_items(items: list[Item]) -> dict[int, tuple[np.ndarray, list[int]]]:
+    """Items of fewer words than an order needs, by length: their runs' hashes, sorted."""
+    by_width: dict[int, list[tuple[int, int]]] = {}
+    for number, item in enumerate(items):
+        width = len(item.words)
+        if width < ORDERED_WORDS:
+            run = window_hashes(np.array(item.words, dtype=np.uint64), width)
+            by_width.setdefault(width, []).append((int(run[0]), number))
+    return {
+        width: (np.array([h for h, _ in sorted(runs)], dtype=np.uint64), [n for _, n in sorted(runs)])
+        for width, runs in by_width.items()
+    }
 
 
 def _scaled(vectors: np.ndarray) -> np.ndarray:

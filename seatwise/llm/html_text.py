@@ -8,6 +8,7 @@ decoded with Viterbi's algorithm.
 
 from __future__ import annotations
 
+import bisect
 import html
 import re
 from collections.abc import Iterator
@@ -23,13 +24,26 @@ from seatwise.llm.html_pages import MAIN, OTHER, labelled_pages
 TRAINING_PAGES = 500
 STEPS = 150
 PENALTY = 2e-3
-#: Characters HTML counts as white space, and those that Unicode does.
+
+#: An attribute: a quote opens a value only behind an equals sign, elsewhere it is a
+#: character of a name or of a value without quotes. One without its end is none. With
+#: parentheses around name and values, and without any.
+ATTRIBUTE = re.compile(
+    r"""[\s/]*+([^\s/>][^\s/>=]*+)"""
+    r"""(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|((?!["'])[^\s>]*+))|(?!\s*+=\s*+["']))"""
+)
+_PASSED = (
+    r"""[\s/]*+[^\s/>][^\s/>=]*+"""
+    r"""(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|(?!["'])[^\s>]*+)|(?!\s*+=\s*+["']))"""
+)
+#: A comment, a declaration, a tag, an end tag without a name. What the page's end cuts
+#: off reaches to it, and so does a tag with a quote that has no end.
 TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|"
-    r"<(/?)([a-zA-Z][^\s/>]*+)((?:\"[^\"]*+\"|'[^']*+'|[^'\">])*+)(?:>|\Z)|</[^>]*+(?:>|\Z)",
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*+(?:>|\Z)|"
+    rf"<(/?)([a-zA-Z][^\s/>]*+)((?:{_PASSED})*+)[\s/]*+(?:(>)|.*+)|</[^>]*+(?:>|\Z)",
     re.S,
 )
-NAMES = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+NAMES = ("class", "id", "role")
 PART = re.compile(r"[^\W\d_]+|\d+")
 
 #: Fixed values of HTML: what holds raw text instead of a page's, what stands in a
@@ -64,12 +78,99 @@ OUTSIDE = frozenset(
 )
 
 
+class Around:
+    """An element around blocks: a link to the one around it, and its own key."""
+
+    __slots__ = ("above", "key", "tag", "known")
+
+    def __init__(self, above: Around | None, key: str):
+        self.above, self.key, self.tag = above, key, key.split(" ", 1)[0]
+        self.known: tuple | None = None
+
+
 @dataclass
 class Block:
     text: str
-    path: tuple[str, ...]
+    around: Around | None
     linked: int
 
+    @property
+    def path(self) -> tuple[str, ...]:
+        """The keys of all elements around, outermost first."""
+        out, at = [], self.around
+        while at is not None:
+            out.append(at.key)
+            at = at.above
+        return tuple(out[::-1])
+
+
+#: Elements an implied end may close.
+CLOSABLE = frozenset(tag for tags in CLOSES.values() for tag in tags) | {"p"}
+
+
+class Open:
+    """The elements open at a place of a page, each change in constant time.
+
+    ``first`` of an entry tells where the outermost element of each closable kind
+    stands that no scope separates from it.
+    """
+
+    def __init__(self):
+        self.entries: list[tuple[str, Around, dict[str, int]]] = []
+        self.places: dict[str, list[int]] = {}
+
+    def around(self) -> Around | None:
+        return self.entries[-1][1] if self.entries else None
+
+    def push(self, tag: str, key: str) -> None:
+        first = self.entries[-1][2] if self.entries else {}
+        if tag in SCOPES:
+            first = {}
+        elif tag in CLOSABLE and tag not in first:
+            first = {**first, tag: len(self.entries)}
+        self.places.setdefault(tag, []).append(len(self.entries))
+        self.entries.append((tag, Around(self.around(), key), first))
+
+    def close(self, upto: int) -> None:
+        for tag, _, _ in self.entries[upto:]:
+            self.places[tag].pop()
+        del self.entries[upto:]
+
+    def last(self, tag: str) -> int:
+        return self.places[tag][-1] if self.places.get(tag) else -1
+
+    def implied(self, tag: str) -> int:
+        """From where on elements end when this one begins."""
+        if tag in HOLDERS or not self.entries:
+            return len(self.entries)
+        first = self.entries[-1][2]
+        return min(
+            (first[t] for t in ("p", *CLOSES.get(tag, ())) if t in first), default=len(self.entries)
+        )
+
+    def drawing(self) -> int:
+        """Where the outermost drawing or choice is open that holds no page content."""
+        inside = self.last("foreignobject")
+        found = [
+            held[i]
+            for held in (self.places.get(t, []) for t in ("svg", "select"))
+            if (i := bisect.bisect(held, inside)) < len(held)
+        ]
+        return min(found, default=len(self.entries))
+
+
+def _key(name: str, attributes: str) -> str:
+    """An element's name with the words of its class, id and role."""
+    if "=" not in attributes:
+        return name
+    parts = [
+        part.lower()
+        for m in ATTRIBUTE.finditer(attributes)
+        if m[1].lower() in NAMES
+        for part in PART.findall(m[2] or m[3] or m[4] or "")
+    ]
+    return " ".join([name, *parts])
+
 
 def blocks_of(page: str) -> list[Block]:
     """Leaf blocks in page order; white space within is one space, empty ones go.
@@ -78,10 +179,10 @@ def blocks_of(page: str) -> list[Block]:
     dropped, unclosed elements reach to the end. A head holds raw text and empty
     elements only, so its tags are passed over, written or left out. An element
     such as a drawing has its text in blocks of its own; with no end tag left in
-    the page it holds nothing.
+    the page it holds nothing. The work grows with the page's length, however
+    deep its elements nest and whatever is left open.
     """
-    stack: list[tuple[str, str]] = []
-    path: tuple[str, ...] = ()
+    stack = Open()
     pieces: list[str] = []
     linked, links = 0, 0
     out: list[Block] = []
@@ -99,15 +200,10 @@ def blocks_of(page: str) -> list[Block]:
         if pieces:
             text = " ".join("".join(pieces).split())
             if text:
-                out.append(Block(text, path, linked))
+                out.append(Block(text, stack.around(), linked))
             pieces.clear()
         linked = 0
 
-    def close(upto: int) -> None:
-        nonlocal path
-        del stack[upto:]
-        path = tuple(key for _, key in stack)
-
     at, end = 0, len(page)
     while at < end:
         found = TAG.search(page, at)
@@ -121,17 +217,15 @@ def blocks_of(page: str) -> list[Block]:
             break
         at = found.end()
         name = (found[2] or "").lower()
-        if not name:
+        if not name or not found[4]:
             continue
         if found[1]:
             if name in INLINE:
                 links = max(0, links - (name == "a"))
                 continue
             flush()
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] == name:
-                    close(i)
-                    break
+            if stack.last(name) >= 0:
+                stack.close(stack.last(name))
             links = 0
             continue
         if name in RAW or name == "iframe" and at <= ends(name):
@@ -156,29 +250,9 @@ def blocks_of(page: str) -> list[Block]:
             continue
         links = 0
         if name in OUTSIDE:
-            for i, (tag, _) in enumerate(stack):
-                if tag in ("svg", "select") and ("foreignobject", "foreignobject") not in stack[i:]:
-                    close(i)
-                    break
-        upto = len(stack)
-        for i in range(len(stack) - 1, -1, -1):
-            if name in HOLDERS:
-                break
-            if stack[i][0] == "p" or stack[i][0] in CLOSES.get(name, ()):
-                upto = i
-            elif stack[i][0] in SCOPES:
-                break
-        close(upto)
-        key = name
-        if "=" in found[3]:
-            parts = [
-                part.lower()
-                for _, a, b, c in NAMES.findall(found[3])
-                for part in PART.findall(a or b or c)
-            ]
-            key = " ".join([name, *parts])
-        stack.append((name, key))
-        path = (*path, key)
+            stack.close(stack.drawing())
+        stack.close(stack.implied(name))
+        stack.push(name, _key(name, found[3]))
     flush()
     return out
 
@@ -187,17 +261,18 @@ def _bucket(x: float, edges: tuple[float, ...]) -> int:
     return sum(x >= e for e in edges)
 
 
-def path_features(path: tuple[str, ...]) -> list[str]:
-    """Tags and names around a block; the innermost element also by itself."""
-    out = {"bias"}
-    for key in path:
-        tag, *parts = key.split(" ")
-        out.add(f"in {tag}")
-        out.update(f"name {part}" for part in parts)
-    tags = [key.split(" ")[0] for key in path]
-    out.add(f"tag {tags[-1] if tags else ''}")
-    out.add(f"pair {' '.join(tags[-2:])}")
-    return sorted(out)
+def element_features(around: Around) -> list[str]:
+    """What an element says of all blocks within it."""
+    tag, *parts = around.key.split(" ")
+    return sorted({f"in {tag}", *(f"name {part}" for part in parts)})
+
+
+def place_features(around: Around | None) -> list[str]:
+    """The innermost element by itself, and with the one around it."""
+    tags = [] if around is None else [around.tag]
+    if around is not None and around.above is not None:
+        tags.insert(0, around.above.tag)
+    return ["bias", f"tag {tags[-1] if tags else ''}", f"pair {' '.join(tags)}"]
 
 
 def text_features(block: Block) -> list[str]:
@@ -217,20 +292,29 @@ class Features:
 
     def __init__(self):
         self.known: dict[str, int] = {}
-        self.paths: dict[tuple[str, ...], list[int]] = {}
 
     def numbers(self, names: list[str], grow: bool) -> list[int]:
         if grow:
             return [self.known.setdefault(name, len(self.known)) for name in names]
         return [self.known[name] for name in names if name in self.known]
 
+    def elements(self, around: Around | None, grow: bool) -> tuple[int, ...]:
+        """Numbers of all elements around, kept with each: those it shares are the same."""
+        todo = []
+        while around is not None and around.known is None:
+            todo.append(around)
+            around = around.above
+        found = around.known if around is not None else ()
+        for element in reversed(todo):
+            new = [n for n in self.numbers(element_features(element), grow) if n not in found]
+            found = (*found, *new) if new else found
+            element.known = found
+        return found
+
     def block(self, block: Block, grow: bool = False) -> list[int]:
-        around = self.paths.get(block.path)
-        if around is None:
-            around = self.numbers(path_features(block.path), grow)
-            if len(self.paths) < 50_000:
-                self.paths[block.path] = around
-        return around + self.numbers(text_features(block), grow)
+        around = self.elements(block.around, grow)
+        own = self.numbers(place_features(block.around) + text_features(block), grow)
+        return [*around, *own]
 
 
 @dataclass
@@ -334,7 +418,6 @@ def train(pages: list[tuple[list[Block], list[int]]], steps: int = STEPS) -> Cha
         mean = 0.9 * mean + 0.1 * slope
         square = 0.999 * square + 0.001 * slope**2
         x -= 0.2 * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-8)
-    features.paths.clear()
     return Chain(features, x[:-6].reshape(-1, 2).copy(), x[-6:-2].reshape(2, 2).copy(), x[-2:].copy())
 
 

@@ -2,6 +2,7 @@
 
 import html
 import re
+import time
 
 import pytest
 
@@ -127,6 +128,50 @@ def test_text_in_other_elements_of_an_article(chain):
         assert chain.main_text(page % drawn) == f"Headline {text} {text}"
 
 
+def test_quotes_open_a_value_only_behind_an_equals_sign(chain):
+    text = "A first sentence of some length, with a comma. And then another one follows it."
+    page = f"<article><h1>Headline</h1><p%s>{text}</p><p>It isn't over. {text}</p><p>{text}</p></article>"
+    whole = f"Headline {text} It isn't over. {text} {text}"
+    for attributes in (
+        " title=it's", " it's", ' "', " '", " a=b\"c'", " a= 'x>y' b", ' a = "it\'s > that"', " =a'",
+        ' class="x""', " a='b'c=\"d\"", " a=", " a/b='/'", "/",
+    ):
+        assert chain.main_text(page % attributes) == whole, attributes
+    assert chain.main_text(f'<div class="a""><article><h1>H</h1><p>{text}</p></article></div>') == f"H {text}"
+    assert chain.main_text(f"<article><!--><p>{text}</p><!-- x --!><p>{text}</p></article>") == f"{text} {text}"
+
+
+def test_a_value_without_an_end_reaches_to_the_next_quote():
+    assert blocks("<p>a</p><p title=\"b>c</p><p>d</p><p id=\"e\">f</p>") == ["a", "f"]
+    assert blocks("<p>a</p><p title=\"b>c</p><p>d</p>") == ["a"]
+    assert blocks("<p>a</p></p title='x>'><p>b") == ["a", "b"]
+
+
+@pytest.mark.parametrize(
+    "page,texts",
+    [
+        ("<div>" * 100_000 + "x", 1),
+        ("<div>x" * 100_000, 100_000),
+        ("<foo class=a>x" * 100_000, 100_000),
+        ("<foo>" * 50_000 + "</bar>" * 50_000 + "x", 1),
+        ("<svg><foreignobject>" + "<div>x" * 50_000 + "</svg>", 50_000),
+        ('<a "' * 100_000, 0),
+        ("<a '" * 100_000 + ">x", 1),
+        ('<p a="' * 100_000 + ">x", 1),
+        ('<p a="' * 99_999 + ">x", 0),
+        ("<p><li><dd>" * 50_000 + "x", 1),
+        ("<!--" * 100_000, 0),
+        ("</" * 100_000, 0),
+    ],
+)
+def test_work_grows_with_the_length(chain, page, texts):
+    began = time.process_time()
+    found = html_text.blocks_of(page)
+    chain.decode(found)
+    assert time.process_time() - began < 12
+    assert len(found) == texts
+
+
 def test_awkward_rows(spark, chain):
     schema = "page_id long, url string, html string, text string, n_chars string, label string"
     article = "<article><h1>T</h1><p>One two.</p></article>"
