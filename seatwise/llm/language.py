@@ -26,9 +26,8 @@ GRAMS = (1, 2, 3, 4)
 BITS = 14
 #: Labelled rows a model is fitted on at most, languages in turn.
 SAMPLE_ROWS = 2400
-#: Characters of a training row that are read; predictions read whole texts.
-SAMPLE_CHARS = 20_000
-#: Each training row is learnt a second time, cut to one of these lengths.
+#: Each training row is learnt whole, and a second time as an excerpt of one of these
+#: lengths from a place drawn by the row's hash.
 EXCERPTS = (30, 90)
 LANDMARKS = 400
 RIDGE = 1e-3
@@ -64,17 +63,25 @@ def gram_places(text: str) -> np.ndarray:
     return np.concatenate(out)
 
 
-def presence(texts: list[str]) -> np.ndarray:
+def packed_presence(text: str) -> bytes:
+    """Presence of each n-gram of a whole text, a bit a place.
+
+    Texts are read a piece at a time with an overlap, so memory does not follow them.
+    """
+    out = np.zeros(len(GRAMS) << BITS, dtype=bool)
+    for at in range(0, len(text), CHUNK_CHARS):
+        out[gram_places(text[max(0, at - 8) : at + CHUNK_CHARS])] = True
+    return np.packbits(out).tobytes()
+
+
+def presence(packed: list[bytes]) -> np.ndarray:
     """One row a text: presence of each n-gram, scaled to length one.
 
-    Each n-gram length contributes the same to a text's length. Texts are read
-    whole, a piece at a time with an overlap, so memory does not follow them.
+    Each n-gram length contributes the same to a text's length.
     """
-    out = np.zeros((len(texts), len(GRAMS) << BITS), dtype=np.float32)
-    for row, text in enumerate(texts):
-        for at in range(0, len(text), CHUNK_CHARS):
-            out[row, gram_places(text[max(0, at - 8) : at + CHUNK_CHARS])] = 1
-    by_length = out.reshape(len(texts), len(GRAMS), 1 << BITS)
+    bits = np.frombuffer(b"".join(packed), dtype=np.uint8).reshape(len(packed), -1)
+    out = np.unpackbits(bits, axis=1).astype(np.float32)
+    by_length = out.reshape(len(packed), len(GRAMS), 1 << BITS)
     size = np.sqrt(by_length.sum(axis=2, keepdims=True) * len(GRAMS))
     by_length /= np.maximum(size, 1)
     return out
@@ -92,7 +99,7 @@ class LanguageModel:
         rows = [i for i, t in enumerate(texts) if t is not None and any(map(str.isalpha, t))]
         for at in range(0, len(rows), BATCH_ROWS):
             some = rows[at : at + BATCH_ROWS]
-            fits = presence([texts[i] for i in some]) @ self.weights
+            fits = presence([packed_presence(texts[i]) for i in some]) @ self.weights
             e = np.exp(STEEPNESS * (fits - fits.max(axis=1, keepdims=True)))
             share = e / e.sum(axis=1, keepdims=True)
             best = share.argmax(axis=1)
@@ -101,10 +108,10 @@ class LanguageModel:
         return found, scores
 
 
-def fit(texts: list[str], langs: list[str]) -> LanguageModel:
+def fit(texts: list[bytes], langs: list[str]) -> LanguageModel:
     """Kernel ridge regression, one language against the rest, over landmarks.
 
-    Landmarks are taken evenly from the rows given, which come languages in
+    ``texts`` are the packed presences of texts. Landmarks are taken evenly from the rows given, which come languages in
     turn. Without rows the model knows no language and predicts ``und``.
     """
     languages = sorted(set(langs))
@@ -128,11 +135,26 @@ def fit(texts: list[str], langs: list[str]) -> LanguageModel:
     return LanguageModel(languages, (marks.T @ alpha.astype(np.float32)).astype(np.float32))
 
 
-def training_sample(docs: DataFrame, most: int = SAMPLE_ROWS) -> tuple[list[str], list[str]]:
+def _sampled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Packed presence of whole texts and of an excerpt of each."""
+    for batch in batches:
+        whole, parts = [], []
+        for text, draw in zip(batch["text"], batch["draw"].tolist()):
+            size = EXCERPTS[len(text) % 2]
+            at = draw % max(1, len(text) - size + 1)
+            whole.append(packed_presence(text))
+            parts.append(packed_presence(text[at : at + size]))
+        yield pd.DataFrame(
+            {"lang": batch["lang"], "turn": batch["turn"], "whole": whole, "excerpt": parts}
+        )
+
+
+def training_sample(docs: DataFrame, most: int = SAMPLE_ROWS) -> tuple[list[bytes], list[str]]:
     """About ``most`` labelled texts, never more, the languages in turn.
 
     ``docs`` has ``doc_id``, ``text`` and ``lang``. Rows are drawn by a hash of
-    the id, each language at a rate that follows from its count.
+    the id, each language at a rate that follows from its count. Whole texts are
+    read where they lie; what comes back is their presence, 8 KB a text.
     """
     langs = docs.where(F.col("lang").isNotNull()).groupBy("lang").count()
     counts = {r[0]: r[1] for r in langs.orderBy("lang").collect()}
@@ -144,14 +166,17 @@ def training_sample(docs: DataFrame, most: int = SAMPLE_ROWS) -> tuple[list[str]
         wanted |= (F.col("lang") == lang) & (draw < int(rate * (1 << 40)))
     chosen = docs.where(wanted & (F.length("text") > 0)).select(
         F.col("lang").cast("string").alias("lang"),
-        F.substring("text", 1, SAMPLE_CHARS).alias("text"),
+        F.col("text").cast("string").alias("text"),
         draw.alias("draw"),
     )
     order = Window.partitionBy("lang").orderBy("draw", "text")
     first = chosen.withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= quota)
-    rows = first.orderBy("turn", "lang").select("text", "lang").collect()
-    # Short texts hold few n-grams, so the model sees the beginnings of rows as well.
-    turns = [(t, y) for text, y in rows for t in (text, text[: EXCERPTS[len(text) % 2]])]
+    packed = first.select("lang", "turn", "text", "draw").mapInPandas(
+        _sampled, "lang string, turn int, whole binary, excerpt binary"
+    )
+    rows = packed.orderBy("turn", "lang").collect()
+    # Short texts hold few n-grams, so the model sees excerpts of rows as well.
+    turns = [(bytes(t), r["lang"]) for r in rows for t in (r["whole"], r["excerpt"])]
     return [t for t, _ in turns], [y for _, y in turns]
 
 

@@ -159,15 +159,21 @@ def scan(docs: DataFrame) -> DataFrame:
         .groupBy(*document, "template", "label", "phrase", "runs", "part")
         .agg(
             F.min("d").alias("start"),
-            F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("votes"),
+            F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("all_votes"),
+            F.max(F.size("places")).alias("best_votes"),
             (F.max("high") - F.min("low") + K).alias("length"),
             F.max("copies").alias("copies"),
         )
     )
-    share = F.col("votes") / F.col("runs")
+    # A merged span that is too long for one copy is judged by its best diagonal, which
+    # is never longer than the template.
     fits = F.col("length") <= STRETCH * (F.col("runs") + K - 1)
+    spans = spans.withColumn(
+        "votes", F.when(fits, F.col("all_votes")).otherwise(F.col("best_votes"))
+    )
+    share = F.col("votes") / F.col("runs")
     whole = F.col("phrase") & (F.col("votes") == F.col("runs"))
-    noticed = ~F.col("phrase") & (share >= COVERAGE) & fits
+    noticed = ~F.col("phrase") & (share >= COVERAGE)
     start = F.when(whole, F.col("start")).cast("long")
 
     def joined(label):
@@ -232,13 +238,13 @@ def oracle_sql() -> str:
       SELECT *, sum(fresh) OVER (PARTITION BY doc_id, template ORDER BY d) AS part FROM fresh),
     spans AS (
       SELECT doc_id, template, label, phrase, runs, part, min(d) AS start,
-             len(list_distinct(flatten(list(places)))) AS votes,
-             max(high) - min(low) + {K} AS length
+             CASE WHEN max(high) - min(low) + {K} <= {STRETCH} * (runs + {K - 1})
+               THEN len(list_distinct(flatten(list(places))))
+               ELSE max(len(list_distinct(places))) END AS votes
       FROM parts GROUP BY doc_id, template, label, phrase, runs, part),
     kept AS (
       SELECT *, phrase AND votes = runs AS whole,
-             NOT phrase AND votes / runs >= {COVERAGE}
-               AND length <= {STRETCH} * (runs + {K - 1}) AS noticed
+             NOT phrase AND votes / runs >= {COVERAGE} AS noticed
       FROM spans)
     SELECT t.doc_id, len(words)::BIGINT AS n_words,
            count(start) FILTER (whole) AS n_base,

@@ -32,6 +32,9 @@ NEAR = 48
 REDACTED = "[redacted]"
 
 RUN = re.compile(r"[A-Za-z0-9+/_\-]{16,}={0,2}")
+#: Words of letters with a number at most behind each: what a value's name looks like.
+VARIABLE = re.compile(r"[A-Za-z]+\d{0,3}(?:[_\-/]+[A-Za-z]*\d{0,3})*")
+ASSIGNS = re.compile(r"[ \t]*(?:=[ \t]*[^\s=]|:[ \t]*[^\s:/])")
 QUOTED = re.compile(r"""[=:]>?[^\w\s"']{0,4}\s?["']([^\s"']{8,})["']""")
 #: Between a key's lines: quotes and signs of the text around, and line ends, escaped or not.
 _SIGNS, _LINE_END = r"""[ \t"'`,>|#*;+]""", r"(?:[\r\n]|\\+[rn])"
@@ -82,6 +85,29 @@ def _assigned(text: str) -> Iterator[tuple[int, int]]:
                     yield value.start(1), end - (value[1][-1] in ",;")
 
 
+def _runs(text: str) -> Iterator[tuple[int, int]]:
+    """Long runs of letters, digits and signs; signs of equality only as a base64's padding.
+
+    A name that a value is assigned to is none, whatever its length.
+    """
+    for m in RUN.finditer(text):
+        start, end = m.span()
+        run = m[0].rstrip("=")
+        named = VARIABLE.fullmatch(run) and ASSIGNS.match(text, start + len(run))
+        if named and _worded(run):
+            continue
+        if len(m[0]) % 4 or len(m[0]) - len(run) + len(run) % 4 not in (0, 4):
+            end = start + len(run)
+        if not _plain(run):
+            yield start, end
+
+
+def _worded(name: str) -> bool:
+    """Whether letters change their case as in words put together, not at random."""
+    words = re.findall("[A-Z]?[a-z]+|[A-Z]+", name)
+    return sum(map(len, words)) >= 3 * len(words)
+
+
 def _plain(value: str) -> bool:
     return value.isalpha() and (value.islower() or value.isupper() or value.istitle())
 
@@ -93,9 +119,7 @@ def candidates(text: str) -> list[tuple[int, int, str]]:
         found += [(*m.span(), "block") for m in BLOCK.finditer(text)]
     if "eyJ" in text:
         found += [(*m.span(), "token") for m in TOKEN.finditer(text)]
-    for m in RUN.finditer(text):
-        if not _plain(m[0]):
-            found.append((*m.span(), "run"))
+    found += [(*span, "run") for span in _runs(text)]
     if '"' in text or "'" in text:
         found += [(*m.span(1), "quoted") for m in QUOTED.finditer(text)]
     found += [(*span, "assigned") for span in _assigned(text)]

@@ -15,7 +15,7 @@ meet once for each choice of equal blocks, in cells keyed by those coordinates.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
 import numpy as np
@@ -71,12 +71,13 @@ def fingerprint(text: str | None, width: int = SHINGLE_WORDS) -> int:
     return sum(1 << i for i in np.flatnonzero(votes * 2 > n).tolist())
 
 
-def _fingerprints(width: int):
+def _fingerprints(width: int, kept: Sequence[str] = ()):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = np.array([fingerprint(t, width) for t in batch["text"]], dtype=np.uint64)
             yield pd.DataFrame(
                 {"doc_id": batch["doc_id"].astype("Int64"), "fp": found.view(np.int64)}
+                | {c: batch[c] for c in kept}
             )
 
     return run
@@ -285,12 +286,39 @@ def near_duplicates(
 def keep_first(docs: DataFrame, width: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """One row of each group of near-duplicates, all columns as they are.
 
-    The row with the smallest ``doc_id`` stays, of several with that id any one.
-    Rows without an id name no group and cannot be told apart, so all of them stay.
+    Groups go by the fingerprints alone, whatever ids rows share. The row of the
+    smallest ``doc_id`` stays, an absent one last, of several with that id the one
+    whose text and then whose whole row has the smallest digest. Copies of a row
+    are one group.
     """
-    found = near_duplicates(docs, width, max_bits)
-    first = found.where(F.col("doc_id") == F.col("component_id")).select("component_id").distinct()
-    keyed = docs.where(F.col("doc_id").isNotNull())
-    same = F.col("kept.doc_id").cast("long") == F.col("first.component_id")
-    kept = keyed.alias("kept").join(first.alias("first"), same, "left_semi")
-    return kept.dropDuplicates(["doc_id"]).union(docs.where(F.col("doc_id").isNull()))
+    columns = docs.columns
+    row = F.md5(F.to_json(F.struct(*columns)).cast("binary"))
+    text = F.col("text").cast("string")
+    told = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        text.alias("text"),
+        F.md5(F.coalesce(text, F.lit("")).cast("binary")).alias("text_digest"),
+        row.alias("row_digest"),
+    )
+    rows = stored(
+        told.mapInPandas(
+            _fingerprints(width, ["text_digest", "row_digest"]),
+            "doc_id long, fp long, text_digest string, row_digest string",
+        ),
+        "fingerprints",
+    )
+    groups = components(fingerprint_links(rows.select("fp").distinct(), max_bits))
+    part = F.coalesce("component", "fp")
+    first = (
+        rows.join(groups, F.col("fp") == F.col("node"), "left")
+        .groupBy(part.alias("part"))
+        .agg(
+            F.min(
+                F.struct(F.isnull("doc_id").alias("absent"), "doc_id", "text_digest", "row_digest")
+            ).alias("first")
+        )
+        .select(F.col("first.row_digest").alias("_kept"))
+    )
+    kept = docs.withColumn("_digest", row).join(first, F.col("_digest") == F.col("_kept"), "left_semi")
+    # Copies alike in every column are the same row, whichever of them stays.
+    return kept.dropDuplicates(["_digest"]).select(*columns)

@@ -190,5 +190,33 @@ def test_no_match_in_a_passage_of_an_items_length_is_missed(monkeypatch):
                 share = slow_subsequence(item.words, near) / len(item.words)
                 if share >= 0.6 or share >= 0.45 and item.answer[0] in near:
                     expected.add((d, item.item_id))
+            size = len(item.words)
+            runs = (text[k : k + size] for k in range(len(text)))
+            if size < 6 and any(run == item.words for run in runs):
+                expected.add((d, item.item_id))
     found = {f[:2] for f in retriever.find([" ".join(t) for t in texts])}
     assert found == expected and len(expected) > 50
+
+
+def test_items_of_few_words_are_found_word_for_word(spark):
+    rng = random.Random(8)
+    vocabulary = [f"{a}{b}{c}" for a in "bdfgklmn" for b in "aeiou" for c in "lmnrstvz"]
+    docs = [[rng.choice(vocabulary) for _ in range(rng.randint(5, 120))] for _ in range(120)]
+    items, expected = [], set()
+    for number in range(60):
+        size = number % 5 + 1
+        item = [f"q{number}x{k}" if k == 0 else rng.choice(vocabulary) for k in range(size)]
+        items.append(item)
+        for d in rng.sample(range(120), 2):
+            at = rng.randint(0, len(docs[d]))
+            docs[d][at:at] = item
+    for d, doc in enumerate(docs):
+        for number, item in enumerate(items):
+            if any(doc[k : k + len(item)] == item for k in range(len(doc))):
+                expected.add((d, number))
+    table, benchmark = frames(
+        spark, [" ".join(d) for d in docs], [" ".join(i) for i in items]
+    )
+    found = decontaminate.find_leaks(table, benchmark).collect()
+    whole = {(r["doc_id"], r["item_id"]) for r in found if r["overlap"] == 1.0}
+    assert expected <= whole and len(expected) > 100

@@ -1,8 +1,10 @@
 """Accuracy on held-out rows, and texts without a language."""
 
+import random
 import zlib
 
 import edges
+import numpy as np
 
 from seatwise.llm import language
 
@@ -31,10 +33,53 @@ def test_labels_of_held_out_rows_do_not_matter(spark, sf_dir):
 
 def test_presence_does_not_depend_on_the_pieces_a_text_is_read_in(monkeypatch):
     text = "Der schnelle braune Fuchs springt " * 50
-    whole = language.presence([text])
+    whole = unpacked(text)
     monkeypatch.setattr(language, "CHUNK_CHARS", 64)
-    pieces = language.presence([text])
-    assert ((whole > 0) <= (pieces > 0)).all()
+    assert (whole <= unpacked(text)).all()
+
+
+def unpacked(text):
+    return np.unpackbits(np.frombuffer(language.packed_presence(text), dtype=np.uint8)) > 0
+
+
+def test_scores_are_those_of_the_kernel_taken_pair_by_pair():
+    rng = random.Random(4)
+    langs = ["aa", "bb", "cc"]
+    stems = {y: ["".join(rng.choices("abcdefgh"[i * 2 : i * 2 + 4], k=4)) for _ in range(9)] for i, y in enumerate(langs)}
+    make = lambda y: " ".join(rng.choices(stems[y], k=rng.randint(3, 20)))
+    data = [(make(y), y) for _ in range(30) for y in langs]
+    model = language.fit([language.packed_presence(t) for t, _ in data], [y for _, y in data])
+
+    def places(text):
+        return [set(p.tolist()) for p in np.split(language.gram_places(text), edges_of(text))]
+
+    def edges_of(text):
+        found = language.gram_places(text) >> language.BITS
+        return [int(np.searchsorted(found, i)) for i in range(1, len(language.GRAMS))]
+
+    def kernel(a, b):
+        share = 0.0
+        for x, y in zip(places(a), places(b)):
+            share += len(x & y) / (len(x) * len(y)) ** 0.5 / len(language.GRAMS)
+        return share
+
+    marks = [t for t, _ in data][: language.LANDMARKS]
+    inner = np.array([[kernel(a, b) for b in marks] for a in marks])
+    goal = np.array([[1.0 if y == z else -1.0 for z in langs] for _, y in data])
+    ridge = language.RIDGE * len(data)
+    alpha = np.linalg.solve(inner.T @ inner + ridge * inner + 1e-6 * np.eye(len(marks)), inner.T @ goal)
+    for text in [make(y) for y in langs for _ in range(5)]:
+        slow = np.array([kernel(text, m) for m in marks]) @ alpha
+        fast = language.presence([language.packed_presence(text)])[0] @ model.weights
+        assert np.allclose(slow, fast, atol=2e-3)
+
+
+def test_whole_texts_are_learnt_from(spark):
+    filler = "0 1 2 3 " * 4000
+    rows = [(i, filler + ("lorem ipsum dolor " if i % 2 else "wrzqk plugh xyzzy ") * 400, "aa" if i % 2 else "bb") for i in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    held = [r for r in language.identify(docs).collect() if r["held_out"]]
+    assert held and all(r["lang_pred"] == ("aa" if r["doc_id"] % 2 else "bb") for r in held)
 
 
 def test_awkward_rows(spark):

@@ -65,6 +65,14 @@ def test_notices_with_words_put_in_or_left_out(spark):
     assert all(got[i]["base_labels"] == "" and got[i]["n_base"] == 0 for i in range(5))
 
 
+def test_a_notice_behind_its_own_first_words_keeps_its_label(spark):
+    notice = "No part of this publication may be reproduced"
+    texts = ["All rights reserved. " * n + notice for n in (1, 2, 3, 9)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = {r["doc_id"]: r["labels"] for r in licenses.scan(docs).collect()}
+    assert labels[0] and set(labels.values()) == {labels[0]}
+
+
 def test_awkward_rows(spark):
     result = licenses.scan(edges.documents(spark)).collect()
     got = sorted((r["doc_id"] or -1, *tuple(r)[1:6]) for r in result)

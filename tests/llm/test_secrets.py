@@ -98,6 +98,21 @@ def test_unquoted_and_short_passwords(forest):
     assert secrets.candidates("password:" * 20000)
 
 
+def test_names_before_a_sign_and_padding(forest):
+    value = "wJalrXUtnFEMI/K7MDENG+bPxRfiCYzq83kLm2Qa"
+    for name in ("AWS_SECRET_ACCESS_KEY", "SOME_SECRET_KEYS_NAME_A2", "clientSecretValueForX", "my-app/secret-key-one"):
+        for sign in ("=", " = ", ": ", "='"):
+            text = f"export {name}{sign}{value} end"
+            spans = [text[a:b] for a, b, _ in secrets.candidates(text)]
+            assert value in "".join(spans) and not any(name in x for x in spans), (name, sign)
+    text = f"AWS_SECRET_ACCESS_KEY={value}\n"
+    assert values(forest, text, ".env") == [value]
+    padded = "c2VjcmV0IHZhbHVlIG9mIGEga2V5IQ=="
+    assert [padded] == [padded[a:b] for a, b, _ in secrets.candidates(padded)]
+    cut = "c2VjcmV0IHZhbHVlIG9mIGEga2V5I="
+    assert [cut[:-1]] == [cut[a:b] for a, b, _ in secrets.candidates(cut)]
+
+
 def test_no_candidate_lies_within_another():
     text = 'token = "eyJhbGciOi123456.eyJzdWIiOi123456.c2lnbmF0dXJlMTIz" end'
     spans = secrets.candidates(text)

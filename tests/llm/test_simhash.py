@@ -97,3 +97,21 @@ def test_awkward_rows(spark):
     assert kept.columns == docs.columns
     ids = sorted(r["doc_id"] or -1 for r in kept.select("doc_id").collect())
     assert ids == [-1, 1, 3, 6, 7, 8]
+
+
+def test_one_row_of_each_group_stays_whatever_ids_rows_share(spark):
+    words = lambda k: " ".join(f"w{k}x{i}" for i in range(40))
+    rows = [
+        (1, words(1), "a"), (1, words(2), "b"), (1, words(2), "b"), (2, words(1), "c"),
+        (None, words(3), "d"), (None, words(3), "d"), (None, words(4), "e"), (3, words(4), "f"),
+        (4, words(5), "h"), (4, words(5), "g"), (5, None, "i"), (6, "", "j"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = simhash.keep_first(docs)
+    got = [(r["doc_id"], r["source"]) for r in kept.collect()]
+    assert sorted(got, key=str) == sorted(
+        [(1, "a"), (1, "b"), (None, "d"), (3, "f"), (5, "i"),
+         next(x for x in got if x[0] == 4)], key=str
+    )
+    again = [tuple(r) for r in simhash.keep_first(docs.repartition(5)).collect()]
+    assert sorted(again, key=str) == sorted((tuple(r) for r in kept.collect()), key=str)
