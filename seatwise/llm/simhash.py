@@ -1,16 +1,16 @@
 """Near-duplicates by SimHash, found with tables of pivot distances.
 
-A fingerprint's pivots are reference fingerprints, to which its Hamming
-distances are computed once. By the triangle inequality two fingerprints within
-``max_bits`` differ by at most that much in every distance, so a pair whose
-largest coordinate difference is greater is dropped unseen; the survivors are
-compared bit by bit.
-
-Pivot distances alone would leave every pair to be looked at. The first
-coordinates are therefore taken to pivots that differ in one block of bits only:
-of six blocks at least two are free of differences when at most four bits
-differ, and all distances to those blocks' pivots are then equal. Fingerprints
-meet once for each choice of equal blocks, in cells keyed by those coordinates.
+The 64 bits are cut into blocks, and each fingerprint's Hamming distances to
+reference fingerprints are computed once, block by block: its row of the distance
+table, which is stored. By the triangle inequality two fingerprints differ within a
+block by no less than the largest difference of the block's coordinates, and in all
+by no less than the sum of these over the blocks. A pair for which that is more than
+``max_bits`` is dropped unseen; the survivors are compared bit by bit.
+
+The table also says who meets: of ``max_bits`` + e blocks at least e are free of
+differences, and all their coordinates are equal. Fingerprints meet once for each
+choice of e blocks, in cells keyed by those coordinates. e grows with the number of
+fingerprints, so that a cell of unrelated ones stays small at any size.
 """
 
 from __future__ import annotations
@@ -29,8 +29,11 @@ SHINGLE_WORDS = 4
 MAX_BITS = 4
 #: XXH64's seed, fixed by the fingerprints' definition.
 SEED = 42
-#: Reference fingerprints of the distance table.
-PIVOTS = 24
+#: Reference fingerprints of the distance table; the distances to them in a block
+#: are the bytes of one long.
+PIVOTS = 8
+#: Blocks that are equal for a meeting, at least.
+EQUAL_BLOCKS = 2
 #: Fingerprints of one cell compared with each other at a time.
 BLOCK_ROWS = 1024
 #: Cells up to this size are compared many at a time.
@@ -91,61 +94,88 @@ def fingerprints(docs: DataFrame, width: int = SHINGLE_WORDS) -> DataFrame:
     return texts.mapInPandas(_fingerprints(width), "doc_id long, fp long")
 
 
-def blocks(max_bits: int) -> list[int]:
-    """Bit masks of ``max_bits + 2`` blocks: two at least stay equal."""
-    edges = [round(64 * i / (max_bits + 2)) for i in range(max_bits + 3)]
+def equal_blocks(n: int, max_bits: int) -> int:
+    """Blocks to be equal, so that ``n`` unrelated fingerprints rarely share a cell."""
+    equal = EQUAL_BLOCKS
+    while 64 * equal // (max_bits + equal) < n.bit_length() and max_bits + equal < 64:
+        equal += 1
+    return equal
+
+
+def blocks(max_bits: int, equal: int = EQUAL_BLOCKS) -> list[int]:
+    """Bit masks of ``max_bits + equal`` blocks: ``equal`` at least stay the same."""
+    n = max_bits + equal
+    edges = [round(64 * i / n) for i in range(n + 1)]
     return [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(edges, edges[1:])]
 
 
-def pivot_distances(fps: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(fps[:, None] ^ pivots[None, :]).astype(np.int8)
+def pivot_distances(fps: np.ndarray, masks: Sequence[int]) -> np.ndarray:
+    """Distances to the pivots in each block, as rows x blocks x pivots."""
+    pivots = mix(np.arange(1, PIVOTS + 1, dtype=np.uint64))
+    apart = fps[:, None] ^ pivots[None, :]
+    parts = [np.bitwise_count(apart & np.uint64(mask)) for mask in masks]
+    return np.stack(parts, axis=1).astype(np.int8)
+
+
+def _distance_rows(masks: Sequence[int]):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            fps = batch["fp"].to_numpy()
+            table = pivot_distances(fps.view(np.uint64), masks)
+            packed = np.ascontiguousarray(table).view(np.int64)[..., 0]
+            yield pd.DataFrame({"fp": fps} | {f"d{b}": packed[:, b] for b in range(len(masks))})
+
+    return run
+
+
+def distance_table(distinct: DataFrame, masks: Sequence[int]) -> DataFrame:
+    """``(fp, d0, d1, ...)``, the distances to a block's pivots as bytes of a long."""
+    schema = ", ".join(["fp long", *(f"d{b} long" for b in range(len(masks)))])
+    return distinct.select("fp").mapInPandas(_distance_rows(masks), schema)
+
 
+def survivors(table: np.ndarray, i: np.ndarray, j: np.ndarray, max_bits: int) -> np.ndarray:
+    """Which of the pairs the distances do not tell apart, a block at a time."""
+    left = np.arange(len(i))
+    least = np.zeros(len(i), dtype=np.int16)
+    for b in range(table.shape[1]):
+        if not len(left):
+            break
+        least += np.abs(table[i[left], b] - table[j[left], b]).max(axis=1)
+        near = least <= max_bits
+        left, least = left[near], least[near]
+    return left
 
-def cell_links(fps: np.ndarray, max_bits: int, pivots: np.ndarray) -> tuple:
+
+def cell_links(fps: np.ndarray, table: np.ndarray, max_bits: int) -> tuple:
     """Index pairs of fingerprints within ``max_bits``, a block of rows at a time."""
-    table = pivot_distances(fps, pivots)
-    order = np.argsort(table[:, 0], kind="stable")
-    fps, table = fps[order], table[order]
     left, right = [], []
     for at in range(0, len(fps), BLOCK_ROWS):
-        rows = slice(at, min(at + BLOCK_ROWS, len(fps)))
-        # In order of the first distance, partners stand in one range after the row.
-        stop = int(np.searchsorted(table[:, 0], table[rows, 0][-1] + max_bits, side="right"))
-        for to in range(at, stop, BLOCK_ROWS):
-            cols = slice(to, min(to + BLOCK_ROWS, stop))
-            i, j = np.nonzero(
-                np.abs(table[rows, None, 0] - table[None, cols, 0]) <= max_bits
-            )
-            for p in range(1, table.shape[1]):
-                if len(i) < 64:
-                    break
-                near = np.abs(table[i + at, p] - table[j + to, p]) <= max_bits
-                i, j = i[near], j[near]
-            i, j = i + at, j + to
-            close = (i < j) & (np.bitwise_count(fps[i] ^ fps[j]) <= max_bits)
-            left.append(order[i[close]])
-            right.append(order[j[close]])
+        rows = np.arange(at, min(at + BLOCK_ROWS, len(fps)))
+        for to in range(at, len(fps), BLOCK_ROWS):
+            cols = np.arange(to, min(to + BLOCK_ROWS, len(fps)))
+            i, j = (x.ravel() for x in np.meshgrid(rows, cols, indexing="ij"))
+            i, j = i[i < j], j[i < j]
+            near = survivors(table, i, j, max_bits)
+            i, j = i[near], j[near]
+            close = np.bitwise_count(fps[i] ^ fps[j]) <= max_bits
+            left.append(i[close])
+            right.append(j[close])
     return np.concatenate(left), np.concatenate(right)
 
 
 def small_cell_links(
-    fps: np.ndarray, sizes: np.ndarray, max_bits: int, pivots: np.ndarray
+    fps: np.ndarray, table: np.ndarray, sizes: np.ndarray, max_bits: int
 ) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs within ``max_bits`` in each of many cells that follow each other.
 
-    Each row is paired with the next one of its cell, then the one after, and so
-    on; pairs go as soon as one pivot distance tells them apart.
+    Each row is paired with the next one of its cell, then the one after, and so on.
     """
     rest = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(fps)) - 1
     left, right = [], []
     for step in range(1, int(sizes.max(initial=0))):
         i = np.flatnonzero(rest >= step)
-        for pivot in pivots:
-            if len(i) < SMALL_CELL:
-                break
-            away = np.bitwise_count(fps[i] ^ pivot).astype(np.int8)
-            there = np.bitwise_count(fps[i + step] ^ pivot).astype(np.int8)
-            i = i[np.abs(away - there) <= max_bits]
+        i = i[survivors(table, i, i + step, max_bits)]
         i = i[np.bitwise_count(fps[i] ^ fps[i + step]) <= max_bits]
         left.append(i)
         right.append(i + step)
@@ -154,21 +184,7 @@ def small_cell_links(
     return np.concatenate(left), np.concatenate(right)
 
 
-def _spread_cells(choices: list[int]):
-    """One row for each fingerprint and choice of blocks: its cell and itself."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            fps = batch["fp"].to_numpy().view(np.uint64)
-            for i, mask in enumerate(choices):
-                # The masked bits are the distances to the pivots of the blocks chosen.
-                cell = mix(fps & np.uint64(mask), i + 1)
-                yield pd.DataFrame({"cell": cell.view(np.int64), "fp": batch["fp"]})
-
-    return run
-
-
-def _star_links(max_bits: int, pivots: np.ndarray):
+def _star_links(max_bits: int, n_blocks: int):
     """Links of the cells of a partition sorted by cell, as stars."""
 
     def stars(fps: np.ndarray, left: np.ndarray, right: np.ndarray) -> pd.DataFrame:
@@ -176,14 +192,15 @@ def _star_links(max_bits: int, pivots: np.ndarray):
         out = np.flatnonzero(root != np.arange(len(fps)))
         return pd.DataFrame({"a": fps[root[out]].view(np.int64), "b": fps[out].view(np.int64)})
 
-    def found(parts: list[np.ndarray]) -> Iterator[pd.DataFrame]:
-        if sum(map(len, parts)) > 1:
-            fps = np.unique(np.concatenate(parts))
-            yield stars(fps, *cell_links(fps, max_bits, pivots))
+    def found(parts: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pd.DataFrame]:
+        if sum(len(fps) for fps, _ in parts) > 1:
+            fps, rows = np.unique(np.concatenate([f for f, _ in parts]), return_index=True)
+            table = np.concatenate([t for _, t in parts])[rows]
+            yield stars(fps, *cell_links(fps, table, max_bits))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         # The last cell of a batch may go on in the next one.
-        held: list[np.ndarray] = []
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         cell = None
         for batch in batches:
             cells = batch["cell"].to_numpy() ^ mix(
@@ -192,24 +209,27 @@ def _star_links(max_bits: int, pivots: np.ndarray):
             fps = batch["fp"].to_numpy().view(np.uint64)
             if not len(cells):
                 continue
+            packed = np.stack([batch[f"d{b}"].to_numpy() for b in range(n_blocks)], axis=1)
+            table = packed.view(np.int8).reshape(len(fps), n_blocks, PIVOTS)
             edges = np.flatnonzero(np.diff(cells)) + 1
             starts, ends = np.append(0, edges), np.append(edges, len(cells))
             if cells[0] != cell:
                 yield from found(held)
                 held = []
-            held.append(fps[: ends[0]])
+            held.append((fps[: ends[0]], table[: ends[0]]))
             if len(starts) > 1:
                 yield from found(held)
-                held = [fps[starts[-1] :]]
+                held = [(fps[starts[-1] :], table[starts[-1] :])]
             cell = cells[-1]
             # Most cells hold one fingerprint and cost nothing here.
             sizes = ends - starts
             sizes[[0, -1]] = 1
             for i in np.flatnonzero(sizes > SMALL_CELL):
-                yield from found([fps[starts[i] : ends[i]]])
+                yield from found([(fps[starts[i] : ends[i]], table[starts[i] : ends[i]])])
             few = (sizes > 1) & (sizes <= SMALL_CELL)
-            some = fps[np.repeat(few, ends - starts)]
-            yield stars(some, *small_cell_links(some, sizes[few], max_bits, pivots))
+            chosen = np.repeat(few, ends - starts)
+            some = fps[chosen]
+            yield stars(some, *small_cell_links(some, table[chosen], sizes[few], max_bits))
         yield from found(held)
 
     return run
@@ -234,28 +254,33 @@ def _parted(cells: DataFrame) -> DataFrame:
     )
     alone = F.array(F.lit(0).cast("bigint"))
     return cells.join(large, F.col("cell") == F.col("large"), "left").select(
-        "cell", "fp", F.explode(F.when(F.col("k").isNull(), alone).otherwise(pairs)).alias("pair")
+        *cells.columns, F.explode(F.when(F.col("k").isNull(), alone).otherwise(pairs)).alias("pair")
     )
 
 
 def fingerprint_links(
-    distinct: DataFrame, max_bits: int = MAX_BITS, n_pivots: int = PIVOTS
+    distinct: DataFrame, max_bits: int = MAX_BITS, equal: int | None = None
 ) -> DataFrame:
     """Links ``(a, b)`` that connect all distinct fingerprints within ``max_bits``.
 
-    Within a cell links are reduced to stars, which connect the same
-    fingerprints with fewer rows than there are pairs.
+    ``distinct`` is counted, so it should be a stored table. Within a cell links are
+    reduced to stars, which connect the same fingerprints with fewer rows than there
+    are pairs.
     """
-    masks = blocks(max_bits)
-    choices = [a | b for a, b in combinations(masks, 2)]
-    pivots = mix(np.arange(1, n_pivots + 1, dtype=np.uint64))
-    cells = distinct.select("fp").mapInPandas(_spread_cells(choices), "cell long, fp long")
+    equal = equal or equal_blocks(distinct.count(), max_bits)
+    masks = blocks(max_bits, equal)
+    table = stored(distance_table(distinct, masks), "distances")
+    keys = [
+        F.xxhash64(F.lit(i), *(f"d{b}" for b in choice))
+        for i, choice in enumerate(combinations(range(len(masks)), equal))
+    ]
+    cells = table.select(F.explode(F.array(*keys)).alias("cell"), *table.columns)
     met = (
         _parted(cells)
         .repartition("cell", "pair")
         .sortWithinPartitions("cell", "pair")
     )
-    return met.mapInPandas(_star_links(max_bits, pivots), "a long, b long").distinct()
+    return met.mapInPandas(_star_links(max_bits, len(masks)), "a long, b long").distinct()
 
 
 def near_duplicates(
@@ -307,7 +332,8 @@ def keep_first(docs: DataFrame, width: int = SHINGLE_WORDS, max_bits: int = MAX_
         ),
         "fingerprints",
     )
-    groups = components(fingerprint_links(rows.select("fp").distinct(), max_bits))
+    distinct = stored(rows.select("fp").distinct(), "distinct")
+    groups = components(fingerprint_links(distinct, max_bits))
     part = F.coalesce("component", "fp")
     first = (
         rows.join(groups, F.col("fp") == F.col("node"), "left")

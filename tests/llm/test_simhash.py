@@ -54,8 +54,8 @@ def test_whole_table(spark, sf_dir):
         assert r["component_id"] == expected[r["doc_id"]]
 
 
-@pytest.mark.parametrize("most", [8192, 3])
-def test_links_connect_what_is_near(spark, monkeypatch, most):
+@pytest.mark.parametrize("most,equal", [(8192, None), (3, None), (8192, 3), (8192, 5)])
+def test_links_connect_what_is_near(spark, monkeypatch, most, equal):
     monkeypatch.setattr(simhash, "CELL_ROWS", most)
     rng = random.Random(5)
     fps = []
@@ -68,7 +68,7 @@ def test_links_connect_what_is_near(spark, monkeypatch, most):
     fps = list(dict.fromkeys(fps))
     signed = [int(np.uint64(f).astype(np.int64)) for f in fps]
     frame = spark.createDataFrame([(f,) for f in signed], "fp long")
-    links = [tuple(r) for r in simhash.fingerprint_links(frame).collect()]
+    links = [tuple(r) for r in simhash.fingerprint_links(frame, equal=equal).collect()]
     near = {f: i for i, f in enumerate(signed)}
     root = list(range(len(fps)))
     for _ in range(len(fps)):
@@ -84,6 +84,57 @@ def test_links_connect_what_is_near(spark, monkeypatch, most):
     assert len(groups) == len(set(slow.values()))
 
 
+@pytest.mark.parametrize("equal", [2, 3, 6])
+def test_the_distance_table_tells_pairs_apart(equal):
+    rng = np.random.default_rng(equal)
+    masks = simhash.blocks(4, equal)
+    assert sum(m.bit_count() for m in masks) == 64 and sum(masks) == 2**64 - 1
+    fps = rng.integers(0, 2**64, 4000, dtype=np.uint64)
+    near = fps.copy()
+    for _ in range(4):
+        near ^= np.uint64(1) << rng.integers(0, 64, len(fps), dtype=np.uint64)
+    table = simhash.pivot_distances(np.concatenate([fps, near]), masks)
+    assert table.shape == (8000, 4 + equal, simhash.PIVOTS)
+    i = np.arange(4000)
+    # All pairs within the distance survive, next to none of the others does.
+    assert len(simhash.survivors(table, i, i + 4000, 4)) == 4000
+    assert len(simhash.survivors(table, i[1:], i[:-1], 4)) < 8
+    same = (table[:4000] == table[4000:]).all(axis=2).sum(axis=1)
+    assert same.min() >= equal
+
+
+def test_pairs_go_by_the_distances_before_their_bits(monkeypatch):
+    """Without the pivots' distances all pairs of a cell would be compared."""
+    rng = np.random.default_rng(1)
+    fps = rng.integers(0, 2**64, 300, dtype=np.uint64)
+    fps[200:] = fps[:100] ^ np.uint64(5)
+    table = simhash.pivot_distances(fps, simhash.blocks(4))
+    compared = []
+    kept = simhash.survivors
+
+    def counted(*args):
+        compared.append(len(kept(*args)))
+        return kept(*args)
+
+    monkeypatch.setattr(simhash, "survivors", counted)
+    left, right = simhash.cell_links(fps, table, 4)
+    assert sorted(zip(left.tolist(), right.tolist())) == [(i, i + 200) for i in range(100)]
+    assert 100 <= sum(compared) < 110
+    sizes = np.array([50] * 6)
+    left, right = simhash.small_cell_links(fps, table, sizes, 4)
+    assert len(left) == 0
+    order = np.argsort(np.tile(np.arange(100), 3)[:300], kind="stable")
+    left, right = simhash.small_cell_links(fps[order], table[order], np.array([3] * 100), 4)
+    assert sorted(zip(left.tolist(), right.tolist())) == [(3 * i, 3 * i + 2) for i in range(100)]
+
+
+def test_equal_blocks_grow_with_the_rows():
+    found = [simhash.equal_blocks(n, 4) for n in (0, 1, 10**5, 10**7, 10**9, 10**11)]
+    assert found == [2, 2, 2, 3, 4, 6]
+    assert simhash.equal_blocks(10**12, 60) == 4
+    assert len(simhash.blocks(0, 2)) == 2
+
+
 def test_awkward_rows(spark):
     docs = edges.documents(spark)
     result = simhash.near_duplicates(docs).collect()
