@@ -33,7 +33,9 @@ LEXICON_WORDS = 50_000
 PRIOR_WORDS = 1000.0
 PRIOR_EACH = 4.0
 #: Standard deviations a word's log-odds are lowered by, and what then must remain.
-CAUTION = 3.0
+#: Of these the one is taken under which either half of the sample tells most about
+#: the other: few labelled rows call for less of it than many.
+CAUTIONS = (1.5, 2.0, 2.5, 3.0)
 LEAST_SCORE = 1.25
 #: What a word outside the lexicon costs.
 DRIFT = 0.1
@@ -132,8 +134,8 @@ def _count_words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         )
 
 
-def lexicon(counts: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
-    """Scores of the words that speak for toxicity, and their clean shares.
+def lexicon(counts: DataFrame) -> list[tuple[str, float, float, float]]:
+    """Words that speak for toxicity: log-odds, their deviation, the clean share.
 
     ``counts`` has ``word``, ``toxic_n``, ``clean_n``. Everything but the words
     kept is summed up on the cluster.
@@ -141,23 +143,38 @@ def lexicon(counts: DataFrame) -> tuple[dict[str, float], dict[str, float]]:
     total = counts.agg(F.sum("toxic_n"), F.sum("clean_n")).first()
     toxic, clean = float(total[0] or 0), float(total[1] or 0)
     if not toxic or not clean:
-        return {}, {}
+        return []
     share = (F.col("toxic_n") + F.col("clean_n")) / (toxic + clean)
     prior = F.lit(PRIOR_EACH) + F.lit(PRIOR_WORDS) * share
     bad = toxic / (toxic + clean)
     a, b = F.col("toxic_n") + prior * bad, F.col("clean_n") + prior * (1 - bad)
     in_toxic, in_clean = toxic + PRIOR_WORDS * bad, clean + PRIOR_WORDS * (1 - bad)
     odds = F.log(a / (in_toxic - a)) - F.log(b / (in_clean - b))
-    score = odds - CAUTION * F.sqrt(1 / a + 1 / b)
+    deviation = F.sqrt(1 / a + 1 / b)
+    score = F.col("odds") - min(CAUTIONS) * F.col("deviation")
     rows = (
         counts.where("toxic_n > 0")
-        .select("word", score.alias("score"), (b / in_clean).alias("share"))
-        .where(F.col("score") > LEAST_SCORE)
-        .orderBy(F.desc("score"), "word")
+        .select(
+            "word",
+            odds.alias("odds"),
+            deviation.alias("deviation"),
+            (b / in_clean).alias("share"),
+        )
+        .where(score > LEAST_SCORE)
+        .orderBy(score.desc(), "word")
         .limit(LEXICON_WORDS)
         .collect()
     )
-    return {r["word"]: r["score"] for r in rows}, {r["word"]: r["share"] for r in rows}
+    return [tuple(r) for r in rows]
+
+
+def cautious(words: list[tuple[str, float, float, float]], caution: float) -> ToxicModel:
+    """A model of the words that still score after ``caution`` deviations."""
+    scores, shares = {}, {}
+    for word, odds, deviation, share in words:
+        if (score := odds - caution * deviation) > LEAST_SCORE:
+            scores[word], shares[word] = score, share
+    return ToxicModel(scores, decay_rate(scores, shares))
 
 
 def decay_rate(scores: dict[str, float], shares: dict[str, float]) -> float:
@@ -180,18 +197,27 @@ def decay_rate(scores: dict[str, float], shares: dict[str, float]) -> float:
     return max(high, 1e-3)
 
 
-def _scan_folds(models: dict[int, ToxicModel]):
+def _scan_folds(models: dict[tuple[float, int], ToxicModel]):
+    """Passages of each row under the models of every caution learnt without it."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for fold, toxic, text in zip(batch["fold"], batch["toxic"], batch["text"]):
-                n, found = models[int(fold)].passages(text)
-                rows.append((int(fold), int(toxic), n, [s for s, _, _ in found]))
-            yield pd.DataFrame(rows, columns=["fold", "toxic", "n", "scores"])
+                for caution in CAUTIONS:
+                    n, found = models[caution, int(fold)].passages(text)
+                    rows.append((caution, int(fold), int(toxic), n, [s for s, _, _ in found]))
+            yield pd.DataFrame(rows, columns=["caution", "fold", "toxic", "n", "scores"])
 
     return run
 
 
+def _loss(x: np.ndarray, y: np.ndarray, offset: float, slope: float) -> float:
+    """Mean negative log-likelihood of the labels."""
+    z = np.clip(offset + slope * x, -30, 30)
+    return float(np.mean(np.logaddexp(0, z) - y * z))
+
+
 def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     """Offset and slope by Newton steps; a weak prior keeps separable data finite."""
     w = np.zeros(2)
@@ -227,29 +253,38 @@ def fit(sample: DataFrame) -> ToxicModel:
         "word-counts",
     )
 
-    def pick(folds) -> ToxicModel:
-        chosen = counts.select(
-            "word",
-            sum(F.col(f"n{f}1") for f in folds).alias("toxic_n"),
-            sum(F.col(f"n{f}0") for f in folds).alias("clean_n"),
+    def pick(folds) -> list[tuple[str, float, float, float]]:
+        return lexicon(
+            counts.select(
+                "word",
+                sum(F.col(f"n{f}1") for f in folds).alias("toxic_n"),
+                sum(F.col(f"n{f}0") for f in folds).alias("clean_n"),
+            )
         )
-        scores, shares = lexicon(chosen)
-        return ToxicModel(scores, decay_rate(scores, shares))
 
-    others = {f: pick([g for g in range(FOLDS) if g != f]) for f in range(FOLDS)}
-    model = pick(range(FOLDS))
-    schema = "fold int, toxic int, n int, scores array<double>"
+    words = {f: pick([g for g in range(FOLDS) if g != f]) for f in range(FOLDS)}
+    others = {(c, f): cautious(words[f], c) for c in CAUTIONS for f in range(FOLDS)}
+    schema = "caution double, fold int, toxic int, n int, scores array<double>"
     seen = sample.mapInPandas(_scan_folds(others), schema).collect()
-    x, y = [], []
-    for fold in range(FOLDS):
-        rows = [r for r in seen if r["fold"] == fold]
-        part = others[fold]
-        part.chance = _chance(rows, part.decay)
-        x += [part.evidence(r["n"], [(s, 0, 0) for s in r["scores"]]) for r in rows]
-        y += [r["toxic"] for r in rows]
-    model.chance = float(np.mean([m.chance for m in others.values()]))
-    if model.lexicon and 0 < sum(y) < len(y):
-        model.offset, model.slope = _logistic(np.array(x), np.array(y, dtype=float))
+    found = {}
+    for caution in CAUTIONS:
+        x, y = [], []
+        for fold in range(FOLDS):
+            rows = [r for r in seen if r["caution"] == caution and r["fold"] == fold]
+            part = others[caution, fold]
+            part.chance = _chance(rows, part.decay)
+            x += [part.evidence(r["n"], [(s, 0, 0) for s in r["scores"]]) for r in rows]
+            y += [r["toxic"] for r in rows]
+        x, y = np.array(x, dtype=float), np.array(y, dtype=float)
+        if not 0 < y.sum() < len(y):
+            return ToxicModel()
+        line = _logistic(x, y)
+        found[caution] = (_loss(x, y, *line), line)
+    caution = min(CAUTIONS, key=lambda c: (found[c][0], -c))
+    model = cautious(pick(range(FOLDS)), caution)
+    model.chance = float(np.mean([others[caution, f].chance for f in range(FOLDS)]))
+    if model.lexicon:
+        model.offset, model.slope = found[caution][1]
     return model
 
 
