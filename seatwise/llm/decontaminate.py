@@ -22,6 +22,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -623,19 +624,22 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     ``overlap`` is the share of the item's words that stand in the document in
     order, around the passage; words are counted from 0. Null and empty texts and
-    items match nothing, an empty benchmark gives no rows, repeated rows each
-    have their matches.
+    items match nothing, no documents or an empty benchmark give no rows, repeated
+    rows each have their matches, also such without an id. Texts are read whole
+    whatever their length. Other columns are left aside whatever their names.
     """
     texts = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
     )
-    out = None
+    out, written = None, []
     for retriever in retrievers(texts, benchmark):
-        # With a further block, the one before is written and its items are let go.
-        before = None if out is None else stored(out, "leaks")
+        # With a further block, the one before is written, once, and its items are let go.
+        if out is not None:
+            written.append(stored(out, "leaks"))
         out = texts.mapInPandas(_matches(retriever), MATCH_SCHEMA)
-        out = out if before is None else before.union(out)
-    return docs.sparkSession.createDataFrame([], MATCH_SCHEMA) if out is None else out
+    if out is None:
+        return docs.sparkSession.createDataFrame([], MATCH_SCHEMA)
+    return reduce(DataFrame.union, [*written, out])
 
 
 def _is_clean(retriever: Retriever):
@@ -650,7 +654,11 @@ def _is_clean(retriever: Retriever):
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows that hold no benchmark item, all columns as they are."""
+    """The rows that hold no benchmark item, all columns as they are.
+
+    Null and empty texts hold none, very long ones are read whole, repeated rows stay
+    or go together. No documents give no rows; an empty benchmark leaves all.
+    """
     out = docs
     texts = docs.select(F.col("text").cast("string").alias("text"))
     for number, retriever in enumerate(retrievers(texts, benchmark)):

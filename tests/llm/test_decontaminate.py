@@ -51,6 +51,26 @@ def test_whole_table(spark, sf_dir):
     } - gone
 
 
+def test_blocks_of_items_give_the_same_matches_each_written_once(spark, sf_dir, monkeypatch):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    pairs = lambda df: sorted((r["doc_id"], r["item_id"]) for r in df.collect())
+    whole = pairs(decontaminate.find_leaks(docs, items))
+    monkeypatch.setattr(decontaminate, "ITEMS_PER_BLOCK", max(1, items.count() // 4))
+    written, kept = [], decontaminate.stored
+
+    def counted(df, label):
+        out = kept(df, label)
+        if label == "leaks":
+            written.append(out.count())
+        return out
+
+    monkeypatch.setattr(decontaminate, "stored", counted)
+    assert pairs(decontaminate.find_leaks(docs, items)) == whole
+    # No block writes the matches of those before it again.
+    assert len(written) > 1 and sum(written) <= len(whole)
+
+
 @pytest.fixture(scope="module")
 def corpus():
     rng = random.Random(2)
