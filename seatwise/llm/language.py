@@ -111,8 +111,9 @@ class LanguageModel:
 def fit(texts: list[bytes], langs: list[str]) -> LanguageModel:
     """Kernel ridge regression, one language against the rest, over landmarks.
 
-    ``texts`` are the packed presences of texts. Landmarks are taken evenly from the rows given, which come languages in
-    turn. Without rows the model knows no language and predicts ``und``.
+    ``texts`` are the packed presences of texts. Landmarks are taken evenly from the
+    rows given, which come languages in turn. Without rows the model knows no language
+    and predicts ``und``.
     """
     languages = sorted(set(langs))
     if not languages:
@@ -153,11 +154,12 @@ def training_sample(docs: DataFrame, most: int = SAMPLE_ROWS) -> tuple[list[byte
     """About ``most`` labelled texts, never more, the languages in turn.
 
     ``docs`` has ``doc_id``, ``text`` and ``lang``. Rows are drawn by a hash of
-    the id, each language at a rate that follows from its count. Whole texts are
-    read where they lie; what comes back is their presence, 8 KB a text.
+    the id, each language at a rate that follows from its count; of more than
+    ``most`` languages the rarest have no row. Whole texts are read where they lie;
+    what comes back is their presence, 8 KB a text.
     """
     langs = docs.where(F.col("lang").isNotNull()).groupBy("lang").count()
-    counts = {r[0]: r[1] for r in langs.orderBy("lang").collect()}
+    counts = {r[0]: r[1] for r in langs.orderBy(F.desc("count"), "lang").limit(most).collect()}
     quota = max(1, most // max(1, len(counts)))
     draw = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 40))
     wanted = F.lit(False)
@@ -221,7 +223,7 @@ def keep_identified(docs: DataFrame, lowest: float = 0.0) -> DataFrame:
     ``und`` and scores under ``lowest`` go. By default that is null and empty texts
     and texts without a letter: a few words may fit two languages and still be
     good text. Copies of a row stay or go together. Where no row has a ``lang`` to
-    learn from, every text with a letter stays.
+    learn from, every text with a letter stays. No rows give none.
     """
     model = fit(*training_sample(docs.where(~held_out())))
     return docs.where(accepts(model, lowest)(F.col("text").cast("string")))
@@ -231,7 +233,11 @@ def identify(docs: DataFrame) -> DataFrame:
     """``(doc_id, held_out, lang_pred, score)``, one row for each input row.
 
     Learns from the rows not held out that have a text and a ``lang``; predicts
-    from ``text`` alone. Equal texts get equal predictions.
+    from ``text`` alone. Equal texts get equal predictions; null and empty texts and
+    texts without a letter are ``und`` with score 0, and where there is nothing to
+    learn from all are ``und``. A null id is held out. Texts are read whole whatever
+    their length, repeated rows each have their row, no rows give none. Other columns
+    are left aside whatever their names.
     """
     model = fit(*training_sample(docs.where(~held_out())))
     rows = docs.select(

@@ -82,6 +82,13 @@ def test_whole_texts_are_learnt_from(spark):
     assert held and all(r["lang_pred"] == ("aa" if r["doc_id"] % 2 else "bb") for r in held)
 
 
+def test_more_languages_than_rows_to_learn_from(spark):
+    rows = [(i, f"word{i} text", f"l{i % 30:02}") for i in range(90)]
+    docs = spark.createDataFrame(rows + [(99, "more of it", "l07")], "doc_id long, text string, lang string")
+    texts, langs = language.training_sample(docs, 10)
+    assert len(texts) == len(langs) <= 20 and len(set(langs)) <= 10
+
+
 def test_awkward_rows(spark):
     docs = edges.documents(spark).selectExpr("*", "'x' AS extra").replace("none", "none")
     labelled = docs.selectExpr("doc_id", "text", "if(doc_id % 2 = 0, 'en', 'de') AS lang", "score")
