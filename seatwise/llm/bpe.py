@@ -307,7 +307,9 @@ def encode_documents(docs: DataFrame, path: str, leaf: int = LEAF_CHARS) -> Data
     """Token count and digests of ids and decoded text, one row for each document.
 
     ``docs`` has ``doc_id`` and ``text``; other columns are left aside whatever
-    their names. A text of no tokens has the digests of the empty string.
+    their names. A text of no tokens, null or empty, has the digests of the empty
+    string. Texts are encoded whole whatever their length, repeated rows, also such
+    without an id, each have their row, no rows give none.
 
     Short texts are encoded where they are read. The leaves of long ones are
     dealt out evenly and come together by document, since the digest of a

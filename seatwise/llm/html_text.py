@@ -445,7 +445,10 @@ def extract(pages: DataFrame, chain: Chain | None = None) -> DataFrame:
     """``(page_id, url, text, n_chars)``, one row for each input row.
 
     Blocks labelled as main text, joined by one space in page order. Null and
-    empty pages, and pages without main text, have the empty string.
+    empty pages, and pages without main text, have the empty string. Pages are read
+    whole whatever their length or nesting. Repeated rows, also such without an id,
+    each have their row; no rows give none. Only ``page_id``, ``url`` and ``html`` are
+    read, other columns are left aside whatever their names.
     """
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"),

@@ -109,7 +109,9 @@ def scan(docs: DataFrame) -> DataFrame:
     ``doc_id, n_words, n_base, first_word, last_word, base_labels, labels,
     score``; the score is the best share of a template found, 1 for a phrase.
     Null and empty texts have no words and no labels. Rows alike in id and text
-    share their work and come out as many as they went in.
+    share their work and come out as many as they went in. Texts are read whole
+    whatever their length, no rows give none. Only ``doc_id`` and ``text`` are read,
+    other columns are left aside whatever their names.
     """
     texts = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),

@@ -320,7 +320,9 @@ def scan(docs: DataFrame, path: str = "source", forest: Forest | None = None) ->
 
     Places count characters from 0; the value itself is not returned. Null and
     empty texts have no secrets, a document without the ``path`` column or value
-    has an empty path, repeated rows each have their secrets.
+    has an empty path, repeated rows each have their secrets, also such without an
+    id. Texts are read whole whatever their length, no rows give none. Other columns
+    are left aside whatever their names.
     """
     where = F.col(path).cast("string") if path in docs.columns else F.lit(None).cast("string")
     rows = docs.select(
@@ -353,7 +355,9 @@ def _redactor(forest: Forest):
 def redact(docs: DataFrame, path: str = "source", forest: Forest | None = None) -> DataFrame:
     """All rows and columns as they are, with each secret in ``text`` replaced.
 
-    Where a text changes, ``n_chars`` follows it if there is such a column.
+    Where a text changes, ``n_chars`` follows it if there is such a column. Null,
+    empty and clean texts stay as they are, very long ones are read whole, repeated
+    rows all stay, no rows give none.
     """
     where = F.col(path).cast("string") if path in docs.columns else F.lit(None).cast("string")
     clean = _redactor(forest or trained_forest())(F.col("text"), where)

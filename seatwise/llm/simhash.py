@@ -291,7 +291,9 @@ def near_duplicates(
     The component is the smallest ``doc_id`` reached over links between
     fingerprints that differ in at most ``max_bits`` bits. Equal texts, null and
     empty texts included, share a fingerprint and so a component. A null
-    ``doc_id`` gets its component's smallest id, null where there is none.
+    ``doc_id`` gets its component's smallest id, null where there is none. Texts
+    are hashed whole whatever their length, repeated rows each have their row, no
+    rows give none. Other columns are left aside whatever their names.
     """
     found = stored(fingerprints(docs, width), "fingerprints")
     first = stored(found.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct")
@@ -314,7 +316,7 @@ def keep_first(docs: DataFrame, width: int = SHINGLE_WORDS, max_bits: int = MAX_
     Groups go by the fingerprints alone, whatever ids rows share. The row of the
     smallest ``doc_id`` stays, an absent one last, of several with that id the one
     whose text and then whose whole row has the smallest digest. Copies of a row
-    are one group.
+    are one group, and so are null and empty texts. No rows give none.
     """
     columns = docs.columns
     row = F.md5(F.to_json(F.struct(*columns)).cast("binary"))

@@ -461,7 +461,9 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     A word goes if a window of ``width`` words covers it whose words also stand
     in a document with a smaller id, judged on the input. Null and empty texts
     have no words. Rows that share an id do not make each other repeats; a row
-    with a null id neither loses words nor takes any.
+    with a null id neither loses words nor takes any. Texts are read whole whatever
+    their length, no rows give none. Only ``doc_id`` and ``text`` are read, other
+    columns are left aside whatever their names.
     """
     texts = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")

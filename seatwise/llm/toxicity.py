@@ -365,8 +365,12 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``(doc_id, held_out, score, predicted, passages)``, one row for each input row.
 
     Scores come from ``text`` alone; null and empty texts score the base rate of
-    a text without evidence. ``passages`` are the significant ones, words
-    counted from 0.
+    a text without evidence, equal texts score the same. ``passages`` are the
+    significant ones, words counted from 0. A null id is held out. Texts are read
+    whole whatever their length, repeated rows each have their row, no rows give
+    none. An id labelled both ways is toxic, null labels are none; without labels of
+    both kinds every score is next to 0. Only ``doc_id`` and ``text`` are read, other
+    columns are left aside whatever their names.
     """
     model = fit(training_sample(docs, labels))
     rows = docs.select(
